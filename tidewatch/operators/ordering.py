@@ -16,13 +16,13 @@ BUCKETS = 1024
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    return df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("freq"))
+    return df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_freq"))
 
 
 def _bucketed(counts: DataFrame, keys: Sequence[str], value: str, buckets: int) -> DataFrame:
     v = F.col(value).cast("double")
     bounds = counts.groupBy(*keys).agg(
-        F.min(v).alias("_lo"), F.max(v).alias("_hi"), F.sum("freq").alias("total")
+        F.min(v).alias("_lo"), F.max(v).alias("_hi"), F.sum("_freq").alias("_total")
     )
     width = F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
     bucket = F.coalesce(F.floor((v - F.col("_lo")) / width * (buckets - 1)), F.lit(0)).cast("int")
@@ -40,7 +40,7 @@ def _attach(df: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _bucket_offsets(bucketed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    totals = bucketed.groupBy(*keys, "_bucket").agg(F.sum("freq").alias("_in_bucket"))
+    totals = bucketed.groupBy(*keys, "_bucket").agg(F.sum("_freq").alias("_in_bucket"))
     before = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
     return totals.withColumn("_before", F.coalesce(F.sum("_in_bucket").over(before), F.lit(0)))
 
@@ -48,13 +48,13 @@ def _bucket_offsets(bucketed: DataFrame, keys: Sequence[str]) -> DataFrame:
 def with_cumulative(
     counts: DataFrame, keys: Sequence[str], value: str, buckets: int = BUCKETS
 ) -> DataFrame:
-    """Add ``before`` (rows with a smaller value in the key) and ``total`` to value counts."""
+    """Add ``_below`` (rows of the key with a smaller value) and ``_total`` to value counts."""
     bucketed = _bucketed(counts, keys, value, buckets)
     offsets = _bucket_offsets(bucketed, keys).drop("_in_bucket")
     inside = W.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
     return (
         bucketed.join(offsets, [*keys, "_bucket"])
-        .withColumn("before", F.col("_before") + F.coalesce(F.sum("freq").over(inside), F.lit(0)))
+        .withColumn("_below", F.col("_before") + F.coalesce(F.sum("_freq").over(inside), F.lit(0)))
         .drop("_bucket", "_before")
     )
 
@@ -63,7 +63,7 @@ def rank_map(df: DataFrame, value: str, out: str, descending: bool = True) -> Da
     """``(value, RANK())`` of every distinct non-null value over the whole table."""
     counts = value_counts(df.filter(F.col(value).isNotNull()), [], value)
     ranked = with_cumulative(counts, [], value)
-    rank = F.col("total") - F.col("before") - F.col("freq") + 1 if descending else F.col("before") + 1
+    rank = F.col("_total") - F.col("_below") - F.col("_freq") + 1 if descending else F.col("_below") + 1
     return ranked.select(value, rank.alias(out))
 
 
@@ -73,8 +73,8 @@ def with_rank(df: DataFrame, value: str, out: str, descending: bool = True) -> D
 
 def with_row_number(df: DataFrame, keys: Sequence[str], order: str, out: str) -> DataFrame:
     """``ROW_NUMBER()`` by a column that is unique within each key."""
-    counts = df.withColumn("freq", F.lit(1).cast("bigint"))
-    return with_cumulative(counts, keys, order).withColumn(out, F.col("before") + 1).drop("freq", "before", "total")
+    counts = df.withColumn("_freq", F.lit(1).cast("bigint"))
+    return with_cumulative(counts, keys, order).withColumn(out, F.col("_below") + 1).drop("_freq", "_below", "_total")
 
 
 def _positions(probability: float, total: Column, method: str) -> Column:
@@ -102,7 +102,7 @@ def exact_quantiles(
     bucketed = _bucketed(counts, keys, value, buckets)
     offsets = _bucket_offsets(bucketed, keys)
 
-    places = [_positions(p, F.col("total"), method) for p in probabilities.values()]
+    places = [_positions(p, F.col("_total"), method) for p in probabilities.values()]
     wanted = [F.floor(p).cast("bigint") for p in places] + [F.ceil(p).cast("bigint") for p in places]
     hits = F.lit(False)
     for w in wanted:
@@ -112,12 +112,12 @@ def exact_quantiles(
     located = (
         bucketed.join(offsets, [*keys, "_bucket"])
         .filter(hits)
-        .withColumn("before", F.col("_before") + F.coalesce(F.sum("freq").over(inside), F.lit(0)))
+        .withColumn("_below", F.col("_before") + F.coalesce(F.sum("_freq").over(inside), F.lit(0)))
     )
     v = F.col(value).cast("double")
 
     def at(position: Column) -> Column:
-        found = (position >= F.col("before")) & (position < F.col("before") + F.col("freq"))
+        found = (position >= F.col("_below")) & (position < F.col("_below") + F.col("_freq"))
         return F.max(F.when(found, v))
 
     columns = []
