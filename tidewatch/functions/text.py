@@ -11,6 +11,9 @@ WS = (
     r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
     r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
 )
+WS_CHARS = "".join(
+    map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000])
+)
 ASCII_WS = r"[\x{09}-\x{0d}\x{20}]+"
 
 # Date-time group, marker and coordinate patterns.
@@ -32,13 +35,12 @@ SPEED = r"(?i)(\d+(?:\.\d+)?)[\x{09}-\x{0d}\x{20}]*knots?"
 
 def strip(text: Column) -> Column:
     """Trim Unicode white space at both ends."""
-    return F.regexp_replace(text, f"^{WS}|{WS}$", "")
+    return F.trim(text, F.lit(WS_CHARS))
 
 
 def words(text: Column) -> Column:
     """White-space separated words of the whole text; empty array for blank text."""
-    stripped = strip(text)
-    return F.when(stripped == "", F.array().cast("array<string>")).otherwise(F.split(stripped, WS))
+    return F.array_remove(F.split(text, WS), "")
 
 
 def tokens(text: Column) -> Column:
@@ -50,30 +52,39 @@ def group_or_null(text: Column, pattern: str, group: int) -> Column:
     return F.when(found != "", found)
 
 
-def dtg_time(text: Column) -> Column:
-    """First date-time group as a timestamp; NULL when absent or impossible."""
-    part = [group_or_null(text, DTG, i) for i in range(1, 6)]
-    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.upper(part[3])).cast("int")
-    return F.try_make_timestamp_ntz(
-        2000 + part[4].cast("int"), month, part[0].cast("int"), part[1].cast("int"), part[2].cast("int"),
-        F.lit(0).cast("decimal(16,6)"),
-    )
+def dtg_match(text: Column) -> Column:
+    """The first date-time group as written, '' when there is none."""
+    return F.regexp_extract(text, DTG, 0)
 
 
-def has_dtg(text: Column) -> Column:
-    return text.rlike(DTG)
+def dtg_time(match: Column) -> Column:
+    """A matched date-time group as a timestamp; NULL when absent or impossible."""
+    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), F.upper(F.substring(match, -5, 3)))
+
+    def number(start: int) -> Column:
+        return F.substring(match, start, 2).try_cast("int")
+
+    return F.try_make_timestamp_ntz(
+        2000 + number(-2), month.cast("int"), number(1), number(3), number(5), F.lit(0).cast("decimal(16,6)")
+    )
 
 
 def strip_flash(text: Column) -> Column:
     return strip(F.regexp_replace(text, FLASH, ""))
 
 
-def coordinate(text: Column, axis: str, signed: bool = True) -> Column:
+def position_match(text: Column) -> Column:
+    """The first latitude/longitude pair as written, '' when there is none."""
+    return F.regexp_extract(text, LATLON, 0)
+
+
+def coordinate(match: Column, axis: str, signed: bool = True) -> Column:
+    """One coordinate of a matched pair."""
     number, letter, negative = (1, 2, "S") if axis == "lat" else (3, 4, "W")
-    value = group_or_null(text, LATLON, number).cast("double")
+    value = group_or_null(match, LATLON, number).cast("double")
     if not signed:
         return value
-    return F.when(F.regexp_extract(text, LATLON, letter) == negative, -value).otherwise(value)
+    return F.when(F.regexp_extract(match, LATLON, letter) == negative, -value).otherwise(value)
 
 
 def first_match(cases: Iterable[tuple[Column, str]], default: str | None) -> Column:
@@ -111,8 +122,7 @@ def summary(text: Column, longest: int = 120) -> Column:
     stop = F.instr(text, ".")
     first = F.when(stop > 1, F.substring(text, F.lit(1), stop)).otherwise(text)
     cut = F.when(F.length(first) > longest, F.concat(F.substring(first, 1, longest - 3), F.lit("...")))
-    blank = text.isNull() | text.rlike(rf"^({WS})?$")
-    return F.when(blank, "").otherwise(F.coalesce(cut, first))
+    return F.when(text.isNull() | (strip(text) == ""), "").otherwise(F.coalesce(cut, first))
 
 
 def fingerprint(*parts: Column) -> Column:

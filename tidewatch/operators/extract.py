@@ -26,20 +26,23 @@ def normalize_signals(
     Without a date-time group the receive time stands in; an impossible one is a reject.
     """
     text = X.strip(F.col("raw_text"))
-    parsed = raw.withColumn("_text", text).withColumn("_time", X.dtg_time(F.col("_text")))
-    impossible = X.has_dtg(F.col("_text")) & F.col("_time").isNull()
+    parsed = raw.withColumn("_text", text).withColumn("_dtg", X.dtg_match(F.col("_text")))
+    time = X.dtg_time(F.col("_dtg"))
+    impossible = (F.col("_dtg") != "") & time.isNull()
     rejected = parsed.filter(impossible).select(*raw.columns, F.lit("impossible date-time group").alias("reject_reason"))
     clean = X.strip_flash(F.col("_text"))
     label = F.coalesce(F.try_element_at("metadata", F.lit("classification")), F.lit(default_classification))
-    accepted = parsed.filter(~impossible).withColumn("normalized_text", clean).select(
+    accepted = parsed.filter(~impossible).withColumns(
+        {"normalized_text": clean, "_position": X.position_match(F.col("_text"))}
+    ).select(
         "source_id",
-        F.coalesce("_time", "received_at").alias("event_time"),
+        F.coalesce(time, F.col("received_at")).alias("event_time"),
         label.alias("classification"),
         X.keyword_tier(F.col("normalized_text" if classify_on == "clean" else "_text")).alias("threat_tier"),
         "raw_text",
         "normalized_text",
-        X.coordinate(F.col("_text"), "lat", signed).alias("geo_lat"),
-        X.coordinate(F.col("_text"), "lon", signed).alias("geo_lon"),
+        X.coordinate(F.col("_position"), "lat", signed).alias("geo_lat"),
+        X.coordinate(F.col("_position"), "lon", signed).alias("geo_lon"),
         X.fingerprint(F.col("source_id"), F.col("raw_text")).alias("fingerprint"),
     )
     rollup = accepted.groupBy("source_id", "threat_tier", time_bucket(F.col("event_time")).alias("hour")).agg(

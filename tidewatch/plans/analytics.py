@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from tidewatch.functions.scalar import count_where, exact_round, safe_ratio, seconds_between, since, time_bucket
 from tidewatch.operators.ordering import exact_quantiles, with_rank
 from tidewatch.operators.pairs import pair_rows, supported_items
+from tidewatch.session import materialize
 from tidewatch.schema import CLASSIFICATIONS, HIGH_TIERS, ordinal
 
 
@@ -126,7 +127,8 @@ def entity_correlation(
     recent = events.filter(since(F.col("occurred_at"), as_of, lookback)).select(
         *{*event_keys, "event_id", "occurred_at", "source_id", "threat_tier"}
     )
-    edges = supported_items(_linked(event_entities, recent, event_keys), "entity_id", "source_id", min_sources)
+    linked = materialize(_linked(event_entities, recent, event_keys), "edges")
+    edges = supported_items(linked, "entity_id", "source_id", min_sources)
     rows = pair_rows(edges, "event_id", "entity_id", ["occurred_at", "source_id", "threat_tier"])
     per_source = rows.groupBy("item_a", "item_b", "source_id").agg(
         F.count(F.lit(1)).alias("n"),
@@ -295,7 +297,7 @@ def entity_network(
     recent = events.filter(since(F.col("occurred_at"), as_of, lookback) & F.col("threat_tier").isin(*tiers)).select(
         "event_id", "occurred_at", "int_type", "threat_tier"
     )
-    linked = _linked(event_entities, recent, ["event_id"])
+    linked = materialize(_linked(event_entities, recent, ["event_id"]), "edges")
     edges = supported_items(linked, "entity_id", "event_id", min_shared)
     shared = (
         pair_rows(edges, "event_id", "entity_id", ["occurred_at", "int_type", "threat_tier"])
@@ -309,9 +311,10 @@ def entity_network(
         )
         .filter(F.col("shared_events") >= min_shared)
     )
+    shared = materialize(shared, "pairs")
     floor = shared.select("shared_events").orderBy(F.desc("shared_events")).limit(limit)
     floor = floor.agg(F.min("shared_events")).scalar()
-    candidates = _named_pairs(shared.filter(F.col("shared_events") >= floor), entities)
+    candidates = materialize(_named_pairs(shared.filter(F.col("shared_events") >= floor), entities), "candidates")
 
     names = candidates.select(F.explode(F.array("entity_a", "entity_b")).alias("canonical_name")).distinct()
     by_name = (

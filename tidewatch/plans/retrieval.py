@@ -12,6 +12,7 @@ from tidewatch.functions.vector import hashed_embedding
 from tidewatch.operators.ingest import first_per_key
 from tidewatch.operators.vectors import vector_topk
 from tidewatch.operators.windows import budget_prefix
+from tidewatch.session import materialize
 
 # BM25 parameters, fusion constant, chunk and context sizes.
 K1, B, EPSILON = 1.5, 0.75, 0.25
@@ -64,6 +65,7 @@ def bm25_index(corpus: DataFrame, *, key: str, text: str, epsilon: float = EPSIL
 
     A negative idf is replaced by ``epsilon`` times the mean idf of all terms.
     The length travels with each posting, so scoring needs no join on documents.
+    The postings are stored once: every later step reads them, none tokenises again.
     """
     tokenised = corpus.select(key, X.tokens(F.col(text)).alias("_tokens"))
     length = F.size("_tokens").cast("bigint")
@@ -71,10 +73,12 @@ def bm25_index(corpus: DataFrame, *, key: str, text: str, epsilon: float = EPSIL
         tokenised.select(key, length.alias("doc_len"), F.explode("_tokens").alias("term"))
         .groupBy(key, "doc_len", "term").agg(F.count(F.lit(1)).alias("tf"))
     )
+    postings = materialize(postings, "postings")
     stats = tokenised.agg(F.count(F.lit(1)).alias("documents"), F.avg(length).alias("mean_len"))
     size = stats.select("documents").scalar()
     idf = F.ln(size - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5)
     frequency = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    frequency = materialize(frequency, "frequency")
     mean = frequency.agg(F.avg(idf)).scalar()
     terms = frequency.select("term", "df", F.when(idf < 0, F.lit(epsilon) * mean).otherwise(idf).alias("idf"))
     return Bm25Index(postings, terms, stats)

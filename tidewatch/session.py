@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "tidewatch", master: str | None = None, **conf: object) -> SparkSession:
@@ -39,3 +39,23 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         base = os.path.join(tempfile.gettempdir(), "tidewatch-work")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` to a table in the shared folder and read it back.
+
+    For results that several later steps read: the lineage is cut, and a lost
+    executor costs a re-read of files, not a recomputation.
+    """
+    path = work_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Use all cores for a small input that arrives in fewer partitions than there are cores.
+
+    An input with enough splits, as any large table has, is returned unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df

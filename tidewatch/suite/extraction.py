@@ -147,7 +147,7 @@ SELECT *, list_filter(e, lambda x, i: list_position(e, x) = i)[1:10] AS entities
 
 
 def _enriched(spark, d):
-    return E.enrich_events(V.load(spark, d, "documents").select(
+    return E.enrich_events(V.load_text(spark, d, "documents").select(
         "doc_id", F.col("lang").alias("source_type"), F.col("text").alias("raw_content")
     ))
 

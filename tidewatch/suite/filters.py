@@ -55,7 +55,7 @@ def like_search(spark, d):
 SELECT doc_id FROM documents
 WHERE contains(lower(text), 'ation') OR contains(lower(lang), 'ation') OR contains(lower(source), 'ation')""")
 def multi_column_contains(spark, d):
-    return FL.multi_column_contains(V.load(spark, d, "documents"), "ATION", ["text", "lang", "source"]).select("doc_id")
+    return FL.multi_column_contains(V.load_text(spark, d, "documents"), "ATION", ["text", "lang", "source"]).select("doc_id")
 
 
 @query("point_lookup", "SELECT o_orderkey, o_custkey, o_orderdate FROM orders WHERE o_orderkey = 77")

@@ -119,7 +119,7 @@ def fn_json(spark, d):
 
 @query("fn_left", "SELECT doc_id, left(text, 300) AS excerpt FROM documents")
 def fn_left(spark, d):
-    return V.load(spark, d, "documents").select("doc_id", X.excerpt(F.col("text")).alias("excerpt"))
+    return V.load_text(spark, d, "documents").select("doc_id", X.excerpt(F.col("text")).alias("excerpt"))
 
 
 @query("fn_string", f"""
@@ -138,7 +138,7 @@ def fn_string(spark, d):
 
 @query("fn_sha256", "SELECT doc_id, sha256(text) AS content_hash FROM documents")
 def fn_sha256(spark, d):
-    return V.load(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("content_hash"))
+    return V.load_text(spark, d, "documents").select("doc_id", F.sha2("text", 256).alias("content_hash"))
 
 
 @query("fn_array", """
@@ -148,7 +148,7 @@ SELECT doc_id, list_contains(t, 'the') AS has_the,
 def fn_array(spark, d):
     ten = F.slice(F.split("text", " "), 1, 10)
     t = F.concat(ten, F.array("lang", "source", "lang"))
-    return V.load(spark, d, "documents").select(
+    return V.load_text(spark, d, "documents").select(
         "doc_id", F.array_contains(t, "the").alias("has_the"), F.array_join(F.array_distinct(t), " ").alias("uniq")
     )
 
@@ -190,4 +190,4 @@ SELECT doc_id, list_has_all(string_split(lower(text), ' '), ['the', 'and', 'of']
 def fn_text_match(spark, d):
     found = F.split(F.lower("text"), " ")
     wanted = F.array(F.lit("the"), F.lit("and"), F.lit("of"))
-    return V.load(spark, d, "documents").select("doc_id", (F.size(F.array_except(wanted, found)) == 0).alias("matched"))
+    return V.load_text(spark, d, "documents").select("doc_id", (F.size(F.array_except(wanted, found)) == 0).alias("matched"))

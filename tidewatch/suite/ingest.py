@@ -106,7 +106,7 @@ def dry_run_validate(spark, d):
 
 def raw_documents(spark: SparkSession, d: str) -> DataFrame:
     """Documents as raw events; one source name is treated as missing and German ones have no clock."""
-    return V.load(spark, d, "documents").select(
+    return V.load_text(spark, d, "documents").select(
         "doc_id",
         F.col("lang").alias("source_type"),
         F.nullif(F.col("source"), F.lit("src0")).alias("source_id"),
@@ -120,7 +120,7 @@ SELECT doc_id, CAST(n - 1 AS INTEGER) AS line_no, lines[n] AS line
 FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents) t,
   unnest(range(1, len(lines) + 1)) AS u(n)""")
 def report_line_source(spark, d):
-    return readers.report_lines(V.load(spark, d, "documents"), "text", "doc_id")
+    return readers.report_lines(V.load_text(spark, d, "documents"), "text", "doc_id")
 
 
 @query("series_ingest", """
@@ -167,7 +167,7 @@ SELECT doc_id, array_to_string(list_filter([
 FROM r""")
 def validate_contract(spark, d):
     key = F.col("doc_id")
-    requests = V.load(spark, d, "documents").select(
+    requests = V.load_text(spark, d, "documents").select(
         "doc_id",
         F.when(F.col("lang") == "en", "OSINT").when(F.col("lang") == "fr", "HUMINT").when(F.col("lang") == "de", "RADIO").alias("source_type"),
         F.col("text").alias("raw_content"),
@@ -182,7 +182,7 @@ def validate_contract(spark, d):
 @query("fingerprint_dedup", """
 SELECT sha256(source || text) AS fingerprint, min(doc_id) AS doc_id FROM documents GROUP BY 1""")
 def fingerprint_dedup(spark, d):
-    raw = V.load(spark, d, "documents").select("doc_id", F.col("source").alias("source_id"), F.col("text").alias("raw_text"))
+    raw = V.load_text(spark, d, "documents").select("doc_id", F.col("source").alias("source_id"), F.col("text").alias("raw_text"))
     return I.fingerprint_dedup(raw, order=["doc_id"]).select("fingerprint", "doc_id")
 
 

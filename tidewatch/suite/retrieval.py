@@ -10,13 +10,14 @@ from tidewatch.functions.vector import hashed_embedding
 from tidewatch.operators import vectors as VEC
 from tidewatch.operators.filters import optional_filters
 from tidewatch.plans import retrieval as R
+from tidewatch.session import materialize
 from tidewatch.suite import views as V
 from tidewatch.suite.ingest import sql_words
 from tidewatch.suite.registry import query, rnd
 
 
 def corpus(spark: SparkSession, d: str) -> DataFrame:
-    return V.load(spark, d, "documents").select("doc_id", "text")
+    return V.load_text(spark, d, "documents").select("doc_id", "text")
 
 
 def questions(spark: SparkSession, d: str) -> DataFrame:
@@ -26,7 +27,7 @@ def questions(spark: SparkSession, d: str) -> DataFrame:
 def chunks(spark: SparkSession, d: str) -> DataFrame:
     """De-duplicated chunks of every document, with a stable number."""
     unique = R.chunk_dedup(R.chunk_documents(corpus(spark, d), key="doc_id", text="text"), source="doc_id")
-    return unique.select(
+    return materialize(unique, "chunks").select(
         (F.col("doc_id") * 1_000_000 + F.col("chunk_index")).alias("chunk_id"), "doc_id", "chunk_index", "chunk_text", "content_hash"
     )
 
@@ -195,12 +196,13 @@ def rrf_fuse(spark, d):
     return out.withColumn("rrf_score", exact_round(F.col("rrf_score"), 8))
 
 
-def fused_chunks(spark: SparkSession, d: str, top_k: int = 8) -> DataFrame:
-    parts = chunks(spark, d).select("chunk_id", "chunk_text")
-    return R.hybrid_search(
-        parts, questions(spark, d), key="chunk_id", text="chunk_text", query="query_id", query_text="question",
+def fused_chunks(stored: DataFrame, spark: SparkSession, d: str, top_k: int = 8) -> DataFrame:
+    """Fused hits joined back to their chunk rows."""
+    hits = R.hybrid_search(
+        stored.select("chunk_id", "chunk_text"), questions(spark, d), key="chunk_id", text="chunk_text", query="query_id", query_text="question",
         top_k=top_k, depth=3 * top_k,
     )
+    return stored.join(hits, "chunk_id")
 
 
 SQL_HYBRID_CHUNKS = f"""
@@ -216,8 +218,7 @@ SELECT query_id, chunk_id, doc_id AS source_path, chunk_text, {rnd('rrf_score',
   CAST(vector_rank AS INTEGER) AS vector_rank, CAST(text_rank AS INTEGER) AS bm25_rank
 FROM fused JOIN u ON chunk_id = k""")
 def hybrid_search_chunks(spark, d):
-    hits = fused_chunks(spark, d)
-    return hits.join(chunks(spark, d), "chunk_id").select(
+    return fused_chunks(chunks(spark, d), spark, d).select(
         "query_id", "chunk_id", F.col("doc_id").alias("source_path"), "chunk_text",
         exact_round(F.col("rrf_score"), 8).alias("rrf_score"), "vector_rank", F.col("text_rank").alias("bm25_rank"),
     )
@@ -226,7 +227,7 @@ def hybrid_search_chunks(spark, d):
 def text_events(spark: SparkSession, d: str) -> DataFrame:
     """Documents as events with a normalised text."""
     key = F.col("doc_id")
-    return V.load(spark, d, "documents").select(
+    return V.load_text(spark, d, "documents").select(
         key.alias("event_id"), F.col("source").alias("source_id"), F.col("lang").alias("int_type"),
         (F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'") + F.make_dt_interval(hours=(key % 2000).cast("int"))).alias("event_time"),
         V.level(key % 5).alias("classification"),
@@ -286,7 +287,7 @@ packed AS (SELECT query_id, coalesce(string_agg(snippet, chr(10) ORDER BY rrf_ra
 
 
 def packed_chunks(spark: SparkSession, d: str) -> DataFrame:
-    hits = fused_chunks(spark, d).join(chunks(spark, d), "chunk_id")
+    hits = fused_chunks(chunks(spark, d), spark, d)
     return R.context_pack_chunks(hits, query="query_id", rank="rrf_rank", text="chunk_text", source="doc_id")
 
 
@@ -316,7 +317,7 @@ def prompt_batch(spark, d):
 
 def answered(spark: SparkSession, d: str) -> DataFrame:
     """Each user turn with the reply that follows it; the words of the question are the keywords."""
-    talk = V.load(spark, d, "conversations")
+    talk = V.load_text(spark, d, "conversations")
     asked = talk.filter("role = 'user'").select("conv_id", "turn", F.array_distinct(F.split("text", "[^\\p{L}]+")).alias("w"))
     asked = asked.select("conv_id", "turn", F.filter("w", lambda x: F.length(x) >= 5).alias("keywords"))
     reply = talk.filter("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))

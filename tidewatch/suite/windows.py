@@ -81,7 +81,7 @@ SELECT conv_id, turn, CAST(running AS BIGINT) AS running_cost FROM (
   SELECT *, sum(length(text) + 1) OVER (PARTITION BY conv_id ORDER BY turn) AS running FROM conversations)
 WHERE running <= 1000""")
 def win_budget_prefix(spark, d):
-    talk = V.load(spark, d, "conversations").select("conv_id", "turn", F.length("text").alias("size"))
+    talk = V.load_text(spark, d, "conversations").select("conv_id", "turn", F.length("text").alias("size"))
     return budget_prefix(talk, ["conv_id"], "turn", F.col("size") + 1, 1000).drop("size")
 
 
