@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -117,23 +118,28 @@ def _solve(row, alpha: float) -> tuple:
     )
 
 
-def ridge_fit(series: DataFrame, window: int = WINDOW, alpha: float = ALPHA) -> DataFrame:
-    """One standardised ridge model per series; a series of ``window`` values or fewer has none.
-
-    Spark sums the moments; only the 14 x 14 system of each series is solved in
-    a task, so no task ever holds a series.
-    """
+def fit_models(series: DataFrame, solve_one: Callable[[Any], tuple], window: int = WINDOW) -> DataFrame:
+    """Fit any linear model per series from its moments; ``solve_one`` maps a moments row to a model row."""
     centre = series.groupBy("series_id").agg(F.avg("value").alias("centre"))
     moments = gram(window_features(series, window), centre)
 
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [c.split()[0] for c in MODEL_SCHEMA.split(", ")]
         for batch in batches:
-            yield pd.DataFrame([_solve(r, alpha) for r in batch.itertuples()], columns=names)
+            yield pd.DataFrame([solve_one(r) for r in batch.itertuples()], columns=names)
 
     return moments.mapInPandas(solve, MODEL_SCHEMA)
 
 
+def ridge_fit(series: DataFrame, window: int = WINDOW, alpha: float = ALPHA) -> DataFrame:
+    """One standardised ridge model per series; a series of ``window`` values or fewer has none.
+
+    Spark sums the moments; only the 14 x 14 system of each series is solved in
+    a task, so no task ever holds a series.
+    """
+    return fit_models(series, lambda row: _solve(row, alpha), window)
+
+
 def recent_values(series: DataFrame, window: int = WINDOW) -> DataFrame:
     """The last ``window`` values of every series, oldest first.
 

@@ -6,12 +6,8 @@ from tidewatch.suite.registry import REGISTRY, Query, query
 
 for _module in (
     "analytics", "ingest", "filters", "functions", "extraction", "joins", "aggregates", "windows",
-    "retrieval", "timeseries", "streams", "quality",
+    "retrieval", "timeseries", "streams", "quality", "extensions",
 ):
-    try:
-        import_module(f"tidewatch.suite.{_module}")
-    except ModuleNotFoundError as e:
-        if e.name != f"tidewatch.suite.{_module}":
-            raise
+    import_module(f"tidewatch.suite.{_module}")
 
 __all__ = ["REGISTRY", "Query", "query"]
