@@ -11,6 +11,16 @@ from tidewatch.functions import text as X
 from tidewatch.functions.scalar import time_bucket
 
 
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that later filters and projections read but never recompute.
+
+    The optimizer copies an ordinary projected expression into every filter above
+    it; the output of a generator is a barrier to that, which matters for regexes.
+    """
+    row = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select("*", F.inline(F.array(row)))
+
+
 @dataclass(frozen=True)
 class Extracted:
     accepted: DataFrame
@@ -25,16 +35,16 @@ def normalize_signals(
 
     Without a date-time group the receive time stands in; an impossible one is a reject.
     """
-    text = X.strip(F.col("raw_text"))
-    parsed = raw.withColumn("_text", text).withColumn("_dtg", X.dtg_match(F.col("_text")))
+    text = F.col("_text")
+    parsed = computed_once(
+        computed_once(raw, _text=X.strip(F.col("raw_text"))),
+        _dtg=X.dtg_match(text), _position=X.position_match(text), normalized_text=X.strip_flash(text),
+    )
     time = X.dtg_time(F.col("_dtg"))
     impossible = (F.col("_dtg") != "") & time.isNull()
     rejected = parsed.filter(impossible).select(*raw.columns, F.lit("impossible date-time group").alias("reject_reason"))
-    clean = X.strip_flash(F.col("_text"))
     label = F.coalesce(F.try_element_at("metadata", F.lit("classification")), F.lit(default_classification))
-    accepted = parsed.filter(~impossible).withColumns(
-        {"normalized_text": clean, "_position": X.position_match(F.col("_text"))}
-    ).select(
+    accepted = parsed.filter(~impossible).select(
         "source_id",
         F.coalesce(time, F.col("received_at")).alias("event_time"),
         label.alias("classification"),
@@ -61,26 +71,27 @@ def report_timeline(
     month: int = 1,
 ) -> Extracted:
     """Numbered report lines (column ``line``) to timeline records and a rollup per vessel."""
-    line = X.strip(F.col("line"))
-    matched = line.rlike(X.REPORT_LINE)
-    rejected = lines.filter(~F.coalesce(matched, F.lit(False))).select(
-        *lines.columns, F.lit("not a report line").alias("reject_reason")
+    raw = F.col("_raw")
+    parsed = computed_once(
+        computed_once(lines, _raw=X.strip(F.col("line"))),
+        **{f"_{i}": F.regexp_extract(raw, X.REPORT_LINE, i) for i in range(1, 5)},
     )
-    clock = F.regexp_extract(line, X.REPORT_LINE, 3)
-    desc = F.regexp_extract(line, X.REPORT_LINE, 4)
+    matched = F.coalesce(F.col("_1") != "", F.lit(False))
+    rejected = parsed.filter(~matched).select(*lines.columns, F.lit("not a report line").alias("reject_reason"))
+    clock = F.col("_3")
     stamp = F.concat(
-        F.lit(f"{year:04d}-{month:02d}-"), F.lpad(F.regexp_extract(line, X.REPORT_LINE, 2).cast("int").cast("string"), 2, "0"),
+        F.lit(f"{year:04d}-{month:02d}-"), F.lpad(F.col("_2").cast("int").cast("string"), 2, "0"),
         F.lit("T"), F.substring(clock, 1, 2), F.lit(":"), F.substring(clock, 3, 2), F.lit(":00Z"),
     )
     vessel = X.first_match([(F.upper("description").contains(n.upper()), n) for n in vessels], default_vessel)
     bearing = X.first_match([(F.lower("description").contains(b.lower()), b) for b in bearings], None)
     accepted = (
-        lines.filter(matched)
+        parsed.filter(matched)
         .select(
-            F.regexp_extract(line, X.REPORT_LINE, 1).cast("bigint").alias("sequence"),
+            F.col("_1").cast("bigint").alias("sequence"),
             stamp.alias("timestamp"),
-            X.strip(desc).alias("description"),
-            line.alias("raw"),
+            X.strip(F.col("_4")).alias("description"),
+            raw.alias("raw"),
         )
         .select(
             "sequence", "timestamp",

@@ -145,8 +145,8 @@ def trigram_match(names: DataFrame, terms: DataFrame, name: str, term: str, thre
     """
     n = names.select(name).distinct().withColumn("_t", trigrams(F.col(name)))
     t = terms.select(term).distinct().withColumn("_t", trigrams(F.col(term)))
-    left = n.select(name, F.size("_t").alias("_n"), F.explode("_t").alias("_gram"))
-    right = t.select(term, F.size("_t").alias("_m"), F.explode("_t").alias("_gram"))
+    left = n.select(name, F.size("_t").alias("_n"), "_t").select(name, "_n", F.explode("_t").alias("_gram"))
+    right = t.select(term, F.size("_t").alias("_m"), "_t").select(term, "_m", F.explode("_t").alias("_gram"))
     shared = left.join(right, "_gram").groupBy(name, term, "_n", "_m").agg(F.count(F.lit(1)).alias("_s"))
     score = F.col("_s") / (F.col("_n") + F.col("_m") - F.col("_s"))
     return shared.select(name, term, score.alias("similarity")).filter(F.col("similarity") >= threshold)

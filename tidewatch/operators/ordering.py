@@ -59,16 +59,24 @@ def with_cumulative(
     )
 
 
-def rank_map(df: DataFrame, value: str, out: str, descending: bool = True) -> DataFrame:
-    """``(value, RANK())`` of every distinct non-null value over the whole table."""
+def rank_map(df: DataFrame, value: str, out: str, descending: bool = True, few: bool = False) -> DataFrame:
+    """``(value, RANK())`` of every distinct non-null value over the whole table.
+
+    ``few`` says that there are few distinct values, as with row counts (n rows
+    give at most sqrt(2n) different counts): they are then accumulated directly.
+    """
     counts = value_counts(df.filter(F.col(value).isNotNull()), [], value)
+    if few:
+        order = F.desc(value) if descending else F.asc(value)
+        ahead = W.orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+        return counts.select(value, (F.coalesce(F.sum("_freq").over(ahead), F.lit(0)) + 1).alias(out))
     ranked = with_cumulative(counts, [], value)
     rank = F.col("_total") - F.col("_below") - F.col("_freq") + 1 if descending else F.col("_below") + 1
     return ranked.select(value, rank.alias(out))
 
 
-def with_rank(df: DataFrame, value: str, out: str, descending: bool = True) -> DataFrame:
-    return df.join(rank_map(df, value, out, descending), value, "left")
+def with_rank(df: DataFrame, value: str, out: str, descending: bool = True, few: bool = False) -> DataFrame:
+    return df.join(rank_map(df, value, out, descending, few), value, "left")
 
 
 def with_row_number(df: DataFrame, keys: Sequence[str], order: str, out: str) -> DataFrame:

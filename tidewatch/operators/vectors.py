@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector
 
-MAX_QUERY_BYTES = 32 << 20
+MAX_QUERIES = 4_096
 # Similarities are rounded, so equal vectors tie exactly wherever they are scored.
 DIGITS = 9
 
@@ -58,23 +58,20 @@ def _scorer(query_ids: list, query_matrix: np.ndarray, k: int, query: str, item:
 
 def vector_topk(
     vectors: DataFrame, queries: DataFrame, *, item: str, query: str, k: int,
-    vector: str = "embedding", query_vector: str = "embedding", max_query_bytes: int = MAX_QUERY_BYTES,
+    vector: str = "embedding", query_vector: str = "embedding", max_queries: int = MAX_QUERIES,
 ) -> DataFrame:
     """Exact top ``k`` by cosine similarity: ``(query, item, similarity, rank)``.
 
-    A batch of queries that fits ``max_query_bytes`` is shipped to the tasks and
+    A batch of at most ``max_queries`` queries is shipped to the tasks and
     multiplied with each Arrow batch of vectors, so the vectors are not shuffled and
     only ``k`` rows per query and batch leave a task. A larger batch is cut into
     query slices that meet blocks of vectors in an equi-join on the block.
     """
     wanted = queries.select(F.col(query).cast("bigint").alias(query), F.col(query_vector).alias("_q"))
-    width = wanted.select(F.size("_q").alias("n")).limit(1).collect()
-    dimensions = width[0]["n"] if width else 1
-    most = max(1, max_query_bytes // (8 * max(dimensions, 1)))
-    sample = wanted.limit(most + 1).toArrow()
-    if sample.num_rows <= most:
-        ids = sample.column(0).to_pylist()
-        matrix = _unit(_matrix(sample.column(1)))
+    batch = wanted.limit(max_queries + 1).toArrow()
+    if batch.num_rows <= max_queries:
+        ids = batch.column(0).to_pylist()
+        matrix = _unit(_matrix(batch.column(1)))
         schema = f"{query} bigint, {item} {dict(vectors.dtypes)[item]}, similarity double"
         hits = vectors.select(item, vector).mapInArrow(_scorer(ids, matrix, k, query, item), schema)
     else:

@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidewatch.functions.scalar import count_where, exact_round, safe_ratio, seconds_between, since, time_bucket
-from tidewatch.operators.ordering import exact_quantiles, with_rank
+from tidewatch.operators.ordering import exact_quantiles, rank_map, with_rank
 from tidewatch.operators.pairs import pair_rows, supported_items
 from tidewatch.session import materialize
 from tidewatch.schema import CLASSIFICATIONS, HIGH_TIERS, ordinal
@@ -34,14 +34,13 @@ def source_dashboard(
             (F.avg(resolution) / 3600).alias("avg_resolution"),
         )
     )
-    stats = sources.filter("is_active").join(per_source, "source_id")
+    stats = materialize(sources.filter("is_active").join(per_source, "source_id"), "source-stats")
     order = [F.desc("total_events"), F.asc("source_id")]
     top = stats.orderBy(*order).limit(limit)
     # Rows above a top-k row in the sort are in the top k too, so its own rank needs no other rows.
     top = top.withColumn("volume_rank", F.rank().over(W.orderBy(F.desc("total_events"))).cast("bigint"))
-    severity = with_rank(stats.select("source_id", "critical_count"), "critical_count", "criticality_rank")
     return (
-        top.join(severity.select("source_id", "criticality_rank"), "source_id")
+        top.join(rank_map(stats, "critical_count", "criticality_rank", few=True), "critical_count")
         .orderBy(*order)
         .select(
             "source_name", "source_type", "reliability", "total_events", "critical_count", "high_count",
@@ -261,12 +260,13 @@ def analyst_throughput(
         count_where(F.col("status") == "ACTIONED").alias("actioned_count"),
         F.avg("secs").alias("avg_secs"),
     )
+    counted = materialize(counted, "analyst-counts")
     median = exact_quantiles(recent, ["assigned_analyst"], "secs", {"median_secs": 0.5})
     stats = analysts.join(counted, analysts.analyst_id == F.col("assigned_analyst")).join(
         median, "assigned_analyst", "left"
     )
     return (
-        with_rank(stats, "events_reviewed_30d", "throughput_rank")
+        with_rank(stats, "events_reviewed_30d", "throughput_rank", few=True)
         .select(
             "analyst_id", "username", "clearance_level", "events_reviewed_30d", "critical_events",
             "actioned_count",

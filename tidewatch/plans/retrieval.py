@@ -68,13 +68,14 @@ def bm25_index(corpus: DataFrame, *, key: str, text: str, epsilon: float = EPSIL
     The postings are stored once: every later step reads them, none tokenises again.
     """
     tokenised = corpus.select(key, X.tokens(F.col(text)).alias("_tokens"))
-    length = F.size("_tokens").cast("bigint")
+    # The length is a column of its own before the explode, or every term row would carry the whole array.
+    tokenised = tokenised.select(key, F.size("_tokens").cast("bigint").alias("doc_len"), "_tokens")
     postings = (
-        tokenised.select(key, length.alias("doc_len"), F.explode("_tokens").alias("term"))
+        tokenised.select(key, "doc_len", F.explode("_tokens").alias("term"))
         .groupBy(key, "doc_len", "term").agg(F.count(F.lit(1)).alias("tf"))
     )
     postings = materialize(postings, "postings")
-    stats = tokenised.agg(F.count(F.lit(1)).alias("documents"), F.avg(length).alias("mean_len"))
+    stats = tokenised.agg(F.count(F.lit(1)).alias("documents"), F.avg("doc_len").alias("mean_len"))
     size = stats.select("documents").scalar()
     idf = F.ln(size - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5)
     frequency = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))

@@ -30,7 +30,7 @@ def win_rank(spark, d):
 SELECT o_custkey, count(*) AS n, rank() OVER (ORDER BY count(*) DESC) AS volume_rank FROM orders GROUP BY 1""")
 def win_rank_over_agg(spark, d):
     counted = V.load(spark, d, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))
-    return with_rank(counted, "n", "volume_rank")
+    return with_rank(counted, "n", "volume_rank", few=True)
 
 
 @query("win_row_number", "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS rn FROM orders")
