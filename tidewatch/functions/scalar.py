@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def exact_round(value: Column, digits: int) -> Column:
@@ -49,3 +49,14 @@ def l2_norm(a: Column) -> Column:
 
 def cosine_similarity(a: Column, b: Column) -> Column:
     return dot(a, b) / F.nullif(l2_norm(a) * l2_norm(b), F.lit(0.0))
+
+
+def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
+    """Add columns that later filters and projections read but never recompute.
+
+    The optimizer copies an ordinary projected expression into every filter and
+    explode above it; the output of a generator is a barrier to that, which matters
+    for regexes and token arrays.
+    """
+    row = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return df.select("*", F.inline(F.array(row)))

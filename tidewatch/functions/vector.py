@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewatch.functions import text as X
+from tidewatch.functions.scalar import computed_once
 
 DIMENSIONS = 64
 
@@ -20,7 +21,8 @@ def hashed_embedding(df: DataFrame, key: str, text: str, dimensions: int = DIMEN
     The counts are grouped by (key, slot), so a very long text is only ever
     held as its ``dimensions`` numbers.
     """
-    slots = df.select(key, F.explode(X.tokens(F.col(text))).alias("_word")).groupBy(
+    tokenised = computed_once(df.select(key, text), _tokens=X.tokens(F.col(text)))
+    slots = tokenised.select(key, F.explode("_tokens").alias("_word")).groupBy(
         key, word_slot(F.col("_word"), dimensions).alias("_slot")
     ).agg(F.count(F.lit(1)).alias("_n"))
     sparse = slots.groupBy(key).agg(

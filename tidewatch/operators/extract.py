@@ -8,17 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewatch.functions import text as X
-from tidewatch.functions.scalar import time_bucket
-
-
-def computed_once(df: DataFrame, **columns: Column) -> DataFrame:
-    """Add columns that later filters and projections read but never recompute.
-
-    The optimizer copies an ordinary projected expression into every filter above
-    it; the output of a generator is a barrier to that, which matters for regexes.
-    """
-    row = F.struct(*[c.alias(name) for name, c in columns.items()])
-    return df.select("*", F.inline(F.array(row)))
+from tidewatch.functions.scalar import computed_once, time_bucket
 
 
 @dataclass(frozen=True)

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidewatch.functions import text as X
-from tidewatch.functions.scalar import exact_round
+from tidewatch.functions.scalar import computed_once, exact_round
 from tidewatch.functions.vector import hashed_embedding
 from tidewatch.operators.ingest import first_per_key
 from tidewatch.operators.vectors import vector_topk
@@ -31,7 +31,7 @@ def chunk_documents(
     The index counts the chunks that are long enough to keep.
     """
     step = size - overlap
-    split = documents.select(key, X.words(F.col(text)).alias("_w"))
+    split = computed_once(documents.select(key, text), _w=X.words(F.col(text))).select(key, "_w")
     starts = F.when(F.size("_w") > 0, F.sequence(F.lit(0), F.size("_w") - 1, F.lit(step)))
     windows = F.transform(starts, lambda s: F.array_join(F.slice(F.col("_w"), s + 1, F.lit(size)), " "))
     kept = F.filter(windows, lambda c: F.length(c) > shortest)
@@ -67,7 +67,7 @@ def bm25_index(corpus: DataFrame, *, key: str, text: str, epsilon: float = EPSIL
     The length travels with each posting, so scoring needs no join on documents.
     The postings are stored once: every later step reads them, none tokenises again.
     """
-    tokenised = corpus.select(key, X.tokens(F.col(text)).alias("_tokens"))
+    tokenised = computed_once(corpus.select(key, text), _tokens=X.tokens(F.col(text)))
     # The length is a column of its own before the explode, or every term row would carry the whole array.
     tokenised = tokenised.select(key, F.size("_tokens").cast("bigint").alias("doc_len"), "_tokens")
     postings = (
