@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import Window as W, functions as F
 
 from tidewatch.operators import filters as FL, ingest as I, ordering as O, quality as Q, vectors as VEC
-from tidewatch.operators.pairs import pair_rows, supported_items
+from tidewatch.operators.pairs import pair_rows, top_pairs
 from tidewatch.operators.windows import blocked_window, budget_prefix
 
 
@@ -83,10 +83,29 @@ def test_pairs_of_a_hot_group(spark, block):
     assert got == want
 
 
-def test_support_pruning_keeps_supported_pairs(spark):
-    rows = [("e1", "a", "s1"), ("e2", "a", "s2"), ("e1", "b", "s1"), ("e2", "b", "s2"), ("e1", "c", "s1"), ("e3", "c", "s1")]
-    df = spark.createDataFrame(rows, "g string, i string, s string")
-    assert {r.i for r in supported_items(df, "i", "s", 2).collect()} == {"a", "b"}
+@pytest.mark.parametrize("limit,seeds", [(1, 3), (5, 4), (1000, 8)])
+def test_top_pairs_with_a_hot_group_of_loners(spark, limit, seeds):
+    rng = random.Random(5)
+    groups = {f"g{n}": rng.sample([f"i{k:02d}" for k in range(30)], 5) for n in range(60)}
+    groups["hot"] = [f"loner{n:03d}" for n in range(200)] + ["i01", "i02", "i03"]
+    edges = [(g, i) for g, items in groups.items() for i in items]
+    df = spark.createDataFrame(edges, "g string, i string")
+    seen = []
+
+    def stats(part):
+        seen.append(part)
+        return pair_rows(part, "g", "i", []).groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("n"))
+
+    out = top_pairs(df, "i", {"n": F.count(F.lit(1))}, stats, limit, {"n": 2}, seeds)
+    got = [(r.n, r.item_a, r.item_b) for r in out.orderBy(F.desc("n"), "item_a", "item_b").limit(limit).collect()]
+    count = {}
+    for items in groups.values():
+        for p in itertools.combinations(sorted(items), 2):
+            count[p] = count.get(p, 0) + 1
+    want = sorted(((n, *p) for p, n in count.items() if n >= 2), key=lambda r: (-r[0], r[1:]))[:limit]
+    assert got == want
+    # No loner takes part in any pair.
+    assert seen[-1].filter("i LIKE 'loner%'").count() == 0
 
 
 @pytest.mark.parametrize("block_rows", [30, 64, 1000])

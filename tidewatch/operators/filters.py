@@ -107,6 +107,11 @@ def visible_counts(events: DataFrame, analysts: DataFrame, vocabulary: Sequence[
     )
 
 
+def alias_lookup(aliases: DataFrame, alias: str, keys: Sequence[str] = ("name", "entity_type")) -> DataFrame:
+    """Entities that carry an alias, from one row per alias; no alias list is built."""
+    return aliases.filter(F.col("alias") == alias).select(*keys).distinct()
+
+
 def open_events() -> Column:
     return F.col("status") != "CLOSED"
 

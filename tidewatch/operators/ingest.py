@@ -65,10 +65,19 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str | Colu
 def fingerprint_dedup(raw: DataFrame, *, order: Sequence[str], existing: DataFrame | None = None) -> DataFrame:
     """Exact content de-duplication by SHA-256 over source and text."""
     marked = raw.withColumn("fingerprint", X.fingerprint(F.col("source_id"), F.col("raw_text")))
-    unique = first_per_key(marked, ["fingerprint"], order)
-    if existing is not None:
-        unique = unique.join(existing.select("fingerprint"), "fingerprint", "left_anti")
-    return unique
+    return without_stored(first_per_key(marked, ["fingerprint"], order), existing, "fingerprint")
+
+
+def without_stored(batch: DataFrame, stored: DataFrame | None, key: str) -> DataFrame:
+    """Batch rows whose key is not stored.
+
+    The store is reduced to the keys of the batch first: a small batch is broadcast
+    to the scan of the store's key column, and the store itself is never shuffled.
+    """
+    if stored is None:
+        return batch
+    seen = stored.select(key).join(batch.select(key), key, "left_semi")
+    return batch.join(seen, key, "left_anti")
 
 
 def upsert_aliases(existing: DataFrame, incoming: DataFrame, *, distinct: bool = False) -> DataFrame:

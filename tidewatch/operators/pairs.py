@@ -2,25 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable, Mapping
 
-BLOCK = 512
-
-
-def supported_items(edges: DataFrame, item: str, support: str, minimum: int) -> DataFrame:
-    """Drop items seen with fewer than ``minimum`` distinct ``support`` values.
+from pyspark.sql import Column, DataFrame, functions as F
 
-    A pair can never have more support than either member, so the result of a
-    pair query with that threshold is unchanged.
-    """
-    if minimum <= 1:
-        return edges
-    kept = (
-        edges.select(item, support).distinct()
-        .groupBy(item).agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") >= minimum).select(item)
-    )
-    return edges.join(kept, item, "left_semi")
+BLOCK = 512
+SEEDS = 64
 
 
 def pair_rows(edges: DataFrame, group: str, item: str, payload: list[str], block: int = BLOCK) -> DataFrame:
@@ -48,3 +35,34 @@ def pair_rows(edges: DataFrame, group: str, item: str, payload: list[str], block
         .filter((F.col("item_a") < F.col("item_b")) & ~own_cell)
         .select(group, *payload, "item_a", "item_b")
     )
+
+
+def top_pairs(
+    edges: DataFrame,
+    item: str,
+    bounds: Mapping[str, Column],
+    stats: Callable[[DataFrame], DataFrame],
+    limit: int,
+    minimum: Mapping[str, int],
+    seeds: int = SEEDS,
+) -> DataFrame:
+    """Pair statistics that hold at least the best ``limit`` pairs by the ``bounds`` columns.
+
+    ``bounds`` are aggregates over the edges of one item that no pair with this
+    item can exceed in the column of that name of ``stats``. First the pairs of
+    the ``seeds`` strongest items alone are counted, at most ``seeds`` per group;
+    their ``limit``-th best pair is a floor. An item whose own bounds are below the
+    floor, or below ``minimum``, cannot be in the answer and forms no pairs: a huge
+    group of items that occur nowhere else costs nothing.
+    """
+    order = [F.desc(name) for name in bounds]
+    score = F.struct(*bounds)
+    enough = F.lit(True)
+    for name, least in minimum.items():
+        enough = enough & (F.col(name) >= least)
+    potential = edges.groupBy(item).agg(*[c.alias(name) for name, c in bounds.items()]).filter(enough)
+    strongest = potential.orderBy(*order, item).limit(seeds).select(item)
+    best = stats(edges.join(strongest, item, "left_semi")).filter(enough).orderBy(*order).limit(limit)
+    floor = best.agg(F.when(F.count(F.lit(1)) == limit, F.min(score))).scalar()
+    contenders = potential.filter(F.coalesce(score >= floor, F.lit(True))).select(item)
+    return stats(edges.join(contenders, item, "left_semi")).filter(enough)

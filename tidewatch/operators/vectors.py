@@ -42,16 +42,31 @@ def _cosines(vectors: np.ndarray, unit_queries: np.ndarray) -> np.ndarray:
 
 
 def _scorer(query_ids: list, query_matrix: np.ndarray, k: int, query: str, item: str) -> Callable:
+    """Scores Arrow batches and keeps the best ``k`` per query of the whole task."""
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[tuple[np.ndarray, np.ndarray]] | None = None
         for batch in batches:
+            if not len(batch):
+                continue
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            similarity = _cosines(_matrix(batch.column(1)), query_matrix) if len(ids) else None
-            for q in range(len(query_ids) if len(ids) else 0):
+            similarity = _cosines(_matrix(batch.column(1)), query_matrix)
+            kept = kept or [(ids[:0], similarity[:0, 0])] * len(query_ids)
+            for q, (old_ids, old_scores) in enumerate(kept):
                 best = _best(similarity[:, q], ids, k)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([query_ids[q]] * len(best), pa.int64()), pa.array(ids[best]), pa.array(similarity[best, q])],
-                    names=[query, item, "similarity"],
-                )
+                both_ids = np.concatenate([old_ids, ids[best]])
+                both_scores = np.concatenate([old_scores, similarity[best, q]])
+                top = _best(both_scores, both_ids, k)
+                kept[q] = both_ids[top], both_scores[top]
+        if kept:
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.repeat(query_ids, [len(i) for i, _ in kept]), pa.int64()),
+                    pa.array(np.concatenate([i for i, _ in kept])),
+                    pa.array(np.concatenate([s for _, s in kept])),
+                ],
+                names=[query, item, "similarity"],
+            )
 
     return score
 
@@ -64,12 +79,14 @@ def vector_topk(
 
     A batch of at most ``max_queries`` queries is shipped to the tasks and
     multiplied with each Arrow batch of vectors, so the vectors are not shuffled and
-    only ``k`` rows per query and batch leave a task. A larger batch is cut into
+    only ``k`` rows per query leave a task. A larger batch is cut into
     query slices that meet blocks of vectors in an equi-join on the block.
     """
     wanted = queries.select(F.col(query).cast("bigint").alias(query), F.col(query_vector).alias("_q"))
     batch = wanted.limit(max_queries + 1).toArrow()
-    if batch.num_rows <= max_queries:
+    if batch.num_rows == 0:
+        hits = vectors.limit(0).select(F.lit(0).cast("bigint").alias(query), item, F.lit(0.0).alias("similarity"))
+    elif batch.num_rows <= max_queries:
         ids = batch.column(0).to_pylist()
         matrix = _unit(_matrix(batch.column(1)))
         schema = f"{query} bigint, {item} {dict(vectors.dtypes)[item]}, similarity double"

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidewatch.functions.scalar import count_where, exact_round, safe_ratio, seconds_between, since, time_bucket
 from tidewatch.operators.ordering import exact_quantiles, rank_map, with_rank
-from tidewatch.operators.pairs import pair_rows, supported_items
+from tidewatch.operators.pairs import pair_rows, top_pairs
 from tidewatch.session import materialize
 from tidewatch.schema import CLASSIFICATIONS, HIGH_TIERS, ordinal
 
@@ -126,23 +126,25 @@ def entity_correlation(
     recent = events.filter(since(F.col("occurred_at"), as_of, lookback)).select(
         *{*event_keys, "event_id", "occurred_at", "source_id", "threat_tier"}
     )
-    linked = materialize(_linked(event_entities, recent, event_keys), "edges")
-    edges = supported_items(linked, "entity_id", "source_id", min_sources)
-    rows = pair_rows(edges, "event_id", "entity_id", ["occurred_at", "source_id", "threat_tier"])
-    per_source = rows.groupBy("item_a", "item_b", "source_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        count_where(F.col("threat_tier").isin(*HIGH_TIERS)).alias("high"),
-        F.max("occurred_at").alias("latest"),
-    )
-    top = (
-        per_source.groupBy("item_a", "item_b")
-        .agg(
+    edges = materialize(_linked(event_entities, recent, event_keys), "edges")
+
+    def stats(edges: DataFrame) -> DataFrame:
+        rows = pair_rows(edges, "event_id", "entity_id", ["occurred_at", "source_id", "threat_tier"])
+        per_source = rows.groupBy("item_a", "item_b", "source_id").agg(
+            F.count(F.lit(1)).alias("n"),
+            count_where(F.col("threat_tier").isin(*HIGH_TIERS)).alias("high"),
+            F.max("occurred_at").alias("latest"),
+        )
+        return per_source.groupBy("item_a", "item_b").agg(
             F.sum("n").alias("shared_events"),
             F.count(F.lit(1)).alias("corroborating_sources"),
             F.sum("high").alias("high_threat_events"),
             F.max("latest").alias("most_recent"),
         )
-        .filter(F.col("corroborating_sources") >= min_sources)
+
+    bounds = {"corroborating_sources": F.count_distinct("source_id"), "shared_events": F.count(F.lit(1))}
+    top = (
+        top_pairs(edges, "entity_id", bounds, stats, limit, {"corroborating_sources": min_sources})
         .orderBy(F.desc("corroborating_sources"), F.desc("shared_events"), "item_a", "item_b")
         .limit(limit)
     )
@@ -292,25 +294,26 @@ def entity_network(
     """Pairs by shared events with the Jaccard similarity of their *names*.
 
     A name may carry several types, so union and intersection are counted per
-    name; only names of pairs that can reach the top ``limit`` are looked at.
+    name; only names of pairs that can reach the top ``limit`` are looked at, and
+    their events need no pairs beyond those names.
     """
     recent = events.filter(since(F.col("occurred_at"), as_of, lookback) & F.col("threat_tier").isin(*tiers)).select(
         "event_id", "occurred_at", "int_type", "threat_tier"
     )
     linked = materialize(_linked(event_entities, recent, ["event_id"]), "edges")
-    edges = supported_items(linked, "entity_id", "event_id", min_shared)
-    shared = (
-        pair_rows(edges, "event_id", "entity_id", ["occurred_at", "int_type", "threat_tier"])
-        .groupBy("item_a", "item_b")
-        .agg(
+
+    def stats(edges: DataFrame) -> DataFrame:
+        rows = pair_rows(edges, "event_id", "entity_id", ["occurred_at", "int_type", "threat_tier"])
+        return rows.groupBy("item_a", "item_b").agg(
             F.count(F.lit(1)).alias("shared_events"),
             F.min("occurred_at").alias("first_seen"),
             F.max("occurred_at").alias("last_seen"),
             F.sort_array(F.collect_set("int_type")).alias("source_types"),
             F.sort_array(F.collect_set("threat_tier")).alias("threat_tiers"),
         )
-        .filter(F.col("shared_events") >= min_shared)
-    )
+
+    bounds = {"shared_events": F.count(F.lit(1))}
+    shared = top_pairs(linked, "entity_id", bounds, stats, limit, {"shared_events": min_shared})
     shared = materialize(shared, "pairs")
     floor = shared.select("shared_events").orderBy(F.desc("shared_events")).limit(limit)
     floor = floor.agg(F.min("shared_events")).scalar()

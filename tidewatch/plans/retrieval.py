@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from tidewatch.functions import text as X
 from tidewatch.functions.scalar import computed_once, exact_round
 from tidewatch.functions.vector import hashed_embedding
-from tidewatch.operators.ingest import first_per_key
+from tidewatch.operators.ingest import first_per_key, without_stored
 from tidewatch.operators.vectors import vector_topk
 from tidewatch.operators.windows import budget_prefix
 from tidewatch.session import materialize
@@ -41,10 +41,7 @@ def chunk_documents(
 def chunk_dedup(chunks: DataFrame, *, source: str, existing: DataFrame | None = None) -> DataFrame:
     """First chunk of every content over the whole corpus, minus what is stored."""
     hashed = chunks.withColumn("content_hash", F.sha2("chunk_text", 256))
-    unique = first_per_key(hashed, ["content_hash"], [source, "chunk_index"])
-    if existing is not None:
-        unique = unique.join(existing.select("content_hash"), "content_hash", "left_anti")
-    return unique
+    return without_stored(first_per_key(hashed, ["content_hash"], [source, "chunk_index"]), existing, "content_hash")
 
 
 @dataclass(frozen=True)

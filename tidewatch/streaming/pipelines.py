@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.functions import text as X
 from tidewatch.operators.extract import normalize_signals
-from tidewatch.operators.ingest import first_per_key, validate_raw_events
+from tidewatch.operators.ingest import first_per_key, validate_raw_events, without_stored
 
 
 def write_stream(df: DataFrame, path: str, checkpoint: str, mode: str = "append", continuous: str | None = None) -> StreamingQuery:
@@ -63,9 +63,7 @@ def persist_batch(raw: DataFrame, batch_id: int, target: str, default_classifica
     good, bad = validate_raw_events(raw)
     done = normalize_signals(good, default_classification=default_classification)
     unique = first_per_key(done.accepted, ["fingerprint"], ["event_time", "raw_text"])
-    stored = _stored_fingerprints(spark, target, batch_id)
-    if stored is not None:
-        unique = unique.join(stored, "fingerprint", "left_anti")
+    unique = without_stored(unique, _stored_fingerprints(spark, target, batch_id), "fingerprint")
 
     def put(df: DataFrame, table: str) -> DataFrame:
         path = f"{target}/{table}/batch_id={batch_id}"

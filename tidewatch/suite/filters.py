@@ -143,10 +143,12 @@ SELECT p_brand AS name, p_type AS entity_type, CAST(count(DISTINCT p_name) AS IN
 GROUP BY 1, 2 HAVING list_contains(array_agg(p_name), 'large ring')""")
 def alias_lookup(spark, d):
     names = V.load(spark, d, "part").select(
-        F.col("p_brand").alias("name"), F.col("p_type").alias("entity_type"), "p_name"
-    ).distinct()
-    grouped = names.groupBy("name", "entity_type").agg(F.collect_list("p_name").alias("a"))
-    return grouped.filter(F.array_contains("a", "large ring")).select("name", "entity_type", F.size("a").alias("aliases"))
+        F.col("p_brand").alias("name"), F.col("p_type").alias("entity_type"), F.col("p_name").alias("alias")
+    )
+    found = FL.alias_lookup(names, "large ring")
+    return names.join(found, ["name", "entity_type"], "left_semi").groupBy("name", "entity_type").agg(
+        F.count_distinct("alias").cast("int").alias("aliases")
+    )
 
 
 _GRAMS = """(SELECT DISTINCT s AS s, substr('  ' || w || ' ', i, 3) AS g FROM (
