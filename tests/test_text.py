@@ -125,6 +125,13 @@ def test_monthly_layout_prunes_partitions(spark, tmp_path):
     assert out.count() == df.filter("occurred_at >= '2021-06-01' AND occurred_at < '2021-08-01'").count()
 
 
+def test_time_bounds_reach_the_scan(spark, sf_dir):
+    from tidewatch.suite import REGISTRY
+
+    plan = REGISTRY["lookback_filter"].build(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate" in plan and "o_totalprice" not in plan
+
+
 def chunks_of(text):
     words = text.split()
     out = [" ".join(words[s:s + 512]) for s in range(0, len(words), 448)]

@@ -99,7 +99,7 @@ def vector_topk(
 
 def _blocked_hits(
     vectors: DataFrame, wanted: DataFrame, item: str, query: str, vector: str, k: int,
-    rows_per_block: int = 50_000, queries_per_slice: int = 4_096,
+    rows_per_block: int = 8_192, queries_per_slice: int = 2_048,
 ) -> DataFrame:
     """Every (vector block, query slice) cell scored by one task."""
     n, m = vectors.count(), wanted.count()

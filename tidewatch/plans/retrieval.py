@@ -21,6 +21,12 @@ CHUNK_WORDS, CHUNK_OVERLAP, SHORTEST_CHUNK = 512, 64, 50
 CONTEXT_CHARS = 12_000
 EVENT_CONTEXT_CHARS = 6_000 * 4
 
+# Text layout of contexts and prompts.
+CHUNK_LABEL = "[source_%d]"
+EVENT_HEADER = "[SOURCE: %s | %s | %s | CLASSIFICATION: %s]\n"
+EVENT_SEPARATOR = "\n---\n"
+PROMPT = "Document excerpts:\n\n%s\n\nQuestion: %s\n\nSources:\n%s"
+
 
 def chunk_documents(
     documents: DataFrame, *, key: str, text: str,
@@ -187,7 +193,7 @@ def context_pack_chunks(
     hits: DataFrame, *, query: str, rank: str, text: str, source: str, budget: int = CONTEXT_CHARS
 ) -> DataFrame:
     """Context and citations per query from the ranked prefix that fits the budget."""
-    label = F.concat(F.lit("[source_"), F.col(rank).cast("string"), F.lit("]"))
+    label = F.format_string(CHUNK_LABEL, rank)
     snippets = hits.withColumn("_snippet", F.concat(label, F.lit("\n"), F.col(text), F.lit("\n"))).withColumn(
         "_citation", F.concat(label, F.lit(" "), F.col(source).cast("string"))
     )
@@ -206,14 +212,12 @@ def context_pack_chunks(
 
 def context_pack_events(hits: DataFrame, *, query: str, rank: str, budget: int = EVENT_CONTEXT_CHARS) -> DataFrame:
     """Event context: header and excerpt per hit, one newline counted between parts."""
-    header = F.concat(
-        F.lit("[SOURCE: "), "source_id", F.lit(" | "), F.upper("int_type"), F.lit(" | "),
-        F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss"), F.lit(" | CLASSIFICATION: "), "classification", F.lit("]\n"),
-    )
+    when = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss")
+    header = F.format_string(EVENT_HEADER, "source_id", F.upper("int_type"), when, "classification")
     parts = hits.withColumn("_part", F.concat(header, "excerpt", F.lit("\n")))
     packed = budget_prefix(parts, [query], rank, F.length("_part") + 1, budget + 1)
     kept = packed.groupBy(query).agg(
-        _joined("_part", rank, "\n---\n").alias("context"),
+        _joined("_part", rank, EVENT_SEPARATOR).alias("context"),
         F.avg("rrf_score").alias("confidence"),
         F.count(F.lit(1)).alias("cited"),
     )
@@ -226,9 +230,7 @@ def context_pack_events(hits: DataFrame, *, query: str, rank: str, budget: int =
 
 def prompt_batch(contexts: DataFrame, questions: DataFrame, *, query: str, question: str) -> DataFrame:
     """Prompt text per question for documents; generating the answer is not part of the library."""
-    prompt = F.concat(
-        F.lit("Document excerpts:\n\n"), "context", F.lit("\n\nQuestion: "), question, F.lit("\n\nSources:\n"), "citations"
-    )
+    prompt = F.format_string(PROMPT, "context", question, "citations")
     return contexts.join(questions.select(query, question), query).select(query, prompt.alias("prompt"))
 
 

@@ -22,7 +22,7 @@ def signal_messages(spark: SparkSession, d: str) -> DataFrame:
         F.lit(" at "), (key % 90).cast("string"), F.lit(".5"), F.when(key % 2 == 0, "N").otherwise("S"), F.lit(", "),
         (key % 180).cast("string"), F.lit(".25"), F.when(key % 3 == 0, "E").otherwise("W"),
     )
-    return V.load(spark, d, "events").select(
+    return V.load_text(spark, d, "events").select(
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("source_id"),
         F.concat(marker, activity, F.lit(" "), key.cast("string"), F.when(kind == "signup", "").otherwise(position), F.lit(" "), dtg, F.lit("  ")).alias("raw_text"),
         F.col("ts").alias("received_at"),
@@ -93,7 +93,7 @@ def report_texts(spark: SparkSession, d: str) -> DataFrame:
     where = F.when(kind == "click", "on the Port Quarter ").otherwise("")
     speed = F.when(kind == "purchase", F.concat(F.lit(" at "), F.floor(F.col("value") % 40).cast("string"), F.lit(" knots"))).otherwise("")
     text = F.concat(clock, ship, where, F.lit("at "), (F.col("event_id") % 30).cast("string"), F.lit(".5NM"), speed, F.lit("."))
-    return V.load(spark, d, "events").select(
+    return V.load_text(spark, d, "events").select(
         F.when(kind == "view", F.concat(F.lit("Note "), text)).otherwise(F.concat(number, text)).alias("line")
     )
 

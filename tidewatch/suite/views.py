@@ -21,7 +21,7 @@ def as_of() -> Column:
 
 
 # Tables whose rows are expensive to process, with their key.
-TEXT_KEYS = {"documents": ["doc_id"], "pages": ["page_id"], "conversations": ["conv_id", "turn"]}
+TEXT_KEYS = {"documents": ["doc_id"], "pages": ["page_id"], "conversations": ["conv_id", "turn"], "events": ["event_id"]}
 
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -29,7 +29,7 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def load_text(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A text table, spread over the cores when it comes as one small file."""
+    """A table for row-by-row text work, spread over the cores when it comes as one small file."""
     return spread(load(spark, sf_dir, table), *TEXT_KEYS[table])
 
 
