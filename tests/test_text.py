@@ -175,7 +175,7 @@ def test_bm25_and_keyword_search(spark):
     assert got.keys() == want.keys()
     for key, score in want.items():
         assert got[key] == pytest.approx(score)
-    found = R.keyword_search(docs, asked, key="id", text="t", query="q", query_text="question").collect()
+    found = R.keyword_search(index, asked, key="id", query="q", text="question").collect()
     assert sorted((r.q, r.id) for r in found) == [(0, 0), (1, 1), (1, 4)]
 
 

@@ -16,15 +16,21 @@ def word_slot(word: Column, dimensions: int = DIMENSIONS) -> Column:
 
 
 def hashed_embedding(df: DataFrame, key: str, text: str, dimensions: int = DIMENSIONS, out: str = "embedding") -> DataFrame:
-    """``(key, embedding)``: unit-length hashed term counts, an all-zero vector for blank text.
+    """``(key, embedding)``: unit-length hashed term counts, an all-zero vector for blank text."""
+    tokenised = computed_once(df.select(key, text), _tokens=X.tokens(F.col(text)))
+    words = tokenised.select(key, F.explode("_tokens").alias("term"), F.lit(1).alias("tf"))
+    return embedding_of_postings(words, df, key, dimensions, out)
+
+
+def embedding_of_postings(
+    postings: DataFrame, documents: DataFrame, key: str, dimensions: int = DIMENSIONS, out: str = "embedding"
+) -> DataFrame:
+    """The same vectors from ``(key, term, tf)`` rows, so indexed texts are not tokenised again.
 
     The counts are grouped by (key, slot), so a very long text is only ever
     held as its ``dimensions`` numbers.
     """
-    tokenised = computed_once(df.select(key, text), _tokens=X.tokens(F.col(text)))
-    slots = tokenised.select(key, F.explode("_tokens").alias("_word")).groupBy(
-        key, word_slot(F.col("_word"), dimensions).alias("_slot")
-    ).agg(F.count(F.lit(1)).alias("_n"))
+    slots = postings.groupBy(key, word_slot(F.col("term"), dimensions).alias("_slot")).agg(F.sum("tf").alias("_n"))
     sparse = slots.groupBy(key).agg(
         F.map_from_entries(F.collect_list(F.struct("_slot", "_n"))).alias("_counts"),
         F.sqrt(F.sum(F.col("_n") * F.col("_n"))).alias("_norm"),
@@ -33,4 +39,4 @@ def hashed_embedding(df: DataFrame, key: str, text: str, dimensions: int = DIMEN
         F.sequence(F.lit(0), F.lit(dimensions - 1)),
         lambda i: F.coalesce(F.try_element_at("_counts", i) / F.col("_norm"), F.lit(0.0)),
     )
-    return df.select(key).join(sparse, key, "left").select(key, dense.alias(out))
+    return documents.select(key).join(sparse, key, "left").select(key, dense.alias(out))

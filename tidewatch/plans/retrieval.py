@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidewatch.functions import text as X
 from tidewatch.functions.scalar import computed_once, exact_round
-from tidewatch.functions.vector import hashed_embedding
+from tidewatch.functions.vector import embedding_of_postings, hashed_embedding
 from tidewatch.operators.ingest import first_per_key, without_stored
 from tidewatch.operators.vectors import vector_topk
 from tidewatch.operators.windows import budget_prefix
@@ -141,11 +141,10 @@ def bm25_topk(index: Bm25Index, queries: DataFrame, *, key: str, query: str, tex
 
 
 def keyword_search(
-    corpus: DataFrame, queries: DataFrame, *, key: str, text: str, query: str, query_text: str, k: int = 100
+    index: Bm25Index, queries: DataFrame, *, key: str, query: str, text: str, k: int = 100
 ) -> DataFrame:
     """Documents that hold every term of the query, ranked by BM25."""
-    index = bm25_index(corpus, key=key, text=text)
-    scores = bm25_scores(index, queries, key=key, query=query, text=query_text, match_all=True)
+    scores = bm25_scores(index, queries, key=key, query=query, text=text, match_all=True)
     return ranked(scores, key=key, query=query, k=k).select(query, key, "score", "rank")
 
 
@@ -169,18 +168,16 @@ def hybrid_search(
     """Vector and keyword lists of ``depth``, fused to ``top_k`` hits per query.
 
     ``vectors`` / ``query_vectors`` are ``(key, embedding)``; without them the
-    hashed stand-in embedding is computed.
+    hashed stand-in embedding is computed, for the corpus from its postings.
     """
+    index = bm25_index(corpus, key=key, text=text)
     if vectors is None:
-        vectors = hashed_embedding(corpus, key, text)
+        vectors = embedding_of_postings(index.postings, corpus, key)
     if query_vectors is None:
         query_vectors = hashed_embedding(queries, query, query_text)
     near = vector_topk(vectors, query_vectors, item=key, query=query, k=depth)
-    if match_all:
-        words = keyword_search(corpus, queries, key=key, text=text, query=query, query_text=query_text, k=depth)
-    else:
-        index = bm25_index(corpus, key=key, text=text)
-        words = bm25_topk(index, queries, key=key, query=query, text=query_text, k=depth)
+    search = keyword_search if match_all else bm25_topk
+    words = search(index, queries, key=key, query=query, text=query_text, k=depth)
     return rrf_fuse(near, words, key=key, query=query, k=top_k)
 
 

@@ -176,9 +176,8 @@ WITH {sql_bm25('documents', 'doc_id', 'text')}
 SELECT query_id, k AS doc_id, {rnd('score', 6)} AS score, CAST(rank AS INTEGER) AS rank
 FROM ({sql_ranked('scores', 100, SQL_ALL_TERMS)})""")
 def keyword_search(spark, d):
-    hits = R.keyword_search(
-        corpus(spark, d), questions(spark, d), key="doc_id", text="text", query="query_id", query_text="question"
-    )
+    index = R.bm25_index(corpus(spark, d), key="doc_id", text="text")
+    hits = R.keyword_search(index, questions(spark, d), key="doc_id", query="query_id", text="question")
     return hits.withColumn("score", exact_round(F.col("score"), 6))
 
 
