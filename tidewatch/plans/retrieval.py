@@ -78,8 +78,10 @@ def bm25_index(corpus: DataFrame, *, key: str, text: str, epsilon: float = EPSIL
         .groupBy(key, "doc_len", "term").agg(F.count(F.lit(1)).alias("tf"))
     )
     postings = materialize(postings, "postings")
-    stats = tokenised.agg(F.count(F.lit(1)).alias("documents"), F.avg("doc_len").alias("mean_len"))
-    size = stats.select("documents").scalar()
+    size = corpus.agg(F.count(F.lit(1))).scalar()
+    stats = postings.agg(F.sum("tf").alias("_tokens")).select(
+        size.alias("documents"), (F.col("_tokens") / size).alias("mean_len")
+    )
     idf = F.ln(size - F.col("df") + 0.5) - F.ln(F.col("df") + 0.5)
     frequency = postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     frequency = materialize(frequency, "frequency")
