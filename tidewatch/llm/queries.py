@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import langid, quality, sharding, urls
+from tidewatch.llm import langid, packing, quality, sharding, simhash, urls
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +36,13 @@ def op1_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size("mixture").alias("n_langs"))
 
 
+@_register("op4_simhash_anchors")
+def op4_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.as_hex(F.col("f")).alias("fingerprint"), "component_id")
+
+
 SHARDS = 8
 
 
@@ -46,6 +53,12 @@ def op5_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+@_register("op8_best_fit_packing")
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a sequence."""
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 _QUALITY_SQL = rf"""
