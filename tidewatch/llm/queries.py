@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import langid, packing, quality, sharding, simhash, urls
+from tidewatch.llm import chat, langid, packing, quality, sharding, simhash, urls, warc
+from tidewatch.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -36,6 +37,26 @@ def op1_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size("mixture").alias("n_langs"))
 
 
+_WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY body) AS first FROM p)
+SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes, sha256(body) AS payload_digest,
+  CASE WHEN strlen(body) >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN strlen(body) >= 100 AND page_id <> first THEN first END AS refers_to
+FROM f
+"""
+
+
+@_register("op3_salvage_archives", _WARC_SQL)
+def op3_salvage_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, written to archives and read back from them."""
+    path = work_dir(spark, "archives")
+    warc.write_archives(table(spark, sf_dir, "pages"), path)
+    found = warc.read_archives(spark, path, with_payload=False).where("record_type IS NOT NULL")
+    return found.select(F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+                        F.col("refers_to").cast("long").alias("refers_to"))
+
+
 @_register("op4_simhash_anchors")
 def op4_simhash_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
@@ -53,6 +74,33 @@ def op5_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+_CONTROL = r"(<)(\\*)(\|im_start\|>|\|im_end\|>|\|endoftext\|>|s>|/s>|<SYS>>|</SYS>>)|(\[)(\\*)(INST\]|/INST\])"
+
+_CHAT_SQL = rf"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, turn, role, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(turn, role)),
+e AS (SELECT *, length(text) + len(regexp_extract_all(text, '{_CONTROL}')) AS text_chars FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length('<|im_start|>') + length(role) + 1 + text_chars + length('<|im_end|>') + 1) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+
+@_register("op7_chat_machine", _CHAT_SQL)
+def op7_chat_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one that holds control strings, formatted and read back."""
+    template = chat.Template()
+    own = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").union(own)
+    read = chat.read_back(chat.format_segments(turns, template), template)
+    return read.select(F.col("conv").cast("long").alias("conv_id"), "n_turns", "turns_sha256", "loss_chars", "loss_sha256",
+                       "formatted_chars")
+
+
 @_register("op8_best_fit_packing")
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every piece of every document with its place in a sequence."""
