@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import chat, langid, packing, quality, sharding, simhash, urls, warc
+from tidewatch.llm import chat, langid, packing, quality, sharding, simhash, syncmers, urls, warc
 from tidewatch.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +74,16 @@ def op5_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+@_register("op6_closed_syncmers")
+def op6_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text."""
+    found = syncmers.compare_with_edits(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_chars", F.sha2("edited_text", 256).alias("edited_sha256"),
+        syncmers.as_string(F.col("fingerprint")).alias("fingerprint"),
+        syncmers.as_string(F.col("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
 _CONTROL = r"(<)(\\*)(\|im_start\|>|\|im_end\|>|\|endoftext\|>|s>|/s>|<SYS>>|</SYS>>)|(\[)(\\*)(INST\]|/INST\])"
 
 _CHAT_SQL = rf"""
