@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import chat, langid, packing, quality, sharding, simhash, syncmers, urls, warc
+from tidewatch.llm import chat, langid, packing, pieces, quality, sharding, simhash, syncmers, urls, warc
 from tidewatch.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,15 @@ def op1_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.size("mixture").alias("n_langs"))
 
 
+@_register("op2_suffix_array_pieces")
+def op2_suffix_array_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again."""
+    rows = pieces.encode_documents(table(spark, sf_dir, "documents")).withColumn("n_ids", F.size("ids").cast("long"))
+    decoded = pieces.decode_documents(rows).withColumn("decoded_sha256", F.sha2("decoded", 256))
+    return decoded.select("doc_id", "n_ids", "ids_crc32", "decoded_sha256",
+                          (F.col("decoded_sha256") == F.col("text_sha256")).alias("round_trip"))
+
+
 _WARC_SQL = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
 f AS (SELECT *, min(page_id) OVER (PARTITION BY body) AS first FROM p)
