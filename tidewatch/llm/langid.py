@@ -143,8 +143,8 @@ def _pieces(text: bytes) -> Iterator[bytes]:
 
 def _score_words(model: LanguageModel, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     grams, word, of_word = word_ngrams(raw)
-    if not len(of_word):
-        return np.zeros((0, len(model.languages)), np.float32), of_word
+    if not len(of_word) or not model.languages:
+        return np.zeros((len(of_word), len(model.languages)), np.float32), of_word
     points = model.table[0].take(grams[0], axis=0, mode="clip")
     for table, bucket in zip(model.table[1:], grams[1:]):
         points += table.take(bucket, axis=0, mode="clip")

@@ -29,6 +29,7 @@ _FEED = 1 << 16
 
 # Fixed values of the format.
 _VERSION = b"WARC/1."
+_VERSION_LINE = re.compile(rb"WARC/1\.\d\r\n")
 _END = b"\r\n\r\n"
 _MAGIC = b"\x1f\x8b\x08"
 _IDENTICAL = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -153,7 +154,7 @@ def _parse(content: bytes | memoryview, at: int = 0) -> tuple[dict[str, str], by
     view = memoryview(content)
     head = bytes(view[at:at + _FEED])
     stop = head.find(_END)
-    if not head.startswith(_VERSION) or stop < 0:
+    if not _VERSION_LINE.match(head) or stop < 0:
         raise Damaged("no version line")
     headers = {}
     for line in head[:stop].split(b"\r\n")[1:]:
