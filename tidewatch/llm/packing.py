@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 from collections.abc import Iterator, Mapping
+from struct import pack as pack_ids
 from typing import NamedTuple
 from zlib import crc32
 
@@ -27,7 +28,7 @@ END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 #: Pieces of one length that are ranked together, on average over the lengths' salted groups.
 RANK_GROUP_ROWS = 20_000
-_CACHED_WORDS = 500_000
+_CACHED_WORDS = 350_000
 _CACHED_LENGTH = 64
 
 
@@ -35,18 +36,23 @@ class WordIds(dict):
     """Token ids of words as little-endian 32-bit numbers, kept within a bound.
 
     The tokenizer drops white space and never joins over it, so a text's ids
-    are those of its words one after another.
+    are those of its words one after another. When ``_CACHED_WORDS`` are known
+    they become the older generation, of which words that are met again return.
     """
 
     def __init__(self, path: str) -> None:
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.older: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        packed = np.array(ids, "<u4").tobytes()
+        packed = self.older.get(word)
+        if packed is None:
+            ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+            packed = pack_ids(f"<{len(ids)}I", *ids)
         if len(word) <= _CACHED_LENGTH:
             if len(self) >= _CACHED_WORDS:
+                self.older = dict(self)
                 self.clear()
             self[word] = packed
         return packed
