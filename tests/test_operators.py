@@ -131,12 +131,12 @@ def vectors(spark, n, seed):
     return spark.createDataFrame(rows, "id bigint, embedding array<double>"), rows
 
 
-@pytest.mark.parametrize("max_queries", [100, 1])
-def test_vector_topk_on_both_paths(spark, max_queries):
+@pytest.mark.parametrize("rows_per_block,queries_per_slice", [(4096, 512), (17, 1)])
+def test_vector_topk_over_cells(spark, rows_per_block, queries_per_slice):
     df, rows = vectors(spark, 200, 3)
     queries, asked = vectors(spark, 4, 4)
     queries = queries.withColumnRenamed("id", "q")
-    got = VEC.vector_topk(df, queries, item="id", query="q", k=5, max_queries=max_queries)
+    got = VEC.vector_topk(df, queries, item="id", query="q", k=5, rows_per_block=rows_per_block, queries_per_slice=queries_per_slice)
     hits = {}
     for r in got.orderBy("q", "rank").collect():
         hits.setdefault(r.q, []).append(r.id)

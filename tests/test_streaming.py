@@ -39,32 +39,45 @@ def test_ingest_over_batches(spark, tmp_path):
 
 
 def test_replayed_batch_is_idempotent(spark, tmp_path):
-    rows = [("a", "ALPHA moved to the north", dt.datetime(2024, 1, 1), {})] * 3
-    batch = spark.createDataFrame(rows, "source_id string, raw_text string, received_at timestamp_ntz, metadata map<string,string>")
+    rows = [("sigint", "a", "ALPHA moved to the north", dt.datetime(2024, 1, 1), {})] * 3
+    batch = spark.createDataFrame(rows, "source_type string, source_id string, raw_text string, received_at timestamp_ntz, metadata map<string,string>")
     for _ in range(2):
         P.persist_batch(batch, 0, str(tmp_path / "t"))
     assert spark.read.parquet(str(tmp_path / "t" / "events")).count() == 1
-    P.persist_batch(batch, 1, str(tmp_path / "t"))
-    assert spark.read.parquet(str(tmp_path / "t" / "events")).count() == 1
 
 
-def test_hourly_stats_equal_batch_after_the_watermark(spark, tmp_path):
-    rows = [(f"2024-01-0{d} 0{h}:30:00", "s", "HIGH", "CLOSED" if h % 2 else "INGESTED") for d in (1, 2) for h in range(6) for _ in range(h + 1)]
-    schema = "occurred_at timestamp, source_id string, threat_tier string, status string"
-    data = spark.createDataFrame(rows, "t string, source_id string, threat_tier string, status string").select(
-        F.col("t").cast("timestamp").alias("occurred_at"), "source_id", "threat_tier", "status")
-    far = spark.createDataFrame([("2030-01-01 00:00:00", "s", "LOW", "INGESTED")], "t string, source_id string, threat_tier string, status string").select(
-        F.col("t").cast("timestamp").alias("occurred_at"), "source_id", "threat_tier", "status")
-    data.union(far).coalesce(1).write.parquet(str(tmp_path / "in"))
-    events = spark.readStream.schema(schema).parquet(str(tmp_path / "in"))
-    got = P.drain(P.hourly_stats_stream(events), str(tmp_path / "out"), str(tmp_path / "ckpt"))
-    want = data.groupBy(F.date_trunc("hour", "occurred_at").alias("bucket")).agg(
+def test_hourly_stats_equal_batch_with_late_events(spark, tmp_path):
+    """Over two runs, the second with events a year late; the newest hour is there too."""
+    names = "t string, source_id string, threat_tier string, status string"
+    early = [(f"2024-01-0{d} 0{h}:30:00", "s", "HIGH", "CLOSED" if h % 2 else "INGESTED") for d in (1, 2) for h in range(6) for _ in range(h + 1)]
+    late = [("2023-01-01 00:10:00", "s", "LOW", "CLOSED"), ("2024-01-02 05:59:59", "s", "HIGH", "CLOSED")]
+    folder, out, ckpt = str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ckpt")
+    for rows in (early, late):
+        batch = spark.createDataFrame(rows, names).withColumn("occurred_at", F.col("t").cast("timestamp")).drop("t")
+        batch.coalesce(1).write.mode("append").parquet(folder)
+        events = spark.readStream.schema(batch.schema).parquet(folder)
+        P.hourly_stats_stream(events, out, ckpt).awaitTermination()
+    want = spark.read.parquet(folder).groupBy(F.date_trunc("hour", "occurred_at").alias("bucket"), "threat_tier").agg(
         F.count("*").alias("n"), F.count_if(F.col("status") == "CLOSED").alias("c"))
-    assert sorted((r.bucket, r.event_count, r.closed_count) for r in got.collect()) == sorted(map(tuple, want.collect()))
-
-
-def test_stream_dedup(spark, tmp_path):
-    land(tmp_path / "in", "a.json", [message("a", "same text here"), message("a", "same text here"), message("b", "same text here")])
-    raw = stream(spark, tmp_path / "in").withColumn("received_at", F.col("received_at").cast("timestamp"))
-    out = P.drain(P.fingerprint_stream(raw, "received_at").select("source_id"), str(tmp_path / "out"), str(tmp_path / "ckpt"))
-    assert sorted(r.source_id for r in out.collect()) == ["a", "b"]
+    got = P.hourly_stats(spark, out)
+    assert sorted((r.bucket, r.threat_tier, r.event_count, r.closed_count) for r in got.collect()) == sorted(map(tuple, want.collect()))
+
+
+def test_stream_dedup_has_no_horizon(spark, tmp_path):
+    folder, out, ckpt = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ckpt")
+    for name, source in (("a.json", "a"), ("b.json", "b"), ("c.json", "a")):
+        land(folder, name, [message(source, "same text here")] * 2)
+        got = P.drain(P.fingerprint_stream(stream(spark, folder)).select("source_id"), out, ckpt)
+    assert sorted(r.source_id for r in got.collect()) == ["a", "b"]
+
+
+def test_unknown_types_and_labels_are_refused(spark, tmp_path):
+    odd = {"source_type": "carrier_pigeon", "source_id": "p", "raw_text": "a message of some length", "metadata": {"received_at": "2024-01-01 00:00:00"}}
+    label = {**odd, "source_type": "sigint", "metadata": {**odd["metadata"], "classification": "BANANA"}}
+    land(tmp_path / "in", "a.json", [odd, label])
+    target = str(tmp_path / "t")
+    P.ingest_stream(stream(spark, tmp_path / "in"), target, str(tmp_path / "c")).awaitTermination()
+    assert spark.read.parquet(f"{target}/events").count() == 0
+    # both have one source and text, so the second is a repeat of the first
+    assert [r.reject_reason for r in spark.read.parquet(f"{target}/quarantine").collect()] in (
+        ["no adapter for this kind"], ["classification not in the vocabulary"])

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewatch.functions import text as X
 from tidewatch.functions.scalar import computed_once, time_bucket
+from tidewatch.schema import CLASSIFICATIONS
 
 
 @dataclass(frozen=True)
@@ -23,7 +24,8 @@ def normalize_signals(
 ) -> Extracted:
     """``(source_id, raw_text, received_at, metadata)`` to normalised signal events.
 
-    Without a date-time group the receive time stands in; an impossible one is a reject.
+    Without a date-time group the receive time stands in; an impossible one, or a label
+    outside the vocabulary, is a reject.
     """
     text = F.col("_text")
     parsed = computed_once(
@@ -31,10 +33,11 @@ def normalize_signals(
         _dtg=X.dtg_match(text), _position=X.position_match(text), normalized_text=X.strip_flash(text),
     )
     time = X.dtg_time(F.col("_dtg"))
-    impossible = (F.col("_dtg") != "") & time.isNull()
-    rejected = parsed.filter(impossible).select(*raw.columns, F.lit("impossible date-time group").alias("reject_reason"))
     label = F.coalesce(F.try_element_at("metadata", F.lit("classification")), F.lit(default_classification))
-    accepted = parsed.filter(~impossible).select(
+    refused = F.when((F.col("_dtg") != "") & time.isNull(), "impossible date-time group").when(
+        ~label.isin(*CLASSIFICATIONS), "classification not in the vocabulary")
+    rejected = parsed.filter(refused.isNotNull()).select(*raw.columns, refused.alias("reject_reason"))
+    accepted = parsed.filter(refused.isNull()).select(
         "source_id",
         F.coalesce(time, F.col("received_at")).alias("event_time"),
         label.alias("classification"),
@@ -154,15 +157,29 @@ def normalize_countries(docs: DataFrame) -> CountryTables:
     return CountryTables(countries, languages, currencies, borders, docs.filter(~valid))
 
 
-Adapter = Callable[[DataFrame], DataFrame]
+Adapter = Mapping[str, Column]
 
+UNKNOWN_KIND = "no adapter for this kind"
 
-def dispatch(raw: DataFrame, adapters: Mapping[str, Adapter], column: str = "source_type") -> DataFrame:
-    """Send each source type through its own adapter and unite the results by name."""
-    parts = [adapt(raw.filter(F.col(column) == kind)) for kind, adapt in adapters.items()]
-    if not parts:
+
+def dispatch(raw: DataFrame, adapters: Mapping[str, Adapter], keep: Sequence[str], column: str = "source_type") -> DataFrame:
+    """Every row of ``raw`` through the adapter of its kind: ``keep``, the adapters' columns and ``reject_reason``.
+
+    An adapter maps output columns to expressions; a column that an adapter does
+    not give is null. Rows whose kind has no adapter, or is null, come out with a
+    reason and nulls, so that none is lost. One pass over the input, whatever the number of kinds.
+    """
+    if not adapters:
         raise ValueError("no adapters given")
-    united = parts[0]
-    for part in parts[1:]:
-        united = united.unionByName(part, allowMissingColumns=True)
-    return united
+    kind = F.col(column)
+    names = list(dict.fromkeys(name for adapter in adapters.values() for name in adapter))
+
+    def chosen(name: str) -> Column:
+        given = [(k, adapter[name]) for k, adapter in adapters.items() if name in adapter]
+        out = F.when(kind == given[0][0], given[0][1])
+        for k, value in given[1:]:
+            out = out.when(kind == k, value)
+        return out.alias(name)
+
+    known = F.coalesce(kind.isin(*adapters), F.lit(False))
+    return raw.select(*keep, *map(chosen, names), F.when(~known, UNKNOWN_KIND).alias("reject_reason"))

@@ -46,10 +46,10 @@ def event_list(
 
 
 def like_search(events: DataFrame, *, vessel: str | None = None, keyword: str | None = None) -> DataFrame:
-    """Substring search; ``%`` and ``_`` in the term keep their LIKE meaning."""
+    """Substring search; ``%`` and ``_`` in the term keep their LIKE meaning, a backslash stands for itself."""
     for column, term in (("vessel", vessel), ("description", keyword)):
         if term:
-            events = events.filter(F.col(column).ilike(f"%{term}%"))
+            events = events.filter(F.col(column).ilike("%" + term.replace("\\", "\\\\") + "%"))
     return events.orderBy("sequence")
 
 

@@ -130,15 +130,23 @@ def replace_children(existing: DataFrame, incoming: DataFrame, touched: DataFram
     return kept.unionByName(first_per_key(incoming, key, order).select(*existing.columns))
 
 
-def run_log(actions: DataFrame, *, job: str, fetched: str = "fetched") -> DataFrame:
-    """One-row job record from a DataFrame with fetched/inserted/updated/skipped counters."""
+def run_log(actions: DataFrame, *, job: str, started: Column, fetched: str = "fetched", error: str | None = None) -> DataFrame:
+    """One-row job record from a DataFrame with fetched/inserted/updated/skipped counters.
+
+    The run ends when the record is made; with an ``error`` its status is ``failed``,
+    and ``partial`` where rows were skipped.
+    """
+    skipped = F.sum("skipped") > 0
     return actions.agg(
         F.lit(job).alias("job"),
         F.sum(fetched).alias("records_fetched"),
         F.sum("inserted").alias("records_inserted"),
         F.sum("updated").alias("records_updated"),
         F.sum("skipped").alias("records_skipped"),
-        F.lit("completed").alias("status"),
+        F.lit("failed").alias("status") if error else F.when(skipped, "partial").otherwise("completed").alias("status"),
+        F.lit(error).cast("string").alias("error"),
+        started.alias("started_at"),
+        F.current_timestamp().alias("finished_at"),
     )
 
 

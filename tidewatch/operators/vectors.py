@@ -2,26 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector
 
-MAX_QUERIES = 4_096
 # Similarities are rounded, so equal vectors tie exactly wherever they are scored.
 DIGITS = 9
 
 
-def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    flat = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
-    values = flat.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    return values.reshape(len(flat), -1) if len(flat) else np.zeros((0, 0))
-
-
 def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     """Positions of the k largest scores, ties by id."""
     if len(scores) > k:
@@ -29,7 +19,8 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
         keep = np.flatnonzero(scores >= floor)
     else:
         keep = np.arange(len(scores))
-    return keep[np.lexsort((ids[keep], -scores[keep]))][:k]
+    keep = keep[np.argsort(ids[keep], kind="stable")]
+    return keep[np.argsort(-scores[keep], kind="stable")][:k]
 
 
 def _unit(m: np.ndarray) -> np.ndarray:
@@ -41,76 +32,42 @@ def _cosines(vectors: np.ndarray, unit_queries: np.ndarray) -> np.ndarray:
     return np.round(_unit(vectors) @ unit_queries.T, DIGITS)
 
 
-def _scorer(query_ids: list, query_matrix: np.ndarray, k: int, query: str, item: str) -> Callable:
-    """Scores Arrow batches and keeps the best ``k`` per query of the whole task."""
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[tuple[np.ndarray, np.ndarray]] | None = None
-        for batch in batches:
-            if not len(batch):
-                continue
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            similarity = _cosines(_matrix(batch.column(1)), query_matrix)
-            kept = kept or [(ids[:0], similarity[:0, 0])] * len(query_ids)
-            for q, (old_ids, old_scores) in enumerate(kept):
-                best = _best(similarity[:, q], ids, k)
-                both_ids = np.concatenate([old_ids, ids[best]])
-                both_scores = np.concatenate([old_scores, similarity[best, q]])
-                top = _best(both_scores, both_ids, k)
-                kept[q] = both_ids[top], both_scores[top]
-        if kept:
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.repeat(query_ids, [len(i) for i, _ in kept]), pa.int64()),
-                    pa.array(np.concatenate([i for i, _ in kept])),
-                    pa.array(np.concatenate([s for _, s in kept])),
-                ],
-                names=[query, item, "similarity"],
-            )
-
-    return score
+def usable_vectors(df: DataFrame, vector: str) -> DataFrame:
+    """Rows whose vector is neither null nor empty and has no null element."""
+    return df.filter(F.col(vector).isNotNull() & (F.size(vector) > 0) & ~F.exists(vector, lambda x: x.isNull()))
+
+
+def refused_vectors(df: DataFrame, vector: str, size: int) -> DataFrame:
+    """Rows that no search over vectors of ``size`` elements can use, with the reason."""
+    v = F.col(vector)
+    reason = F.when(v.isNull(), "no vector").when(F.size(v) != size, "wrong length").when(
+        F.exists(v, lambda x: x.isNull()), "null element")
+    return df.withColumn("reject_reason", reason).filter(F.col("reject_reason").isNotNull())
 
 
 def vector_topk(
     vectors: DataFrame, queries: DataFrame, *, item: str, query: str, k: int,
-    vector: str = "embedding", query_vector: str = "embedding", max_queries: int = MAX_QUERIES,
+    vector: str = "embedding", query_vector: str = "embedding",
+    rows_per_block: int = 4_096, queries_per_slice: int = 512,
 ) -> DataFrame:
-    """Exact top ``k`` by cosine similarity: ``(query, item, similarity, rank)``.
+    """Exact top ``k`` by cosine similarity: ``(query, item, similarity, rank)``; ids of any type.
 
-    A batch of at most ``max_queries`` queries is shipped to the tasks and
-    multiplied with each Arrow batch of vectors, so the vectors are not shuffled and
-    only ``k`` rows per query leave a task. A larger batch is cut into
-    query slices that meet blocks of vectors in an equi-join on the block.
+    Hashed blocks of vectors meet hashed slices of queries; each such cell is one
+    matrix product of bounded size in a task, which hands on at most ``k`` rows
+    per query. Only vectors of a query's own length are compared with it; a null
+    vector, and one with a null element, matches nothing (:func:`refused_vectors` lists them).
     """
-    wanted = queries.select(F.col(query).cast("bigint").alias(query), F.col(query_vector).alias("_q"))
-    batch = wanted.limit(max_queries + 1).toArrow()
-    if batch.num_rows == 0:
-        hits = vectors.limit(0).select(F.lit(0).cast("bigint").alias(query), item, F.lit(0.0).alias("similarity"))
-    elif batch.num_rows <= max_queries:
-        ids = batch.column(0).to_pylist()
-        matrix = _unit(_matrix(batch.column(1)))
-        schema = f"{query} bigint, {item} {dict(vectors.dtypes)[item]}, similarity double"
-        hits = vectors.select(item, vector).mapInArrow(_scorer(ids, matrix, k, query, item), schema)
-    else:
-        hits = _blocked_hits(vectors, wanted, item, query, vector, k)
-    w = W.partitionBy(query).orderBy(F.desc("similarity"), item)
-    return hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-
-
-def _blocked_hits(
-    vectors: DataFrame, wanted: DataFrame, item: str, query: str, vector: str, k: int,
-    rows_per_block: int = 8_192, queries_per_slice: int = 2_048,
-) -> DataFrame:
-    """Every (vector block, query slice) cell scored by one task."""
-    n, m = vectors.count(), wanted.count()
+    vectors, queries = usable_vectors(vectors, vector), usable_vectors(queries, query_vector)
+    n, m = vectors.count(), queries.count()
     blocks, slices = max(1, -(-n // rows_per_block)), max(1, -(-m // queries_per_slice))
     left = vectors.select(
-        item, F.col(vector).alias("_v"), F.pmod(F.xxhash64(item), F.lit(blocks)).alias("_block"),
+        item, F.col(vector).alias("_v"), F.size(vector).alias("_size"), F.pmod(F.xxhash64(item), F.lit(blocks)).cast("int").alias("_block"),
         F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("_slice"),
     )
-    right = wanted.select(
-        query, "_q", F.pmod(F.xxhash64(query), F.lit(slices)).cast("int").alias("_slice"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))).alias("_block"),
+    right = queries.select(
+        query, F.col(query_vector).alias("_q"), F.size(query_vector).alias("_size"),
+        F.pmod(F.xxhash64(query), F.lit(slices)).cast("int").alias("_slice"),
+        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"),
     )
 
     def cell(v: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
@@ -123,26 +80,41 @@ def _blocked_hits(
                 out.append(pd.DataFrame({query: qid, item: ids[best], "similarity": scores[best, i]}))
         return pd.concat(out) if out else pd.DataFrame({query: [], item: [], "similarity": []})
 
-    schema = f"{query} bigint, {item} {dict(vectors.dtypes)[item]}, similarity double"
-    cells = ["_block", "_slice"]
-    return left.groupBy(*cells).cogroup(right.groupBy(*cells)).applyInPandas(cell, schema)
+    kinds = dict(vectors.dtypes)[item], dict(queries.dtypes)[query]
+    cells = ["_block", "_slice", "_size"]
+    hits = left.groupBy(*cells).cogroup(right.groupBy(*cells)).applyInPandas(
+        cell, f"{query} {kinds[1]}, {item} {kinds[0]}, similarity double")
+    w = W.partitionBy(query).orderBy(F.desc("similarity"), item)
+    return hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
 def vector_topk_lsh(
     vectors: DataFrame, queries: DataFrame, *, item: str, query: str, k: int,
     vector: str = "embedding", query_vector: str = "embedding",
-    bucket_length: float = 0.5, tables: int = 8, radius: float = 1.0, seed: int = 42,
+    width: float = 1.0, tables: int = 8, seed: int = 42,
 ) -> DataFrame:
     """Approximate top ``k``: only vectors that share a projection bucket are compared.
 
-    On unit vectors Euclidean order is cosine order; ``similarity = 1 - d^2 / 2``.
+    Vectors are scaled to unit length, where Euclidean order is cosine order and
+    ``similarity = 1 - d^2 / 2``; zero vectors match nothing. A bucket is ``width``
+    standard deviations of a projection wide, which for unit vectors is one over
+    the root of their length, so buckets fit the data whatever its dimension. No radius cuts
+    neighbours off.
     """
+    def unit(df: DataFrame, name: str) -> DataFrame:
+        norm = F.sqrt(F.aggregate(name, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
+        scaled = F.transform(name, lambda x: x.cast("double") / F.col("_norm"))
+        return usable_vectors(df, name).withColumn("_norm", norm).filter("_norm > 0").withColumn(name, scaled).drop("_norm")
+
+    vectors, queries = unit(vectors, vector), unit(queries, query_vector)
+    size = vectors.agg(F.avg(F.size(vector))).first()[0] or 1.0
+    bucket_length = width / size ** 0.5
     model = BucketedRandomProjectionLSH(
         inputCol="_lsh", outputCol="_hash", bucketLength=bucket_length, numHashTables=tables, seed=seed
     )
     left = vectors.select(item, array_to_vector(F.col(vector).cast("array<double>")).alias("_lsh"))
     right = queries.select(query, array_to_vector(F.col(query_vector).cast("array<double>")).alias("_lsh"))
-    near = model.fit(left).approxSimilarityJoin(left, right, radius, distCol="_d").select(
+    near = model.fit(left).approxSimilarityJoin(left, right, 2.0 + 1e-6, distCol="_d").select(
         F.col(f"datasetB.{query}").alias(query), F.col(f"datasetA.{item}").alias(item),
         (1 - F.col("_d") * F.col("_d") / 2).alias("similarity"),
     )

@@ -38,10 +38,10 @@ def blocked_window(
 def budget_prefix(df: DataFrame, keys: Sequence[str], rank: str, cost: Column, budget: int) -> DataFrame:
     """The ranked prefix of each key whose running cost stays within ``budget``.
 
-    Every row costs at least one, so rows ranked past the budget are dropped
-    before the running sum; the prefix ends at the first overflow because the
-    running cost only grows.
+    Ranks count from 1. A cost that is null or below one counts as one, so rows
+    ranked past the budget cannot fit and are dropped before the running sum;
+    the prefix ends at the first overflow because the running cost only grows.
     """
     w = W.partitionBy(*keys).orderBy(rank).rowsBetween(W.unboundedPreceding, 0)
-    priced = df.filter(F.col(rank) <= budget).withColumn("_cost", cost)
+    priced = df.filter(F.col(rank) <= budget).withColumn("_cost", F.greatest(F.coalesce(cost, F.lit(1)), F.lit(1)))
     return priced.withColumn("running_cost", F.sum("_cost").over(w)).filter(F.col("running_cost") <= budget).drop("_cost")

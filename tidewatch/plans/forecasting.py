@@ -16,6 +16,7 @@ WINDOW = 24
 LAGS = 6
 ALPHA = 1.0
 MAX_HORIZON = 96
+TOO_SHORT = "series is not longer than the window"
 FEATURES = (
     *[f"lag_{i}" for i in range(LAGS, 0, -1)],
     "w_mean", "w_std", "w_min", "w_max", "w_trend", "w_median", "w_p25", "w_p75",
@@ -32,8 +33,12 @@ def as_series(df: DataFrame, series_id: str, order: str, value: str) -> DataFram
 
 
 def short_series(series: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Series that are not longer than the window and so cannot be modelled."""
-    return series.groupBy("series_id").agg(F.count(F.lit(1)).alias("length")).filter(F.col("length") <= window)
+    """Series that are not longer than the window and so cannot be modelled, as rejects.
+
+    Together with the models of :func:`ridge_fit` they account for every series.
+    """
+    lengths = series.groupBy("series_id").agg(F.count(F.lit(1)).alias("length"))
+    return lengths.filter(F.col("length") <= window).withColumn("reject_reason", F.lit(TOO_SHORT))
 
 
 def _quantile(sorted_values: Column, p: float, n: int) -> Column:

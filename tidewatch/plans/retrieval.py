@@ -25,6 +25,8 @@ EVENT_CONTEXT_CHARS = 6_000 * 4
 CHUNK_LABEL = "[source_%d]"
 EVENT_HEADER = "[SOURCE: %s | %s | %s | CLASSIFICATION: %s]\n"
 EVENT_SEPARATOR = "\n---\n"
+EVENT_CITATION = "%s | %s | %s | %.6f | %s"
+EVENT_PROMPT = "Reported events:\n\n%s\n\nQuestion: %s\n\nCited reports:\n%s"
 PROMPT = "Document excerpts:\n\n%s\n\nQuestion: %s\n\nSources:\n%s"
 
 
@@ -189,9 +191,9 @@ def _joined(column: str, rank: str, separator: str) -> Column:
 
 
 def context_pack_chunks(
-    hits: DataFrame, *, query: str, rank: str, text: str, source: str, budget: int = CONTEXT_CHARS
+    hits: DataFrame, questions: DataFrame, *, query: str, rank: str, text: str, source: str, budget: int = CONTEXT_CHARS
 ) -> DataFrame:
-    """Context and citations per query from the ranked prefix that fits the budget."""
+    """Context and citations of every question from the ranked prefix that fits the budget; empty without hits."""
     label = F.format_string(CHUNK_LABEL, rank)
     snippets = hits.withColumn("_snippet", F.concat(label, F.lit("\n"), F.col(text), F.lit("\n"))).withColumn(
         "_citation", F.concat(label, F.lit(" "), F.col(source).cast("string"))
@@ -203,33 +205,42 @@ def context_pack_chunks(
         F.count(F.lit(1)).alias("cited"),
     )
     used = hits.groupBy(query).agg(F.count(F.lit(1)).alias("chunks_used"))
-    return used.join(parts, query, "left").select(
+    return questions.select(query).join(used, query, "left").join(parts, query, "left").select(
         query, F.coalesce("context", F.lit("")).alias("context"), F.coalesce("citations", F.lit("")).alias("citations"),
-        F.coalesce("cited", F.lit(0)).alias("cited"), "chunks_used",
+        F.coalesce("cited", F.lit(0)).alias("cited"), F.coalesce("chunks_used", F.lit(0)).alias("chunks_used"),
     )
 
 
-def context_pack_events(hits: DataFrame, *, query: str, rank: str, budget: int = EVENT_CONTEXT_CHARS) -> DataFrame:
-    """Event context: header and excerpt per hit, one newline counted between parts."""
+def context_pack_events(
+    hits: DataFrame, questions: DataFrame, *, query: str, rank: str, budget: int = EVENT_CONTEXT_CHARS
+) -> DataFrame:
+    """Event context of every question: header and excerpt per hit, one newline counted between parts.
+
+    A citation names source, time, label, score and excerpt of a hit that is in the
+    context. A question without hits has an empty context and confidence 0.
+    """
     when = F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss")
     header = F.format_string(EVENT_HEADER, "source_id", F.upper("int_type"), when, "classification")
-    parts = hits.withColumn("_part", F.concat(header, "excerpt", F.lit("\n")))
+    citation = F.format_string(EVENT_CITATION, "source_id", when, "classification", "rrf_score", "excerpt")
+    parts = hits.withColumn("_part", F.concat(header, "excerpt", F.lit("\n"))).withColumn("_citation", citation)
     packed = budget_prefix(parts, [query], rank, F.length("_part") + 1, budget + 1)
     kept = packed.groupBy(query).agg(
         _joined("_part", rank, EVENT_SEPARATOR).alias("context"),
+        _joined("_citation", rank, "\n").alias("citations"),
         F.avg("rrf_score").alias("confidence"),
         F.count(F.lit(1)).alias("cited"),
     )
     found = hits.groupBy(query).agg(F.count(F.lit(1)).alias("total_events_retrieved"))
-    return found.join(kept, query, "left").select(
-        query, F.coalesce("context", F.lit("")).alias("context"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"),
-        F.coalesce("cited", F.lit(0)).alias("cited"), "total_events_retrieved",
+    return questions.select(query).join(found, query, "left").join(kept, query, "left").select(
+        query, F.coalesce("context", F.lit("")).alias("context"), F.coalesce("citations", F.lit("")).alias("citations"),
+        F.coalesce("confidence", F.lit(0.0)).alias("confidence"), F.coalesce("cited", F.lit(0)).alias("cited"),
+        F.coalesce("total_events_retrieved", F.lit(0)).alias("total_events_retrieved"),
     )
 
 
-def prompt_batch(contexts: DataFrame, questions: DataFrame, *, query: str, question: str) -> DataFrame:
-    """Prompt text per question for documents; generating the answer is not part of the library."""
-    prompt = F.format_string(PROMPT, "context", question, "citations")
+def prompt_batch(contexts: DataFrame, questions: DataFrame, *, query: str, question: str, layout: str = PROMPT) -> DataFrame:
+    """Prompt text per question, from either kind of context; generating the answer is not part of the library."""
+    prompt = F.format_string(layout, "context", question, "citations")
     return contexts.join(questions.select(query, question), query).select(query, prompt.alias("prompt"))
 
 
@@ -250,5 +261,7 @@ def recall_summary(evaluated: DataFrame) -> DataFrame:
     )
 
 
-def retrieval_score_summary(hits: DataFrame, *, query: str, score: str = "rrf_score") -> DataFrame:
-    return hits.groupBy(query).agg(F.avg(score).alias("confidence"), F.count(F.lit(1)).alias("retrieved"))
+def retrieval_score_summary(hits: DataFrame, questions: DataFrame, *, query: str, score: str = "rrf_score") -> DataFrame:
+    """Mean score and number of hits of every question; both 0 without hits."""
+    found = hits.groupBy(query).agg(F.avg(score).alias("confidence"), F.count(F.lit(1)).alias("retrieved"))
+    return questions.select(query).join(found, query, "left").fillna({"confidence": 0.0, "retrieved": 0})

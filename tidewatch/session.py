@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -20,6 +21,8 @@ def build_session(app: str = "tidewatch", master: str | None = None, **conf: obj
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         **{k: str(v) for k, v in conf.items()},
     }
     for key, value in settings.items():
@@ -30,12 +33,13 @@ def build_session(app: str = "tidewatch", master: str | None = None, **conf: obj
 def work_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under the cluster's shared ``spark.checkpoint.dir``.
 
-    Every executor must be able to read what another wrote, so a machine-local
-    folder is only used in local mode.
+    Every executor must be able to read what another wrote, so without that
+    setting a machine-local folder is used only where driver and executors are
+    one process.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         base = os.path.join(tempfile.gettempdir(), "tidewatch-work")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
@@ -51,11 +55,3 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Use all cores for a small input that arrives in fewer partitions than there are cores.
-
-    An input with enough splits, as any large table has, is returned unchanged.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df

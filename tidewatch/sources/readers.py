@@ -59,21 +59,23 @@ def parse_messages(payload: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
-def message_files(spark: SparkSession, path: str, max_files: int = 1) -> DataFrame:
-    """Stream of JSON messages landed as text files, one message per line."""
-    return parse_messages(spark.readStream.option("maxFilesPerTrigger", max_files).text(path))
+def message_files(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
+    """Stream of JSON messages landed as text files, one message per line; a batch takes all that is there unless limited."""
+    reader = spark.readStream if max_files is None else spark.readStream.option("maxFilesPerTrigger", max_files)
+    return parse_messages(reader.text(path))
 
 
-def message_topic(spark: SparkSession, servers: str, topic: str, max_messages: int = 100, **options: str) -> DataFrame:
+def message_topic(spark: SparkSession, servers: str, topic: str, max_messages: int | None = None, **options: str) -> DataFrame:
     """The same stream from a broker, from the earliest offset (needs the Kafka connector)."""
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
-        .option("maxOffsetsPerTrigger", max_messages)
         .options(**options)
     )
+    if max_messages is not None:
+        reader = reader.option("maxOffsetsPerTrigger", max_messages)
     return parse_messages(reader.load())
 
 

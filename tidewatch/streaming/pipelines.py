@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.functions import text as X
-from tidewatch.operators.extract import normalize_signals
-from tidewatch.operators.ingest import first_per_key, validate_raw_events, without_stored
+from tidewatch.operators.extract import UNKNOWN_KIND, normalize_signals
+from tidewatch.operators.ingest import first_per_key, validate_raw_events
+from tidewatch.schema import STREAM_SOURCE_TYPES
 
 
 def write_stream(df: DataFrame, path: str, checkpoint: str, mode: str = "append", continuous: str | None = None) -> StreamingQuery:
@@ -24,35 +24,49 @@ def drain(df: DataFrame, path: str, checkpoint: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def fingerprint_stream(raw: DataFrame, time: str, delay: str = "3 days") -> DataFrame:
-    """Drop repeats of (source, text) that arrive within the watermark delay."""
-    marked = raw.withColumn("fingerprint", X.fingerprint(F.col("source_id"), F.col("raw_text")))
-    return marked.withWatermark(time, delay).dropDuplicatesWithinWatermark(["fingerprint"])
+def fingerprint_stream(raw: DataFrame) -> DataFrame:
+    """Drop every later repeat of (source, text), however late it comes.
 
+    The fingerprints are the operator's state; ``build_session`` keeps it in
+    RocksDB, on the executors' disks and in the checkpoint. A row without source or text has
+    no fingerprint and is told apart by all its columns.
+    """
+    mark = X.fingerprint(F.col("source_id"), F.col("raw_text"))
+    marked = raw.withColumn("fingerprint", F.coalesce(mark, F.concat(F.lit("row-"), F.sha2(F.to_json(F.struct(*raw.columns)), 256))))
+    return marked.dropDuplicates(["fingerprint"])
 
-def hourly_stats_stream(events: DataFrame, time: str = "occurred_at", delay: str = "3 days") -> DataFrame:
-    """Hourly counts per source and tier; a bucket is emitted once the watermark has passed it."""
-    return (
-        events.withWatermark(time, delay)
-        .groupBy(F.window(time, "1 hour").alias("_w"), "source_id", "threat_tier")
-        .agg(F.count(F.lit(1)).alias("event_count"), F.count_if(F.col("status") == "CLOSED").alias("closed_count"))
-        .select(F.col("_w.start").alias("bucket"), "source_id", "threat_tier", "event_count", "closed_count")
-    )
+
+def hourly_stats_stream(events: DataFrame, target: str, checkpoint: str, time: str = "occurred_at") -> StreamingQuery:
+    """Hourly counts per source and tier, batch by batch; read them with :func:`hourly_stats`.
+
+    Each batch stores its own partial counts as a partition that a replay
+    overwrites. No watermark is needed, so late events count whenever they come,
+    and the current hour is there after each batch.
+    """
+    def add(batch: DataFrame, number: int) -> None:
+        batch.groupBy(F.date_trunc("hour", time).alias("bucket"), "source_id", "threat_tier").agg(
+            F.count(F.lit(1)).alias("event_count"), F.count_if(F.col("status") == "CLOSED").alias("closed_count")
+        ).write.mode("overwrite").parquet(f"{target}/batch_id={number}")
+
+    return events.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _stored_fingerprints(spark: SparkSession, target: str, batch_id: int) -> DataFrame | None:
-    """Fingerprints of earlier batches; a replayed batch does not see its own first attempt."""
-    try:
-        stored = spark.read.parquet(f"{target}/events")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return stored.filter(F.col("batch_id") != batch_id).select("fingerprint")
+def hourly_stats(spark: SparkSession, target: str) -> DataFrame:
+    """The sums of all batches' partial counts."""
+    return spark.read.parquet(target).groupBy("bucket", "source_id", "threat_tier").agg(
+        F.sum("event_count").alias("event_count"), F.sum("closed_count").alias("closed_count"))
+
+
+def _checked(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Valid rows, and refused ones with a reason: malformed, or of a source type that no adapter knows."""
+    good, bad = validate_raw_events(raw)
+    known = F.coalesce(F.col("source_type").isin(*STREAM_SOURCE_TYPES), F.lit(False))
+    unknown = good.filter(~known).withColumn("reject_reason", F.lit(UNKNOWN_KIND))
+    return good.filter(known), bad.unionByName(unknown)
 
 
 def persist_batch(raw: DataFrame, batch_id: int, target: str, default_classification: str = "SECRET") -> None:
-    """Validate, de-duplicate, normalise and store one micro-batch.
+    """Validate, normalise and store one micro-batch, whose repeats within it are dropped.
 
     The events, entity and edge tables and the quarantine are partitions of the
     batch number that are overwritten as a whole: replaying a batch after a
@@ -60,10 +74,10 @@ def persist_batch(raw: DataFrame, batch_id: int, target: str, default_classifica
     stop the stream.
     """
     spark = raw.sparkSession
-    good, bad = validate_raw_events(raw)
+    raw = raw.persist()  # events, rejects and invalid rows all start from it
+    good, bad = _checked(raw)
     done = normalize_signals(good, default_classification=default_classification)
     unique = first_per_key(done.accepted, ["fingerprint"], ["event_time", "raw_text"])
-    unique = without_stored(unique, _stored_fingerprints(spark, target, batch_id), "fingerprint")
 
     def put(df: DataFrame, table: str) -> DataFrame:
         path = f"{target}/{table}/batch_id={batch_id}"
@@ -80,9 +94,13 @@ def persist_batch(raw: DataFrame, batch_id: int, target: str, default_classifica
         done.rejected.select("source_id", "raw_text", "reject_reason")
     )
     put(refused, "quarantine")
+    raw.unpersist()
 
 
 def ingest_stream(raw: DataFrame, target: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
-    """Ingest a stream of raw events batch by batch; progress is committed after the batch is stored."""
-    writer = raw.writeStream.foreachBatch(lambda df, n: persist_batch(df, n, target)).option("checkpointLocation", checkpoint)
+    """Ingest a stream of raw events batch by batch; progress is committed after the batch is stored.
+
+    Repeats of earlier batches are dropped by the stream's own state, so no batch reads the store.
+    """
+    writer = fingerprint_stream(raw).drop("fingerprint").writeStream.foreachBatch(lambda df, n: persist_batch(df, n, target)).option("checkpointLocation", checkpoint)
     return writer.trigger(**({"processingTime": every} if every else {"availableNow": True})).start()

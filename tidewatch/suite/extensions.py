@@ -35,10 +35,10 @@ def hashing_encoder():
 @query("ext_embedding", f"""
 SELECT k AS event_id, CAST(i - 1 AS INTEGER) AS slot, {rnd('v[i]', 6)} AS weight
 FROM ({sql_vectors('conversations_keyed', 'event_id', 'text')}), unnest(range(1, 65)) AS u(i)""".replace(
-    "conversations_keyed", "(SELECT conv_id * 1000 + turn AS event_id, text FROM conversations)"))
+    "conversations_keyed", "(SELECT conv_id || '-' || turn AS event_id, text FROM conversations)"))
 def ext_embedding(spark, d):
     embed = hooks.embedder(hashing_encoder)
-    talk = V.load_text(spark, d, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("event_id"), "text")
+    talk = V.load(spark, d, "conversations").select(F.concat_ws("-", "conv_id", "turn").alias("event_id"), "text")
     return talk.select("event_id", F.posexplode(embed("text")).alias("slot", "w")).select(
         "event_id", "slot", exact_round(F.col("w"), 6).alias("weight")
     )
@@ -53,7 +53,7 @@ def ext_ner(spark, d):
         letters = F.transform(F.split(text, ASCII_WS), lambda t: F.regexp_replace(t, "[^a-z]", ""))
         return F.array_distinct(F.filter(letters, lambda t: F.length(t) > 12))
 
-    return hooks.extract_entities(V.load_text(spark, d, "documents"), "doc_id", "text", long_words)
+    return hooks.extract_entities(V.load(spark, d, "documents"), "doc_id", "text", long_words)
 
 
 @query("ext_series_model", f"""
@@ -70,5 +70,6 @@ def ext_series_model(spark, d):
     return models.select("series_id", "n", exact_round(F.col("y_mean"), 6).alias("level"))
 
 
+
 query("ext_trigger", REGISTRY["snapshot_audit"].sql)(ingest.snapshot_audit)
 query("ext_adapter", REGISTRY["adapter_dispatch"].sql)(adapter_dispatch)

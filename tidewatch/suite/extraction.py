@@ -22,7 +22,7 @@ def signal_messages(spark: SparkSession, d: str) -> DataFrame:
         F.lit(" at "), (key % 90).cast("string"), F.lit(".5"), F.when(key % 2 == 0, "N").otherwise("S"), F.lit(", "),
         (key % 180).cast("string"), F.lit(".25"), F.when(key % 3 == 0, "E").otherwise("W"),
     )
-    return V.load_text(spark, d, "events").select(
+    return V.load(spark, d, "events").select(
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("source_id"),
         F.concat(marker, activity, F.lit(" "), key.cast("string"), F.when(kind == "signup", "").otherwise(position), F.lit(" "), dtg, F.lit("  ")).alias("raw_text"),
         F.col("ts").alias("received_at"),
@@ -93,7 +93,7 @@ def report_texts(spark: SparkSession, d: str) -> DataFrame:
     where = F.when(kind == "click", "on the Port Quarter ").otherwise("")
     speed = F.when(kind == "purchase", F.concat(F.lit(" at "), F.floor(F.col("value") % 40).cast("string"), F.lit(" knots"))).otherwise("")
     text = F.concat(clock, ship, where, F.lit("at "), (F.col("event_id") % 30).cast("string"), F.lit(".5NM"), speed, F.lit("."))
-    return V.load_text(spark, d, "events").select(
+    return V.load(spark, d, "events").select(
         F.when(kind == "view", F.concat(F.lit("Note "), text)).otherwise(F.concat(number, text)).alias("line")
     )
 
@@ -147,7 +147,7 @@ SELECT *, list_filter(e, lambda x, i: list_position(e, x) = i)[1:10] AS entities
 
 
 def _enriched(spark, d):
-    return E.enrich_events(V.load_text(spark, d, "documents").select(
+    return E.enrich_events(V.load(spark, d, "documents").select(
         "doc_id", F.col("lang").alias("source_type"), F.col("text").alias("raw_content")
     ))
 
@@ -172,14 +172,14 @@ def enrich_events_rollup(spark, d):
     return _enriched(spark, d).rollup
 
 
-@query("adapter_dispatch", """
-SELECT event_id, event_type, CASE WHEN event_type = 'error' THEN 'CRITICAL' ELSE 'LOW' END AS threat_tier,
-  CASE WHEN event_type = 'click' THEN value * 2 END AS score FROM events WHERE event_type IN ('error', 'click', 'view')""")
+@query("adapter_dispatch", f"""
+SELECT event_id, event_type, CASE event_type WHEN 'error' THEN 'CRITICAL' WHEN 'click' THEN 'LOW' WHEN 'view' THEN 'LOW' END AS threat_tier,
+  CASE WHEN event_type = 'click' THEN value * 2 END AS score,
+  CASE WHEN event_type IS NULL OR event_type NOT IN ('error', 'click', 'view') THEN '{E.UNKNOWN_KIND}' END AS reject_reason FROM events""")
 def adapter_dispatch(spark, d):
-    base = ["event_id", "event_type"]
-    low = F.lit("LOW").alias("threat_tier")
+    low = F.lit("LOW")
     return E.dispatch(V.load(spark, d, "events"), {
-        "error": lambda df: df.select(*base, F.lit("CRITICAL").alias("threat_tier")),
-        "click": lambda df: df.select(*base, low, (F.col("value") * 2).alias("score")),
-        "view": lambda df: df.select(*base, low),
-    }, column="event_type")
+        "error": {"threat_tier": F.lit("CRITICAL")},
+        "click": {"threat_tier": low, "score": F.col("value") * 2},
+        "view": {"threat_tier": low},
+    }, keep=["event_id", "event_type"], column="event_type")

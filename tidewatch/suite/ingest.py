@@ -106,7 +106,7 @@ def dry_run_validate(spark, d):
 
 def raw_documents(spark: SparkSession, d: str) -> DataFrame:
     """Documents as raw events; one source name is treated as missing and German ones have no clock."""
-    return V.load_text(spark, d, "documents").select(
+    return V.load(spark, d, "documents").select(
         "doc_id",
         F.col("lang").alias("source_type"),
         F.nullif(F.col("source"), F.lit("src0")).alias("source_id"),
@@ -120,7 +120,7 @@ SELECT doc_id, CAST(n - 1 AS INTEGER) AS line_no, lines[n] AS line
 FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents) t,
   unnest(range(1, len(lines) + 1)) AS u(n)""")
 def report_line_source(spark, d):
-    return readers.report_lines(V.load_text(spark, d, "documents"), "text", "doc_id")
+    return readers.report_lines(V.load(spark, d, "documents"), "text", "doc_id")
 
 
 @query("series_ingest", """
@@ -167,7 +167,7 @@ SELECT doc_id, array_to_string(list_filter([
 FROM r""")
 def validate_contract(spark, d):
     key = F.col("doc_id")
-    requests = V.load_text(spark, d, "documents").select(
+    requests = V.load(spark, d, "documents").select(
         "doc_id",
         F.when(F.col("lang") == "en", "OSINT").when(F.col("lang") == "fr", "HUMINT").when(F.col("lang") == "de", "RADIO").alias("source_type"),
         F.col("text").alias("raw_content"),
@@ -182,7 +182,7 @@ def validate_contract(spark, d):
 @query("fingerprint_dedup", """
 SELECT sha256(source || text) AS fingerprint, min(doc_id) AS doc_id FROM documents GROUP BY 1""")
 def fingerprint_dedup(spark, d):
-    raw = V.load_text(spark, d, "documents").select("doc_id", F.col("source").alias("source_id"), F.col("text").alias("raw_text"))
+    raw = V.load(spark, d, "documents").select("doc_id", F.col("source").alias("source_id"), F.col("text").alias("raw_text"))
     return I.fingerprint_dedup(raw, order=["doc_id"]).select("fingerprint", "doc_id")
 
 
@@ -252,14 +252,15 @@ def upsert_parent(spark, d):
 @query("run_log", f"""
 SELECT 'customer_load' AS job, (SELECT count(*) FROM orders) AS records_fetched,
   CAST(sum(inserted) AS BIGINT) AS records_inserted, CAST(sum(updated) AS BIGINT) AS records_updated,
-  0::BIGINT AS records_skipped, 'completed' AS status FROM ({SQL_UPSERT})""")
+  0::BIGINT AS records_skipped, 'completed' AS status, CAST(NULL AS VARCHAR) AS error, TRUE AS in_order FROM ({SQL_UPSERT})""")
 def run_log(spark, d):
     actions = I.upsert(*_parents(spark, d), key="key", order="seq")
     counted = actions.select(
         (F.col("inserted") + F.col("updated")).alias("fetched"), "inserted", "updated",
         F.lit(0).cast("bigint").alias("skipped"),
     )
-    return I.run_log(counted, job="customer_load")
+    log = I.run_log(counted, job="customer_load", started=F.current_timestamp())
+    return log.withColumn("in_order", F.col("started_at") <= F.col("finished_at")).drop("started_at", "finished_at")
 
 
 @query("replace_children", """
@@ -352,6 +353,13 @@ def retention_filter(spark, d):
     return layout.retained(V.intel_events(spark, d), V.as_of()).select("event_id", "occurred_at")
 
 
+@query("action_audit_check", V.with_views("""
+SELECT 'service' AS analyst_id, 'EXPORT' AS action, 'intel_events' AS resource_type, count(*) AS row_count, TRUE AS timed FROM intel_base""", "intel_base"))
+def action_audit_check(spark, d):
+    return action_audit(spark, d).select(
+        "analyst_id", "action", "resource_type", "row_count", (F.col("duration_ms") >= 0).alias("timed"))
+
+
 @query("action_audit")
 def action_audit(spark, d):
     return audited(V.intel_events(spark, d), action="EXPORT", resource="intel_events", path=work_dir(spark, "export"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.functions.scalar import exact_round
+from tidewatch.functions.scalar import exact_round, ts
 from tidewatch.functions.text import excerpt
 from tidewatch.functions.vector import hashed_embedding
 from tidewatch.operators import vectors as VEC
@@ -17,7 +17,7 @@ from tidewatch.suite.registry import query, rnd
 
 
 def corpus(spark: SparkSession, d: str) -> DataFrame:
-    return V.load_text(spark, d, "documents").select("doc_id", "text")
+    return V.load(spark, d, "documents").select("doc_id", "text")
 
 
 def questions(spark: SparkSession, d: str) -> DataFrame:
@@ -28,7 +28,7 @@ def chunks(spark: SparkSession, d: str) -> DataFrame:
     """De-duplicated chunks of every document, with a stable number."""
     unique = R.chunk_dedup(R.chunk_documents(corpus(spark, d), key="doc_id", text="text"), source="doc_id")
     return materialize(unique, "chunks").select(
-        (F.col("doc_id") * 1_000_000 + F.col("chunk_index")).alias("chunk_id"), "doc_id", "chunk_index", "chunk_text", "content_hash"
+        F.concat_ws("-", "doc_id", "chunk_index").alias("chunk_id"), "doc_id", "chunk_index", "chunk_text", "content_hash"
     )
 
 
@@ -39,7 +39,7 @@ SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY s) - 1 AS IN
 WHERE length(chunk_text) > 50"""
 
 SQL_UNIQUE = f"""
-SELECT doc_id * 1000000 + chunk_index AS chunk_id, doc_id, chunk_index, chunk_text, content_hash FROM (
+SELECT doc_id || '-' || chunk_index AS chunk_id, doc_id, chunk_index, chunk_text, content_hash FROM (
   SELECT *, sha256(chunk_text) AS content_hash,
     row_number() OVER (PARTITION BY sha256(chunk_text) ORDER BY doc_id, chunk_index) AS rn FROM ({SQL_CHUNKS}))
 WHERE rn = 1"""
@@ -139,7 +139,7 @@ SELECT label AS query_id, list(m ORDER BY i) AS v FROM (
 @query("vector_topk", f"""
 SELECT query_id, vec_id, similarity, rank FROM (
   SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, vec_id) AS INTEGER) AS rank FROM (
-    SELECT CAST(query_id AS BIGINT) AS query_id, vec_id,
+    SELECT query_id, vec_id,
       {rnd('list_cosine_similarity(CAST(embedding AS DOUBLE[]), v)', 6)} AS similarity
     FROM embeddings, ({SQL_CENTROIDS}))) WHERE rank <= 100""")
 def vector_topk(spark, d):
@@ -152,6 +152,16 @@ def vector_topk_lsh(spark, d):
     return VEC.vector_topk_lsh(V.load(spark, d, "embeddings"), centroids(spark, d), item="vec_id", query="query_id", k=100)
 
 
+@query("vector_lsh_recall", """
+SELECT DISTINCT label AS query_id, CAST(100 AS BIGINT) AS wanted, TRUE AS enough FROM embeddings""")
+def vector_lsh_recall(spark, d):
+    """Whether the approximate search finds nine of ten exact neighbours of each query."""
+    exact, found = vector_topk(spark, d), vector_topk_lsh(spark, d)
+    share = VEC.recall_at_k(exact, found, item="vec_id", query="query_id")
+    wanted = exact.groupBy("query_id").agg(F.count(F.lit(1)).alias("wanted"))
+    return share.join(wanted, "query_id").select("query_id", "wanted", (F.col("recall") >= 0.9).alias("enough"))
+
+
 @query("bm25_index", f"""
 WITH {sql_bm25('documents', 'doc_id', 'text')} SELECT term, df, {rnd('idf', 8)} AS idf FROM terms""")
 def bm25_index(spark, d):
@@ -226,7 +236,7 @@ def hybrid_search_chunks(spark, d):
 def text_events(spark: SparkSession, d: str) -> DataFrame:
     """Documents as events with a normalised text."""
     key = F.col("doc_id")
-    return V.load_text(spark, d, "documents").select(
+    return V.load(spark, d, "documents").select(
         key.alias("event_id"), F.col("source").alias("source_id"), F.col("lang").alias("int_type"),
         (F.expr("TIMESTAMP_NTZ '2024-01-01 00:00:00'") + F.make_dt_interval(hours=(key % 2000).cast("int"))).alias("event_time"),
         V.level(key % 5).alias("classification"),
@@ -234,15 +244,20 @@ def text_events(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+KINDS = ("en", "es", "de")
+SINCE, UNTIL = "2024-01-04 06:00:00", "2024-02-20 18:30:00"
+
 SQL_TEXT_EVENTS = f"""
 SELECT doc_id AS event_id, source AS source_id, lang AS int_type, TIMESTAMP '2024-01-01' + INTERVAL 1 HOUR * (doc_id % 2000) AS event_time,
   {V.sql_level('doc_id % 5')} AS classification, text AS normalized_text FROM documents"""
 
-KINDS = ("en", "es", "de", "fr")
+SQL_WANTED_EVENTS = f"""
+SELECT * FROM ({SQL_TEXT_EVENTS}) WHERE int_type IN {KINDS} AND event_time BETWEEN TIMESTAMP '{SINCE}' AND TIMESTAMP '{UNTIL}'"""
 
 
 def fused_events(spark: SparkSession, d: str, match_all: bool = False, top_k: int = 20) -> DataFrame:
-    found = optional_filters(text_events(spark, d), kinds=KINDS).select("event_id", "normalized_text")
+    found = optional_filters(
+        text_events(spark, d), kinds=KINDS, min_time=ts(SINCE), max_time=ts(UNTIL)).select("event_id", "normalized_text")
     return R.hybrid_search(
         found, questions(spark, d), key="event_id", text="normalized_text", query="query_id",
         query_text="question", top_k=top_k, depth=100, match_all=match_all,
@@ -259,7 +274,7 @@ def event_hits(spark: SparkSession, d: str, match_all: bool = False) -> DataFram
 
 def _sql_event_hits(where: str) -> str:
     return f"""
-WITH e AS MATERIALIZED ({SQL_TEXT_EVENTS}), {sql_bm25('e', 'event_id', 'normalized_text')},
+WITH e AS MATERIALIZED ({SQL_WANTED_EVENTS}), {sql_bm25('e', 'event_id', 'normalized_text')},
 vec AS MATERIALIZED ({sql_vectors('e', 'event_id', 'normalized_text')}),
 qvec AS MATERIALIZED ({sql_vectors('benchmark', 'item_id', 'text')}),
 near AS ({sql_near('vec', 'qvec', 100)}), words AS ({sql_ranked('scores', 100, where)}),
@@ -280,14 +295,16 @@ SQL_PACKED_CHUNKS = f"""{SQL_HYBRID_CHUNKS},
 s AS (SELECT query_id, rrf_rank, '[source_' || rrf_rank || ']' || chr(10) || chunk_text || chr(10) AS snippet,
   '[source_' || rrf_rank || '] ' || doc_id AS citation FROM fused JOIN u ON chunk_id = k),
 r AS (SELECT *, sum(length(snippet)) OVER (PARTITION BY query_id ORDER BY rrf_rank) AS running FROM s),
-packed AS (SELECT query_id, coalesce(string_agg(snippet, chr(10) ORDER BY rrf_rank) FILTER (running <= 12000), '') AS context,
+grouped AS (SELECT query_id, coalesce(string_agg(snippet, chr(10) ORDER BY rrf_rank) FILTER (running <= 12000), '') AS context,
   coalesce(string_agg(citation, chr(10) ORDER BY rrf_rank) FILTER (running <= 12000), '') AS citations,
-  count(*) FILTER (running <= 12000) AS cited, count(*) AS chunks_used FROM r GROUP BY 1)"""
+  count(*) FILTER (running <= 12000) AS cited, count(*) AS chunks_used FROM r GROUP BY 1),
+packed AS (SELECT item_id AS query_id, coalesce(context, '') AS context, coalesce(citations, '') AS citations,
+  coalesce(cited, 0) AS cited, coalesce(chunks_used, 0) AS chunks_used FROM benchmark LEFT JOIN grouped ON query_id = item_id)"""
 
 
 def packed_chunks(spark: SparkSession, d: str) -> DataFrame:
     hits = fused_chunks(chunks(spark, d), spark, d)
-    return R.context_pack_chunks(hits, query="query_id", rank="rrf_rank", text="chunk_text", source="doc_id")
+    return R.context_pack_chunks(hits, questions(spark, d), query="query_id", rank="rrf_rank", text="chunk_text", source="doc_id")
 
 
 @query("context_pack_chunks", f"{SQL_PACKED_CHUNKS} SELECT * FROM packed")
@@ -295,16 +312,33 @@ def context_pack_chunks(spark, d):
     return packed_chunks(spark, d)
 
 
-@query("context_pack_events", f"""{_sql_event_hits('score > 0')},
-p AS (SELECT query_id, rrf_rank, rrf_score, '[SOURCE: ' || source_id || ' | ' || upper(int_type) || ' | ' ||
-  strftime(event_time, '%Y-%m-%dT%H:%M:%S') || ' | CLASSIFICATION: ' || classification || ']' || chr(10) || excerpt || chr(10) AS part FROM hits),
-r AS (SELECT *, sum(length(part) + 1) OVER (PARTITION BY query_id ORDER BY rrf_rank) AS running FROM p)
-SELECT query_id, coalesce(string_agg(part, chr(10) || '---' || chr(10) ORDER BY rrf_rank) FILTER (running <= 24001), '') AS context,
-  {rnd('coalesce(avg(rrf_score) FILTER (running <= 24001), 0)', 8)} AS confidence,
-  count(*) FILTER (running <= 24001) AS cited, count(*) AS total_events_retrieved FROM r GROUP BY 1""")
+SQL_PACKED_EVENTS = f"""{_sql_event_hits('score > 0')},
+p AS (SELECT query_id, rrf_rank, rrf_score, strftime(event_time, '%Y-%m-%dT%H:%M:%S') AS stamp, '[SOURCE: ' || source_id || ' | ' || upper(int_type) ||
+  ' | ' || stamp || ' | CLASSIFICATION: ' || classification || ']' || chr(10) || excerpt || chr(10) AS part,
+  source_id || ' | ' || stamp || ' | ' || classification || ' | ' || printf('%.6f', rrf_score) || ' | ' || excerpt AS citation FROM hits),
+r AS (SELECT *, sum(length(part) + 1) OVER (PARTITION BY query_id ORDER BY rrf_rank) AS running FROM p),
+g AS (SELECT query_id, string_agg(part, chr(10) || '---' || chr(10) ORDER BY rrf_rank) FILTER (running <= 24001) AS context,
+  string_agg(citation, chr(10) ORDER BY rrf_rank) FILTER (running <= 24001) AS citations,
+  avg(rrf_score) FILTER (running <= 24001) AS confidence, count(*) FILTER (running <= 24001) AS cited, count(*) AS n FROM r GROUP BY 1),
+packed AS (SELECT item_id AS query_id, text AS question, coalesce(context, '') AS context, coalesce(citations, '') AS citations,
+  {rnd('coalesce(confidence, 0)', 8)} AS confidence, coalesce(cited, 0) AS cited, coalesce(n, 0) AS total_events_retrieved
+  FROM benchmark LEFT JOIN g ON query_id = item_id)"""
+
+
+def packed_events(spark: SparkSession, d: str) -> DataFrame:
+    return R.context_pack_events(event_hits(spark, d), questions(spark, d), query="query_id", rank="rrf_rank")
+
+
+@query("context_pack_events", f"{SQL_PACKED_EVENTS} SELECT * EXCLUDE (question) FROM packed")
 def context_pack_events(spark, d):
-    out = R.context_pack_events(event_hits(spark, d), query="query_id", rank="rrf_rank")
-    return out.withColumn("confidence", exact_round(F.col("confidence"), 8))
+    return packed_events(spark, d).withColumn("confidence", exact_round(F.col("confidence"), 8))
+
+
+@query("prompt_batch_events", f"""{SQL_PACKED_EVENTS}
+SELECT query_id, 'Reported events:' || chr(10) || chr(10) || context || chr(10) || chr(10) || 'Question: ' || question ||
+  chr(10) || chr(10) || 'Cited reports:' || chr(10) || citations AS prompt FROM packed""")
+def prompt_batch_events(spark, d):
+    return R.prompt_batch(packed_events(spark, d), questions(spark, d), query="query_id", question="question", layout=R.EVENT_PROMPT)
 
 
 @query("prompt_batch", f"""{SQL_PACKED_CHUNKS}
@@ -316,7 +350,7 @@ def prompt_batch(spark, d):
 
 def answered(spark: SparkSession, d: str) -> DataFrame:
     """Each user turn with the reply that follows it; the words of the question are the keywords."""
-    talk = V.load_text(spark, d, "conversations")
+    talk = V.load(spark, d, "conversations")
     asked = talk.filter("role = 'user'").select("conv_id", "turn", F.array_distinct(F.split("text", "[^\\p{L}]+")).alias("w"))
     asked = asked.select("conv_id", "turn", F.filter("w", lambda x: F.length(x) >= 5).alias("keywords"))
     reply = talk.filter("role = 'assistant'").select("conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer"))
@@ -347,7 +381,8 @@ def keyword_recall_summary(spark, d):
 
 
 @query("retrieval_score_summary", f"""{_sql_event_hits('score > 0')}
-SELECT query_id, {rnd('avg(rrf_score)', 8)} AS confidence, count(*) AS retrieved FROM hits GROUP BY 1""")
+SELECT item_id AS query_id, {rnd('coalesce(avg(rrf_score), 0)', 8)} AS confidence, count(hits.query_id) AS retrieved
+FROM benchmark LEFT JOIN hits ON hits.query_id = item_id GROUP BY 1""")
 def retrieval_score_summary(spark, d):
-    out = R.retrieval_score_summary(fused_events(spark, d), query="query_id")
+    out = R.retrieval_score_summary(fused_events(spark, d), questions(spark, d), query="query_id")
     return out.withColumn("confidence", exact_round(F.col("confidence"), 8))

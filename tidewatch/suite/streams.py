@@ -28,7 +28,7 @@ def landed_messages(spark: SparkSession, raw: DataFrame) -> str:
 SELECT role AS source_type, CAST(conv_id AS VARCHAR) AS source_id, text AS raw_text, CAST(turn AS VARCHAR) AS turn
 FROM conversations""")
 def stream_json_source(spark, d):
-    raw = V.load_text(spark, d, "conversations").select(
+    raw = V.load(spark, d, "conversations").select(
         F.col("role").alias("source_type"), F.col("conv_id").cast("string").alias("source_id"), F.col("text").alias("raw_text"),
         F.create_map(F.lit("turn"), F.col("turn").cast("string")).alias("metadata"),
     )
@@ -41,18 +41,15 @@ def stream_json_source(spark, d):
 @query("stream_fingerprint_dedup", "SELECT DISTINCT sha256(source || text) AS fingerprint FROM documents")
 def stream_fingerprint_dedup(spark, d):
     raw = table_stream(spark, d, "documents").select(
-        F.col("source").alias("source_id"), F.col("text").alias("raw_text"),
-        F.expr("TIMESTAMP '2024-01-01 00:00:00'").alias("received_at"),
-    )
-    unique = P.fingerprint_stream(raw, "received_at").select("fingerprint")
+        F.col("source").alias("source_id"), F.col("text").alias("raw_text"))
+    unique = P.fingerprint_stream(raw).select("fingerprint")
     return P.drain(unique, work_dir(spark, "unique"), work_dir(spark, "ckpt"))
 
 
 @query("stream_hourly_stats", V.with_views("""
 SELECT date_trunc('hour', occurred_at) AS bucket, source_id, threat_tier, count(*) AS event_count,
   count(*) FILTER (status = 'CLOSED') AS closed_count
-FROM web_events WHERE date_trunc('hour', occurred_at) + INTERVAL 1 HOUR <= (SELECT max(occurred_at) - INTERVAL 3 DAY FROM web_events)
-GROUP BY 1, 2, 3""", "web_events"))
+FROM web_events GROUP BY 1, 2, 3""", "web_events"))
 def stream_hourly_stats(spark, d):
     kind = F.col("event_type")
     events = table_stream(spark, d, "events").select(
@@ -61,8 +58,9 @@ def stream_hourly_stats(spark, d):
         .when(kind == "click", "LOW").otherwise("INFORMATIONAL").alias("threat_tier"),
         F.when(F.col("value") >= 50, "CLOSED").otherwise("INGESTED").alias("status"),
     )
-    out = P.drain(P.hourly_stats_stream(events), work_dir(spark, "hourly"), work_dir(spark, "ckpt"))
-    return out.withColumn("bucket", F.col("bucket").cast("timestamp_ntz"))
+    target = work_dir(spark, "hourly")
+    P.hourly_stats_stream(events, target, work_dir(spark, "ckpt")).awaitTermination()
+    return P.hourly_stats(spark, target).withColumn("bucket", F.col("bucket").cast("timestamp_ntz"))
 
 
 def ingested(spark: SparkSession, d: str) -> str:

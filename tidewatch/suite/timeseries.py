@@ -22,7 +22,6 @@ SQL_SERIES = """
 SELECT event_type AS series_id, n::DOUBLE AS value, row_number() OVER (PARTITION BY event_type ORDER BY b) - 1 AS step
 FROM (SELECT event_type, date_trunc('hour', ts) AS b, count(*) AS n FROM events GROUP BY 1, 2)"""
 
-_FRAME = "w"
 SQL_FEATURES = f"""
 SELECT series_id, step, {', '.join(f'lag(value, {i}) OVER o AS lag_{i}' for i in range(6, 0, -1))},
   {rnd('avg(value) OVER w', 6)} AS w_mean, {rnd('stddev_pop(value) OVER w', 6)} AS w_std, min(value) OVER w AS w_min,
@@ -57,6 +56,65 @@ def backtest_residuals(spark, d):
     return FC.backtest_residuals(series, FC.ridge_fit(series))
 
 
+SQL_TARGETS = f"SELECT series_id, value AS target FROM ({SQL_SERIES}) WHERE step >= 24"
+
+
+@query("ridge_fit_check", f"""
+SELECT series_id, count(*) AS n, {rnd('avg(target)', 6)} AS y_mean, {rnd('stddev_pop(target)', 6)} AS y_scale,
+  TRUE AS solved FROM ({SQL_TARGETS}) GROUP BY 1""")
+def ridge_fit_check(spark, d):
+    """The models' moments, and whether their weights solve the normal equations over the feature rows."""
+    series = hourly_series(spark, d)
+    models = FC.ridge_fit(series)
+    rows = FC.window_features(series).join(models, "series_id")
+    z = [(F.col(c) - F.get("x_mean", F.lit(i))) / F.get("x_scale", F.lit(i)) for i, c in enumerate(FC.FEATURES)]
+    miss = sum((z[i] * F.get("weights", F.lit(i)) for i in range(len(z))), F.lit(0.0)) - (F.col("target") - F.col("y_mean")) / F.col("y_scale")
+    gradient = rows.groupBy("series_id", "n", "y_mean", "y_scale", "weights").agg(*[F.sum(z[i] * miss).alias(f"g{i}") for i in range(len(z))])
+    worst = F.greatest(*[F.abs(F.col(f"g{i}") + FC.ALPHA * F.get("weights", F.lit(i))) for i in range(len(z))])
+    return gradient.select("series_id", "n", exact_round(F.col("y_mean"), 6).alias("y_mean"),
+                           exact_round(F.col("y_scale"), 6).alias("y_scale"), (worst <= 1e-5 * F.col("n")).alias("solved"))
+
+
+@query("forecast_check", f"""
+SELECT series_id, CAST(step AS INTEGER) AS step, TRUE AS banded, TRUE AS first_is_fit FROM (SELECT DISTINCT series_id FROM ({SQL_TARGETS})), range(1, 13) AS r(step)""")
+def forecast_check(spark, d):
+    """Every modelled series has twelve steps in an even band; step one is the stored weights on the last window."""
+    series = hourly_series(spark, d).cache()
+    models = FC.ridge_fit(series).cache()
+    ahead = FC.forecast(series, 12, models=models)
+    ends = series.groupBy("series_id").agg(F.max("step").alias("step"))
+    next_row = ends.select("series_id", (F.col("step") + 1).alias("step"), F.lit(0.0).alias("value"))
+    rows = FC.window_features(series.unionByName(next_row)).join(next_row.select("series_id", "step"), ["series_id", "step"], "left_semi")
+    z = [(F.col(c) - F.get("x_mean", F.lit(i))) / F.get("x_scale", F.lit(i)) * F.get("weights", F.lit(i)) for i, c in enumerate(FC.FEATURES)]
+    fit = rows.join(models, "series_id").select(
+        "series_id", (F.col("y_mean") + F.col("y_scale") * sum(z, F.lit(0.0))).alias("fit"), "residual_std")
+    band = F.abs(F.col("upper") - F.col("prediction") - 1.96 * F.col("residual_std")) + F.abs(
+        F.col("prediction") - F.col("lower") - 1.96 * F.col("residual_std"))
+    return ahead.join(fit, "series_id").select(
+        "series_id", "step", (band <= 1e-3).alias("banded"),
+        ((F.col("step") > 1) | (F.abs(F.col("prediction") - F.col("fit")) <= 1e-3)).alias("first_is_fit"))
+
+
+@query("backtest_check", f"SELECT series_id, count(*) AS n, TRUE AS equal FROM ({SQL_TARGETS}) GROUP BY 1")
+def backtest_check(spark, d):
+    """The spread over the feature rows is the one that the fit derives from its moments."""
+    series = hourly_series(spark, d)
+    models = FC.ridge_fit(series)
+    spread = FC.backtest_residuals(series, models).withColumnRenamed("residual_std", "walked")
+    return spread.join(models.select("series_id", "residual_std"), "series_id").select(
+        "series_id", "n", (F.abs(F.col("walked") - F.col("residual_std")) <= 1e-6 * (1 + F.col("walked"))).alias("equal"))
+
+
+@query("forecast_rejects", f"""
+SELECT series_id, count(*) AS length, '{FC.TOO_SHORT}' AS reject_reason FROM (
+  SELECT CAST(user_id AS VARCHAR) AS series_id, date_trunc('day', ts) FROM events GROUP BY ALL) GROUP BY 1 HAVING count(*) <= 24""")
+def forecast_rejects(spark, d):
+    """Daily series per user that are too short for a model."""
+    day = F.date_diff(F.col("ts").cast("date"), F.lit("1970-01-01").cast("date"))
+    daily = V.load(spark, d, "events").groupBy(F.col("user_id").cast("string").alias("user"), day.alias("day")).agg(F.sum("value").alias("total"))
+    return FC.short_series(FC.as_series(daily, "user", "day", "total"))
+
+
 @query("refresh_hourly_stats", V.with_views(f"""
 WITH old AS (SELECT date_trunc('hour', occurred_at) AS bucket, source_id, threat_tier, count(*) AS event_count,
     0::BIGINT AS closed_count FROM web_events GROUP BY 1, 2, 3),

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewatch.functions.scalar import ts
 from tidewatch.schema import CLASSIFICATIONS
-from tidewatch.session import spread
 
 AS_OF = "2001-08-01 00:00:00"
 LOOKBACK = "365 days"
@@ -20,19 +19,10 @@ def as_of() -> Column:
     return ts(AS_OF)
 
 
-# Tables whose rows are expensive to process, with their key.
-TEXT_KEYS = {"documents": ["doc_id"], "pages": ["page_id"], "conversations": ["conv_id", "turn"], "events": ["event_id"]}
-
-
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def load_text(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """A table for row-by-row text work, spread over the cores when it comes as one small file."""
-    return spread(load(spark, sf_dir, table), *TEXT_KEYS[table])
-
-
 def level(number: Column) -> Column:
     return F.element_at(F.array(*[F.lit(c) for c in CLASSIFICATIONS]), number.cast("int") + 1)
 
