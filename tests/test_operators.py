@@ -31,11 +31,11 @@ def grouped(rows):
     return out
 
 
-@pytest.mark.parametrize("buckets", [1, 3, 1024])
-def test_inclusive_quantiles(spark, values, buckets):
+@pytest.mark.parametrize("bucket_rows", [1, 40, 50_000])
+def test_inclusive_quantiles(spark, values, bucket_rows):
     df = spark.createDataFrame(values, "k string, v double")
     probs = {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p95": 0.95, "p100": 1.0}
-    got = {r.k: r for r in O.exact_quantiles(df, ["k"], "v", probs, buckets=buckets).collect()}
+    got = {r.k: r for r in O.exact_quantiles(df, ["k"], "v", probs, bucket_rows=bucket_rows).collect()}
     want = grouped(values)
     assert set(got) == set(want)
     for k, vs in want.items():
@@ -52,16 +52,35 @@ def test_exclusive_p95(spark, values):
     assert Q.p95_within(df, ["k"], "v", {"far": 1.0}).filter("k = 'far'").first().within is False
 
 
-@pytest.mark.parametrize("few", [True, False])
+@pytest.mark.parametrize("bucket_rows", [1, 50_000])
 @pytest.mark.parametrize("descending", [True, False])
-def test_rank_with_ties(spark, values, few, descending):
+def test_rank_with_ties(spark, values, bucket_rows, descending):
     vs = [v for _, v in values if v is not None]
     df = spark.createDataFrame([(v,) for v in vs], "v double")
-    got = {r.v: r.rank for r in O.rank_map(df, "v", "rank", descending, few).collect()}
+    got = {r.v: r.rank for r in O.rank_map(df, "v", "rank", descending, bucket_rows).collect()}
     for v in set(vs):
         assert got[v] == 1 + sum(x > v if descending else x < v for x in vs)
 
 
+def test_an_outlier_does_not_empty_the_buckets(spark):
+    rng = np.random.default_rng(4)
+    drawn = [float(x) for x in rng.lognormal(0, 2, 20_000)] + [1e9]
+    counts = O.value_counts(spark.createDataFrame([(v,) for v in drawn], "v double"), [], "v")
+    sizes = [r["count"] for r in O._bucketed(counts, [], "v", 200).groupBy("_bucket").count().collect()]
+    assert 80 <= len(sizes) <= 140 and max(sizes) <= 2 * 200
+
+
+@pytest.mark.parametrize("bucket_rows", [1, 7, 50_000])
+def test_row_number_by_two_columns_with_nulls(spark, bucket_rows):
+    rng = random.Random(3)
+    rows = [(k, rng.choice([None, 1, 2, 3]), i) for i in range(300) for k in ("a", "b")]
+    df = spark.createDataFrame(rows, "k string, x int, y int")
+    got = {(r.k, r.y): r.rn for r in O.with_row_number(df, ["k"], ["x", "y"], "rn", bucket_rows).collect()}
+    for k in "ab":
+        order = sorted((r for r in rows if r[0] == k), key=lambda r: (r[1] is not None, r[1] or 0, r[2]))
+        assert [got[k, y] for _, _, y in order] == list(range(1, 301))
+
+
 def test_row_number_and_sequence(spark):
     ids = random.Random(1).sample(range(10_000), 500)
     df = spark.createDataFrame([(i,) for i in ids], "id bigint")
@@ -198,6 +217,25 @@ def test_clearance_of_unknown_analyst_and_service(spark):
     assert FL.visible_counts(events, staff).collect()[0].visible_events == 1
 
 
+def test_like_search_takes_a_backslash(spark):
+    events = spark.createDataFrame([(1, "a\\b"), (2, "ab"), (3, "A\\Bc")], "sequence int, description string")
+    assert [r.sequence for r in FL.like_search(events, keyword="a\\b").collect()] == [1, 3]
+
+
+def test_budget_prefix_counts_null_and_zero_costs_as_one(spark):
+    df = spark.createDataFrame([("k", i, c) for i, c in enumerate([None, 0, 2, 0, 5], 1)], "k string, r int, c int")
+    assert [r.r for r in budget_prefix(df, ["k"], "r", F.col("c"), 5).orderBy("r").collect()] == [1, 2, 3, 4]
+
+
+def test_refused_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (2, None), (3, [1.0]), (4, [None, 1.0]), (5, [])]
+    df = spark.createDataFrame([(f"id{i}", v) for i, v in rows], "id string, embedding array<double>")
+    assert {r.id: r.reject_reason for r in VEC.refused_vectors(df, "embedding", 2).collect()} == {
+        "id2": "no vector", "id3": "wrong length", "id4": "null element", "id5": "wrong length"}
+    hits = VEC.vector_topk(df, df.withColumnRenamed("id", "q"), item="id", query="q", k=3).collect()
+    assert sorted((r.q, r.id, r.similarity) for r in hits) == [("id1", "id1", 1.0), ("id3", "id3", 1.0)]
+
+
 def test_event_list_bounds(spark):
     events = spark.createDataFrame([(1, "OSINT", "FLASH", 1)], "event_id int, source_type string, threat_tier string, ingested_at int")
     with pytest.raises(ValueError):
@@ -223,6 +261,10 @@ def test_quality_rules_find_and_pass(spark):
         ("zip", "missing"), ("code", "unexpected"), ("n", "unexpected"), ("t", "unexpected")}
     assert Q.changed_rows(df, df, "id").count() == 0
     assert [r.id for r in Q.changed_rows(df, df.filter("id < 3"), "id").collect()] == [3]
+    doubled = df.union(df.filter("id = 2"))
+    assert [r.id for r in Q.changed_rows(df, doubled, "id").collect()] == [2] == [r.id for r in Q.changed_rows(doubled, df, "id").collect()]
+    maps = [spark.createDataFrame([(1, {"a": 1, "b": n})], "id int, m map<string,int>") for n in (2, 2, 3)]
+    assert Q.changed_rows(maps[0], maps[1], "id").count() == 0 and Q.changed_rows(maps[0], maps[2], "id").count() == 1
     assert Q.top_contains(df, "n", "code", ["zz"]).first().failed == 1
     parents = spark.createDataFrame([(1,)], "pid int")
     assert sorted(r.id for r in Q.orphans(df, parents, "id", "pid").collect()) == [2, 3]

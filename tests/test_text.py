@@ -188,15 +188,24 @@ def test_fusion_keeps_single_list_hits(spark):
 
 
 def test_context_of_chunks_and_events(spark):
+    asked = spark.createDataFrame([(1,), (2,)], "q int")
     hits = spark.createDataFrame([(1, 1, "aaa", "p1"), (1, 2, "b" * 50, "p2"), (1, 3, "c", "p3")], "q int, rank int, t string, src string")
-    row = R.context_pack_chunks(hits, query="q", rank="rank", text="t", source="src", budget=40).first()
+    row = R.context_pack_chunks(hits, asked.filter("q = 1"), query="q", rank="rank", text="t", source="src", budget=40).first()
     assert (row.context, row.citations, row.cited, row.chunks_used) == ("[source_1]\naaa\n", "[source_1] p1", 1, 3)
     event = [(1, 1, "s", "osint", dt.datetime(2024, 1, 2), "CUI", "text", 0.5)]
     events = spark.createDataFrame(event, "q int, rank int, source_id string, int_type string, event_time timestamp_ntz, classification string, excerpt string, rrf_score double")
     full = "[SOURCE: s | OSINT | 2024-01-02T00:00:00 | CLASSIFICATION: CUI]\ntext\n"
-    assert R.context_pack_events(events, query="q", rank="rank", budget=len(full)).first().context == full
-    short = R.context_pack_events(events, query="q", rank="rank", budget=len(full) - 1).first()
+    assert R.context_pack_events(events, asked.filter("q = 1"), query="q", rank="rank", budget=len(full)).first().context == full
+    short = R.context_pack_events(events, asked.filter("q = 1"), query="q", rank="rank", budget=len(full) - 1).first()
     assert (short.context, short.confidence, short.cited, short.total_events_retrieved) == ("", 0.0, 0, 1)
+    assert R.context_pack_events(events, asked, query="q", rank="rank").filter("q = 1").first().citations == (
+        "s | 2024-01-02T00:00:00 | CUI | 0.500000 | text")
+    # a question without hits is answered with nothing
+    none = R.context_pack_events(events, asked, query="q", rank="rank").filter("q = 2").first()
+    assert (none.context, none.citations, none.confidence, none.cited, none.total_events_retrieved) == ("", "", 0.0, 0, 0)
+    none = R.context_pack_chunks(hits, asked, query="q", rank="rank", text="t", source="src").filter("q = 2").first()
+    assert (none.context, none.citations, none.cited, none.chunks_used) == ("", "", 0, 0)
+    assert sorted(map(tuple, R.retrieval_score_summary(events, asked, query="q").collect())) == [(1, 0.5, 1), (2, 0.0, 0)]
 
 
 def test_keyword_recall(spark):

@@ -2,8 +2,9 @@
 
 A plain ``OVER (ORDER BY x)`` or a percentile over a hot key sends everything to
 one task. Here values are first counted (map-side combined), then laid out in
-equal-width buckets; only the bucket totals are accumulated in one place, and
-the order inside a bucket is resolved by a window on that bucket alone.
+buckets between cut points taken from the values themselves; only the bucket totals
+are accumulated in one place, and the order inside a bucket is resolved by a
+window on that bucket alone. The cut points are approximate, the results exact.
 """
 
 from __future__ import annotations
@@ -12,22 +13,31 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-BUCKETS = 1024
+#: Distinct values of a bucket, up to ``CUTS`` buckets; with more values the buckets grow.
+BUCKET_ROWS = 50_000
+CUTS = 4_096
+_STEP = 64
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_freq"))
 
 
-def _bucketed(counts: DataFrame, keys: Sequence[str], value: str, buckets: int) -> DataFrame:
+def _bucketed(counts: DataFrame, keys: Sequence[str], value: str, bucket_rows: int) -> DataFrame:
+    """Add ``_bucket`` and ``_total``: as many buckets as a key's distinct values need, about equally full."""
     v = F.col(value).cast("double")
+    places = F.array(*[F.lit(i / CUTS) for i in range(1, CUTS)])
+    every = F.greatest(F.lit(1), F.floor(F.lit(CUTS) * bucket_rows / F.greatest(F.count(F.lit(1)), F.lit(1)))).cast("int")
     bounds = counts.groupBy(*keys).agg(
-        F.min(v).alias("_lo"), F.max(v).alias("_hi"), F.sum("_freq").alias("_total")
-    )
-    width = F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
-    bucket = F.coalesce(F.floor((v - F.col("_lo")) / width * (buckets - 1)), F.lit(0)).cast("int")
+        F.percentile_approx(v, places, F.lit(4 * CUTS)).alias("_cuts"), every.alias("_every"), F.sum("_freq").alias("_total"))
+    thinned = F.filter("_cuts", lambda c, i: (i + 1) % F.col("_every") == 0)
+    coarse = F.filter("_cuts", lambda c, i: i % _STEP == _STEP - 1)
+    bounds = bounds.withColumn("_cuts", F.coalesce(thinned, F.array().cast("array<double>"))).withColumn("_coarse", coarse).drop("_every")
+    # cuts not above the value: first whole steps of cuts, then those of the step that is left
+    before = F.size(F.filter("_coarse", lambda c: c <= v)) * _STEP
+    bucket = before + F.size(F.filter(F.slice("_cuts", before + 1, _STEP), lambda c: c <= v))
     joined = _attach(counts, bounds, keys)
-    return joined.withColumn("_bucket", bucket).drop("_lo", "_hi")
+    return joined.withColumn("_bucket", F.coalesce(bucket, F.lit(0))).drop("_cuts", "_coarse")
 
 
 def _attach(df: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -46,12 +56,12 @@ def _bucket_offsets(bucketed: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def with_cumulative(
-    counts: DataFrame, keys: Sequence[str], value: str, buckets: int = BUCKETS
+    counts: DataFrame, keys: Sequence[str], value: str, then: Sequence[str] = (), bucket_rows: int = BUCKET_ROWS
 ) -> DataFrame:
-    """Add ``_below`` (rows of the key with a smaller value) and ``_total`` to value counts."""
-    bucketed = _bucketed(counts, keys, value, buckets)
+    """Add ``_below`` (rows of the key with a smaller value, or an equal one and less by ``then``) and ``_total`` to value counts."""
+    bucketed = _bucketed(counts, keys, value, bucket_rows)
     offsets = _bucket_offsets(bucketed, keys).drop("_in_bucket")
-    inside = W.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy(*keys, "_bucket").orderBy(value, *then).rowsBetween(W.unboundedPreceding, -1)
     return (
         bucketed.join(offsets, [*keys, "_bucket"])
         .withColumn("_below", F.col("_before") + F.coalesce(F.sum("_freq").over(inside), F.lit(0)))
@@ -59,30 +69,25 @@ def with_cumulative(
     )
 
 
-def rank_map(df: DataFrame, value: str, out: str, descending: bool = True, few: bool = False) -> DataFrame:
-    """``(value, RANK())`` of every distinct non-null value over the whole table.
-
-    ``few`` says that there are few distinct values, as with row counts (n rows
-    give at most sqrt(2n) different counts): they are then accumulated directly.
-    """
+def rank_map(df: DataFrame, value: str, out: str, descending: bool = True, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """``(value, RANK())`` of every distinct non-null value over the whole table."""
     counts = value_counts(df.filter(F.col(value).isNotNull()), [], value)
-    if few:
-        order = F.desc(value) if descending else F.asc(value)
-        ahead = W.orderBy(order).rowsBetween(W.unboundedPreceding, -1)
-        return counts.select(value, (F.coalesce(F.sum("_freq").over(ahead), F.lit(0)) + 1).alias(out))
-    ranked = with_cumulative(counts, [], value)
+    ranked = with_cumulative(counts, [], value, bucket_rows=bucket_rows)
     rank = F.col("_total") - F.col("_below") - F.col("_freq") + 1 if descending else F.col("_below") + 1
     return ranked.select(value, rank.alias(out))
 
 
-def with_rank(df: DataFrame, value: str, out: str, descending: bool = True, few: bool = False) -> DataFrame:
-    return df.join(rank_map(df, value, out, descending, few), value, "left")
+def with_rank(df: DataFrame, value: str, out: str, descending: bool = True) -> DataFrame:
+    return df.join(rank_map(df, value, out, descending), value, "left")
 
 
-def with_row_number(df: DataFrame, keys: Sequence[str], order: str, out: str) -> DataFrame:
-    """``ROW_NUMBER()`` by a column that is unique within each key."""
+def with_row_number(
+    df: DataFrame, keys: Sequence[str], order: str | Sequence[str], out: str, bucket_rows: int = BUCKET_ROWS
+) -> DataFrame:
+    """``ROW_NUMBER()`` by columns that together are unique within each key; the first one deals the rows out."""
+    first, *then = [order] if isinstance(order, str) else order
     counts = df.withColumn("_freq", F.lit(1).cast("bigint"))
-    return with_cumulative(counts, keys, order).withColumn(out, F.col("_below") + 1).drop("_freq", "_below", "_total")
+    return with_cumulative(counts, keys, first, then, bucket_rows).withColumn(out, F.col("_below") + 1).drop("_freq", "_below", "_total")
 
 
 def _positions(probability: float, total: Column, method: str) -> Column:
@@ -99,7 +104,7 @@ def exact_quantiles(
     value: str,
     probabilities: Mapping[str, float],
     method: str = "inclusive",
-    buckets: int = BUCKETS,
+    bucket_rows: int = BUCKET_ROWS,
 ) -> DataFrame:
     """Exact interpolated quantiles per key, one output column per entry.
 
@@ -107,7 +112,7 @@ def exact_quantiles(
     ``p * (n + 1)``. Only the buckets that hold a wanted position are sorted.
     """
     counts = value_counts(df.filter(F.col(value).isNotNull()), keys, value)
-    bucketed = _bucketed(counts, keys, value, buckets)
+    bucketed = _bucketed(counts, keys, value, bucket_rows)
     offsets = _bucket_offsets(bucketed, keys)
 
     places = [_positions(p, F.col("_total"), method) for p in probabilities.values()]

@@ -40,7 +40,7 @@ def source_dashboard(
     # Rows above a top-k row in the sort are in the top k too, so its own rank needs no other rows.
     top = top.withColumn("volume_rank", F.rank().over(W.orderBy(F.desc("total_events"))).cast("bigint"))
     return (
-        top.join(rank_map(stats, "critical_count", "criticality_rank", few=True), "critical_count")
+        top.join(rank_map(stats, "critical_count", "criticality_rank"), "critical_count")
         .orderBy(*order)
         .select(
             "source_name", "source_type", "reliability", "total_events", "critical_count", "high_count",
@@ -268,7 +268,7 @@ def analyst_throughput(
         median, "assigned_analyst", "left"
     )
     return (
-        with_rank(stats, "events_reviewed_30d", "throughput_rank", few=True)
+        with_rank(stats, "events_reviewed_30d", "throughput_rank")
         .select(
             "analyst_id", "username", "clearance_level", "events_reviewed_30d", "critical_events",
             "actioned_count",

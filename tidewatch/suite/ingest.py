@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewatch.functions.text import WS
 from tidewatch.operators import ingest as I
 from tidewatch.operators.extract import normalize_countries
+from tidewatch.operators.ordering import with_row_number
 from tidewatch.plans.audit import audited
 from tidewatch.session import work_dir
 from tidewatch.sources import layout, readers
@@ -131,11 +132,11 @@ l AS (SELECT series_id, max(ingest_ts) AS ingest_ts FROM n GROUP BY 1)
 SELECT series_id, CAST(ingest_ts AS TIMESTAMP) AS ingest_ts, step, value FROM s JOIN l USING (series_id, ingest_ts)""")
 def series_ingest(spark, d):
     day = F.date_trunc("day", "ts").cast("timestamp_ntz")
-    w = W.partitionBy("series_id", "ingest_ts").orderBy("ts", "event_id")
     rows = V.load(spark, d, "events").select(
-        F.col("event_type").alias("series_id"), day.alias("ingest_ts"), "ts", "event_id", "value"
+        F.col("event_type").alias("series_id"), day.alias("ingest_ts"), F.unix_micros(F.col("ts").cast("timestamp")).alias("at"),
+        "event_id", "value",
     )
-    numbered = rows.withColumn("step", F.row_number().over(w).cast("bigint"))
+    numbered = with_row_number(rows, ["series_id", "ingest_ts"], ["at", "event_id"], "step")
     return I.latest_submission(numbered.select("series_id", "ingest_ts", "step", "value"))
 
 
