@@ -20,12 +20,13 @@ class Extracted:
 
 
 def normalize_signals(
-    raw: DataFrame, *, signed: bool = True, classify_on: str = "clean", default_classification: str = "SECRET"
+    raw: DataFrame, *, signed: bool = True, classify_on: str = "clean", default_classification: str = "SECRET",
+    keep: Sequence[str] = (),
 ) -> Extracted:
     """``(source_id, raw_text, received_at, metadata)`` to normalised signal events.
 
     Without a date-time group the receive time stands in; an impossible one, or a label
-    outside the vocabulary, is a reject.
+    outside the vocabulary, is a reject. Columns in ``keep`` are handed through.
     """
     text = F.col("_text")
     parsed = computed_once(
@@ -47,6 +48,7 @@ def normalize_signals(
         X.coordinate(F.col("_position"), "lat", signed).alias("geo_lat"),
         X.coordinate(F.col("_position"), "lon", signed).alias("geo_lon"),
         X.fingerprint(F.col("source_id"), F.col("raw_text")).alias("fingerprint"),
+        *keep,
     )
     rollup = accepted.groupBy("source_id", "threat_tier", time_bucket(F.col("event_time")).alias("hour")).agg(
         F.count(F.lit(1)).alias("events")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.functions import text as X
+from tidewatch.functions.vector import hashed_embedding
 from tidewatch.operators.extract import UNKNOWN_KIND, normalize_signals
 from tidewatch.operators.ingest import first_per_key, validate_raw_events
 from tidewatch.schema import STREAM_SOURCE_TYPES
@@ -65,7 +68,23 @@ def _checked(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good.filter(known), bad.unionByName(unknown)
 
 
-def persist_batch(raw: DataFrame, batch_id: int, target: str, default_classification: str = "SECRET") -> None:
+def entity_id() -> Column:
+    """The same id for the same name and type in every batch."""
+    return F.sha2(F.concat_ws("\n", "entity_type", "name"), 256)
+
+
+def stored_entities(spark: SparkSession, target: str) -> DataFrame:
+    """Every entity once, whichever batches it came in."""
+    return spark.read.parquet(f"{target}/entities").select("entity_id", "name", "entity_type").distinct()
+
+
+def embedded(events: DataFrame) -> DataFrame:
+    """``(event_id, embedding)`` of the normalised texts; a model from ``functions.hooks`` can take its place."""
+    return hashed_embedding(events, "event_id", "normalized_text")
+
+
+def persist_batch(raw: DataFrame, batch_id: int, target: str, default_classification: str = "SECRET",
+                  embed: Callable[[DataFrame], DataFrame] = embedded) -> None:
     """Validate, normalise and store one micro-batch, whose repeats within it are dropped.
 
     The events, entity and edge tables and the quarantine are partitions of the
@@ -76,7 +95,7 @@ def persist_batch(raw: DataFrame, batch_id: int, target: str, default_classifica
     spark = raw.sparkSession
     raw = raw.persist()  # events, rejects and invalid rows all start from it
     good, bad = _checked(raw)
-    done = normalize_signals(good, default_classification=default_classification)
+    done = normalize_signals(good, default_classification=default_classification, keep=["source_type", "metadata"])
     unique = first_per_key(done.accepted, ["fingerprint"], ["event_time", "raw_text"])
 
     def put(df: DataFrame, table: str) -> DataFrame:
@@ -85,10 +104,13 @@ def persist_batch(raw: DataFrame, batch_id: int, target: str, default_classifica
         return spark.read.schema(df.schema).parquet(path)
 
     # The edges are derived from the stored events, so all tables agree.
-    events = put(unique.withColumn("event_id", F.col("fingerprint")), "events")
+    named = unique.withColumn("event_id", F.col("fingerprint")).withColumn("int_type", F.upper("source_type"))
+    events = put(named.join(embed(named), "event_id"), "events")
     edges = events.select("event_id", F.explode(X.entity_tokens(F.col("normalized_text"))).alias("name"))
-    edges = edges.withColumn("entity_type", F.lit("TOKEN"))
-    put(edges.select("name", "entity_type").distinct(), "entities")
+    edges = edges.withColumn("entity_type", F.lit("TOKEN")).select(
+        "event_id", entity_id().alias("entity_id"), "name", "entity_type",
+        F.lit("MENTIONED").alias("role"), F.lit(1.0).alias("confidence"))
+    put(edges.select("entity_id", "name", "entity_type").distinct(), "entities")
     put(edges, "event_entities")
     refused = bad.select("source_id", "raw_text", "reject_reason").unionByName(
         done.rejected.select("source_id", "raw_text", "reject_reason")

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidewatch.functions.scalar import exact_round, time_bucket, ts
 from tidewatch.plans import forecasting as FC
 from tidewatch.plans.analytics import hourly_threat_stats
-from tidewatch.plans.refresh import refresh_hourly_stats as refresh
+from tidewatch.plans.refresh import refresh_hourly_stats as refresh, refresh_stored_stats as refresh_store
+from tidewatch.session import work_dir
 from tidewatch.suite import views as V
 from tidewatch.suite.registry import query, rnd
 
@@ -115,7 +116,7 @@ def forecast_rejects(spark, d):
     return FC.short_series(FC.as_series(daily, "user", "day", "total"))
 
 
-@query("refresh_hourly_stats", V.with_views(f"""
+SQL_REFRESHED = V.with_views(f"""
 WITH old AS (SELECT date_trunc('hour', occurred_at) AS bucket, source_id, threat_tier, count(*) AS event_count,
     0::BIGINT AS closed_count FROM web_events GROUP BY 1, 2, 3),
 fresh AS (SELECT date_trunc('hour', occurred_at) AS bucket, source_id, threat_tier, count(*) AS event_count,
@@ -123,8 +124,22 @@ fresh AS (SELECT date_trunc('hour', occurred_at) AS bucket, source_id, threat_ti
 SELECT * FROM old WHERE NOT (bucket >= TIMESTAMP '2024-01-20 10:00:00' AND bucket < TIMESTAMP '2024-01-23 08:30:00')
 UNION ALL
 SELECT * FROM fresh WHERE bucket >= TIMESTAMP '2024-01-20 10:00:00' AND bucket < TIMESTAMP '2024-01-23 08:30:00'
-""", "web_events"))
+""", "web_events")
+
+
+@query("refresh_hourly_stats", SQL_REFRESHED)
 def refresh_hourly_stats(spark, d):
     events = V.web_events(spark, d)
     stale = hourly_threat_stats(events).withColumn("closed_count", F.lit(0).cast("bigint"))
     return refresh(stale, events, as_of=ts("2024-01-23 09:30:00"))
+
+
+@query("refresh_stored_stats", SQL_REFRESHED)
+def refresh_stored_stats(spark, d):
+    """The refresh on a stored table, of which only the touched days are rewritten."""
+    events = V.web_events(spark, d)
+    path = work_dir(spark, "hourly")
+    stale = hourly_threat_stats(events).withColumn("closed_count", F.lit(0).cast("bigint"))
+    stale.withColumn("day", F.to_date("bucket")).write.partitionBy("day").parquet(path)
+    refresh_store(spark, path, events, as_of=ts("2024-01-23 09:30:00"))
+    return spark.read.parquet(path).drop("day")
