@@ -35,7 +35,7 @@ def test_ingest_over_batches(spark, tmp_path):
     edges = spark.read.parquet(f"{target}/event_entities")
     assert sorted(r.name for r in edges.collect()) == ["ALPHA", "BRAVO"]
     reasons = sorted(r.reject_reason for r in spark.read.parquet(f"{target}/quarantine").collect())
-    assert reasons == ["impossible date-time group", "raw_text too short or empty", "raw_text too short or empty"]
+    assert reasons == ["impossible date-time group", "text shorter than the minimum", "text shorter than the minimum"]
 
 
 def test_replayed_batch_is_idempotent(spark, tmp_path):

@@ -113,7 +113,7 @@ def test_text_files_and_quarantine(spark, tmp_path):
     (tmp_path / "c.pdf").write_bytes(b"%PDF")
     good, bad = readers.text_files(spark, str(tmp_path))
     assert sorted(r.text for r in good.collect()) == ["# head", "one\ntwo"]
-    assert [r.reject_reason for r in bad.collect()] == ["Unsupported file type: .pdf"]
+    assert [r.reject_reason for r in bad.collect()] == ["refused file type .pdf"]
 
 
 def test_monthly_layout_prunes_partitions(spark, tmp_path):

@@ -16,9 +16,9 @@ def reject_reason(shortest: int = 10) -> Column:
     """Why a raw event is refused, or NULL; the first failing rule wins."""
     stripped = F.coalesce(F.length(X.strip(F.col("raw_text"))), F.lit(0))
     return (
-        F.when(stripped < shortest, "raw_text too short or empty")
-        .when(F.coalesce(F.col("source_id"), F.lit("")) == "", "source_id is required")
-        .when(F.col("received_at").isNull(), "received_at must carry a time zone")
+        F.when(stripped < shortest, "text shorter than the minimum")
+        .when(F.coalesce(F.col("source_id"), F.lit("")) == "", "no source given")
+        .when(F.col("received_at").isNull(), "no usable receive time")
     )
 
 

@@ -39,7 +39,7 @@ def text_files(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     names = listing("*").format("binaryFile").load(path).select(F.col("path").alias("source_path"))
     suffix = F.lower(F.regexp_extract("source_path", r"(\.[^./]+)$", 1))
     refused = names.filter(~suffix.isin(*TEXT_SUFFIXES)).select(
-        "source_path", F.concat(F.lit("Unsupported file type: "), suffix).alias("reject_reason")
+        "source_path", F.concat(F.lit("refused file type "), suffix).alias("reject_reason")
     )
     return accepted, refused
 

@@ -116,6 +116,21 @@ def raw_documents(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
+@query("text_file_source", """
+SELECT item_id, CASE WHEN item_id % 10 <> 0 THEN text || chr(10) END AS text,
+  CASE WHEN item_id % 10 = 0 THEN 'refused file type .json' END AS reject_reason FROM benchmark""")
+def text_file_source(spark, d):
+    """The benchmark texts landed as a file each, every tenth with a suffix that is refused."""
+    items = V.load(spark, d, "benchmark").select("item_id", "text")
+    path = work_dir(spark, "texts")
+    items.filter("item_id % 10 <> 0").write.partitionBy("item_id").text(path)
+    items.filter("item_id % 10 = 0").write.mode("append").partitionBy("item_id").json(path)
+    good, bad = readers.text_files(spark, path)
+    item = F.regexp_extract("source_path", "item_id=([0-9]+)", 1).cast("bigint").alias("item_id")
+    none = F.lit(None).cast("string")
+    return good.select(item, "text", none.alias("reject_reason")).unionByName(bad.select(item, none.alias("text"), "reject_reason"))
+
+
 @query("report_line_source", r"""
 SELECT doc_id, CAST(n - 1 AS INTEGER) AS line_no, lines[n] AS line
 FROM (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents) t,
@@ -141,9 +156,9 @@ def series_ingest(spark, d):
 
 
 @query("validate_raw_event", f"""
-SELECT doc_id, CASE WHEN length({sql_strip('text')}) < 10 THEN 'raw_text too short or empty'
-  WHEN source = 'src0' THEN 'source_id is required'
-  WHEN lang = 'de' THEN 'received_at must carry a time zone' END AS reject_reason FROM documents""")
+SELECT doc_id, CASE WHEN length({sql_strip('text')}) < 10 THEN 'text shorter than the minimum'
+  WHEN source = 'src0' THEN 'no source given'
+  WHEN lang = 'de' THEN 'no usable receive time' END AS reject_reason FROM documents""")
 def validate_raw_event(spark, d):
     accepted, refused = I.validate_raw_events(raw_documents(spark, d))
     return accepted.select("doc_id", F.lit(None).cast("string").alias("reject_reason")).unionByName(
