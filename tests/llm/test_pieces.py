@@ -11,6 +11,7 @@ from tidewatch.llm import pieces
 PATH = public_tokenizers.path(pieces.MODEL)
 MODEL = SentencePieceProcessor(model_file=PATH)
 ENCODER = pieces.Encoder(PATH)
+DECODER = pieces.Decoder(PATH)
 
 
 def ids_of(texts):
@@ -29,7 +30,7 @@ def test_glued_pieces_equal_the_library():
     texts = ["".join(rng.choice(known).replace("▁", rng.choice(["", " "])) for _ in range(rng.randint(1, 9))) for _ in range(3000)]
     texts += ["a" * n for n in range(1, 40)] + ["the" * 700, " " * 300, "\n" * 5, "</s><s><0x41>"]
     assert ids_of(texts) == [MODEL.encode(t) for t in texts]
-    assert [ENCODER.decode(i).decode("utf-8", "replace") for i in ids_of(texts)] == [MODEL.decode(MODEL.encode(t)) for t in texts]
+    assert [DECODER.decode(i).decode("utf-8", "replace") for i in ids_of(texts)] == [MODEL.decode(MODEL.encode(t)) for t in texts]
 
 
 def test_occurrences_by_search():

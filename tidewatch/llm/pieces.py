@@ -16,11 +16,13 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator, Sequence
+from functools import lru_cache
 from zlib import crc32
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from sentencepiece import SentencePieceProcessor
 
@@ -29,8 +31,8 @@ from tidewatch.llm.batches import blocks
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 _BATCH_CHARS = 400_000
-_BLOCK_CHARS = 4_000_000
-_CACHED_SEGMENTS = 600_000
+_BLOCK_BYTES = 1_000_000
+_CACHED_SEGMENTS = 250_000
 _CACHED_LENGTH = 64
 #: No piece holds a space or a line feed inside, so texts fall apart there.
 _SEGMENT = re.compile(r"\n| +[^ \n]*|[^ \n]+")
@@ -59,7 +61,6 @@ class Vocabulary:
                     a, b = self.index.get(piece[:cut]), self.index.get(piece[cut:])
                     if a is not None and b is not None:
                         pairs[a, b] = i
-        self.pairs = pairs
         keys = np.array([a * (self.none + 1) + b for a, b in pairs], np.int64)
         order = np.argsort(keys)
         self.pair_keys, self.pair_ranks = keys[order], self.merge_rank[np.array(list(pairs.values()), np.int64)[order]]
@@ -67,12 +68,12 @@ class Vocabulary:
         self.whole = np.zeros(self.none + 1, bool)  # pieces that are the encoding of their own text
         self.whole[self.none] = True
         for piece, i in self.index.items():
-            parts = self._last_merge(piece)
+            parts = self._last_merge(piece, pairs)
             self.whole[i] = parts is not None
             if parts:
                 self.left[i], self.right[i] = parts
 
-    def _last_merge(self, piece: str) -> tuple[int, ...] | None:
+    def _last_merge(self, piece: str, pairs: dict[tuple[int, int], int]) -> tuple[int, ...] | None:
         """The two parts from which merging makes the piece; () for a character; None if it comes out otherwise."""
         symbols = [self.index.get(c) for c in piece]
         if None in symbols:
@@ -80,7 +81,7 @@ class Vocabulary:
         last: tuple[int, ...] = ()
         while len(symbols) > 1:
             merges = [(self.merge_rank[m], k, m) for k, ab in enumerate(zip(symbols, symbols[1:]))
-                      if (m := self.pairs.get(ab)) is not None]
+                      if (m := pairs.get(ab)) is not None]
             if not merges:
                 return None
             _, k, merged = min(merges)
@@ -247,43 +248,57 @@ def encode_segments(vocabulary: Vocabulary, segments: Sequence[str]) -> list[byt
 
 
 class Encoder:
-    """Encodes whole texts; segments met before are remembered within a bound."""
+    """Encodes whole texts; segments met before are remembered within a bound.
+
+    When ``_CACHED_SEGMENTS`` are known they become the older generation, of which those met again return.
+    """
 
     def __init__(self, path: str) -> None:
-        self.vocabulary, model = load(path)
+        self.vocabulary = load(path)[0]
         self.known: dict[str, bytes] = {}
-        self.bytes_of = []
-        byte_of = {i: bytes([b]) for b, i in enumerate(self.vocabulary.byte_ids)}
-        for i in range(model.vocab_size()):
-            plain = b"" if model.is_control(i) else model.id_to_piece(i).replace(SPACE, " ").encode()
-            self.bytes_of.append(byte_of.get(i, " ⁇ ".encode() if model.is_unknown(i) else plain))
+        self.older: dict[str, bytes] = {}
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         if len(self.known) > _CACHED_SEGMENTS:
-            self.known.clear()
+            self.known, self.older = {}, self.known
         split = [_SEGMENT.findall(" " + t.replace(SPACE, " ")) if t else [] for t in texts]
-        known = self.known
-        new = list(set().union(*split).difference(known))
-        for lo, hi in blocks([len(s) + 1 for s in new], _BATCH_CHARS):
-            known.update(zip(new[lo:hi], encode_segments(self.vocabulary, new[lo:hi])))
+        known, older = self.known, self.older
+        new = set().union(*split).difference(known)
+        again = new.intersection(older)
+        known.update((s, older[s]) for s in again)
+        fresh = list(new - again)
+        for lo, hi in blocks([len(s) + 1 for s in fresh], _BATCH_CHARS):
+            known.update(zip(fresh[lo:hi], encode_segments(self.vocabulary, fresh[lo:hi])))
         out = [b"".join(map(known.__getitem__, segments)) for segments in split]
-        for s in new:
+        for s in fresh:
             if len(s) > _CACHED_LENGTH:
                 del known[s]
         return out
 
-    def decode(self, ids: Sequence[int]) -> bytes:
-        return b"".join(map(self.bytes_of.__getitem__, ids)).removeprefix(b" ")
 
+class Decoder:
+    """Puts texts together from ids."""
 
-_LOADED: dict[str, Encoder] = {}
+    def __init__(self, path: str) -> None:
+        model = SentencePieceProcessor(model_file=path)
+        byte_of = {model.piece_to_id(f"<0x{b:02X}>"): bytes([b]) for b in range(256)}
+        plain = [b"" if model.is_control(i) else model.id_to_piece(i).replace(SPACE, " ").encode() for i in range(model.vocab_size())]
+        self.bytes_of = [" ⁇ ".encode() if model.is_unknown(i) else byte_of.get(i, p) for i, p in enumerate(plain)]
+
+    def decode(self, ids: Sequence[int]) -> bytes:
+        return b"".join(map(self.bytes_of.__getitem__, ids)).removeprefix(b" ")
 
 
+@lru_cache
 def encoder(path: str) -> Encoder:
     """One encoder per Python worker."""
-    if path not in _LOADED:
-        _LOADED[path] = Encoder(path)
-    return _LOADED[path]
+    return Encoder(path)
+
+
+@lru_cache
+def decoder(path: str) -> Decoder:
+    """One decoder per Python worker."""
+    return Decoder(path)
 
 
 def encode_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", model: str | None = None) -> DataFrame:
@@ -297,9 +312,8 @@ def encode_documents(docs: DataFrame, key: str = "doc_id", text: str = "text", m
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tool = encoder(path)
         for batch in batches:
-            whole = batch.column(1).to_pylist()
-            for lo, hi in blocks([len(t) for t in whole], _BLOCK_CHARS):
-                packed = tool.encode(whole[lo:hi])
+            for lo, hi in blocks(pc.binary_length(batch.column(1)).to_pylist(), _BLOCK_BYTES):
+                packed = tool.encode(batch.column(1).slice(lo, hi - lo).to_pylist())
                 ends = np.cumsum([0] + [len(p) // 4 for p in packed])
                 ids = pa.ListArray.from_arrays(
                     pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(packed), "<u4").astype(np.int32)))
@@ -322,7 +336,8 @@ def decode_documents(encoded: DataFrame, model: str | None = None) -> DataFrame:
 
     @F.arrow_udf("string")
     def run(column: pa.Array) -> pa.Array:
-        tool = encoder(path)
-        return pa.array([None if ids is None else tool.decode(ids).decode("utf-8", "replace") for ids in column.to_pylist()], pa.string())
+        tool = decoder(path)
+        rows = (None if not row.is_valid else tool.decode(row.values.to_pylist()).decode("utf-8", "replace") for row in column)
+        return pa.array(rows, pa.string())  # one row's ids at a time as Python numbers
 
     return encoded.withColumn("decoded", run("ids")).drop("ids")
