@@ -29,8 +29,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents that are left, with their places in sequences of 4,096 tokens."""
-    return packing.pack(docs)
+    """The pieces of all documents that are left, with their places in sequences of 4,096 tokens.
+
+    Workers that ran the stages before have less memory to spare, so fewer words are remembered.
+    """
+    return packing.pack(docs, cached_words=60_000)
 
 
 STAGES = [

@@ -12,6 +12,12 @@ def texts(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.large_binary()).to_pylist()
 
 
+def each_text(column: pa.Array | pa.ChunkedArray, rows: int = 256) -> Iterator[bytes | None]:
+    """The same one after another; only ``rows`` of them are held as Python objects."""
+    for lo in range(0, len(column), rows):
+        yield from texts(column.slice(lo, rows))
+
+
 def blocks(lengths: list[int], most: int) -> Iterator[tuple[int, int]]:
     """Consecutive index ranges whose lengths add up to ``most``, or one longer item."""
     start, total = 0, 0

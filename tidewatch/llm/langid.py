@@ -13,6 +13,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidewatch.llm.batches import blocks, texts
@@ -245,13 +246,14 @@ def identified(model: LanguageModel, text: Column) -> Column:
     """
     @F.arrow_udf("struct<lang: string, score: double, mixture: map<string, double>>")
     def run(column: pa.Array) -> pa.Array:
-        raw = [t or b"" for t in texts(column)]
         shares = [np.zeros((0, len(model.languages)))]
-        for lo, hi in blocks([len(t) for t in raw], 4 * _BLOCK_BYTES // max(4, len(model.languages))):
-            shares.append(mixtures(*word_likelihoods(model, raw[lo:hi]), hi - lo))
+        sizes = [n or 0 for n in pc.binary_length(column).to_pylist()]
+        for lo, hi in blocks(sizes, 4 * _BLOCK_BYTES // max(4, len(model.languages))):
+            raw = [t or b"" for t in texts(column.slice(lo, hi - lo))]
+            shares.append(mixtures(*word_likelihoods(model, raw), hi - lo))
         share = np.concatenate(shares)
         known = share.sum(axis=1) > 0
-        top = share.argmax(axis=1) if len(model.languages) else np.zeros(len(raw), np.int64)
+        top = share.argmax(axis=1) if len(model.languages) else np.zeros(len(column), np.int64)
         names = [model.languages[i] if k else UNDETERMINED for i, k in zip(top, known)]
         score = np.where(known, share.max(axis=1, initial=0.0), 0.0).clip(0.0, 1.0)
         sets = [[(model.languages[i], float(row[i])) for i in np.flatnonzero(row)] for row in share]

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from bisect import bisect_left, insort
 from collections.abc import Iterator, Mapping
+from functools import lru_cache
 from struct import pack as pack_ids
 from typing import NamedTuple
 from zlib import crc32
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from tidewatch.llm.batches import texts
+from tidewatch.llm.batches import each_text
 from tidewatch.llm.tables import store
 
 CAPACITY = 4096
@@ -28,7 +29,7 @@ END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 #: Pieces of one length that are ranked together, on average over the lengths' salted groups.
 RANK_GROUP_ROWS = 20_000
-_CACHED_WORDS = 350_000
+CACHED_WORDS = 350_000
 _CACHED_LENGTH = 64
 
 
@@ -36,13 +37,14 @@ class WordIds(dict):
     """Token ids of words as little-endian 32-bit numbers, kept within a bound.
 
     The tokenizer drops white space and never joins over it, so a text's ids
-    are those of its words one after another. When ``_CACHED_WORDS`` are known
+    are those of its words one after another. When ``most`` words are known
     they become the older generation, of which words that are met again return.
     """
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, most: int = CACHED_WORDS) -> None:
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.most = most
         self.older: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
@@ -51,7 +53,7 @@ class WordIds(dict):
             ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
             packed = pack_ids(f"<{len(ids)}I", *ids)
         if len(word) <= _CACHED_LENGTH:
-            if len(self) >= _CACHED_WORDS:
+            if len(self) >= self.most:
                 self.older = dict(self)
                 self.clear()
             self[word] = packed
@@ -61,33 +63,30 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, text.split()))
 
 
-_LOADED: dict[str, WordIds] = {}
-
-
-def word_ids(path: str) -> WordIds:
+@lru_cache
+def word_ids(path: str, most: int) -> WordIds:
     """One tokenizer and cache per Python worker."""
-    if path not in _LOADED:
-        _LOADED[path] = WordIds(path)
-    return _LOADED[path]
+    return WordIds(path, most)
 
 
 def tokenize_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
-                    tokenizer: str | None = None, with_ids: bool = True) -> DataFrame:
+                    tokenizer: str | None = None, with_ids: bool = True, cached_words: int = CACHED_WORDS) -> DataFrame:
     """(key, piece, start, length, ids_crc32[, ids]): every whole text's ids and an end id, cut where longer than ``capacity``.
 
     A null or empty text has the end id alone. Repeated rows and null keys give
     pieces of their own; further columns are dropped. ``ids`` holds the piece's
-    ids; leave it out where only the places are wanted.
+    ids; leave it out where only the places are wanted. ``cached_words`` is what a
+    Python worker remembers, at some 200 bytes a word, twice over; it changes time and memory alone.
     """
     path = tokenizer or public_tokenizers.path(TOKENIZER)
     step = 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_ids(path)
+        words = word_ids(path, cached_words)
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             row, number, at, size, check, bodies = [], [], [], [], [], []
-            for i, body in enumerate(texts(batch.column(1))):
+            for i, body in enumerate(each_text(batch.column(1))):
                 ids = words.encode(body or b"") + end
                 for lo in range(0, len(ids), step):
                     part = ids[lo:lo + step]
@@ -205,13 +204,14 @@ def assign(pieces: DataFrame, key: str = "doc_id", capacity: int = CAPACITY) ->
 
 
 def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
-         tokenizer: str | None = None, with_ids: bool = False) -> DataFrame:
+         tokenizer: str | None = None, with_ids: bool = False, cached_words: int = CACHED_WORDS) -> DataFrame:
     """Pieces of every document with their place in a sequence of at most ``capacity`` ids.
 
     See :func:`tokenize_pieces` for nulls, repeated rows and further columns. An
     empty table gives no piece.
     """
-    return assign(store(tokenize_pieces(docs, key, text, capacity, tokenizer, with_ids), "pieces").df, key, capacity)
+    pieces = tokenize_pieces(docs, key, text, capacity, tokenizer, with_ids, cached_words)
+    return assign(store(pieces, "pieces").df, key, capacity)
 
 
 def sequences(placed: DataFrame) -> DataFrame:

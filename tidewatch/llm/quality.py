@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewatch.llm.batches import texts
+from tidewatch.llm.batches import each_text
 
 WINDOW = 5
 SYMBOLS = b"#*$%&|<>"
@@ -97,7 +97,7 @@ def measured(text: Column) -> Column:
 
     @F.arrow_udf(f"struct<{kind}>")
     def run(column: pa.Array) -> pa.Array:
-        rows = np.array([measure(t) for t in texts(column)], np.int64).reshape(-1, len(MEASURES))
+        rows = np.array([measure(t) for t in each_text(column)], np.int64).reshape(-1, len(MEASURES))
         return pa.StructArray.from_arrays([pa.array(c) for c in rows.T], list(MEASURES))
 
     return run.asNondeterministic()(text)  # else a filter on it evaluates it a second time

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from tidewatch.llm.batches import texts
+from tidewatch.llm.batches import each_text
 from tidewatch.llm.components import components
 from tidewatch.llm.tables import store
 
@@ -59,7 +59,7 @@ def fingerprinted(text: Column) -> Column:
     """The fingerprint of each whole text, as a signed 64-bit number."""
     @F.arrow_udf("long")
     def run(column: pa.Array) -> pa.Array:
-        return pa.array(np.array([fingerprint(t) for t in texts(column)], np.uint64).view(np.int64))
+        return pa.array(np.array([fingerprint(t) for t in each_text(column)], np.uint64).view(np.int64))
 
     return run(text)
 
