@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidewatch.llm import langid, packing, quality, simhash
 from tidewatch.llm.tables import store
 
+LEAST_SHARE = 0.35
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the default policy of the rule ledger; a null or empty text does not."""
@@ -16,11 +18,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with one main language, found by a mixture model learned from the stage's own labelled rows.
 
-    Goes: a text without letters, and one of which no language makes up half.
+    Goes: a text without letters, and one of which no language makes up ``LEAST_SHARE``;
+    a text with a foreign passage or two stays.
     Where no row has a language there is nothing to judge by, and all stay.
     """
     model = langid.fit(docs.where(langid.teachable(F.col("doc_id"))))
-    return langid.keep_identified(docs, model) if model.languages else docs
+    return langid.keep_identified(docs, model, LEAST_SHARE) if model.languages else docs
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

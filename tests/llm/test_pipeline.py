@@ -27,7 +27,7 @@ def test_stages_one_by_one(spark, sf_dir):
 
     second = by_name["language"](spark, first, sf_dir).cache()
     model = langid.fit(first.where(langid.teachable(F.col("doc_id"))))
-    stay = {r.doc_id for r in langid.identify(first, model).collect() if r.lang_pred != "und" and r.score >= 0.5}
+    stay = {r.doc_id for r in langid.identify(first, model).collect() if r.lang_pred != "und" and r.score >= corpus_pipeline.LEAST_SHARE}
     assert {r.doc_id for r in second.collect()} == stay and second.columns == docs.columns
 
     third = by_name["near_duplicates"](spark, second, sf_dir).cache()
