@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -101,39 +100,41 @@ MODEL_SCHEMA = (
 )
 
 
-def _solve(row, alpha: float) -> tuple:
-    k = len(FEATURES)
-    s = np.asarray(row.sums, dtype=float) / row.n
-    upper = np.zeros((k + 1, k + 1))
-    upper[np.triu_indices(k + 1)] = row.products
-    moment = upper + np.triu(upper, 1).T
-    cov = moment / row.n - np.outer(s, s)
-    var = np.clip(np.diag(cov), 0.0, None)
-    tiny = 1e-12 * np.maximum(1.0, np.diag(moment) / row.n)
-    scale = np.where(var > tiny, np.sqrt(var), 1.0)
-    standard = cov / np.outer(scale, scale) * row.n
-    weights = np.linalg.solve(standard[:k, :k] + alpha * np.eye(k), standard[:k, k])
-    beta = weights * scale[k] / scale[:k]
-    residual = cov[k, k] - 2 * beta @ cov[:k, k] + beta @ cov[:k, :k] @ beta
-    offset = np.array([0.0 if c in ("w_std", "w_trend") else row.centre for c in (*FEATURES, "target")])
-    mean = s + offset
-    return (
-        row.series_id, int(row.n), mean[:k].tolist(), scale[:k].tolist(), float(mean[k]), float(scale[k]),
-        weights.tolist(), float(np.sqrt(max(residual, 0.0))),
-    )
-
-
-def fit_models(series: DataFrame, solve_one: Callable[[Any], tuple], window: int = WINDOW) -> DataFrame:
-    """Fit any linear model per series from its moments; ``solve_one`` maps a moments row to a model row."""
+def _solve(rows: pd.DataFrame, alpha: float) -> pd.DataFrame:
+    """Models of all series of a batch at once: one stacked solve of their 14 x 14 systems."""
+    k, n = len(FEATURES), rows["n"].to_numpy(float)[:, None]
+    s = np.vstack(rows["sums"]) / n
+    moment = np.zeros((len(rows), k + 1, k + 1))
+    first, second = np.triu_indices(k + 1)
+    moment[:, first, second] = moment[:, second, first] = np.vstack(rows["products"])
+    moment /= n[:, :, None]
+    cov = moment - s[:, :, None] * s[:, None, :]
+    square = np.diagonal(moment, axis1=1, axis2=2)
+    var = np.clip(np.diagonal(cov, axis1=1, axis2=2), 0.0, None)
+    scale = np.where(var > 1e-12 * np.maximum(1.0, square), np.sqrt(var), 1.0)
+    standard = cov / (scale[:, :, None] * scale[:, None, :]) * n[:, :, None]
+    weights = np.linalg.solve(standard[:, :k, :k] + alpha * np.eye(k), standard[:, :k, k:])[:, :, 0]
+    beta = weights * scale[:, k:] / scale[:, :k]
+    residual = cov[:, k, k] - 2 * (beta * cov[:, :k, k]).sum(1) + np.einsum("si,sij,sj->s", beta, cov[:, :k, :k], beta)
+    moved = np.array([c not in ("w_std", "w_trend") for c in (*FEATURES, "target")])
+    mean = s + rows["centre"].to_numpy()[:, None] * moved
+    return pd.DataFrame({
+        "series_id": rows["series_id"], "n": rows["n"], "x_mean": list(mean[:, :k]), "x_scale": list(scale[:, :k]),
+        "y_mean": mean[:, k], "y_scale": scale[:, k], "weights": list(weights), "residual_std": np.sqrt(np.maximum(residual, 0.0)),
+    })
+
+
+def fit_models(series: DataFrame, solve: Callable[[pd.DataFrame], pd.DataFrame], window: int = WINDOW) -> DataFrame:
+    """Fit any linear model per series from its moments; ``solve`` maps rows of moments to rows of ``MODEL_SCHEMA``."""
     centre = series.groupBy("series_id").agg(F.avg("value").alias("centre"))
     moments = gram(window_features(series, window), centre)
 
-    def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        names = [c.split()[0] for c in MODEL_SCHEMA.split(", ")]
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame([solve_one(r) for r in batch.itertuples()], columns=names)
+            if len(batch):
+                yield solve(batch)
 
-    return moments.mapInPandas(solve, MODEL_SCHEMA)
+    return moments.mapInPandas(run, MODEL_SCHEMA)
 
 
 def ridge_fit(series: DataFrame, window: int = WINDOW, alpha: float = ALPHA) -> DataFrame:
@@ -142,7 +143,7 @@ def ridge_fit(series: DataFrame, window: int = WINDOW, alpha: float = ALPHA) ->
     Spark sums the moments; only the 14 x 14 system of each series is solved in
     a task, so no task ever holds a series.
     """
-    return fit_models(series, lambda row: _solve(row, alpha), window)
+    return fit_models(series, lambda rows: _solve(rows, alpha), window)
 
 
 def recent_values(series: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from tidewatch.functions import hooks
@@ -61,10 +62,13 @@ SELECT series_id, count(*) AS n, {rnd('avg(value)', 6)} AS level FROM ({SQL_SERI
 def ext_series_model(spark, d):
     """A constant-level model: the mean target, no weights."""
 
-    def level(row) -> tuple:
+    def level(rows: pd.DataFrame) -> pd.DataFrame:
         k = len(FC.FEATURES)
-        mean = row.sums[k] / row.n + row.centre
-        return row.series_id, int(row.n), [0.0] * k, [1.0] * k, mean, 1.0, [0.0] * k, 0.0
+        none, ones = [np.zeros(k)] * len(rows), [np.ones(k)] * len(rows)
+        mean = np.vstack(rows["sums"])[:, k] / rows["n"] + rows["centre"]
+        return pd.DataFrame({
+            "series_id": rows["series_id"], "n": rows["n"], "x_mean": none, "x_scale": ones, "y_mean": mean, "y_scale": 1.0,
+            "weights": none, "residual_std": 0.0})
 
     models = FC.fit_models(hourly_series(spark, d), level)
     return models.select("series_id", "n", exact_round(F.col("y_mean"), 6).alias("level"))
