@@ -29,8 +29,10 @@ END_ID = 1
 TOKENIZER = "word_bpe_49k.json"
 #: Pieces of one length that are ranked together, on average over the lengths' salted groups.
 RANK_GROUP_ROWS = 20_000
-CACHED_WORDS = 350_000
+CACHED_WORDS = 250_000
 _CACHED_LENGTH = 64
+_ENDS = frozenset((b".", b","))
+_PLAIN = frozenset(bytes([c]) for c in range(128) if chr(c).isalnum())
 
 
 class WordIds(dict):
@@ -48,6 +50,12 @@ class WordIds(dict):
         self.older: dict[bytes, bytes] = {}
 
     def __missing__(self, word: bytes) -> bytes:
+        # a full stop or comma after a letter or digit is a token of its own, and case does not count;
+        # such forms are put together each time, so that the bound goes further
+        if word[-1:] in _ENDS and word[-2:-1] in _PLAIN:
+            return self[word[:-1]] + self[word[-1:]]
+        if word.isascii() and b"<|" not in word and (low := word.lower()) != word:
+            return self[low]
         packed = self.older.get(word)
         if packed is None:
             ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
