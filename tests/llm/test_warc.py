@@ -44,6 +44,17 @@ def test_round_trip(spark, tmp_path):
     assert sorted(((r.key, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to, bytes(r.payload)) for r in got), key=str) == sorted(expected, key=str)
 
 
+def test_long_urls_come_through(spark, tmp_path):
+    rows = [(1, "http://h/" + "a b\n" * 100_000, BIG), (2, "http://h/" + "é" * 5_000_000, "short"), (3, "http://h/x", "other")]
+    write(spark, rows, tmp_path / "u")
+    got = warc.read_archives(spark, str(tmp_path / "u")).collect()
+    assert sorted((r.key, r.target_uri, bytes(r.payload).decode()) for r in got) == [
+        (str(k), u.replace(" ", "%20").replace("\n", "%0A"), h) for k, u, h in rows]
+    plain = warc.record("k", "http://h/" + "x" * 300_000, b"body", "d", None)
+    assert read(plain + plain)[0] == ["<urn:page:id:k>"] * 2
+    assert read(plain[:200_000])[1] == [(0, 200_000, "cut off record")]
+
+
 def test_empty_and_repeated(spark, tmp_path):
     write(spark, [], tmp_path / "e")
     assert warc.read_archives(spark, str(tmp_path / "e")).count() == 0

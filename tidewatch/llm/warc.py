@@ -152,10 +152,13 @@ def _inflate(data: memoryview, at: int) -> tuple[bytes, int]:
 def _parse(content: bytes | memoryview, at: int = 0) -> tuple[dict[str, str], bytes, int]:
     """Headers, block and end of the record at ``at``; every check that the record allows is made."""
     view = memoryview(content)
-    head = bytes(view[at:at + _FEED])
-    stop = head.find(_END)
-    if not _VERSION_LINE.match(head) or stop < 0:
+    if not _VERSION_LINE.match(bytes(view[at:at + 16])):
         raise Damaged("no version line")
+    reach = _FEED
+    while (stop := (head := bytes(view[at:at + reach])).find(_END)) < 0:
+        if at + reach >= len(view):
+            raise Short("cut off record")
+        reach *= 4
     headers = {}
     for line in head[:stop].split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")
