@@ -138,3 +138,37 @@ def test_gaps_are_logged(spark, tmp_path):
     rows = warc.read_archives(spark, str(tmp_path / "h"))
     assert rows.where("record_type IS NOT NULL").count() == len(members) - 1
     assert rows.where("record_type IS NULL").select("offset", "length").collect() == [(members[1].offset, members[1].length)]
+
+
+def names_of(data):
+    return read(data)[0]
+
+
+@pytest.mark.parametrize("level", [0, 6])
+def test_members_with_many_records(level):
+    """An archive compressed as a whole, in blocks that cut through records, and with damage inside and outside."""
+    records = [warc.record(str(i), f"http://h/{i}", random.Random(i).randbytes(30_000).hex().encode(), "d", None) for i in range(12)]
+    names = [f"<urn:page:id:{i}>" for i in range(12)]
+    plain = b"".join(records)
+    whole = gzip.compress(plain, level)
+    one = warc.members(records[0])
+    found = list(warc.salvage(one + whole))
+    assert names_of(one + whole) == [names[0]] + names and not [f for f in found if not f.headers]
+    assert [(f.offset, f.length) for f in found[1:]] == [(len(one), 0)] * 11 + [(len(one), len(whole))]
+    blocks = [gzip.compress(plain[lo:lo + 50_000], level) for lo in range(0, len(plain), 50_000)]
+    assert names_of(b"".join(blocks)) == names
+
+    inside = bytearray(plain)
+    inside[len(records[0]) + 1_000] ^= 1
+    assert names_of(gzip.compress(bytes(inside), level)) == names[:1] + names[2:]
+    assert sum(f.headers is None for f in warc.salvage(gzip.compress(bytes(inside), level))) == 1
+
+    cut = whole[:len(whole) * 3 // 4]
+    assert names[:8] == names_of(cut)[:8] and names_of(cut + one)[-1] == names[0]
+    assert [(f.offset, f.length) for f in warc.salvage(cut + one) if not f.headers] == [(0, len(cut))]
+    broken = bytearray(whole)
+    broken[len(whole) * 3 // 4:len(whole) * 3 // 4 + 40] = b"\xff" * 40
+    assert names_of(bytes(broken))[:8] == names[:8] and len(set(names_of(bytes(broken)))) == len(names_of(bytes(broken)))
+    blocks[5] = blocks[5][:40] + b"\xff" * 20 + blocks[5][60:]
+    lost = {i for i in range(12) if sum(map(len, records[:i])) < 300_000 and sum(map(len, records[:i + 1])) > 250_000}
+    assert {n for i, n in enumerate(names) if i not in lost} <= set(names_of(b"".join(blocks)))

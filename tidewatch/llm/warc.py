@@ -2,7 +2,8 @@
 
 The reader checks every record. After a failed check it looks for the next member
 or version line at which a whole valid record starts, goes on from there, and
-reports the bytes between as a quarantined gap.
+reports the bytes between as a quarantined gap. Members are searched in the
+same way after they are unpacked, as far as that goes.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from typing import NamedTuple
 from urllib.parse import quote, unquote
@@ -134,19 +136,26 @@ class Damaged(ValueError):
     """No whole valid record starts here."""
 
 
-def _inflate(data: memoryview, at: int) -> tuple[bytes, int]:
-    """One gzip member's content, checksum verified, and where it ends."""
+def _inflate(data: memoryview, at: int) -> tuple[bytes, int, str]:
+    """A gzip member's content as far as it can be read, where that ends, and what is wrong: nothing if its checksum holds."""
     unpacker, out, to = zlib.decompressobj(31), [], at
     try:
         while not unpacker.eof:
             if to >= len(data):
-                raise Damaged("cut off member")
-            part = data[to:to + _FEED]
-            out.append(unpacker.decompress(part))
-            to += len(part)
-    except zlib.error as error:
-        raise Damaged("broken member") from error
-    return b"".join(out), to - len(unpacker.unused_data)
+                return b"".join(out), to, "cut off member"
+            out.append(unpacker.decompress(data[to:to + _FEED]))
+            to = min(to + _FEED, len(data))
+    except zlib.error:
+        again = zlib.decompressobj(31)
+        for lo in range(at, to, _FEED):
+            again.decompress(data[lo:lo + _FEED])
+        try:
+            while True:  # byte by byte, as a failed call gives nothing
+                out.append(again.decompress(data[to:to + 1]))
+                to += 1
+        except zlib.error:
+            return b"".join(out), to, "broken member"
+    return b"".join(out), to - len(unpacker.unused_data), ""
 
 
 def _parse(content: bytes | memoryview, at: int = 0) -> tuple[dict[str, str], bytes, int]:
@@ -157,7 +166,7 @@ def _parse(content: bytes | memoryview, at: int = 0) -> tuple[dict[str, str], by
     reach = _FEED
     while (stop := (head := bytes(view[at:at + reach])).find(_END)) < 0:
         if at + reach >= len(view):
-            raise Short("cut off record")
+            raise Short("cut off record", max(1, len(view) - at))
         reach *= 4
     headers = {}
     for line in head[:stop].split(b"\r\n")[1:]:
@@ -171,7 +180,7 @@ def _parse(content: bytes | memoryview, at: int = 0) -> tuple[dict[str, str], by
     start = at + stop + len(_END)
     end = start + int(size)
     if end + len(_END) > len(view):
-        raise Short("cut off record")
+        raise Short("cut off record", end + len(_END) - len(view))
     if view[end:end + len(_END)] != _END:
         raise Damaged("wrong length")
     block = bytes(view[start:end])
@@ -182,55 +191,138 @@ def _parse(content: bytes | memoryview, at: int = 0) -> tuple[dict[str, str], by
 
 
 class Short(Damaged):
-    """The record goes on after the bytes at hand."""
+    """The record goes on after the bytes at hand, for ``missing`` bytes at least."""
+
+    def __init__(self, reason: str, missing: int) -> None:
+        super().__init__(reason)
+        self.missing = missing
+
+
+class _End(NamedTuple):
+    """Where to read on after a member; ``wrong`` says what is wrong with it, ``lost`` where its unread bytes start."""
+
+    at: int
+    wrong: str
+    lost: int
+    read: int
+
+
+def _unpacked(data: memoryview, at: int) -> Iterator[Found | _End]:
+    """What the gzip member at ``at`` holds, and those after it that go on with its last record; at last an ``_End``."""
+    content, end, wrong = _inflate(data, at)
+    base, pos, bad, held = 0, 0, None, None
+    spans = [(0, at)]  # of each member: where its content starts, and where it starts itself
+
+    def offset(place: int) -> int:
+        return spans[bisect_right(spans, place, key=lambda s: s[0]) - 1][1]
 
+    def until(item: Found | None, to: int) -> list[Found]:
+        return [] if item is None else [item._replace(length=to - item.offset)]
 
-def _at(data: memoryview, at: int) -> tuple[dict[str, str], bytes, int]:
-    if data[at:at + 3] != _MAGIC:
-        return _parse(data, at)
-    content, end = _inflate(data, at)
-    while True:
+    while pos < len(content):
         try:
-            headers, block, used = _parse(content)
-        except Short:
-            if data[end:end + 3] != _MAGIC:
-                raise
-            more, end = _inflate(data, end)  # a long record over several members
-            if more.startswith(_VERSION):
-                raise
-            content += more
+            headers, block, used = _parse(content, pos)
+        except Short as error:
+            more, missing, filled = [], error.missing, base + len(content)
+            while missing > 0 and not wrong and data[end:end + 3] == _MAGIC:
+                part, further, next_wrong = _inflate(data, end)
+                if part.startswith(_VERSION):
+                    break
+                spans.append((filled, end))
+                end, wrong = further, next_wrong
+                more.append(part)
+                filled += len(part)
+                missing -= len(part)
+            if more:
+                content, base, pos = content[pos:] + b"".join(more), base + pos, 0
+                continue
+            reason = str(error)
+        except Damaged as error:
+            reason = str(error)
+        else:
+            if wrong and held is None and bad is None and used == len(content):
+                break  # nothing but this record, and the damage is in it
+            if bad is not None:
+                yield from until(held, offset(bad[0]))
+                held = Found(offset(bad[0]), 0, None, b"", bad[1])
+            yield from until(held, offset(base + pos))
+            held = Found(offset(base + pos), 0, headers, block, "")
+            pos, bad = used, None
             continue
-        if used != len(content):
-            raise Damaged("more than a record")
-        return headers, block, end
+        bad = bad or (base + pos, reason)
+        pos = content.find(_VERSION, pos + 1)
+        pos = pos if pos >= 0 else len(content)
+    if wrong:
+        lost = at if held is None else offset(bad[0]) if bad else spans[-1][1]
+        yield from until(held, lost)
+        yield _End(spans[-1][1] + 1, wrong, lost, end)
+        return
+    if bad is not None or not content:
+        start, reason = bad or (0, "no version line")
+        yield from until(held, offset(start))
+        held = Found(offset(start), 0, None, b"", reason)
+    yield from until(held, end)
+    yield _End(end, "", end, end)
 
 
 def salvage(data: bytes) -> Iterator[Found]:
-    """All valid records of an archive, plain or compressed, and the gaps between them, in order."""
-    view, at, bad = memoryview(data), 0, ("", 0)
-    gap = None
+    """All valid records of an archive, plain or compressed, and the gaps between them, in order.
+
+    A gzip member may hold any number of records, and a record may go over
+    several members. The offset is that of the member in which the record or gap
+    starts, and the length reaches to the next one's offset: of several in one
+    member only the last has a length, and all lengths add up to the archive's.
+    Of a member that is cut off or broken the records that pass their checks are
+    kept, and the rest is a gap; no checksum vouches for those records' headers.
+    If it holds one record and nothing else, that one is damaged and not kept.
+    """
+    view, at, gap, why = memoryview(data), 0, None, ""
+    told, until = set(), 0  # what was read from a damaged member, whose bytes are searched once more
     while at < len(data):
-        try:
-            headers, block, end = _at(view, at)
-        except Damaged as error:
+        if view[at:at + 3] == _MAGIC:
+            names = set()
+            for item in _unpacked(view, at):
+                if isinstance(item, _End):
+                    break
+                if gap is not None:
+                    yield Found(gap, at - gap, None, b"", why)
+                    gap = None
+                if item.headers is not None:
+                    names.add((item.headers["warc-record-id"], len(item.block)))
+                yield item
+            at = item.at
+            if not item.wrong:
+                continue
             if gap is None:
-                gap, bad = at, (str(error), at)
-            nexts = [p for p in (data.find(_MAGIC, at + 1), data.find(_VERSION, at + 1)) if p >= 0]
-            at = min(nexts, default=len(data))
-            continue
-        if gap is not None:
-            yield Found(gap, at - gap, None, b"", bad[0])
-            gap = None
-        yield Found(at, end - at, headers, block, "")
-        at = end
+                gap, why = item.lost, item.wrong
+            told, until = (told if item.read <= until else set()) | names, max(until, item.read)
+        else:
+            try:
+                headers, block, end = _parse(view, at)
+            except Damaged as error:
+                if gap is None:
+                    gap, why = at, str(error)
+                at += 1
+            else:
+                if at < until and (headers["warc-record-id"], len(block)) in told:
+                    at = end  # stored without compression, and told already
+                    continue
+                if gap is not None:
+                    yield Found(gap, at - gap, None, b"", why)
+                    gap = None
+                yield Found(at, end - at, headers, block, "")
+                at = end
+                continue
+        nexts = [p for p in (data.find(_MAGIC, at), data.find(_VERSION, at)) if p >= 0]
+        at = min(nexts, default=len(data))
     if gap is not None:
-        yield Found(gap, len(data) - gap, None, b"", bad[0])
+        yield Found(gap, len(data) - gap, None, b"", why)
 
 
 def read_archives(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
     """Everything in the archives below ``path``: a row per record and a row per quarantined gap.
 
-    Columns: file, offset, length (bytes in the file), record_type (null for a
+    Columns: file, offset, length (bytes in the file, see :func:`salvage`), record_type (null for a
     gap), record_id, key, target_uri, payload_bytes, payload_digest, refers_to,
     reason (of a gap) and, if wanted, payload. Length and digest are those of the
     full payload: of a response computed, of a revisit as it states them. An
