@@ -81,3 +81,23 @@ def test_unknown_types_and_labels_are_refused(spark, tmp_path):
     # both have one source and text, so the second is a repeat of the first
     assert [r.reject_reason for r in spark.read.parquet(f"{target}/quarantine").collect()] in (
         ["no adapter for this kind"], ["classification not in the vocabulary"])
+
+
+def test_refused_copy_does_not_hide_a_corrected_one(spark, tmp_path):
+    """In one batch and over batches; every refused row is stored, and the earliest of accepted copies."""
+    folder, target, ckpt = tmp_path / "in", str(tmp_path / "out"), str(tmp_path / "ckpt")
+    text = "ALPHA moved to the north"
+    wrong = {**message("a", text), "source_type": "carrier_pigeon"}
+    undated = {**message("a", text), "metadata": {}}
+    late = {**message("b", text), "metadata": {"received_at": "2025-01-01 00:00:00"}}
+    for name, rows in (("1.json", [wrong, undated, wrong]), ("2.json", [wrong, message("a", text), late, message("b", text)]),
+                       ("3.json", [wrong, late, message("a", text)])):
+        land(folder, name, rows)
+        P.ingest_stream(stream(spark, folder), target, ckpt).awaitTermination()
+    events = spark.read.parquet(f"{target}/events").select("source_id", "raw_text", F.col("event_time").cast("string"), "batch_id").collect()
+    assert sorted(map(tuple, events)) == [("a", text, "2024-01-01 00:00:00", 1), ("b", text, "2024-01-01 00:00:00", 1)]
+    refused = spark.read.parquet(f"{target}/quarantine").withColumn("copies", F.lit(1)).select("batch_id", "reject_reason", "copies").union(
+        spark.read.parquet(f"{target}/quarantine_repeats").select("batch_id", "reject_reason", "copies"))
+    found = refused.groupBy("batch_id", "reject_reason").agg(F.sum("copies")).collect()
+    assert sorted(map(tuple, found)) == [(0, "no adapter for this kind", 2), (0, "no usable receive time", 1),
+                                         (1, "no adapter for this kind", 1), (2, "no adapter for this kind", 1)]

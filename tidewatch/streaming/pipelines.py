@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.functions import text as X
@@ -13,6 +13,8 @@ from tidewatch.operators.extract import UNKNOWN_KIND, normalize_signals
 from tidewatch.operators.ingest import first_per_key, validate_raw_events
 from tidewatch.schema import STREAM_SOURCE_TYPES
 
+DEFAULT_CLASSIFICATION = "SECRET"
+
 
 def write_stream(df: DataFrame, path: str, checkpoint: str, mode: str = "append", continuous: str | None = None) -> StreamingQuery:
     """Start a Parquet sink; without an interval it drains what is available and stops."""
@@ -68,6 +70,26 @@ def _checked(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good.filter(known), bad.unionByName(unknown)
 
 
+def _sorted_out(raw: DataFrame, default_classification: str) -> tuple[DataFrame, DataFrame]:
+    """Normalised events with their fingerprints, and refused rows with a reason; repeats are in both."""
+    good, bad = _checked(raw)
+    done = normalize_signals(good, default_classification=default_classification, keep=["source_type", "metadata"])
+    names = ["source_id", "raw_text", "reject_reason"]
+    return done.accepted, bad.select(*names).unionByName(done.rejected.select(*names))
+
+
+def _quarantine(refused: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """One refused row of each (source, text), and the others counted per reason; without source or text every row is its own."""
+    whole = F.col("source_id").isNotNull() & F.col("raw_text").isNotNull()
+    counted = refused.where(whole).groupBy("source_id", "raw_text", "reject_reason").agg(F.count(F.lit(1)).alias("copies"))
+    order = W.partitionBy("source_id", "raw_text").orderBy("reject_reason")
+    first = F.row_number().over(order) == 1
+    ranked = counted.withColumn("_first", first)
+    firsts = ranked.where("_first").select(*refused.columns)
+    repeats = ranked.withColumn("copies", F.col("copies") - F.col("_first").cast("long")).where("copies > 0").drop("_first")
+    return firsts.unionByName(refused.where(~whole)), repeats
+
+
 def entity_id() -> Column:
     """The same id for the same name and type in every batch."""
     return F.sha2(F.concat_ws("\n", "entity_type", "name"), 256)
@@ -83,20 +105,24 @@ def embedded(events: DataFrame) -> DataFrame:
     return hashed_embedding(events, "event_id", "normalized_text")
 
 
-def persist_batch(raw: DataFrame, batch_id: int, target: str, default_classification: str = "SECRET",
-                  embed: Callable[[DataFrame], DataFrame] = embedded) -> None:
-    """Validate, normalise and store one micro-batch, whose repeats within it are dropped.
+def persist_batch(raw: DataFrame, batch_id: int, target: str, default_classification: str = DEFAULT_CLASSIFICATION,
+                  embed: Callable[[DataFrame], DataFrame] = embedded, fresh: DataFrame | None = None) -> None:
+    """Validate, normalise and store one micro-batch; of accepted copies within it the earliest event stays.
+
+    ``fresh`` holds the ``fingerprint`` of every event that no earlier batch has stored; without it all are.
 
     The events, entity and edge tables and the quarantine are partitions of the
     batch number that are overwritten as a whole: replaying a batch after a
     failure gives the same rows. Malformed rows go to the quarantine and never
-    stop the stream.
+    stop the stream; further copies of a refused source and text are counted per
+    reason in ``quarantine_repeats``.
     """
     spark = raw.sparkSession
     raw = raw.persist()  # events, rejects and invalid rows all start from it
-    good, bad = _checked(raw)
-    done = normalize_signals(good, default_classification=default_classification, keep=["source_type", "metadata"])
-    unique = first_per_key(done.accepted, ["fingerprint"], ["event_time", "raw_text"])
+    accepted, refused = _sorted_out(raw, default_classification)
+    if fresh is not None:
+        accepted = accepted.join(fresh, "fingerprint", "left_semi")
+    unique = first_per_key(accepted, ["fingerprint"], ["event_time", "raw_text"])
 
     def put(df: DataFrame, table: str) -> DataFrame:
         path = f"{target}/{table}/batch_id={batch_id}"
@@ -112,17 +138,27 @@ def persist_batch(raw: DataFrame, batch_id: int, target: str, default_classifica
         F.lit("MENTIONED").alias("role"), F.lit(1.0).alias("confidence"))
     put(edges.select("entity_id", "name", "entity_type").distinct(), "entities")
     put(edges, "event_entities")
-    refused = bad.select("source_id", "raw_text", "reject_reason").unionByName(
-        done.rejected.select("source_id", "raw_text", "reject_reason")
-    )
-    put(refused, "quarantine")
+    firsts, repeats = _quarantine(refused)
+    put(firsts, "quarantine")
+    put(repeats, "quarantine_repeats")
     raw.unpersist()
 
 
 def ingest_stream(raw: DataFrame, target: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Ingest a stream of raw events batch by batch; progress is committed after the batch is stored.
 
-    Repeats of earlier batches are dropped by the stream's own state, so no batch reads the store.
+    Only accepted events are remembered, so a refused message never hides a
+    corrected one, and every refused row is stored. The stream's own state tells
+    which fingerprints are new, so no batch reads the store.
     """
-    writer = fingerprint_stream(raw).drop("fingerprint").writeStream.foreachBatch(lambda df, n: persist_batch(df, n, target)).option("checkpointLocation", checkpoint)
+    new = _sorted_out(raw, DEFAULT_CLASSIFICATION)[0].select(F.col("fingerprint").alias("_fresh")).dropDuplicates(["_fresh"])
+    both = raw.withColumn("_fresh", F.lit(None).cast("string")).unionByName(new, allowMissingColumns=True)
+
+    def persist(batch: DataFrame, number: int) -> None:
+        batch = batch.persist()  # the state must not be asked twice
+        fresh = batch.where("_fresh IS NOT NULL").select(F.col("_fresh").alias("fingerprint"))
+        persist_batch(batch.where("_fresh IS NULL").drop("_fresh"), number, target, fresh=fresh)
+        batch.unpersist()
+
+    writer = both.writeStream.foreachBatch(persist).option("checkpointLocation", checkpoint)
     return writer.trigger(**({"processingTime": every} if every else {"availableNow": True})).start()
