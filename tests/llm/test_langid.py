@@ -41,6 +41,22 @@ def test_em_reaches_the_best_mixture():
     assert abs(grid[int(np.argmax(values))] - share[0, 0]) < 0.02 and total[0] > max(values) - 0.05
 
 
+def test_em_ends_at_the_maximum_for_similar_languages():
+    """Several texts of unlike speed at once, against a grid; the bound holds from any proportions."""
+    rng = np.random.default_rng(5)
+    sizes, widths = (6000, 300, 3000), (0.3, 2.0, 0.6)
+    scores = np.concatenate([np.outer(rng.normal(0.4 * w, w, n), [0.5, -0.5]) for n, w in zip(sizes, widths)])
+    scores = (scores - scores.max(axis=1, keepdims=True)).astype(np.float32)
+    of_word = np.repeat(np.arange(3), sizes)
+    fit = langid._Mixture(scores, of_word, 3)
+    share, total = fit.fit(np.ones((3, 2)))
+    most = [max(np.log(np.exp(scores[of_word == i]) @ [p, 1 - p]).sum() for p in np.linspace(0, 1, 2001)) for i in range(3)]
+    assert (total > np.array(most) - 0.1).all()
+    for start in (share, np.full((3, 2), 0.5)):
+        at = fit.sums(np.log(fit.spread(start) @ fit.ones))
+        assert (fit.bound(start, at) >= np.array(most) - 1e-2).all()
+
+
 def test_penalty_keeps_one_language():
     scores = np.zeros((50, 3), np.float32)
     scores[:, 1:] = -3

@@ -24,7 +24,9 @@ BUCKETS = 1 << 16  # as many as the hash has values
 #: Bound of the training sample: expected number of labelled texts per language.
 SAMPLE_PER_LANGUAGE = 1500
 SMOOTHING = 0.3
+#: Rounds between two looks at the log-likelihood, and the gain per look, absolute and per word, at which a fit ends.
 ROUNDS = 8
+GAIN, GAIN_PER_WORD = 1e-2, 1e-6
 #: Cost of one more language, in units of half the log of the number of words.
 PENALTY = 6.0
 #: A word's advantage is bounded, so that one odd word does not make a language.
@@ -187,15 +189,35 @@ class _Mixture:
     def sums(self, values: np.ndarray) -> np.ndarray:
         return np.add.reduceat(values, self.starts, axis=0, dtype=np.float64)
 
+    def only(self, which: np.ndarray) -> _Mixture:
+        """The same for the texts at the sorted places ``which``."""
+        rows = np.isin(self.of_word, which)
+        return _Mixture(self.scores[rows], np.searchsorted(which, self.of_word[rows]), len(which))
+
     def fit(self, allowed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Proportions over the allowed languages of each text, and their log-likelihood."""
-        share = allowed / allowed.sum(axis=1, keepdims=True)
-        for _ in range(ROUNDS):
-            joint = self.spread(share)
-            joint /= (joint @ self.ones)[:, None]
-            share = self.sums(joint) / self.count[:, None]
-        total = self.spread(share) @ self.ones
-        return share, self.sums(np.log(np.maximum(total, 1e-30)))
+        """Proportions over the allowed languages of each text, and their log-likelihood; rounds go on while it grows."""
+        shares = allowed / allowed.sum(axis=1, keepdims=True)
+        totals = np.full(len(shares), -np.inf)
+        part, left = self, np.arange(len(shares))
+        while True:
+            share = shares[left]
+            for _ in range(ROUNDS):
+                joint = part.spread(share)
+                joint /= (joint @ self.ones)[:, None]
+                share = part.sums(joint) / part.count[:, None]
+            total = part.sums(np.log(np.maximum(part.spread(share) @ self.ones, 1e-30)))
+            grows = total - totals[left] > GAIN + GAIN_PER_WORD * part.count
+            shares[left], totals[left] = share, total
+            if not grows.any():
+                return shares, totals
+            if not grows.all():
+                part, left = part.only(np.flatnonzero(grows)), left[grows]
+
+    def bound(self, share: np.ndarray, total: np.ndarray) -> np.ndarray:
+        """What the log-likelihood of no proportions exceeds, by concavity, however far the fit of ``share`` came."""
+        mix = np.maximum(self.spread(share) @ self.ones, 1e-30)
+        slope = self.sums(self.like / mix[:, None]).max(axis=1)
+        return total + self.count * np.log(np.maximum(slope / self.count, 1.0))
 
 
 def mixtures(scores: np.ndarray, of_word: np.ndarray, n_texts: int) -> np.ndarray:
@@ -203,8 +225,8 @@ def mixtures(scores: np.ndarray, of_word: np.ndarray, n_texts: int) -> np.ndarra
 
     A first fit over all languages ranks them per text. Then the sets of the
     best 1, 2, ... languages are fitted, and the set with the largest
-    log-likelihood less the penalty is taken. No set is likelier than the set of
-    all, so sets that even its likelihood would not save are left out.
+    log-likelihood less the penalty is taken. Sets that even a bound of the
+    likelihood of all proportions would not save are left out.
     """
     languages = scores.shape[1]
     chosen = np.zeros((n_texts, languages))
@@ -217,7 +239,8 @@ def mixtures(scores: np.ndarray, of_word: np.ndarray, n_texts: int) -> np.ndarra
     picked = np.zeros((len(filled), languages))
     picked[np.arange(len(filled)), single] = 1.0
     if languages > 1:
-        share, most = fit.fit(np.ones_like(picked))
+        share, total = fit.fit(np.ones_like(picked))
+        most = fit.bound(share, total)
         cost = PENALTY * 0.5 * np.log(np.maximum(fit.count, 2))
         best = alone.max(axis=1)
         doubt = np.flatnonzero(most - cost > best)
@@ -225,8 +248,7 @@ def mixtures(scores: np.ndarray, of_word: np.ndarray, n_texts: int) -> np.ndarra
             doubt = doubt[most[doubt] - cost[doubt] * (size - 1) > best[doubt]]
             if not len(doubt):
                 break
-            rows = np.isin(of_word, doubt)
-            part = _Mixture(scores[rows], np.searchsorted(doubt, of_word[rows]), len(doubt))
+            part = fit.only(doubt)
             rank = np.argsort(np.argsort(-share[doubt], axis=1, kind="stable"), axis=1, kind="stable")
             fitted, total = part.fit((rank < size).astype(np.float64))
             value = total - cost[doubt] * (size - 1)
