@@ -11,8 +11,8 @@ def test_sql(spark, sf_dir, con, name):
     assert oracle.differences(con, QUERIES[name](spark, sf_dir), ORACLES[name]) is None
 
 
-def test_all_ten_are_there():
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+def test_all_are_there():
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

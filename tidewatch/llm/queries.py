@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidewatch.llm import chat, langid, packing, pieces, quality, sharding, simhash, syncmers, urls, warc
+from tidewatch.llm import alignment, chat, extraction, langid, packing, pieces, quality, sharding, simhash, syncmers, trie, urls, warc
 from tidewatch.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -189,3 +189,30 @@ FROM fits
 def op10_glob_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict of the longest fitting rule for every page's URL."""
     return urls.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+@_register("op11_spilled_alignment")
+def op11_spilled_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's alignment between two public tokenizers, its links weighed by corpus-wide counts."""
+    return alignment.align_documents(table(spark, sf_dir, "documents")).documents
+
+
+@_register("op12_prefix_trie")
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every node of the trie of the conversations, rebuilt with shared openings."""
+    return trie.prefix_trie(trie.share_openings(trie.turn_digests(table(spark, sf_dir, "conversations"))))
+
+
+_MAIN_TEXT_SQL = r"""
+WITH inside AS (SELECT page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '<[^>]*>', ' ', 'g') AS body FROM pages),
+decoded AS (SELECT page_id, url, replace(regexp_replace(replace(replace(replace(replace(body, '&lt;', '<'), '&gt;', '>'), '&copy;', '©'),
+    '&middot;', '·'), '&quot;?', '"', 'g'), '&amp;', chr(1)) AS body FROM inside),
+plain AS (SELECT page_id, url, trim(regexp_replace(replace(regexp_replace(body, '&amp', '&', 'g'), chr(1), '&'), '[\s]+', ' ', 'g')) AS text FROM decoded)
+SELECT page_id, url, text, length(text) AS n_chars FROM plain
+"""
+
+
+@_register("op13_host_suffixes", _MAIN_TEXT_SQL)
+def op13_host_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return extraction.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
