@@ -12,6 +12,7 @@ from tokenizers import Tokenizer
 
 from conftest_llm import docs_of
 from tidewatch.llm import alignment
+from tidewatch.llm.batches import byte_alphabet
 
 ODD = ["a" * 3000, " " * 700, "\n" * 90, "^" * 90, "漢" * 60, "<|endoftext|> x", "<s>hi</s>", "<unk>", "<0x41>", "▁", "x▁y", "  two  ",
        "\t\x0b\x0c\x1c\x85\xa0z", "é ﬁ", "\0a", "😀👍🏽", "don't I'LL we've", "﻿bom", "", None]
@@ -21,7 +22,7 @@ ODD = ["a" * 3000, " " * 700, "\n" * 90, "^" * 90, "漢" * 60, "<|endoftext|> x"
 def sides():
     a = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     a.encode_special_tokens = True
-    return a, SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model")), alignment.byte_alphabet()
+    return a, SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model")), byte_alphabet()
 
 
 def brute(sides, rows):

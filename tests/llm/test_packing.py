@@ -9,7 +9,7 @@ from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from conftest_llm import docs_of
-from tidewatch.llm import packing
+from tidewatch.llm import batches, packing
 
 
 @pytest.fixture(scope="module")
@@ -24,10 +24,31 @@ WHOLE = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
 @settings(max_examples=400, deadline=None)
 @given(st.text(alphabet=st.sampled_from("aAbTS,.Σςİſ'st’1 \t\n\x0b\x1c\x85  é́漢<|endoftext|>😀."), max_size=60))
 def test_words_give_the_ids_of_the_text(text):
-    ids = np.frombuffer(WORDS.encode(text.encode()), "<u4").tolist()
+    ids = np.frombuffer(WORDS.encode([text.encode()])[0], "<u4").tolist()
     assert ids == WHOLE.encode(text, add_special_tokens=False).ids
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet=st.characters(max_codepoint=0x250, exclude_categories=["Cs"]), max_size=40))
+def test_latin_words_give_the_ids_of_the_text(text):
+    assert np.frombuffer(WORDS.encode([text.encode()])[0], "<u4").tolist() == WHOLE.encode(text, add_special_tokens=False).ids
+
+
+def test_every_token_of_the_vocabulary():
+    words, alphabet = [t.removesuffix("</w>") for t in WHOLE.get_vocab()], batches.byte_alphabet()
+    words = [w for w in (bytes(alphabet[c] for c in w).decode("utf-8", "ignore") for w in words) if w.strip()]
+    got = WORDS.encode([w.encode() for w in words])
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == [WHOLE.encode(w, add_special_tokens=False).ids for w in words]
+
+
+def test_any_other_tokenizer_reads_whole_texts(make_docs):
+    """A byte-level file keeps case and white space, so nothing may be derived from words."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = packing.pack(make_docs([(1, "Hello World. Again"), (2, None)]), tokenizer=path, with_ids=True).collect()
+    own = Tokenizer.from_file(path).encode("Hello World. Again", add_special_tokens=False).ids
+    assert {r.doc_id: list(r.ids) for r in rows} == {1: [*own, 1], 2: [1]}
+
+
 def one_by_one(lengths, capacity):
     """Best-fit decreasing on the pieces themselves; the rooms left."""
     rooms = []

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from sentencepiece import SentencePieceProcessor
 
-from tidewatch.llm.batches import blocks
+from tidewatch.llm.batches import blocks, byte_alphabet
 from tidewatch.llm.tables import store
 
 BYTE_MODEL = "byte_bpe_50k.json"
@@ -52,13 +52,6 @@ class Side(NamedTuple):
     sizes: np.ndarray
 
 
-def byte_alphabet() -> dict[str, int]:
-    """The printable characters by which byte-level vocabularies write bytes."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    other = (b for b in range(256) if b not in set(plain))
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
-
-
 def byte_side(path: str) -> Side:
     """A byte-level vocabulary file with the published pattern; ids must follow the order of its merges."""
     with open(path, encoding="utf-8") as f:

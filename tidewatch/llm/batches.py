@@ -28,3 +28,10 @@ def blocks(lengths: list[int], most: int) -> Iterator[tuple[int, int]]:
         total += n
     if start < len(lengths):
         yield start, len(lengths)
+
+
+def byte_alphabet() -> dict[str, int]:
+    """The printable characters by which byte-level vocabularies write bytes."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = sorted(set(range(256)) - set(plain))
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}

@@ -7,21 +7,25 @@ planned for their length in the order of their rank within it.
 
 from __future__ import annotations
 
+import json
+import re
 from bisect import bisect_left, insort
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from functools import lru_cache
-from struct import pack as pack_ids
 from typing import NamedTuple
 from zlib import crc32
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
+import regex
+import tiktoken
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from tidewatch.llm.batches import each_text
+from tidewatch.llm.batches import blocks, byte_alphabet, texts
 from tidewatch.llm.tables import store
 
 CAPACITY = 4096
@@ -31,44 +35,113 @@ TOKENIZER = "word_bpe_49k.json"
 RANK_GROUP_ROWS = 20_000
 CACHED_WORDS = 250_000
 _CACHED_LENGTH = 64
-_ENDS = frozenset((b".", b","))
-_PLAIN = frozenset(bytes([c]) for c in range(128) if chr(c).isalnum())
-
-
-class WordIds(dict):
-    """Token ids of words as little-endian 32-bit numbers, kept within a bound.
+_BLOCK_BYTES = 1_000_000
+
+# The normaliser and pre-tokenizer of a lower-casing word model, and the pattern of its words.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": WORD_PATTERN}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+_WORD_END = "</w>"
+#: Stands for a word's end among bytes; words of other than Latin letters, and those with control characters, take the library.
+_MARK = "\x01"
+_PLAIN = re.compile("[!-~\u00a1-\u012f\u0131-\u024f]+")
+_WORD = regex.compile(WORD_PATTERN)
+
+
+class WordModel:
+    """The merges of a lower-casing word model, as byte-pair ranks with the word's end as one more byte.
+
+    The end mark first joins the byte before it, which gives the model's own
+    letters with a word's end; then the model's merges follow in their order.
+    """
 
-    The tokenizer drops white space and never joins over it, so a text's ids
-    are those of its words one after another. When ``most`` words are known
-    they become the older generation, of which words that are met again return.
+    def __init__(self, spec: dict) -> None:
+        alphabet = byte_alphabet()
+
+        def raw(token: str) -> bytes:
+            plain = token.removesuffix(_WORD_END)
+            return bytes(map(alphabet.__getitem__, plain)) + (_MARK.encode() if plain != token else b"")
+
+        letters = {b: c for c, b in alphabet.items()}
+        vocab, merges = spec["model"]["vocab"], [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
+        ranks = {bytes([b]): b for b in range(256)}
+        ids = [vocab[letters[b]] for b in range(256)]
+        tokens = [letters[b] + _WORD_END for b in range(256) if chr(b) != _MARK] + [a + b for a, b in merges]
+        for token in tokens:
+            if raw(token) not in ranks:
+                ranks[raw(token)] = len(ids)
+                ids.append(vocab[token])
+        self.line = len(ids)  # not an id of the model
+        ranks[b"\n\n"] = self.line
+        self.ids = np.array([*ids, 0], "<u4")
+        self.coder = tiktoken.Encoding("words", pat_str=f"[^{_MARK}\n]+{_MARK}|\n\n", mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, words: Sequence[str]) -> list[bytes]:
+        """Ids of words that ``_PLAIN`` takes whole, as little-endian 32-bit numbers."""
+        text = "\n\n".join([*words, ""]).lower()
+        found = np.array(self.coder.encode_ordinary(_WORD.sub(rf"\g<0>{_MARK}", text)), np.int64)
+        at = np.flatnonzero(found == self.line)
+        packed = self.ids[found].tobytes()
+        return [packed[4 * (a + 1):4 * b] for a, b in zip([-1, *at.tolist()], at.tolist())]
+
+
+class WordIds:
+    """Token ids of texts as little-endian 32-bit numbers, from the ids of their words.
+
+    A model that drops white space and never joins over it gives a text the ids of
+    its words one after another. Such a model's words are remembered; when ``most`` are known they
+    become the older generation, of which words that are met again return. With
+    any other tokenizer file whole texts go to the library.
     """
 
     def __init__(self, path: str, most: int = CACHED_WORDS) -> None:
-        super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
+        self.library = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        model = spec["model"]
+        by_words = (spec["normalizer"], spec["pre_tokenizer"], model["type"], model["end_of_word_suffix"]) == (
+            _NORMALIZER, _PRE_TOKENIZER, "BPE", _WORD_END) and not any(
+            model.get(k) for k in ("dropout", "continuing_subword_prefix", "byte_fallback", "ignore_merges"))
+        self.model = WordModel(spec) if by_words else None
+        self.special = tuple(t["content"] for t in spec["added_tokens"])
         self.most = most
+        self.known: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
 
-    def __missing__(self, word: bytes) -> bytes:
-        # a full stop or comma after a letter or digit is a token of its own, and case does not count;
-        # such forms are put together each time, so that the bound goes further
-        if word[-1:] in _ENDS and word[-2:-1] in _PLAIN:
-            return self[word[:-1]] + self[word[-1:]]
-        if word.isascii() and b"<|" not in word and (low := word.lower()) != word:
-            return self[low]
-        packed = self.older.get(word)
-        if packed is None:
-            ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-            packed = pack_ids(f"<{len(ids)}I", *ids)
-        if len(word) <= _CACHED_LENGTH:
-            if len(self) >= self.most:
-                self.older = dict(self)
-                self.clear()
-            self[word] = packed
-        return packed
-
-    def encode(self, text: bytes) -> bytes:
-        return b"".join(map(self.__getitem__, text.split()))
+    def _by_library(self, text: bytes) -> bytes:
+        return np.array(self.library.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _fresh(self, words: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        plain, own = [], []
+        for word in words:
+            text = word.decode("utf-8", "replace")
+            if _PLAIN.fullmatch(text) and not ("<|" in text and any(s in text for s in self.special)):
+                plain.append(text)
+                own.append(word)
+            else:
+                yield word, self._by_library(word)
+        yield from zip(own, self.model.encode(plain))
+
+    def encode(self, texts: Sequence[bytes | None]) -> list[bytes]:
+        if not self.model:
+            return [self._by_library(t or b"") for t in texts]
+        split = [t.split() if t else [] for t in texts]
+        known = self.known
+        new = set().union(*split).difference(known)
+        again = new.intersection(self.older)
+        known.update((w, self.older[w]) for w in again)
+        fresh = list(new - again)
+        known.update(self._fresh(fresh))
+        out = [b"".join(map(known.__getitem__, words)) for words in split]
+        for word in fresh:
+            if len(word) > _CACHED_LENGTH:
+                del known[word]
+        if len(known) > self.most:
+            self.known, self.older = {}, known
+        return out
 
 
 @lru_cache
@@ -82,7 +155,8 @@ def tokenize_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", ca
     """(key, piece, start, length, ids_crc32[, ids]): every whole text's ids and an end id, cut where longer than ``capacity``.
 
     A null or empty text has the end id alone. Repeated rows and null keys give
-    pieces of their own; further columns are dropped. ``ids`` holds the piece's
+    pieces of their own; further columns are dropped. Any file of the tokenizers library will do, though only one of the
+    default's kind is read word by word. ``ids`` holds the piece's
     ids; leave it out where only the places are wanted. ``cached_words`` is what a
     Python worker remembers, at some 200 bytes a word, twice over; it changes time and memory alone.
     """
@@ -94,8 +168,10 @@ def tokenize_pieces(docs: DataFrame, key: str = "doc_id", text: str = "text", ca
         end = np.array([END_ID], "<u4").tobytes()
         for batch in batches:
             row, number, at, size, check, bodies = [], [], [], [], [], []
-            for i, body in enumerate(each_text(batch.column(1))):
-                ids = words.encode(body or b"") + end
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
+            coded = (ids for lo, hi in blocks(sizes, _BLOCK_BYTES) for ids in words.encode(texts(batch.column(1).slice(lo, hi - lo))))
+            for i, ids in enumerate(coded):
+                ids += end
                 for lo in range(0, len(ids), step):
                     part = ids[lo:lo + step]
                     row.append(i)
