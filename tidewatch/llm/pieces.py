@@ -31,9 +31,10 @@ from tidewatch.llm.batches import blocks
 MODEL = "piece_bpe_32k.model"
 SPACE = "▁"
 _BATCH_CHARS = 400_000
-_BLOCK_BYTES = 1_000_000
+_BLOCK_BYTES = 2_000_000
 _CACHED_SEGMENTS = 250_000
 _CACHED_LENGTH = 64
+_VERDICTS = 1 << 20
 #: No piece holds a space or a line feed inside, so texts fall apart there.
 _SEGMENT = re.compile(r"\n| +[^ \n]*|[^ \n]+")
 
@@ -72,6 +73,8 @@ class Vocabulary:
             self.whole[i] = parts is not None
             if parts:
                 self.left[i], self.right[i] = parts
+        self._seen = np.full(_VERDICTS, -1, np.int64)  # pairs by hash, the last one met of each
+        self._apart = np.zeros(_VERDICTS, bool)
 
     def _last_merge(self, piece: str, pairs: dict[tuple[int, int], int]) -> tuple[int, ...] | None:
         """The two parts from which merging makes the piece; () for a character; None if it comes out otherwise."""
@@ -111,6 +114,20 @@ class Vocabulary:
             a, b = np.where(back, self.right[a], a), np.where(back, b, self.left[b])
         return good
 
+    def fits(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The same as :meth:`compatible`; verdicts on pairs met before are remembered in a table of fixed size."""
+        pairs = a * (self.none + 1) + b
+        at = ((pairs.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)).astype(np.int64)
+        good = self._apart[at]
+        missed = np.flatnonzero(self._seen[at] != pairs)
+        if len(missed):
+            new, back = np.unique(pairs[missed], return_inverse=True)
+            verdicts = self.compatible(new // (self.none + 1), new % (self.none + 1))
+            good[missed] = verdicts[back]
+            self._seen[at[missed]] = pairs[missed]
+            self._apart[at[missed]] = good[missed]
+        return good
+
 
 def load(path: str) -> tuple[Vocabulary, SentencePieceProcessor]:
     """The vocabulary of a byte-pair model file; other normalisation than a space in front is refused."""
@@ -202,7 +219,10 @@ def encode_segments(vocabulary: Vocabulary, segments: Sequence[str]) -> list[byt
     start, piece = np.concatenate([start, lone]), np.concatenate([piece, np.full(len(lone), vocabulary.none)])
     usable = vocabulary.whole[piece]
     start, piece = start[usable], piece[usable]
-    order = np.lexsort((vocabulary.length[piece], start, inside[start]))
+    # one number per edge: how far into its segment it starts, where, and its length
+    far, wide = int(len(codes)).bit_length(), int(vocabulary.depth).bit_length()
+    edges = (((inside[start] << far) | start) << wide) | vocabulary.length[piece]
+    order = np.argsort(edges)
     start, piece = start[order], piece[order]
 
     last = np.full(len(codes) + 1, -1, np.int64)
@@ -213,8 +233,7 @@ def encode_segments(vocabulary: Vocabulary, segments: Sequence[str]) -> list[byt
             before = last[s]
             reached = before >= 0
             s, p, before = s[reached], p[reached], before[reached]
-            pairs, back = np.unique(before * (vocabulary.none + 1) + p, return_inverse=True)
-            fits = vocabulary.compatible(pairs // (vocabulary.none + 1), pairs % (vocabulary.none + 1))[back]
+            fits = vocabulary.fits(before, p)
             s, p = s[fits], p[fits]
         last[s + vocabulary.length[p]] = p
 
