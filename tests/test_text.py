@@ -3,14 +3,15 @@
 import datetime as dt
 import json
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidewatch.functions import text as X
+from tidewatch.functions import lexemes as L, text as X
 from tidewatch.functions.vector import hashed_embedding
 from tidewatch.operators import extract as E
-from tidewatch.plans import retrieval as R
+from tidewatch.plans import retrieval as R, textsearch as TS
 from tidewatch.sources import layout, readers
 
 SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0       　"
@@ -166,7 +167,7 @@ def brute_bm25(docs, question):
     ]
 
 
-def test_bm25_and_keyword_search(spark):
+def test_bm25(spark):
     docs = spark.createDataFrame(list(enumerate(CORPUS)), "id bigint, t string")
     asked = spark.createDataFrame(list(enumerate(QUESTIONS)), "q bigint, question string")
     index = R.bm25_index(docs, key="id", text="t")
@@ -175,8 +176,58 @@ def test_bm25_and_keyword_search(spark):
     assert got.keys() == want.keys()
     for key, score in want.items():
         assert got[key] == pytest.approx(score)
-    found = R.keyword_search(index, asked, key="id", query="q", text="question").collect()
-    assert sorted((r.q, r.id) for r in found) == [(0, 0), (1, 1), (1, 4)]
+
+
+PAPERS = ["The ships sailed, and the crews were singing songs of ships.", "Nothing here", None, "", "the of and",
+          "Crew one. A ship; then nine other words stand between it and what the sailors call a crew", "ship crew ship crew ship",
+          "Ünïcode ships crew2 and crew", "crews " * 3000 + "ship"]
+SEARCHES = ["ship crew", "The SHIPS of crews!", "the and", "", None, "sang", "ships singing nothing", "crews"]
+
+
+def plain_terms(text):
+    return [(i, w) for i, w in enumerate(re.findall(r"[^\W_]+", (text or "").lower()), 1) if w not in L.STOP_WORDS]
+
+
+def brute_covers(places, wanted):
+    """Score of the places {place: term} of one text, by trying all stretches."""
+    hits = [(p, t) for p, t in sorted(places.items()) if t in wanted]
+    full = [(a, b) for a in range(len(hits)) for b in range(a, len(hits)) if {t for _, t in hits[a:b + 1]} == wanted]
+    best = [(a, b) for a, b in full if not any((c, d) != (a, b) and a <= c and d <= b for c, d in full)]
+    return sum(0.1 / (1 + hits[b][0] - hits[a][0] - (b - a)) for a, b in best)
+
+
+def test_text_search_by_cover_density(spark):
+    """Positions, stop words and stems; against all stretches of each text, tried one by one."""
+    docs = spark.createDataFrame(list(enumerate(PAPERS)), "id bigint, t string").withColumn("term", F.lit("x"))
+    asked = spark.createDataFrame(list(enumerate(SEARCHES)), "q bigint, question string")
+    vocabulary = sorted({w for t in [*PAPERS, *SEARCHES] for _, w in plain_terms(t)})
+    stems = spark.createDataFrame([(w,) for w in vocabulary], "w string").select("w", L.suffix_stem(F.col("w")).alias("s"))
+    stem = {r.w: r.s for r in stems.collect()}
+    assert stem["ships"] == "ship" and stem["sailed"] == "sail" and stem["singing"] == "sing" and stem["songs"] == "song"
+    want = {}
+    for q, question in enumerate(SEARCHES):
+        wanted = {stem[w] for _, w in plain_terms(question)}
+        for i, text in enumerate(PAPERS):
+            places = {p: stem[w] for p, w in plain_terms(text)}
+            if wanted and wanted <= set(places.values()):
+                if len(places) > 1000:  # one stretch for two terms, and each occurrence for one
+                    want[q, i] = 0.1 if len(wanted) == 2 else 0.1 * 3000
+                else:
+                    want[q, i] = brute_covers(places, wanted)
+    index = TS.text_index(docs, key="id", text="t")
+    found = TS.keyword_search(index, asked, key="id", query="q", text="question").collect()
+    got = {(r.q, r.id): r.score for r in found}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    for q in range(len(SEARCHES)):
+        ordered = sorted((k for k in want if k[0] == q), key=lambda k: (-round(want[k], 9), k))
+        assert [r.id for r in sorted((r for r in found if r.q == q), key=lambda r: r["rank"])] == [i for _, i in ordered]
+    only = docs.where("id < 6").select("id")
+    assert {(r.q, r.id) for r in TS.keyword_search(index, asked, key="id", query="q", text="question", only=only).collect()} == {
+        k for k in want if k[1] < 6}
+    plain = TS.text_index(docs, key="id", text="t", stem=lambda w: w)
+    assert {r.id for r in TS.keyword_search(plain, asked.where("q = 0"), key="id", query="q", text="question").collect()} == {5, 6}
+    empty = TS.text_index(docs.limit(0), key="id", text="t")
+    assert TS.keyword_search(empty, asked, key="id", query="q", text="question").count() == 0
 
 
 def test_fusion_keeps_single_list_hits(spark):

@@ -1,10 +1,12 @@
 """Ranks, row numbers and exact quantiles without a single-task global sort.
 
 A plain ``OVER (ORDER BY x)`` or a percentile over a hot key sends everything to
-one task. Here values are first counted (map-side combined), then laid out in
-buckets between cut points taken from the values themselves; only the bucket totals
-are accumulated in one place, and the order inside a bucket is resolved by a
-window on that bucket alone. The cut points are approximate, the results exact.
+one task. Here values are first counted (map-side combined). A key with few distinct
+values is one bucket. The values of any other key are dealt into cells of their range on
+a logarithmic scale, as many as their number asks for, and cells that came out too full into
+cells of their own range; the ranges are rows that the values meet in joins. Only
+the cells' totals are accumulated in one place, and the order inside a cell is
+resolved by a window on that cell alone, so ranks and quantiles are exact.
 """
 
 from __future__ import annotations
@@ -13,60 +15,78 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-#: Distinct values of a bucket, up to ``CUTS`` buckets; with more values the buckets grow.
+#: Distinct values of a bucket; a key with more gets cells.
 BUCKET_ROWS = 50_000
-CUTS = 4_096
-_STEP = 64
+_CELLS_PER_BUCKET = 2
+_PLACE = ["_cell", "_part"]
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     return df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_freq"))
 
 
+def _ranges(rows: DataFrame, by: Sequence[str], measure: Column, prefix: str) -> DataFrame:
+    """Per group: distinct values, rows, and the range of the finite values."""
+    finite = F.when(~F.isnan(measure) & (F.abs(measure) < float("inf")), measure)
+    return rows.groupBy(*by).agg(
+        F.count(F.lit(1)).alias(f"{prefix}n"), F.sum("_freq").alias(f"{prefix}rows"), F.min(finite).alias(f"{prefix}lo"), F.max(finite).alias(f"{prefix}hi"))
+
+
+def _cell(measure: Column, prefix: str, bucket_rows: int) -> Column:
+    """Number of the cell of a range that a value falls into; nulls, then infinities and not-a-number have cells of their own."""
+    lo, hi = F.col(f"{prefix}lo") / 2, F.col(f"{prefix}hi") / 2  # halves, whose difference is finite
+    cells = F.ceil(F.col(f"{prefix}n") / F.lit(bucket_rows)) * _CELLS_PER_BUCKET
+    inside = F.least(F.floor(F.try_divide(measure / 2 - lo, hi - lo) * cells), cells - 1)
+    odd = F.when(measure.isNull(), -2).when(measure == float("-inf"), -1).when(F.isnan(measure), cells + 1).when(measure == float("inf"), cells)
+    return F.coalesce(odd, inside, F.lit(0)).cast("long")
+
+
 def _bucketed(counts: DataFrame, keys: Sequence[str], value: str, bucket_rows: int) -> DataFrame:
-    """Add ``_bucket`` and ``_total``: as many buckets as a key's distinct values need, about equally full."""
+    """Add ``_large`` and the place of the bucket, ``_cell`` and ``_part``; a key of few distinct values has one bucket."""
     v = F.col(value).cast("double")
-    places = F.array(*[F.lit(i / CUTS) for i in range(1, CUTS)])
-    every = F.greatest(F.lit(1), F.floor(F.lit(CUTS) * bucket_rows / F.greatest(F.count(F.lit(1)), F.lit(1)))).cast("int")
-    bounds = counts.groupBy(*keys).agg(
-        F.percentile_approx(v, places, F.lit(4 * CUTS)).alias("_cuts"), every.alias("_every"), F.sum("_freq").alias("_total"))
-    thinned = F.filter("_cuts", lambda c, i: (i + 1) % F.col("_every") == 0)
-    coarse = F.filter("_cuts", lambda c, i: i % _STEP == _STEP - 1)
-    bounds = bounds.withColumn("_cuts", F.coalesce(thinned, F.array().cast("array<double>"))).withColumn("_coarse", coarse).drop("_every")
-    # cuts not above the value: first whole steps of cuts, then those of the step that is left
-    before = F.size(F.filter("_coarse", lambda c: c <= v)) * _STEP
-    bucket = before + F.size(F.filter(F.slice("_cuts", before + 1, _STEP), lambda c: c <= v))
-    joined = _attach(counts, bounds, keys)
-    return joined.withColumn("_bucket", F.coalesce(bucket, F.lit(0))).drop("_cuts", "_coarse")
-
-
-def _attach(df: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Join on ``keys``; with no keys ``right`` is one row and is read as a scalar."""
+    spread = F.signum(v) * F.log1p(F.abs(v))
+    ranges = _ranges(counts, keys, spread, "_k")
     if keys:
-        return df.join(right, list(keys))
-    row = right.select(F.struct("*").alias("r")).scalar()
-    packed = df.withColumn("_r", row)
-    return packed.select(*df.columns, *[F.col(f"_r.{c}").alias(c) for c in right.columns])
+        joined = counts.join(ranges.where(F.col("_kn") > bucket_rows), list(keys), "left")
+    else:
+        row = ranges.select(F.struct("*")).scalar()
+        joined = counts.withColumn("_r", row).select(*counts.columns, *[F.col(f"_r.{c}").alias(c) for c in ranges.columns])
+    large = F.coalesce(F.col("_kn") > bucket_rows, F.lit(False))
+    celled = joined.withColumn("_large", large).withColumn(
+        "_cell", F.when(F.col("_large"), _cell(spread, "_k", bucket_rows)).otherwise(F.lit(0).cast("long")))
+    full = _ranges(celled.where("_large"), [*keys, "_cell"], v, "_c").where(F.col("_cn") > bucket_rows)
+    parted = celled.join(full, [*keys, "_cell"], "left").withColumn(
+        "_part", F.when(F.col("_cn").isNotNull(), _cell(v, "_c", bucket_rows)).otherwise(F.lit(0).cast("long")))
+    return parted.select(*counts.columns, "_large", *_PLACE, F.when(F.col("_large"), F.col("_krows")).alias("_krows"))
+
+
+def _placed(counts: DataFrame, keys: Sequence[str], value: str, bucket_rows: int) -> DataFrame:
+    """Value counts with ``_total``, their bucket, its rows (``_in_bucket``) and the key's rows ``_before`` it."""
+    bucketed = _bucketed(counts, keys, value, bucket_rows)
+    totals = bucketed.where("_large").groupBy(*keys, *_PLACE).agg(F.sum("_freq").alias("_n"))
+    before = W.partitionBy(*keys).orderBy(*_PLACE).rowsBetween(W.unboundedPreceding, -1)
+    offsets = totals.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
+    own = F.sum("_freq").over(W.partitionBy(*keys, *_PLACE))
+    return (
+        bucketed.join(offsets, [*keys, *_PLACE], "left")
+        .withColumn("_in_bucket", own)
+        .withColumn("_total", F.coalesce("_krows", "_in_bucket"))
+        .withColumn("_before", F.coalesce("_offset", F.lit(0)))
+        .drop("_krows", "_offset", "_large")
+    )
 
 
-def _bucket_offsets(bucketed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    totals = bucketed.groupBy(*keys, "_bucket").agg(F.sum("_freq").alias("_in_bucket"))
-    before = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)
-    return totals.withColumn("_before", F.coalesce(F.sum("_in_bucket").over(before), F.lit(0)))
+def _below(keys: Sequence[str], order: Sequence[str]) -> Column:
+    inside = W.partitionBy(*keys, *_PLACE).orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+    return F.col("_before") + F.coalesce(F.sum("_freq").over(inside), F.lit(0))
 
 
 def with_cumulative(
     counts: DataFrame, keys: Sequence[str], value: str, then: Sequence[str] = (), bucket_rows: int = BUCKET_ROWS
 ) -> DataFrame:
     """Add ``_below`` (rows of the key with a smaller value, or an equal one and less by ``then``) and ``_total`` to value counts."""
-    bucketed = _bucketed(counts, keys, value, bucket_rows)
-    offsets = _bucket_offsets(bucketed, keys).drop("_in_bucket")
-    inside = W.partitionBy(*keys, "_bucket").orderBy(value, *then).rowsBetween(W.unboundedPreceding, -1)
-    return (
-        bucketed.join(offsets, [*keys, "_bucket"])
-        .withColumn("_below", F.col("_before") + F.coalesce(F.sum("_freq").over(inside), F.lit(0)))
-        .drop("_bucket", "_before")
-    )
+    placed = _placed(counts, keys, value, bucket_rows)
+    return placed.withColumn("_below", _below(keys, [value, *then])).drop(*_PLACE, "_in_bucket", "_before")
 
 
 def rank_map(df: DataFrame, value: str, out: str, descending: bool = True, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -112,21 +132,14 @@ def exact_quantiles(
     ``p * (n + 1)``. Only the buckets that hold a wanted position are sorted.
     """
     counts = value_counts(df.filter(F.col(value).isNotNull()), keys, value)
-    bucketed = _bucketed(counts, keys, value, bucket_rows)
-    offsets = _bucket_offsets(bucketed, keys)
-
+    placed = _placed(counts, keys, value, bucket_rows)
     places = [_positions(p, F.col("_total"), method) for p in probabilities.values()]
     wanted = [F.floor(p).cast("bigint") for p in places] + [F.ceil(p).cast("bigint") for p in places]
     hits = F.lit(False)
     for w in wanted:
         hits = hits | ((w >= F.col("_before")) & (w < F.col("_before") + F.col("_in_bucket")))
 
-    inside = W.partitionBy(*keys, "_bucket").orderBy(value).rowsBetween(W.unboundedPreceding, -1)
-    located = (
-        bucketed.join(offsets, [*keys, "_bucket"])
-        .filter(hits)
-        .withColumn("_below", F.col("_before") + F.coalesce(F.sum("_freq").over(inside), F.lit(0)))
-    )
+    located = placed.filter(hits).withColumn("_below", _below(keys, [value]))
     v = F.col(value).cast("double")
 
     def at(position: Column) -> Column:

@@ -8,10 +8,11 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidewatch.functions import text as X
 from tidewatch.functions.scalar import computed_once, exact_round
-from tidewatch.functions.vector import embedding_of_postings, hashed_embedding
+from tidewatch.functions.vector import hashed_embedding
 from tidewatch.operators.ingest import first_per_key, without_stored
 from tidewatch.operators.vectors import vector_topk
 from tidewatch.operators.windows import budget_prefix
+from tidewatch.plans.textsearch import TextIndex, keyword_search
 from tidewatch.session import materialize
 
 # BM25 parameters, fusion constant, chunk and context sizes.
@@ -99,38 +100,21 @@ def query_terms(queries: DataFrame, *, query: str, text: str) -> DataFrame:
     )
 
 
-def _rarest(weighted: DataFrame, query: str) -> DataFrame:
-    w = W.partitionBy(query).orderBy("df", "term")
-    return weighted.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").select(query, "term")
-
-
 def bm25_scores(
     index: Bm25Index, queries: DataFrame, *, key: str, query: str, text: str, k1: float = K1, b: float = B,
-    match_all: bool = False,
 ) -> DataFrame:
     """``(query, key, score)`` for documents that share a term with a query.
 
     The idf joins the short query side; what meets the postings is a list of
     query terms that Spark broadcasts when it is small, so the postings of one
-    document are scored and partly summed where they are. With ``match_all``
-    only documents that hold the rarest term of a query are looked at.
+    document are scored and partly summed where they are.
     """
-    wanted = query_terms(queries, query=query, text=text)
-    weighted = wanted.join(index.terms, "term")
-    if match_all:
-        candidates = index.postings.join(_rarest(weighted, query), "term").select(query, key)
-        hits = candidates.join(weighted, query).join(index.postings, [key, "term"])
-    else:
-        hits = index.postings.join(weighted, "term")
+    weighted = query_terms(queries, query=query, text=text).join(index.terms, "term")
     mean_length = index.stats.select("mean_len").scalar()
     tf = F.col("tf")
     norm = k1 * (1 - b + b * F.col("doc_len") / mean_length)
     part = F.col("qf") * F.col("idf") * tf * (k1 + 1) / (tf + norm)
-    scores = hits.groupBy(query, key).agg(F.sum(part).alias("score"), F.count(F.lit(1)).alias("_matched"))
-    if not match_all:
-        return scores.drop("_matched")
-    needed = wanted.groupBy(query).agg(F.count(F.lit(1)).alias("_terms"))
-    return scores.join(needed, query).filter(F.col("_matched") == F.col("_terms")).drop("_matched", "_terms")
+    return index.postings.join(weighted, "term").groupBy(query, key).agg(F.sum(part).alias("score"))
 
 
 def ranked(scores: DataFrame, *, key: str, query: str, k: int, score: str = "score", digits: int = 9) -> DataFrame:
@@ -144,14 +128,6 @@ def bm25_topk(index: Bm25Index, queries: DataFrame, *, key: str, query: str, tex
     return ranked(scores, key=key, query=query, k=k).select(query, key, "score", "rank")
 
 
-def keyword_search(
-    index: Bm25Index, queries: DataFrame, *, key: str, query: str, text: str, k: int = 100
-) -> DataFrame:
-    """Documents that hold every term of the query, ranked by BM25."""
-    scores = bm25_scores(index, queries, key=key, query=query, text=text, match_all=True)
-    return ranked(scores, key=key, query=query, k=k).select(query, key, "score", "rank")
-
-
 def rrf_fuse(vector_hits: DataFrame, text_hits: DataFrame, *, key: str, query: str, k: int, constant: int = RRF_K) -> DataFrame:
     """Reciprocal rank fusion of two ranked lists; a hit of one list alone is kept."""
     a = vector_hits.select(query, key, F.col("rank").alias("vector_rank"))
@@ -166,23 +142,27 @@ def rrf_fuse(vector_hits: DataFrame, text_hits: DataFrame, *, key: str, query: s
 
 
 def hybrid_search(
-    corpus: DataFrame, queries: DataFrame, *, key: str, text: str, query: str, query_text: str,
-    top_k: int, depth: int, match_all: bool = False, vectors: DataFrame | None = None, query_vectors: DataFrame | None = None,
+    index: Bm25Index | TextIndex, vectors: DataFrame, queries: DataFrame, *, key: str, query: str, query_text: str,
+    top_k: int, depth: int, query_vectors: DataFrame | None = None, only: DataFrame | None = None,
 ) -> DataFrame:
-    """Vector and keyword lists of ``depth``, fused to ``top_k`` hits per query.
+    """Vector and text lists of ``depth``, fused to ``top_k`` hits per query.
 
-    ``vectors`` / ``query_vectors`` are ``(key, embedding)``; without them the
-    hashed stand-in embedding is computed, for the corpus from its postings.
+    The kind of index says how texts are searched: any shared term, ranked by BM25, or
+    all terms, ranked by cover density. ``vectors`` and ``query_vectors`` are ``(key, embedding)``; for queries without
+    vectors the hashed stand-in is computed. ``only`` has the keys that may be hits, of either list.
     """
-    index = bm25_index(corpus, key=key, text=text)
-    if vectors is None:
-        vectors = embedding_of_postings(index.postings, corpus, key)
     if query_vectors is None:
         query_vectors = hashed_embedding(queries, query, query_text)
+    if only is not None:
+        vectors = vectors.join(only.select(key), key, "left_semi")
     near = vector_topk(vectors, query_vectors, item=key, query=query, k=depth)
-    search = keyword_search if match_all else bm25_topk
-    words = search(index, queries, key=key, query=query, text=query_text, k=depth)
-    return rrf_fuse(near, words, key=key, query=query, k=top_k)
+    if isinstance(index, TextIndex):
+        found = keyword_search(index, queries, key=key, query=query, text=query_text, k=depth, only=only)
+    elif only is None:
+        found = bm25_topk(index, queries, key=key, query=query, text=query_text, k=depth)
+    else:
+        raise ValueError("BM25 weighs terms over the whole index; build one of the rows that are wanted")
+    return rrf_fuse(near, found, key=key, query=query, k=top_k)
 
 
 def _joined(column: str, rank: str, separator: str) -> Column:

@@ -55,3 +55,11 @@ def materialize(df: DataFrame, purpose: str) -> DataFrame:
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
+
+def spread(rows: DataFrame) -> DataFrame:
+    """``rows`` of a scan, dealt out where the scan alone has fewer tasks than there are cores.
+
+    One small file is one task, however much work each row asks for. A table of many files is left as it is.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tidewatch.functions import lexemes as L
 from tidewatch.functions import text as X
 from tidewatch.functions.scalar import cosine_similarity, exact_round, safe_ratio, seconds_between, time_bucket
 from tidewatch.schema import CLASSIFICATIONS, ordinal
@@ -185,9 +186,9 @@ def fn_ordinal(spark, d):
     return V.intel_events(spark, d).select("event_id", ordinal(F.col("classification"), CLASSIFICATIONS).cast("bigint").alias("rank"))
 
 
-@query("fn_text_match", """
-SELECT doc_id, list_has_all(string_split(lower(text), ' '), ['the', 'and', 'of']) AS matched FROM documents""")
+@query("fn_text_match", f"""
+SELECT doc_id, list_has_all(list_transform(list_filter(regexp_extract_all(lower(text), '{L.WORD}'),
+    lambda w: w NOT IN {L.sql_stop_words()}), lambda w: {L.sql_stem('w')}), ['tion', 're']) AS matched FROM documents""")
 def fn_text_match(spark, d):
-    found = F.split(F.lower("text"), " ")
-    wanted = F.array(F.lit("the"), F.lit("and"), F.lit("of"))
-    return V.load(spark, d, "documents").select("doc_id", (F.size(F.array_except(wanted, found)) == 0).alias("matched"))
+    """Documents that hold the terms of a question; its stop words and suffixes do not count."""
+    return V.load(spark, d, "documents").select("doc_id", L.matches(F.col("text"), F.lit("What of the tions, re?")).alias("matched"))

@@ -2,22 +2,49 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidewatch.functions import lexemes as L
 from tidewatch.functions.scalar import exact_round, ts
 from tidewatch.functions.text import excerpt
-from tidewatch.functions.vector import hashed_embedding
+from tidewatch.functions.vector import embedding_of_postings, hashed_embedding
 from tidewatch.operators import vectors as VEC
 from tidewatch.operators.filters import optional_filters
-from tidewatch.plans import retrieval as R
-from tidewatch.session import materialize
+from tidewatch.plans import retrieval as R, textsearch as TS
+from tidewatch.session import materialize, spread
 from tidewatch.suite import views as V
 from tidewatch.suite.ingest import sql_words
 from tidewatch.suite.registry import query, rnd
 
 
+_STORED: dict[tuple[str, str, str], object] = {}
+
+
+def stored(spark: SparkSession, d: str, name: str, build: Callable[[], object]) -> object:
+    """An index or table that several queries of a session read, stored by the first of them."""
+    at = spark.sparkContext.applicationId, d, name
+    if at not in _STORED:
+        _STORED[at] = build()
+    return _STORED[at]
+
+
 def corpus(spark: SparkSession, d: str) -> DataFrame:
-    return V.load(spark, d, "documents").select("doc_id", "text")
+    return spread(V.load(spark, d, "documents").select("doc_id", "text"))
+
+
+def document_index(spark: SparkSession, d: str) -> R.Bm25Index:
+    return stored(spark, d, "bm25 of documents", lambda: R.bm25_index(corpus(spark, d), key="doc_id", text="text"))
+
+
+def document_terms(spark: SparkSession, d: str) -> TS.TextIndex:
+    return stored(spark, d, "terms of documents", lambda: TS.text_index(corpus(spark, d), key="doc_id", text="text"))
+
+
+def document_vectors(spark: SparkSession, d: str) -> DataFrame:
+    return stored(spark, d, "vectors of documents", lambda: materialize(
+        embedding_of_postings(document_index(spark, d).postings, corpus(spark, d), "doc_id"), "vectors"))
 
 
 def questions(spark: SparkSession, d: str) -> DataFrame:
@@ -26,10 +53,12 @@ def questions(spark: SparkSession, d: str) -> DataFrame:
 
 def chunks(spark: SparkSession, d: str) -> DataFrame:
     """De-duplicated chunks of every document, with a stable number."""
-    unique = R.chunk_dedup(R.chunk_documents(corpus(spark, d), key="doc_id", text="text"), source="doc_id")
-    return materialize(unique, "chunks").select(
-        F.concat_ws("-", "doc_id", "chunk_index").alias("chunk_id"), "doc_id", "chunk_index", "chunk_text", "content_hash"
-    )
+    def build() -> DataFrame:
+        unique = R.chunk_dedup(R.chunk_documents(corpus(spark, d), key="doc_id", text="text"), source="doc_id")
+        return materialize(unique, "chunks").select(
+            F.concat_ws("-", "doc_id", "chunk_index").alias("chunk_id"), "doc_id", "chunk_index", "chunk_text", "content_hash")
+
+    return stored(spark, d, "chunks", build)
 
 
 SQL_CHUNKS = f"""
@@ -109,7 +138,8 @@ def chunk_documents(spark, d):
 
 @query("chunk_dedup", f"SELECT doc_id, chunk_index, content_hash FROM ({SQL_UNIQUE})")
 def chunk_dedup(spark, d):
-    return chunks(spark, d).select("doc_id", "chunk_index", "content_hash")
+    made = R.chunk_documents(corpus(spark, d), key="doc_id", text="text")
+    return R.chunk_dedup(made, source="doc_id").select("doc_id", "chunk_index", "content_hash")
 
 
 @query("embed_text", f"""
@@ -165,7 +195,7 @@ def vector_lsh_recall(spark, d):
 @query("bm25_index", f"""
 WITH {sql_bm25('documents', 'doc_id', 'text')} SELECT term, df, {rnd('idf', 8)} AS idf FROM terms""")
 def bm25_index(spark, d):
-    index = R.bm25_index(corpus(spark, d), key="doc_id", text="text")
+    index = R.bm25_index(corpus(spark, d), key="doc_id", text="text")  # built by every call, as it is what this query shows
     return index.terms.select("term", "df", exact_round(F.col("idf"), 8).alias("idf"))
 
 
@@ -173,24 +203,53 @@ def bm25_index(spark, d):
 WITH {sql_bm25('documents', 'doc_id', 'text')}
 SELECT query_id, k AS doc_id, {rnd('score', 6)} AS score, CAST(rank AS INTEGER) AS rank FROM ({sql_ranked('scores', 24)})""")
 def bm25_topk(spark, d):
-    index = R.bm25_index(corpus(spark, d), key="doc_id", text="text")
-    hits = R.bm25_topk(index, questions(spark, d), key="doc_id", query="query_id", text="question", k=24)
+    hits = R.bm25_topk(document_index(spark, d), questions(spark, d), key="doc_id", query="query_id", text="question", k=24)
     return hits.withColumn("score", exact_round(F.col("score"), 6))
 
 
-SQL_ALL_TERMS = "score > -1 AND matched = (SELECT count(*) FROM q WHERE q.query_id = scores.query_id)"
+def sql_terms(table: str, key: str, text: str) -> str:
+    """``(k, term, pos)``: the places of every term of a table's texts."""
+    return f"""
+SELECT k, {L.sql_stem('w')} AS term, pos FROM (
+  SELECT {key} AS k, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos
+  FROM (SELECT {key}, regexp_extract_all(lower({text}), '{L.WORD}') AS ws FROM {table})) WHERE w NOT IN {L.sql_stop_words()}"""
+
+
+SQL_COVERS = f"""
+places AS MATERIALIZED ({sql_terms('documents', 'doc_id', 'text')}),
+asked AS MATERIALIZED (SELECT DISTINCT k AS query_id, term FROM ({sql_terms('benchmark', 'item_id', 'text')})),
+holding AS MATERIALIZED (SELECT query_id, places.k, count(DISTINCT term) AS n FROM asked JOIN places USING (term) GROUP BY 1, 2
+  HAVING n = (SELECT count(*) FROM asked a WHERE a.query_id = asked.query_id)),
+met AS MATERIALIZED (SELECT h.query_id, h.k, h.n, p.term, p.pos FROM holding h JOIN asked a ON a.query_id = h.query_id
+  JOIN places p ON p.k = h.k AND p.term = a.term),
+latest AS (SELECT m.query_id, m.k, m.pos, m.n, p.term, max(p.pos) AS last_pos FROM met m
+  JOIN met p ON p.query_id = m.query_id AND p.k = m.k AND p.pos <= m.pos GROUP BY ALL),
+reach AS (SELECT query_id, k, pos, min(last_pos) AS origin FROM latest GROUP BY query_id, k, pos, n HAVING count(*) = n),
+shortest AS (SELECT query_id, k, origin, min(pos) AS pos FROM reach GROUP BY 1, 2, 3),
+cover_scores AS MATERIALIZED (SELECT query_id, k, sum(0.1::DOUBLE / (1 + (pos - origin) - (inside - 1))) AS score FROM (
+  SELECT s.query_id, s.k, s.origin, s.pos, count(*) AS inside FROM shortest s JOIN met m ON m.query_id = s.query_id AND m.k = s.k
+    AND m.pos BETWEEN s.origin AND s.pos GROUP BY ALL) GROUP BY 1, 2)"""
 
 
 @query("keyword_search", f"""
-WITH {sql_bm25('documents', 'doc_id', 'text')}
+WITH {SQL_COVERS}
 SELECT query_id, k AS doc_id, {rnd('score', 6)} AS score, CAST(rank AS INTEGER) AS rank
-FROM ({sql_ranked('scores', 100, SQL_ALL_TERMS)})""")
+FROM ({sql_ranked('cover_scores', 100)})""")
 def keyword_search(spark, d):
-    index = R.bm25_index(corpus(spark, d), key="doc_id", text="text")
-    hits = R.keyword_search(index, questions(spark, d), key="doc_id", query="query_id", text="question")
+    hits = TS.keyword_search(document_terms(spark, d), questions(spark, d), key="doc_id", query="query_id", text="question")
     return hits.withColumn("score", exact_round(F.col("score"), 6))
 
 
+@query("text_index", f"""
+SELECT term, count(DISTINCT k) AS documents, count(*) AS places, CAST(sum(pos) AS BIGINT) AS place_sum FROM ({sql_terms('documents', 'doc_id', 'text')}) GROUP BY 1""")
+def text_index(spark, d):
+    """Every term's documents and places."""
+    index = document_terms(spark, d)
+    places = F.aggregate("places", F.lit(0).cast("long"), lambda a, x: a + x)
+    sums = index.postings.groupBy("term").agg(F.sum(F.size("places")).alias("places"), F.sum(places).alias("place_sum"))
+    return index.frequency.join(sums, "term")
+
+
 @query("rrf_fuse", f"""
 WITH a AS (SELECT event_type AS query_id, event_id AS k, row_number() OVER (PARTITION BY event_type ORDER BY value DESC, event_id) AS rank FROM events),
 b AS (SELECT event_type AS query_id, event_id AS k, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id) AS rank FROM events)
@@ -205,13 +264,22 @@ def rrf_fuse(spark, d):
     return out.withColumn("rrf_score", exact_round(F.col("rrf_score"), 8))
 
 
-def fused_chunks(stored: DataFrame, spark: SparkSession, d: str, top_k: int = 8) -> DataFrame:
+def chunk_index(spark: SparkSession, d: str) -> R.Bm25Index:
+    return stored(spark, d, "bm25 of chunks", lambda: R.bm25_index(chunks(spark, d), key="chunk_id", text="chunk_text"))
+
+
+def chunk_vectors(spark: SparkSession, d: str) -> DataFrame:
+    return stored(spark, d, "vectors of chunks", lambda: materialize(
+        embedding_of_postings(chunk_index(spark, d).postings, chunks(spark, d), "chunk_id"), "vectors"))
+
+
+def fused_chunks(spark: SparkSession, d: str, top_k: int = 8) -> DataFrame:
     """Fused hits joined back to their chunk rows."""
     hits = R.hybrid_search(
-        stored.select("chunk_id", "chunk_text"), questions(spark, d), key="chunk_id", text="chunk_text", query="query_id", query_text="question",
+        chunk_index(spark, d), chunk_vectors(spark, d), questions(spark, d), key="chunk_id", query="query_id", query_text="question",
         top_k=top_k, depth=3 * top_k,
     )
-    return stored.join(hits, "chunk_id")
+    return chunks(spark, d).join(hits, "chunk_id")
 
 
 SQL_HYBRID_CHUNKS = f"""
@@ -227,7 +295,7 @@ SELECT query_id, chunk_id, doc_id AS source_path, chunk_text, {rnd('rrf_score',
   CAST(vector_rank AS INTEGER) AS vector_rank, CAST(text_rank AS INTEGER) AS bm25_rank
 FROM fused JOIN u ON chunk_id = k""")
 def hybrid_search_chunks(spark, d):
-    return fused_chunks(chunks(spark, d), spark, d).select(
+    return fused_chunks(spark, d).select(
         "query_id", "chunk_id", F.col("doc_id").alias("source_path"), "chunk_text",
         exact_round(F.col("rrf_score"), 8).alias("rrf_score"), "vector_rank", F.col("text_rank").alias("bm25_rank"),
     )
@@ -255,39 +323,52 @@ SQL_WANTED_EVENTS = f"""
 SELECT * FROM ({SQL_TEXT_EVENTS}) WHERE int_type IN {KINDS} AND event_time BETWEEN TIMESTAMP '{SINCE}' AND TIMESTAMP '{UNTIL}'"""
 
 
-def fused_events(spark: SparkSession, d: str, match_all: bool = False, top_k: int = 20) -> DataFrame:
-    found = optional_filters(
-        text_events(spark, d), kinds=KINDS, min_time=ts(SINCE), max_time=ts(UNTIL)).select("event_id", "normalized_text")
-    return R.hybrid_search(
-        found, questions(spark, d), key="event_id", text="normalized_text", query="query_id",
-        query_text="question", top_k=top_k, depth=100, match_all=match_all,
-    )
+def fused_events(spark: SparkSession, d: str, top_k: int = 20) -> DataFrame:
+    """Fused hits of every question among all events, by BM25."""
+    hits = R.hybrid_search(
+        document_index(spark, d), document_vectors(spark, d), questions(spark, d), key="doc_id", query="query_id",
+        query_text="question", top_k=top_k, depth=100)
+    return hits.withColumnRenamed("doc_id", "event_id")
 
 
-def event_hits(spark: SparkSession, d: str, match_all: bool = False) -> DataFrame:
-    hits = fused_events(spark, d, match_all)
-    return hits.join(text_events(spark, d), "event_id").select(
+def wanted_events(spark: SparkSession, d: str, top_k: int = 20) -> DataFrame:
+    """Fused hits of every question among the events of some kinds and days, by cover density."""
+    wanted = optional_filters(text_events(spark, d), kinds=KINDS, min_time=ts(SINCE), max_time=ts(UNTIL)).select(
+        F.col("event_id").alias("doc_id"))
+    hits = R.hybrid_search(
+        document_terms(spark, d), document_vectors(spark, d), questions(spark, d), key="doc_id", query="query_id",
+        query_text="question", top_k=top_k, depth=100, only=wanted)
+    return hits.withColumnRenamed("doc_id", "event_id")
+
+
+def event_hits(spark: SparkSession, d: str, fused: DataFrame) -> DataFrame:
+    return fused.join(text_events(spark, d), "event_id").select(
         "query_id", "event_id", "rrf_score", "rrf_rank", "source_id", "int_type", "event_time", "classification",
         excerpt(F.col("normalized_text")).alias("excerpt"),
     )
 
 
-def _sql_event_hits(where: str) -> str:
+def _sql_event_hits(events: str, words: str, scores: str) -> str:
+    """CTEs up to ``hits``: among the rows of ``events``, with the text search of the CTEs ``words`` and its table ``scores``."""
     return f"""
-WITH e AS MATERIALIZED ({SQL_WANTED_EVENTS}), {sql_bm25('e', 'event_id', 'normalized_text')},
+WITH e AS MATERIALIZED ({events}), {words},
 vec AS MATERIALIZED ({sql_vectors('e', 'event_id', 'normalized_text')}),
 qvec AS MATERIALIZED ({sql_vectors('benchmark', 'item_id', 'text')}),
-near AS ({sql_near('vec', 'qvec', 100)}), words AS ({sql_ranked('scores', 100, where)}),
+near AS ({sql_near('vec', 'qvec', 100)}), words AS ({sql_ranked(scores, 100)}),
 fused AS MATERIALIZED ({sql_fused('near', 'words', 20)}),
 hits AS MATERIALIZED (SELECT query_id, event_id, rrf_score, rrf_rank, source_id, int_type, event_time,
   classification, left(normalized_text, 300) AS excerpt FROM fused JOIN e ON event_id = k)"""
 
 
-@query("hybrid_search_events", f"""{_sql_event_hits(SQL_ALL_TERMS)}
+SQL_ALL_HITS = _sql_event_hits(SQL_TEXT_EVENTS, sql_bm25('e', 'event_id', 'normalized_text'), "scores")
+
+
+@query("hybrid_search_events", f"""
+{_sql_event_hits(SQL_WANTED_EVENTS, SQL_COVERS, '(SELECT * FROM cover_scores WHERE k IN (SELECT event_id FROM e))')}
 SELECT query_id, event_id, {rnd('rrf_score', 8)} AS score, CAST(rrf_rank AS INTEGER) AS rrf_rank, source_id, int_type,
   event_time, classification, excerpt FROM hits""")
 def hybrid_search_events(spark, d):
-    hits = event_hits(spark, d, match_all=True)
+    hits = event_hits(spark, d, wanted_events(spark, d))
     return hits.withColumn("score", exact_round(F.col("rrf_score"), 8)).drop("rrf_score")
 
 
@@ -303,7 +384,7 @@ packed AS (SELECT item_id AS query_id, coalesce(context, '') AS context, coalesc
 
 
 def packed_chunks(spark: SparkSession, d: str) -> DataFrame:
-    hits = fused_chunks(chunks(spark, d), spark, d)
+    hits = fused_chunks(spark, d)
     return R.context_pack_chunks(hits, questions(spark, d), query="query_id", rank="rrf_rank", text="chunk_text", source="doc_id")
 
 
@@ -312,7 +393,7 @@ def context_pack_chunks(spark, d):
     return packed_chunks(spark, d)
 
 
-SQL_PACKED_EVENTS = f"""{_sql_event_hits('score > 0')},
+SQL_PACKED_EVENTS = f"""{SQL_ALL_HITS},
 p AS (SELECT query_id, rrf_rank, rrf_score, strftime(event_time, '%Y-%m-%dT%H:%M:%S') AS stamp, '[SOURCE: ' || source_id || ' | ' || upper(int_type) ||
   ' | ' || stamp || ' | CLASSIFICATION: ' || classification || ']' || chr(10) || excerpt || chr(10) AS part,
   source_id || ' | ' || stamp || ' | ' || classification || ' | ' || printf('%.6f', rrf_score) || ' | ' || excerpt AS citation FROM hits),
@@ -326,7 +407,7 @@ packed AS (SELECT item_id AS query_id, text AS question, coalesce(context, '') A
 
 
 def packed_events(spark: SparkSession, d: str) -> DataFrame:
-    return R.context_pack_events(event_hits(spark, d), questions(spark, d), query="query_id", rank="rrf_rank")
+    return R.context_pack_events(event_hits(spark, d, fused_events(spark, d)), questions(spark, d), query="query_id", rank="rrf_rank")
 
 
 @query("context_pack_events", f"{SQL_PACKED_EVENTS} SELECT * EXCLUDE (question) FROM packed")
@@ -380,7 +461,7 @@ def keyword_recall_summary(spark, d):
     return out.withColumn("pass_rate", exact_round(F.col("pass_rate"), 6))
 
 
-@query("retrieval_score_summary", f"""{_sql_event_hits('score > 0')}
+@query("retrieval_score_summary", f"""{SQL_ALL_HITS}
 SELECT item_id AS query_id, {rnd('coalesce(avg(rrf_score), 0)', 8)} AS confidence, count(hits.query_id) AS retrieved
 FROM benchmark LEFT JOIN hits ON hits.query_id = item_id GROUP BY 1""")
 def retrieval_score_summary(spark, d):
