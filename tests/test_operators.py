@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 import statistics
 
 import numpy as np
@@ -167,15 +168,25 @@ def test_vector_topk_over_cells(spark, rows_per_block, queries_per_slice):
         assert hits[q] == [r[0] for r in want]
 
 
-def test_lsh_recall(spark, sf_dir):
-    from tidewatch.suite.retrieval import centroids
-
-    vec = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    queries = centroids(spark, sf_dir)
+def test_coded_vectors(spark, sf_dir):
+    """Recall against the exact search, exact similarities, and rows that no index takes."""
+    vec = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding")
+    odd = spark.createDataFrame([(-1, [0.0] * 64), (-2, None), (-3, [1.0] * 63), (-4, [None] * 64)], vec.schema)
+    queries = vec.filter("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id")
+    index = VEC.vector_index(vec.union(odd), item="vec_id", dimensions=64)
+    assert index.rows == vec.count() == index.codes.count()
     exact = VEC.vector_topk(vec, queries, item="vec_id", query="query_id", k=10)
-    found = VEC.vector_topk_lsh(vec, queries, item="vec_id", query="query_id", k=10)
-    recall = VEC.recall_at_k(exact, found, item="vec_id", query="query_id").agg(F.avg("recall")).first()[0]
-    assert recall > 0.6
+    found = VEC.vector_topk_coded(index, queries, item="vec_id", query="query_id", k=10, rows_per_block=100, queries_per_slice=3)
+    assert VEC.recall_at_k(exact, found, item="vec_id", query="query_id").agg(F.avg("recall")).first()[0] >= 0.9
+    true = {(r.query_id, r.vec_id): r.similarity for r in VEC.vector_topk(vec, queries, item="vec_id", query="query_id", k=500).collect()}
+    rows = found.collect()
+    assert len(rows) == 10 * queries.count()
+    assert all(true[r.query_id, r.vec_id] == pytest.approx(r.similarity, abs=1e-8) for r in rows)
+    whole = VEC.vector_topk_coded(index, queries, item="vec_id", query="query_id", k=10, looked_up=50)
+    assert {(r.query_id, r.vec_id, r["rank"]) for r in whole.collect()} == {(r.query_id, r.vec_id, r["rank"]) for r in exact.collect()}
+    short = queries.select("query_id", F.slice("embedding", 1, 63).alias("embedding"))
+    assert VEC.vector_topk_coded(index, short, item="vec_id", query="query_id", k=10).count() == 0
+    assert VEC.vector_index(vec.limit(0), item="vec_id", dimensions=64).rows == 0
 
 
 def test_upsert_counts_repeats_inside_a_batch(spark):
@@ -268,3 +279,27 @@ def test_quality_rules_find_and_pass(spark):
     assert Q.top_contains(df, "n", "code", ["zz"]).first().failed == 1
     parents = spark.createDataFrame([(1,)], "pid int")
     assert sorted(r.id for r in Q.orphans(df, parents, "id", "pid").collect()) == [2, 3]
+
+
+def test_trigram_match_against_all_pairs(spark):
+    """Hot grams in every name; the pairs that are looked at stay few, the result is exact."""
+    rng = random.Random(4)
+    stems = ["steel", "copper", "brass", "tin", "nickel", "tomato", "almond", "azure", "ivory", "lace"]
+    names = [f"the {rng.choice(stems)} {rng.choice(stems)} {rng.randrange(10 ** 6)}" for _ in range(300)] + ["", None, "--", "the", "the the"]
+    terms = [*rng.sample(names[:300], 30), "tin tin", "the", "", None]
+
+    def grams(text):
+        words = re.findall(r"[^\W_]+", (text or "").lower())
+        return {f"  {w} "[i:i + 3] for w in words for i in range(len(w) + 1)}
+
+    df_names, df_terms = spark.createDataFrame([(n,) for n in names], "name string"), spark.createDataFrame([(t,) for t in terms], "term string")
+    for threshold in (0.3, 0.75, 1.0):
+        want = {(a, b): len(grams(a) & grams(b)) / len(grams(a) | grams(b)) for a in names for b in terms if grams(a) and grams(b)}
+        want = {k: v for k, v in want.items() if v >= threshold}
+        got = {(r.name, r.term): r.similarity for r in FL.trigram_match(df_names, df_terms, "name", "term", threshold).collect()}
+        assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k]) for k in want)
+    sides = [df.distinct().withColumn("_grams", FL.trigrams(F.col(c))) for df, c in ((df_names, "name"), (df_terms, "term"))]
+    pairs = FL.trigram_candidates(*sides, "name", "term", 0.75).count()
+    assert len(want) <= pairs <= 0.1 * len(names) * len(set(terms))
+    with pytest.raises(ValueError):
+        FL.trigram_match(df_names, df_terms, "name", "term", 0)

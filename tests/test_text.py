@@ -90,22 +90,40 @@ def test_enrichment(spark, text, summary, tier, entities):
 
 
 def test_country_documents(spark, tmp_path):
+    """Files of an object, a list, or lines, told apart by their content; what is broken is set aside, the rest read."""
+    france = {"cca2": "FR", "cca3": "FRA", "name": {"common": "France"}, "population": 68, "languages": {"fra": "French"}, "more": [1]}
+    other = {"cca2": "BB", "cca3": "BBB", "population": "many", "currencies": {"X": {"name": "x", "symbol": "$"}}}
+    (tmp_path / "deep").mkdir()
+    (tmp_path / "list.json").write_text(json.dumps([france, {**other, "capital": None}, 7, None]))
+    (tmp_path / "deep" / "one.json").write_text(json.dumps({**france, "cca2": "F2"}, indent=2) + "\n")
+    (tmp_path / "lines.json").write_text("\n".join([json.dumps(other), "", '{"cca2": "A', "[1]", '"text"', json.dumps({"cca2": "CC"}) + "\r"]))
+    (tmp_path / "empty.json").write_text("")
+    (tmp_path / "blank.json").write_text(" \n")
+    (tmp_path / "none.json").write_text("[]")
+    good, bad = readers.json_documents(spark, str(tmp_path), readers.COUNTRY_DOC)
+    rows = {(r.source_path.rsplit("/", 1)[1], r.place): r for r in good.collect()}
+    assert set(rows) == {("list.json", 0), ("list.json", 1), ("one.json", 0), ("lines.json", 0), ("lines.json", 5)}
+    assert rows["list.json", 0].name.common == "France" and rows["list.json", 0].languages == {"fra": "French"} and rows["list.json", 0].population == 68
+    assert rows["lines.json", 0].population is None and rows["lines.json", 0].currencies["X"].symbol == "$" and rows["lines.json", 5].cca2 == "CC"
+    assert sorted((r.source_path.rsplit("/", 1)[1], r.place, r.payload, r.reject_reason) for r in bad.collect()) == [
+        ("lines.json", 2, '{"cca2": "A', "no JSON"), ("lines.json", 3, "[1]", "no object"), ("lines.json", 4, '"text"', "no object"),
+        ("list.json", 2, "7", "no object"), ("list.json", 3, "null", "no object")]
+    assert readers.country_documents(spark, str(tmp_path), "bbb").count() == 2
+    assert readers.country_documents(spark, str(tmp_path)).count() == 5
+
+
+def test_normalize_countries(spark, tmp_path):
     doc = {
         "name": {"common": "A", "official": "Aa"}, "cca2": " AA ", "cca3": "AAA", "region": "R", "capital": [],
         "population": 5, "languages": {"x": "X"}, "currencies": {"c": {"name": "C", "symbol": "$"}}, "borders": ["BBB", "CCC"],
     }
-    blank = {"cca2": "", "cca3": "ZZZ"}
-    (tmp_path / "list.json").write_text(json.dumps([doc, blank]))
+    (tmp_path / "list.json").write_text(json.dumps([doc, {"cca2": "", "cca3": "ZZZ"}]))
     (tmp_path / "single.json").write_text(json.dumps({"cca2": "BB", "cca3": "BBB"}, indent=1))
-    docs = readers.country_files(spark, str(tmp_path))
-    t = E.normalize_countries(docs)
+    t = E.normalize_countries(readers.country_documents(spark, str(tmp_path)))
     rows = {r.cca2: r for r in t.countries.collect()}
     assert rows["AA"].capital is None and rows["AA"].official_name == "Aa" and rows["BB"].common_name == ""
     assert t.borders.count() == 2 and t.languages.count() == 1 and t.currencies.first().symbol == "$"
     assert [r.cca3 for r in t.rejected.collect()] == ["ZZZ"]
-    (tmp_path / "lines").mkdir()
-    (tmp_path / "lines" / "d.json").write_text("\n".join(map(json.dumps, [doc, {"cca2": "BB", "cca3": "BBB"}])))
-    assert readers.country_documents(spark, str(tmp_path / "lines"), "bbb").count() == 1
 
 
 def test_text_files_and_quarantine(spark, tmp_path):

@@ -142,16 +142,41 @@ def trigrams(text: Column) -> Column:
     return F.array_distinct(F.flatten(grams))
 
 
+def _rare_first(side: DataFrame, key: str, frequency: DataFrame, threshold: float) -> DataFrame:
+    """``(key, size, gram)``: the rarest grams of every name, as many as a similar name must share one of."""
+    rows = side.select(key, F.size("_grams").alias("_size"), F.explode("_grams").alias("_gram")).join(frequency, "_gram")
+    ordered = rows.groupBy(key, "_size").agg(F.array_sort(F.collect_list(F.struct("_n", "_gram"))).alias("_by_rarity"))
+    needed = (F.col("_size") - F.ceil(F.col("_size") * threshold - 1e-9) + 1).cast("int")
+    return ordered.select(key, "_size", F.explode(F.slice("_by_rarity", F.lit(1), needed)).alias("_g")).select(
+        key, "_size", F.col("_g._gram").alias("_gram"))
+
+
+def trigram_candidates(left: DataFrame, right: DataFrame, name: str, term: str, threshold: float) -> DataFrame:
+    """Pairs of ``left`` (name, _grams) and ``right`` (term, _grams) that can reach the threshold.
+
+    Two such sets share one of the rarest grams of each, and neither is too short
+    for the other. So common grams, which nearly all names have, form no pairs.
+    """
+    grams = left.select(F.explode("_grams").alias("_gram")).union(right.select(F.explode("_grams")))
+    frequency = grams.groupBy("_gram").agg(F.count(F.lit(1)).alias("_n"))
+    a = _rare_first(left, name, frequency, threshold)
+    b = _rare_first(right, term, frequency, threshold).withColumnRenamed("_size", "_other")
+    shorter, longer = F.least("_size", "_other"), F.greatest("_size", "_other")
+    return a.join(b, "_gram").filter(shorter >= longer * threshold - 1e-9).select(name, term).distinct()
+
+
 def trigram_match(names: DataFrame, terms: DataFrame, name: str, term: str, threshold: float = 0.3) -> DataFrame:
-    """Names similar to each search term by trigram Jaccard similarity.
+    """Names similar to each search term by trigram Jaccard similarity, for a threshold above 0.
 
-    Names are first reduced to distinct values; a pair is formed only where a
-    trigram is shared, and shared trigrams are counted, never compared pairwise.
+    Names are first reduced to distinct values. Rare-first prefixes give the
+    candidates, and each candidate's sets are compared whole. A name without letters and digits is like none.
     """
-    n = names.select(name).distinct().withColumn("_t", trigrams(F.col(name)))
-    t = terms.select(term).distinct().withColumn("_t", trigrams(F.col(term)))
-    left = n.select(name, F.size("_t").alias("_n"), "_t").select(name, "_n", F.explode("_t").alias("_gram"))
-    right = t.select(term, F.size("_t").alias("_m"), "_t").select(term, "_m", F.explode("_t").alias("_gram"))
-    shared = left.join(right, "_gram").groupBy(name, term, "_n", "_m").agg(F.count(F.lit(1)).alias("_s"))
-    score = F.col("_s") / (F.col("_n") + F.col("_m") - F.col("_s"))
-    return shared.select(name, term, score.alias("similarity")).filter(F.col("similarity") >= threshold)
+    if not 0 < threshold <= 1:
+        raise ValueError("the threshold must be above 0 and at most 1")
+    left = names.select(name).distinct().withColumn("_grams", trigrams(F.col(name)))
+    right = terms.select(term).distinct().withColumn("_grams", trigrams(F.col(term)))
+    pairs = trigram_candidates(left, right, name, term, threshold)
+    both = pairs.join(left, name).join(right.withColumnRenamed("_grams", "_wanted"), term)
+    shared = F.size(F.array_intersect("_grams", "_wanted"))
+    score = shared / (F.size("_grams") + F.size("_wanted") - shared)
+    return both.select(name, term, score.alias("similarity")).filter(F.col("similarity") >= threshold)

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
-from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector
+
+from tidewatch.functions.scalar import cosine_similarity
+from tidewatch.session import materialize
 
 # Similarities are rounded, so equal vectors tie exactly wherever they are scored.
 DIGITS = 9
@@ -88,38 +92,123 @@ def vector_topk(
     return hits.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
-def vector_topk_lsh(
-    vectors: DataFrame, queries: DataFrame, *, item: str, query: str, k: int,
-    vector: str = "embedding", query_vector: str = "embedding",
-    width: float = 1.0, tables: int = 8, seed: int = 42,
+@dataclass(frozen=True)
+class VectorIndex:
+    """Vectors by the cells they fall into.
+
+    Unit vectors are cut into parts of ``WIDTH`` numbers, and each part is known by the
+    nearest of ``CELLS`` trained centres (``books``: parts, cells, numbers). ``codes`` is (item,
+    _code), half a byte a part; ``vectors`` (item, _unit) has the unit vectors themselves, for the few that are looked up.
+    """
+
+    codes: DataFrame
+    vectors: DataFrame
+    books: np.ndarray
+    rows: int
+    dimensions: int
+
+
+WIDTH, CELLS = 2, 16
+#: Bound of the vectors that the centres are trained on; all are indexed.
+TRAINING_VECTORS = 20_000
+
+
+def _centres(points: np.ndarray, rounds: int = 12) -> np.ndarray:
+    """k-means of one part, started from points evenly spaced in their order along the first number."""
+    order = np.lexsort(points.T[::-1])
+    centres = points[order[np.linspace(0, len(points) - 1, CELLS).astype(int)]]
+    for _ in range(rounds):
+        own = _nearest(points, centres)
+        total = np.zeros_like(centres)
+        np.add.at(total, own, points)
+        size = np.bincount(own, minlength=CELLS)[:, None]
+        centres = np.where(size > 0, total / np.maximum(size, 1), centres)
+    return centres
+
+
+def _nearest(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return ((centres * centres).sum(axis=1)[None] - 2 * points @ centres.T).argmin(axis=1)
+
+
+def _padded(m: np.ndarray) -> np.ndarray:
+    """Parts of unit vectors, an odd last number filled up with 0: (rows, parts, WIDTH)."""
+    filled = np.pad(_unit(m), ((0, 0), (0, -m.shape[1] % (2 * WIDTH))))
+    return filled.reshape(len(m), filled.shape[1] // WIDTH, WIDTH)
+
+
+def vector_index(vectors: DataFrame, *, item: str, vector: str = "embedding", dimensions: int) -> VectorIndex:
+    """Index of all vectors of ``dimensions`` numbers; others, and zero vectors, are not in it (:func:`refused_vectors`).
+
+    Centres are trained on about ``TRAINING_VECTORS`` vectors, drawn by a hash of
+    the item, or on all where there are fewer. The driver gets that sample and nothing else.
+    """
+    used = usable_vectors(vectors, vector).filter((F.size(vector) == dimensions) & F.exists(vector, lambda x: x != 0)).select(
+        item, F.transform(vector, lambda x: x.cast("double")).alias("_v"))
+    rows = used.count()
+    share = min(1.0, TRAINING_VECTORS / max(rows, 1))
+    drawn = used.filter(F.pmod(F.xxhash64(item), F.lit(1 << 30)) < int(share * (1 << 30)) + 1)
+    sample = _padded(np.array([r[0] for r in drawn.select("_v").collect()], np.float64).reshape(-1, dimensions))
+    parts = sample.shape[1]
+    books = np.stack([_centres(sample[:, p]) for p in range(parts)]) if len(sample) else np.zeros((parts, CELLS, WIDTH))
+
+    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                cut = _padded(np.vstack(batch["_v"]))
+                cells = np.stack([_nearest(cut[:, p], books[p]) for p in range(parts)], axis=1).astype(np.uint8)
+                packed = cells[:, ::2] << 4 | cells[:, 1::2]
+                unit = _unit(np.vstack(batch["_v"]))
+                yield pd.DataFrame({item: batch[item], "_code": [c.tobytes() for c in packed], "_unit": list(unit)})
+
+    kind = dict(vectors.dtypes)[item]
+    stored = materialize(used.mapInPandas(encode, f"{item} {kind}, _code binary, _unit array<double>"), "vector-codes")
+    return VectorIndex(stored.select(item, "_code"), stored.select(item, "_unit"), books, rows, dimensions)
+
+
+def vector_topk_coded(
+    index: VectorIndex, queries: DataFrame, *, item: str, query: str, k: int, query_vector: str = "embedding",
+    looked_up: int = 5, rows_per_block: int = 65_536, queries_per_slice: int = 256,
 ) -> DataFrame:
-    """Approximate top ``k``: only vectors that share a projection bucket are compared.
+    """Approximate top ``k``: ``(query, item, similarity, rank)``; the similarities themselves are exact.
 
-    Vectors are scaled to unit length, where Euclidean order is cosine order and
-    ``similarity = 1 - d^2 / 2``; zero vectors match nothing. A bucket is ``width``
-    standard deviations of a projection wide, which for unit vectors is one over
-    the root of their length, so buckets fit the data whatever its dimension. No radius cuts
-    neighbours off.
+    Blocks of codes meet slices of queries, as in :func:`vector_topk`, at a sixteenth of the vectors'
+    bytes or less. The ``looked_up * k`` best of each query by its cells' centres are compared by their vectors.
     """
-    def unit(df: DataFrame, name: str) -> DataFrame:
-        norm = F.sqrt(F.aggregate(name, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
-        scaled = F.transform(name, lambda x: x.cast("double") / F.col("_norm"))
-        return usable_vectors(df, name).withColumn("_norm", norm).filter("_norm > 0").withColumn(name, scaled).drop("_norm")
-
-    vectors, queries = unit(vectors, vector), unit(queries, query_vector)
-    size = vectors.agg(F.avg(F.size(vector))).first()[0] or 1.0
-    bucket_length = width / size ** 0.5
-    model = BucketedRandomProjectionLSH(
-        inputCol="_lsh", outputCol="_hash", bucketLength=bucket_length, numHashTables=tables, seed=seed
-    )
-    left = vectors.select(item, array_to_vector(F.col(vector).cast("array<double>")).alias("_lsh"))
-    right = queries.select(query, array_to_vector(F.col(query_vector).cast("array<double>")).alias("_lsh"))
-    near = model.fit(left).approxSimilarityJoin(left, right, 2.0 + 1e-6, distCol="_d").select(
-        F.col(f"datasetB.{query}").alias(query), F.col(f"datasetA.{item}").alias(item),
-        (1 - F.col("_d") * F.col("_d") / 2).alias("similarity"),
-    )
+    used = usable_vectors(queries, query_vector).filter(F.size(query_vector) == index.dimensions)
+    blocks, slices = max(1, -(-index.rows // rows_per_block)), max(1, -(-used.count() // queries_per_slice))
+    left = index.codes.select(
+        item, "_code", F.pmod(F.xxhash64(item), F.lit(blocks)).cast("int").alias("_block"),
+        F.explode(F.sequence(F.lit(0), F.lit(slices - 1))).alias("_slice"))
+    right = used.select(
+        query, F.transform(query_vector, lambda x: x.cast("double")).alias("_q"), F.pmod(F.xxhash64(query), F.lit(slices)).cast("int").alias("_slice"),
+        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"))
+    books, wanted = index.books, looked_up * k
+
+    def cell(v: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(v) and len(q):
+            packed = np.frombuffer(b"".join(v["_code"]), np.uint8).reshape(len(v), -1)
+            codes = np.stack([packed >> 4, packed & 15], axis=2).reshape(len(v), -1)
+            ids = v[item].to_numpy()
+            for qid, vector in zip(q[query], q["_q"]):
+                table = (books * _padded(np.asarray(vector, np.float64)[None])[0][:, None]).sum(axis=2)  # of each part's centres
+                scores = np.zeros(len(v))
+                for part, own in enumerate(table):
+                    scores += own[codes[:, part]]
+                best = _best(np.round(scores, DIGITS), ids, wanted)
+                out.append(pd.DataFrame({query: qid, item: ids[best], "_near": scores[best]}))
+        return pd.concat(out) if out else pd.DataFrame({query: [], item: [], "_near": []})
+
+    kinds = dict(index.codes.dtypes)[item], dict(queries.dtypes)[query]
+    cells = ["_block", "_slice"]
+    near = left.groupBy(*cells).cogroup(right.groupBy(*cells)).applyInPandas(cell, f"{query} {kinds[1]}, {item} {kinds[0]}, _near double")
+    first = W.partitionBy(query).orderBy(F.desc("_near"), item)
+    few = near.withColumn("_rn", F.row_number().over(first)).filter(F.col("_rn") <= wanted).select(query, item)
+    asked = used.select(query, F.transform(query_vector, lambda x: x.cast("double")).alias("_q"))
+    compared = few.join(index.vectors, item).join(asked, query).select(
+        query, item, F.round(cosine_similarity(F.col("_unit"), F.col("_q")), DIGITS).alias("similarity"))
     w = W.partitionBy(query).orderBy(F.desc("similarity"), item)
-    return near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+    return compared.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
 def recall_at_k(exact: DataFrame, found: DataFrame, *, item: str, query: str) -> DataFrame:

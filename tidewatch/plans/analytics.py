@@ -34,7 +34,7 @@ def source_dashboard(
             (F.avg(resolution) / 3600).alias("avg_resolution"),
         )
     )
-    stats = materialize(sources.filter("is_active").join(per_source, "source_id"), "source-stats")
+    stats = sources.filter("is_active").join(per_source, "source_id")
     order = [F.desc("total_events"), F.asc("source_id")]
     top = stats.orderBy(*order).limit(limit)
     # Rows above a top-k row in the sort are in the top k too, so its own rank needs no other rows.
@@ -182,18 +182,18 @@ def threat_density_timeseries(
     )
 
 
-def geo_clusters(
-    events: DataFrame, *, as_of: Column, lookback: str = "30 days", min_high: int = 3
-) -> DataFrame:
-    """Cells are built per source first, so a crowded cell is spread over its sources."""
-    cell = ["lat_grid", "lon_grid", "geo_region"]
+_CELL = ["lat_grid", "lon_grid", "geo_region"]
+
+
+def geo_cell_sources(events: DataFrame, *, as_of: Column, lookback: str = "30 days") -> DataFrame:
+    """What each source reported in each cell: a row per cell and source, so a crowded cell is spread over its sources."""
     located = events.filter(
         F.col("geo_lat").isNotNull() & F.col("geo_lon").isNotNull() & since(F.col("occurred_at"), as_of, lookback)
     )
-    per_source = located.groupBy(
+    return located.groupBy(
         F.floor("geo_lat").alias("lat_grid"), F.floor("geo_lon").alias("lon_grid"), "geo_region", "source_id"
     ).agg(
-        F.count(F.lit(1)).alias("n"),
+        F.count(F.lit(1)).alias("events"),
         count_where(F.col("threat_tier") == "CRITICAL").alias("critical"),
         count_where(F.col("threat_tier") == "HIGH").alias("high"),
         F.sum(F.col("geo_lat").cast("decimal(18,6)")).alias("lat"),
@@ -201,30 +201,43 @@ def geo_clusters(
         F.min("occurred_at").alias("first_seen"),
         F.max("occurred_at").alias("last_seen"),
     )
-    is_high = F.col("critical") + F.col("high") > 0
+
+
+def geo_cells(per_source: DataFrame, *, min_high: int = 3) -> DataFrame:
+    """Cells with enough grave events, from the rows of :func:`geo_cell_sources`; the sources stay in that table."""
     return (
-        per_source.groupBy(*cell)
+        per_source.groupBy(*_CELL)
         .agg(
-            F.sum("n").alias("total_events"),
-            F.sum("lat").alias("lat"),
-            F.sum("lon").alias("lon"),
-            F.min("first_seen").alias("first_seen"),
-            F.max("last_seen").alias("last_seen"),
-            F.sort_array(F.collect_set(F.when(is_high, F.col("source_id").cast("string")))).alias("high_threat_sources"),
-            F.sum("critical").alias("critical"),
-            F.sum("high").alias("high"),
+            F.sum("events").alias("total_events"), F.sum("critical").alias("critical"), F.sum("high").alias("high"),
+            F.count_if(F.col("critical") + F.col("high") > 0).alias("n_high_sources"),
+            F.sum("lat").alias("lat"), F.sum("lon").alias("lon"),
+            F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"),
         )
         .filter(F.col("critical") + F.col("high") >= min_high)
         .select(
-            *cell, "total_events", "critical", "high",
+            *_CELL, "total_events", "critical", "high", "n_high_sources",
             exact_round(F.col("lat") / F.col("total_events"), 4).alias("centroid_lat"),
             exact_round(F.col("lon") / F.col("total_events"), 4).alias("centroid_lon"),
-            "first_seen", "last_seen", "high_threat_sources",
+            "first_seen", "last_seen",
         )
-        .orderBy(F.desc("critical"), F.desc("total_events"), *cell)
     )
 
 
+def geo_clusters(
+    events: DataFrame, *, as_of: Column, lookback: str = "30 days", min_high: int = 3
+) -> DataFrame:
+    """The cells' report, with the list of each cell's sources of grave events.
+
+    The list is part of the report and as long as the cell has such sources; where that may be
+    very many, take :func:`geo_cells` and read the sources from :func:`geo_cell_sources`.
+    """
+    per_source = geo_cell_sources(events, as_of=as_of, lookback=lookback)
+    grave = per_source.filter(F.col("critical") + F.col("high") > 0).groupBy(*_CELL).agg(
+        F.sort_array(F.collect_list(F.col("source_id").cast("string"))).alias("high_threat_sources"))
+    return geo_cells(per_source, min_high=min_high).drop("n_high_sources").join(grave, _CELL).orderBy(
+        F.desc("critical"), F.desc("total_events"), *_CELL)
+
+
 def audit_trail(
     audit_log: DataFrame,
     analysts: DataFrame,
@@ -262,7 +275,6 @@ def analyst_throughput(
         count_where(F.col("status") == "ACTIONED").alias("actioned_count"),
         F.avg("secs").alias("avg_secs"),
     )
-    counted = materialize(counted, "analyst-counts")
     median = exact_quantiles(recent, ["assigned_analyst"], "secs", {"median_secs": 0.5})
     stats = analysts.join(counted, analysts.analyst_id == F.col("assigned_analyst")).join(
         median, "assigned_analyst", "left"

@@ -2,27 +2,54 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidewatch.schema import COUNTRY_DOC, RAW_MESSAGE
 
 TEXT_SUFFIXES = (".txt", ".md")
 
 
+def _one_json(text: Column) -> Column:
+    """The variant of a text that is one JSON value and nothing else; null for any other."""
+    inside = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))), "$", "array<variant>")
+    return F.when(F.size(inside) == 1, F.get(inside, 0))
+
+
+def json_documents(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """JSON objects of files that hold one object, a list of objects, or an object per line; and a quarantine.
+
+    Each file is read as text and its documents as variants, so that its form need
+    not be known. Returns (``source_path``, ``place`` from 0, the columns of ``schema``) and (``source_path``, ``place``, ``payload``,
+    ``reject_reason``) for whatever is no JSON or no object. A field that is missing or of another kind is null.
+    Blank lines and files count for nothing.
+    """
+    files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True).select(
+        F.col("_metadata.file_path").alias("source_path"), F.col("value").alias("payload"), _one_json(F.col("value")).alias("_whole"))
+    is_list = F.schema_of_variant("_whole").startswith("ARRAY")
+    listed = files.filter(is_list).select("source_path", F.posexplode(F.try_variant_get("_whole", "$", "array<variant>")).alias("place", "_doc"))
+    single = files.filter(F.col("_whole").isNotNull() & ~is_list).select("source_path", F.lit(0).alias("place"), F.col("_whole").alias("_doc"))
+    lines = files.filter(F.col("_whole").isNull()).select("source_path", F.posexplode(F.split("payload", "\r?\n")).alias("place", "payload")).filter(
+        F.trim("payload") != "").select("source_path", "place", _one_json(F.col("payload")).alias("_doc"), "payload")
+    every = lines.unionByName(single, allowMissingColumns=True).unionByName(listed, allowMissingColumns=True)
+    every = every.withColumn("_object", F.coalesce(F.schema_of_variant("_doc").startswith("OBJECT"), F.lit(False)))
+    kinds = [(f.name, f.dataType.simpleString()) for f in schema.fields]
+    good = every.filter("_object").select(
+        "source_path", "place", *[F.try_variant_get("_doc", f"$.{name}", kind).alias(name) for name, kind in kinds])
+    reason = F.when(F.col("_doc").isNull(), "no JSON").otherwise("no object")
+    bad = every.filter("NOT _object").select(
+        "source_path", "place", F.coalesce("payload", F.to_json("_doc")).alias("payload"), reason.alias("reject_reason"))
+    return good, bad
+
+
 def country_documents(spark: SparkSession, path: str, code: str | None = None) -> DataFrame:
-    """Landed country JSON: one object per line, or files holding a list or an object."""
-    docs = spark.read.schema(COUNTRY_DOC).json(path, multiLine=False)
+    """Landed country JSON in files of any of the forms of :func:`json_documents`; ``code`` picks one country."""
+    docs = json_documents(spark, path, COUNTRY_DOC)[0].drop("source_path", "place")
     if code is None:
         return docs
     wanted = code.upper()
     return docs.filter((F.upper("cca2") == wanted) | (F.upper("cca3") == wanted))
 
 
-def country_files(spark: SparkSession, path: str) -> DataFrame:
-    """Whole-file country JSON, where a file is a list of documents or a single one."""
-    return spark.read.schema(COUNTRY_DOC).json(path, multiLine=True)
-
-
 def text_files(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     """Whole text files as documents, and a quarantine of unsupported file types.
 

@@ -37,15 +37,22 @@ def source_dashboard(spark, d):
 
 def _workload_sql(violation: str) -> str:
     return V.with_views(f"""
-SELECT display_name AS analyst, clearance_level,
-  count(*) FILTER (status <> 'CLOSED') AS open_events,
-  count(*) FILTER (status = 'CLOSED' AND occurred_at >= {V.SQL_FROM}) AS closed_last_7d,
-  count(*) FILTER (threat_tier IN ('HIGH', 'CRITICAL') AND status <> 'CLOSED') AS open_high_critical,
-  {rnd('quantile_cont(epoch(resolved_at - ingested_at), 0.5) / 3600', 6)} AS median_resolution_hrs,
-  {rnd('quantile_cont(epoch(resolved_at - ingested_at), 0.95) / 3600', 6)} AS p95_resolution_hrs,
-  count(*) FILTER ({violation}) AS clearance_violations
-FROM analysts a LEFT JOIN intel_events e ON e.analyst_id = a.analyst_id
-WHERE is_active GROUP BY a.analyst_id, display_name, clearance_level""", "analysts", "intel_events")
+WITH staff AS (SELECT analyst_id, display_name, clearance_level FROM analysts WHERE is_active),
+duty AS (SELECT staff.*, status = 'CLOSED' AS done, threat_tier, classification, occurred_at, date_diff('second', ingested_at, resolved_at) AS secs
+  FROM intel_events JOIN staff USING (analyst_id)),
+backlog AS (SELECT analyst_id, count(*) AS n FROM duty WHERE NOT done GROUP BY analyst_id),
+urgent AS (SELECT analyst_id, count(*) AS n FROM duty WHERE NOT done AND threat_tier IN ('HIGH', 'CRITICAL') GROUP BY analyst_id),
+finished AS (SELECT analyst_id, count(*) AS n FROM duty WHERE done AND occurred_at >= {V.SQL_FROM} GROUP BY analyst_id),
+breaches AS (SELECT analyst_id, count(*) AS n FROM duty WHERE {violation} GROUP BY analyst_id),
+sorted AS (SELECT analyst_id, list_sort(list(secs)) AS s FROM duty WHERE secs IS NOT NULL GROUP BY analyst_id),
+spots AS (SELECT analyst_id, s, p, 1 + CAST(floor(p * (len(s) - 1)) AS BIGINT) AS i FROM sorted, (VALUES (0.5::DOUBLE), (0.95::DOUBLE)) v(p)),
+quantiles AS (SELECT analyst_id, p, (s[i] + (p * (len(s) - 1) - (i - 1)) * (s[least(i + 1, len(s))] - s[i])) / 3600 AS hours FROM spots)
+SELECT display_name AS analyst, clearance_level, coalesce(backlog.n, 0) AS open_events, coalesce(finished.n, 0) AS closed_last_7d,
+  coalesce(urgent.n, 0) AS open_high_critical, {rnd('half.hours', 6)} AS median_resolution_hrs, {rnd('most.hours', 6)} AS p95_resolution_hrs,
+  coalesce(breaches.n, 0) AS clearance_violations
+FROM staff LEFT JOIN backlog USING (analyst_id) LEFT JOIN urgent USING (analyst_id) LEFT JOIN finished USING (analyst_id)
+  LEFT JOIN breaches USING (analyst_id) LEFT JOIN (FROM quantiles WHERE p = 0.5) half USING (analyst_id)
+  LEFT JOIN (FROM quantiles WHERE p = 0.95) most USING (analyst_id)""", "analysts", "intel_events")
 
 
 def _workload(spark, d, compare):
@@ -71,8 +78,8 @@ def analyst_workload_lexical(spark, d):
 
 @query("entity_correlation", V.with_views(f"""
 WITH held AS (SELECT event_id, list(DISTINCT entity_id ORDER BY entity_id) AS ids FROM event_entities GROUP BY event_id),
-couples AS (SELECT event_id, unnest(list_concat([], flatten(list_transform(ids, lambda x: list_transform(
-    list_filter(ids, lambda y: y > x), lambda y: {{'x': x, 'y': y}})))), recursive := true) FROM held),
+couples AS (SELECT event_id, unnest(flatten(list_transform(ids, lambda x: list_transform(
+    list_filter(ids, lambda y: y > x), lambda y: {{'x': x, 'y': y}}))), recursive := true) FROM held),
 facts AS (SELECT couples.x, couples.y, b.event_id, b.source_id, b.occurred_at, b.threat_tier IN ('HIGH', 'CRITICAL') AS severe
   FROM couples JOIN intel_base b USING (event_id) WHERE b.occurred_at >= {V.SQL_FROM}),
 events_of AS (SELECT x, y, count(*) AS n, max(occurred_at) AS latest FROM facts GROUP BY x, y),
@@ -112,16 +119,28 @@ def threat_density_timeseries(spark, d):
     return out.withColumn("z_score", exact_round(F.col("z_score"), 6))
 
 
+SQL_CELL_SOURCES = f"""
+SELECT CAST(floor(geo_lat) AS BIGINT) AS lat_grid, CAST(floor(geo_lon) AS BIGINT) AS lon_grid, geo_region, source_id, count(*) AS events,
+  sum((threat_tier = 'CRITICAL')::INT)::BIGINT AS critical, sum((threat_tier = 'HIGH')::INT)::BIGINT AS high,
+  min(occurred_at) AS first_seen, max(occurred_at) AS last_seen, sum(geo_lat) AS lat, sum(geo_lon) AS lon
+FROM intel_base WHERE occurred_at >= {V.SQL_FROM} GROUP BY ALL"""
+
+
+@query("geo_cell_sources", V.with_views(f"SELECT * EXCLUDE (lat, lon) FROM ({SQL_CELL_SOURCES})", "intel_base"))
+def geo_cell_sources(spark, d):
+    """The child table of the clusters: what each source reported in each cell."""
+    return A.geo_cell_sources(V.intel_events(spark, d), as_of=V.as_of(), lookback=V.LOOKBACK).drop("lat", "lon")
+
+
 @query("geo_clusters", V.with_views(f"""
-SELECT CAST(floor(geo_lat) AS BIGINT) AS lat_grid, CAST(floor(geo_lon) AS BIGINT) AS lon_grid, geo_region,
-  count(*) AS total_events, count(*) FILTER (threat_tier = 'CRITICAL') AS critical,
-  count(*) FILTER (threat_tier = 'HIGH') AS high,
-  {rnd('avg(geo_lat)', 4)} AS centroid_lat, {rnd('avg(geo_lon)', 4)} AS centroid_lon,
-  min(occurred_at) AS first_seen, max(occurred_at) AS last_seen,
-  array_to_string(list_sort(array_agg(DISTINCT CAST(source_id AS VARCHAR))
-    FILTER (threat_tier IN ('HIGH', 'CRITICAL'))), ',') AS high_threat_sources
-FROM intel_base WHERE occurred_at >= {V.SQL_FROM} GROUP BY 1, 2, 3
-HAVING count(*) FILTER (threat_tier IN ('HIGH', 'CRITICAL')) >= 3""", "intel_base"))
+WITH per_source AS MATERIALIZED ({SQL_CELL_SOURCES}),
+cells AS (SELECT lat_grid, lon_grid, geo_region, sum(events)::BIGINT AS total_events, sum(critical)::BIGINT AS critical, sum(high)::BIGINT AS high,
+  sum(lat) AS lat, sum(lon) AS lon, min(first_seen) AS first_seen, max(last_seen) AS last_seen FROM per_source GROUP BY ALL),
+serious AS (SELECT lat_grid, lon_grid, geo_region, string_agg(source_id::VARCHAR, ',' ORDER BY source_id::VARCHAR) AS high_threat_sources
+  FROM per_source WHERE critical > 0 OR high > 0 GROUP BY ALL)
+SELECT lat_grid, lon_grid, geo_region, total_events, critical, high, {rnd('lat / total_events', 4)} AS centroid_lat,
+  {rnd('lon / total_events', 4)} AS centroid_lon, first_seen, last_seen, high_threat_sources
+FROM cells JOIN serious USING (lat_grid, lon_grid, geo_region) WHERE critical + high > 2""", "intel_base"))
 def geo_clusters(spark, d):
     out = A.geo_clusters(V.intel_events(spark, d), as_of=V.as_of(), lookback=V.LOOKBACK)
     return out.withColumn("high_threat_sources", F.array_join("high_threat_sources", ","))
@@ -175,29 +194,25 @@ def analyst_throughput(spark, d):
 
 
 @query("entity_network", V.with_views(f"""
-WITH ev AS (
-  SELECT ee.event_id, ee.entity_id, canonical_name AS entity_name, entity_type, occurred_at, threat_tier,
-    s.source_type AS int_type
-  FROM event_entities ee JOIN entities USING (entity_id) JOIN intel_base b USING (event_id)
-  JOIN sources s ON s.source_id = b.source_id
+WITH serious AS (SELECT event_id, occurred_at, threat_tier, source_type FROM intel_base JOIN sources USING (source_id)
   WHERE occurred_at >= {V.SQL_FROM} AND threat_tier IN ('HIGH', 'CRITICAL')),
-names AS (SELECT DISTINCT entity_name, event_id FROM ev),
-pairs AS (
-  SELECT a.entity_id AS ida, b.entity_id AS idb, a.entity_name AS entity_a, b.entity_name AS entity_b,
-    a.entity_type AS type_a, b.entity_type AS type_b, count(DISTINCT a.event_id) AS shared_events,
-    min(a.occurred_at) AS first_seen, max(a.occurred_at) AS last_seen,
-    array_to_string(list_sort(array_agg(DISTINCT a.int_type)), ',') AS source_types,
-    array_to_string(list_sort(array_agg(DISTINCT a.threat_tier)), ',') AS threat_tiers
-  FROM ev a JOIN ev b ON b.event_id = a.event_id AND b.entity_id > a.entity_id
-  GROUP BY ALL HAVING count(DISTINCT a.event_id) >= 3),
-unions AS (
-  SELECT p.entity_a, p.entity_b, count(DISTINCT n.event_id) AS n
-  FROM (SELECT DISTINCT entity_a, entity_b FROM pairs) p
-  JOIN names n ON n.entity_name IN (p.entity_a, p.entity_b) GROUP BY 1, 2)
-SELECT entity_a, entity_b, type_a, type_b, shared_events, {rnd('shared_events / n::DOUBLE', 4)} AS jaccard_similarity,
+held AS (SELECT event_id, list(DISTINCT entity_id) AS ids FROM event_entities WHERE event_id IN (SELECT event_id FROM serious) GROUP BY event_id),
+couples AS (SELECT event_id, unnest(flatten(list_transform(ids, lambda x: list_transform(
+    list_filter(ids, lambda y: y > x), lambda y: {{'x': x, 'y': y}}))), recursive := true) FROM held),
+known AS (SELECT x, y, list(DISTINCT event_id) AS events FROM couples GROUP BY x, y HAVING count(DISTINCT event_id) > 2),
+spans AS (SELECT x, y, min(occurred_at) AS first_seen, max(occurred_at) AS last_seen,
+    array_to_string(list_sort(list(DISTINCT source_type)), ',') AS source_types,
+    array_to_string(list_sort(list(DISTINCT threat_tier)), ',') AS threat_tiers
+  FROM (SELECT x, y, unnest(events) AS event_id FROM known) JOIN serious USING (event_id) GROUP BY x, y),
+by_name AS MATERIALIZED (SELECT canonical_name AS name, list(DISTINCT event_id) AS events FROM event_entities JOIN entities USING (entity_id)
+  WHERE event_id IN (SELECT event_id FROM serious) GROUP BY 1)
+SELECT one.canonical_name AS entity_a, two.canonical_name AS entity_b, one.entity_type AS type_a, two.entity_type AS type_b,
+  len(known.events)::BIGINT AS shared_events,
+  {rnd('len(known.events) / len(list_distinct(list_concat(n1.events, n2.events)))::DOUBLE', 4)} AS jaccard_similarity,
   first_seen, last_seen, source_types, threat_tiers
-FROM pairs JOIN unions USING (entity_a, entity_b)
-ORDER BY shared_events DESC, jaccard_similarity DESC, ida, idb LIMIT 50
+FROM known JOIN spans USING (x, y) JOIN entities one ON one.entity_id = x JOIN entities two ON two.entity_id = y
+  JOIN by_name n1 ON n1.name = one.canonical_name JOIN by_name n2 ON n2.name = two.canonical_name
+ORDER BY shared_events DESC, jaccard_similarity DESC, x, y LIMIT 50
 """, "intel_base", "sources", "entities", "event_entities"))
 def entity_network(spark, d):
     kinds = V.sources(spark, d).select("source_id", F.col("source_type").alias("int_type"))
@@ -210,6 +225,7 @@ def entity_network(spark, d):
     return out
 
 
+# The limits of the grades and the order in which they hold are the contract of this report.
 @query("source_reliability", V.with_views(f"""
 WITH reports AS (SELECT source_id, occurred_at, confidence_score AS conf, corroborated_by IS NOT NULL AS backed, threat_tier = 'LOW' AS refuted
   FROM intel_events WHERE occurred_at >= {V.SQL_FROM}),
@@ -219,8 +235,8 @@ tally AS (SELECT source_id, CAST(sum(n) AS BIGINT) AS n, CAST(coalesce(sum(n) FI
     FROM reports GROUP BY source_id, backed, refuted) GROUP BY source_id)
 SELECT sources.source_name, sources.source_type, tally.n AS total_events, tally.good AS corroborated_events,
   tally.poor AS refuted_events, {rnd('100.0 * tally.good / tally.n', 1)} AS corroboration_pct, {rnd('tally.conf', 3)} AS avg_confidence,
-  [CASE WHEN 10 * tally.poor > 3 * tally.n THEN 'D' ELSE 'C' END, 'B', CASE WHEN tally.poor < 5 THEN 'A' ELSE 'B' END]
-    [1 + (10 * tally.good > 6 * tally.n)::INT + (10 * tally.good > 8 * tally.n)::INT] AS reliability_grade,
+  CASE WHEN tally.good > 0.8 * tally.n AND tally.poor < 5 THEN 'A' WHEN tally.good > 0.6 * tally.n THEN 'B'
+    WHEN tally.poor > 0.3 * tally.n THEN 'D' ELSE 'C' END AS reliability_grade,
   tally.latest AS last_report_time
 FROM tally JOIN sources USING (source_id)""", "sources", "intel_events"))
 def source_reliability(spark, d):
@@ -232,21 +248,22 @@ def source_reliability(spark, d):
     return A.source_reliability(V.sources(spark, d), events, as_of=V.as_of(), lookback=V.LOOKBACK)
 
 
+# The rolling mean and deviation are differences of running sums, 169 rows apart.
 @query("threat_density_anomaly", V.with_views(f"""
-WITH hourly AS (
-  SELECT date_trunc('hour', occurred_at) AS bucket, event_type AS source_id, int_type, status AS threat_tier,
-    count(*) AS event_count
+WITH tallies AS (SELECT date_trunc('hour', occurred_at) AS bucket, event_type AS source_id, int_type, status AS threat_tier, count(*) AS n
   FROM web_events WHERE occurred_at >= {V.WEB_SQL_FROM} GROUP BY ALL),
-w AS (
-  SELECT *, avg(event_count) OVER f AS mean, stddev(event_count) OVER f AS std,
-    lag(event_count) OVER (PARTITION BY source_id ORDER BY bucket, int_type, threat_tier) AS prev
-  FROM hourly WINDOW f AS (PARTITION BY source_id ORDER BY bucket, int_type, threat_tier ROWS 168 PRECEDING)),
-z AS (SELECT *, {rnd('CASE WHEN std > 0 THEN (event_count - mean) / std ELSE 0 END', 8)} AS z FROM w)
-SELECT bucket, source_id, int_type, threat_tier, event_count, {rnd('mean', 1)} AS rolling_avg,
-  {rnd('z', 2)} AS z_score, event_count - prev AS delta_vs_prev_hour,
-  CASE WHEN z > 3 THEN 'CRITICAL_SPIKE' WHEN z > 2 THEN 'HIGH_ANOMALY' WHEN z > 1 THEN 'ELEVATED'
-    ELSE 'NORMAL' END AS anomaly_level
-FROM z WHERE z > 2 ORDER BY z DESC, bucket DESC, source_id, int_type, threat_tier LIMIT 100""", "web_events"))
+lined AS (SELECT *, row_number() OVER o AS r, sum(n) OVER o AS s1, sum(n * n) OVER o AS s2
+  FROM tallies WINDOW o AS (PARTITION BY source_id ORDER BY bucket, int_type, threat_tier)),
+framed AS (SELECT l.*, p.n AS before, least(l.r, 169) AS k, l.s1 - coalesce(o.s1, 0) AS f1, l.s2 - coalesce(o.s2, 0) AS f2
+  FROM lined l LEFT JOIN lined o ON o.source_id = l.source_id AND o.r = l.r - 169
+    LEFT JOIN lined p ON p.source_id = l.source_id AND p.r = l.r - 1),
+spread AS (SELECT *, f1 / k::DOUBLE AS mean, CASE WHEN k > 1 THEN sqrt((k * f2 - f1 * f1)::DOUBLE / (k * (k - 1))) END AS deviation FROM framed),
+scored AS (SELECT *, {rnd('coalesce((n - mean) / nullif(deviation, 0), 0)', 8)} AS z FROM spread),
+levels AS (SELECT * FROM (VALUES (3, 'CRITICAL_SPIKE'), (2, 'HIGH_ANOMALY')) v(above, anomaly_level))
+SELECT bucket, source_id, int_type, threat_tier, n AS event_count, {rnd('mean', 1)} AS rolling_avg, {rnd('z', 2)} AS z_score,
+  n - before AS delta_vs_prev_hour, arg_max(anomaly_level, above) AS anomaly_level
+FROM scored JOIN levels ON z > above GROUP BY ALL
+ORDER BY max(z) DESC, bucket DESC, source_id, int_type, threat_tier LIMIT 100""", "web_events"))
 def threat_density_anomaly(spark, d):
     events = V.web_events(spark, d).select(
         F.col("occurred_at").alias("event_time"), F.col("event_type").alias("source_id"), "int_type",

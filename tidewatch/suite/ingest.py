@@ -10,6 +10,7 @@ from tidewatch.operators.extract import normalize_countries
 from tidewatch.operators.ordering import with_row_number
 from tidewatch.plans.audit import audited
 from tidewatch.session import work_dir
+from tidewatch.schema import COUNTRY_DOC
 from tidewatch.sources import layout, readers
 from tidewatch.suite import views as V
 from tidewatch.suite.registry import query
@@ -54,27 +55,44 @@ SELECT CASE WHEN c_acctbal < 0 THEN '' ELSE 'KX' || c_custkey END AS cca3, 'K' |
 FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
 
 
-def landed_countries(spark: SparkSession, d: str) -> DataFrame:
+def land_countries(spark: SparkSession, d: str) -> str:
+    """Country documents as files of all three forms, and every hundredth one again as a line that breaks off."""
     path = work_dir(spark, "countries")
-    country_docs(spark, d).write.json(path)
-    return readers.country_documents(spark, path)
+    docs = country_docs(spark, d)
+    keyed = docs.select(F.regexp_extract("cca2", "[0-9]+", 0).cast("bigint").alias("key"), F.to_json(F.struct(*docs.columns)).alias("value"))
+    alone, listed = F.col("key") % 100 == 0, F.col("key") % 3 == 1
+    keyed.filter(alone).write.partitionBy("key").text(f"{path}/objects")
+    lists = keyed.filter(~alone & listed).groupBy((F.col("key") % 16).alias("part")).agg(
+        F.concat(F.lit("[\n"), F.array_join(F.collect_list("value"), ",\n"), F.lit("]")).alias("value"))
+    lists.write.partitionBy("part").text(f"{path}/lists")
+    broken = keyed.filter(F.col("key") % 100 == 1).select(F.expr("left(value, length(value) - 1)").alias("value"))
+    keyed.filter(~alone & ~listed).select("value").union(broken).write.text(f"{path}/lines")
+    return path
 
 
 @query("country_json_source", f"""
 WITH c AS ({SQL_COUNTRY})
 SELECT ' ' || cca2 AS cca2, CASE WHEN cca3 = '' THEN '  ' ELSE cca3 END AS cca3, region, population,
   nullif(common_name, '') AS common_name, CAST(CASE WHEN capital IS NULL THEN 0 ELSE 2 END AS INTEGER) AS capitals,
-  c_mktsegment AS language, '$' AS symbol FROM c""")
+  array_to_string(list_sort([c_mktsegment, n_name]), ',') AS languages, '$' AS symbol FROM c""")
 def country_json_source(spark, d):
-    docs = landed_countries(spark, d)
+    docs = readers.country_documents(spark, land_countries(spark, d))
     return docs.select(
         "cca2", "cca3", "region", "population", F.col("name.common").alias("common_name"),
         F.size("capital").alias("capitals"),
-        F.element_at(F.map_values("languages"), 1).alias("language"),
+        F.array_join(F.array_sort(F.map_values("languages")), ",").alias("languages"),
         F.element_at(F.map_values("currencies"), 1).getField("symbol").alias("symbol"),
     )
 
 
+@query("country_json_quarantine", f"""
+SELECT ' K' || c_custkey AS cca2, 'no JSON' AS reject_reason FROM ({SQL_COUNTRY}) WHERE c_custkey % 100 = 1""")
+def country_json_quarantine(spark, d):
+    """The documents that break off; the others of their files are read."""
+    bad = readers.json_documents(spark, land_countries(spark, d), COUNTRY_DOC)[1]
+    return bad.select(F.regexp_extract("payload", '"cca2":"([^"]*)"', 1).alias("cca2"), "reject_reason")
+
+
 @query("country_normalize_job", f"""
 WITH c AS (SELECT * FROM ({SQL_COUNTRY}) WHERE cca3 <> ''),
 lang AS (SELECT cca2, count(*) AS languages, string_agg(code || '=' || name, ',' ORDER BY code) AS language_list FROM (
