@@ -1,8 +1,8 @@
 """Ranks, row numbers and exact quantiles without a single-task global sort.
 
 A plain ``OVER (ORDER BY x)`` or a percentile over a hot key sends everything to
-one task. Here values are first counted (map-side combined). A key with few distinct
-values is one bucket. The values of any other key are dealt into cells of their range on
+one task. Here values are first counted (map-side combined), and the driver asks how many
+distinct values the fullest key has. A key with few is one bucket. The values of any other key are dealt into cells of their range on
 a logarithmic scale, as many as their number asks for, and cells that came out too full into
 cells of their own range; the ranges are rows that the values meet in joins. Only
 the cells' totals are accumulated in one place, and the order inside a cell is
@@ -15,6 +15,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from tidewatch.session import materialize
+
 #: Distinct values of a bucket; a key with more gets cells.
 BUCKET_ROWS = 50_000
 _CELLS_PER_BUCKET = 2
@@ -41,37 +43,44 @@ def _cell(measure: Column, prefix: str, bucket_rows: int) -> Column:
     return F.coalesce(odd, inside, F.lit(0)).cast("long")
 
 
+def _fullest(counts: DataFrame, keys: Sequence[str]) -> int:
+    """The largest number of distinct values of a key; a job that sends one number to the driver."""
+    return counts.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+
+
 def _bucketed(counts: DataFrame, keys: Sequence[str], value: str, bucket_rows: int) -> DataFrame:
     """Add ``_large`` and the place of the bucket, ``_cell`` and ``_part``; a key of few distinct values has one bucket."""
     v = F.col(value).cast("double")
     spread = F.signum(v) * F.log1p(F.abs(v))
-    ranges = _ranges(counts, keys, spread, "_k")
-    if keys:
-        joined = counts.join(ranges.where(F.col("_kn") > bucket_rows), list(keys), "left")
-    else:
-        row = ranges.select(F.struct("*")).scalar()
-        joined = counts.withColumn("_r", row).select(*counts.columns, *[F.col(f"_r.{c}").alias(c) for c in ranges.columns])
-    large = F.coalesce(F.col("_kn") > bucket_rows, F.lit(False))
-    celled = joined.withColumn("_large", large).withColumn(
-        "_cell", F.when(F.col("_large"), _cell(spread, "_k", bucket_rows)).otherwise(F.lit(0).cast("long")))
+    ranges = _ranges(counts, keys, spread, "_k").where(F.col("_kn") > bucket_rows)
+    joined = counts.join(ranges, list(keys), "left") if keys else counts.crossJoin(F.broadcast(ranges))  # one row at most
+    large = F.col("_kn").isNotNull()
+    celled = joined.withColumns({
+        "_large": large, "_cell": F.when(large, _cell(spread, "_k", bucket_rows)).otherwise(F.lit(0).cast("long"))})
     full = _ranges(celled.where("_large"), [*keys, "_cell"], v, "_c").where(F.col("_cn") > bucket_rows)
-    parted = celled.join(full, [*keys, "_cell"], "left").withColumn(
-        "_part", F.when(F.col("_cn").isNotNull(), _cell(v, "_c", bucket_rows)).otherwise(F.lit(0).cast("long")))
-    return parted.select(*counts.columns, "_large", *_PLACE, F.when(F.col("_large"), F.col("_krows")).alias("_krows"))
+    part = F.when(F.col("_cn").isNotNull(), _cell(v, "_c", bucket_rows)).otherwise(F.lit(0).cast("long")).alias("_part")
+    return celled.join(full, [*keys, "_cell"], "left").select(*counts.columns, "_large", "_cell", part, "_krows")
 
 
 def _placed(counts: DataFrame, keys: Sequence[str], value: str, bucket_rows: int) -> DataFrame:
-    """Value counts with ``_total``, their bucket, its rows (``_in_bucket``) and the key's rows ``_before`` it."""
-    bucketed = _bucketed(counts, keys, value, bucket_rows)
+    """Value counts with ``_total``, their bucket, its rows (``_in_bucket``) and the key's rows ``_before`` it.
+
+    Where each key has few distinct values the key itself is the bucket. Else the counts are
+    stored, since several joins read them.
+    """
+    own = W.partitionBy(*keys, *_PLACE)
+    if _fullest(counts, keys) <= bucket_rows:
+        here = F.lit(0).cast("long")
+        return counts.select("*", here.alias("_cell"), here.alias("_part"), here.alias("_before")).withColumn(
+            "_in_bucket", F.sum("_freq").over(own)).withColumn("_total", F.col("_in_bucket"))
+    bucketed = materialize(_bucketed(materialize(counts, "value-counts"), keys, value, bucket_rows), "value-buckets")
     totals = bucketed.where("_large").groupBy(*keys, *_PLACE).agg(F.sum("_freq").alias("_n"))
     before = W.partitionBy(*keys).orderBy(*_PLACE).rowsBetween(W.unboundedPreceding, -1)
     offsets = totals.withColumn("_offset", F.coalesce(F.sum("_n").over(before), F.lit(0))).drop("_n")
-    own = F.sum("_freq").over(W.partitionBy(*keys, *_PLACE))
     return (
         bucketed.join(offsets, [*keys, *_PLACE], "left")
-        .withColumn("_in_bucket", own)
-        .withColumn("_total", F.coalesce("_krows", "_in_bucket"))
-        .withColumn("_before", F.coalesce("_offset", F.lit(0)))
+        .withColumn("_in_bucket", F.sum("_freq").over(own))
+        .withColumns({"_total": F.coalesce("_krows", "_in_bucket"), "_before": F.coalesce("_offset", F.lit(0))})
         .drop("_krows", "_offset", "_large")
     )
 
@@ -131,7 +140,7 @@ def exact_quantiles(
     ``inclusive`` is ``PERCENTILE_CONT``; ``exclusive`` puts the quantile at
     ``p * (n + 1)``. Only the buckets that hold a wanted position are sorted.
     """
-    counts = value_counts(df.filter(F.col(value).isNotNull()), keys, value)
+    counts = materialize(value_counts(df.filter(F.col(value).isNotNull()), keys, value), "value-counts")
     placed = _placed(counts, keys, value, bucket_rows)
     places = [_positions(p, F.col("_total"), method) for p in probabilities.values()]
     wanted = [F.floor(p).cast("bigint") for p in places] + [F.ceil(p).cast("bigint") for p in places]

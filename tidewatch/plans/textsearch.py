@@ -35,10 +35,10 @@ def text_index(corpus: DataFrame, *, key: str, text: str, stem: L.Stemmer = L.su
     """
     split = computed_once(corpus.select(key, text), _words=L.words(F.col(text))).select(key, "_words")
     places = split.select(key, F.posexplode("_words").alias("_at", "_word")).where(~L.is_stop_word(F.col("_word")))
-    by_word = materialize(places.groupBy(key, "_word").agg(F.collect_list(F.col("_at") + 1).alias("_places")), "word-places")
+    by_word = places.groupBy(key, "_word").agg(F.collect_list(F.col("_at") + 1).alias("_places"))
     vocabulary = by_word.select("_word").distinct().withColumn("term", stem(F.col("_word")))
     postings = by_word.join(vocabulary, "_word").groupBy(key, "term").agg(
-        F.array_sort(F.flatten(F.collect_list("_places"))).alias("places"))
+        F.sort_array(F.flatten(F.collect_list("_places"))).alias("places"))
     postings = materialize(postings, "term-places")
     frequency = materialize(postings.groupBy("term").agg(F.count(F.lit(1)).alias("documents")), "term-frequency")
     return TextIndex(postings, frequency, stem)
@@ -89,7 +89,7 @@ def keyword_search(
     hits = candidates.join(wanted, query).join(index.postings, [key, "term"])
     each = F.transform("places", lambda p: F.struct(p.alias("place"), F.col("_number").alias("number")))
     matched = hits.groupBy(query, key, "_terms").agg(
-        F.count(F.lit(1)).alias("_matched"), F.array_sort(F.flatten(F.collect_list(each))).alias("_all"))
+        F.count(F.lit(1)).alias("_matched"), F.sort_array(F.flatten(F.collect_list(each))).alias("_all"))
     scored = matched.where(F.col("_matched") == F.col("_terms")).select(
         query, key, cover_density(F.col("_all"), F.col("_terms")).alias("score"))
     best = W.partitionBy(query).orderBy(exact_round(F.col("score"), 9).desc(), key)
