@@ -24,6 +24,8 @@ BUCKETS = 1 << 16  # as many as the hash has values
 #: Bound of the training sample: expected number of labelled texts per language.
 SAMPLE_PER_LANGUAGE = 1500
 SMOOTHING = 0.3
+#: More learned languages than this are taken for an error in the labels.
+MOST_LANGUAGES = 256
 #: Rounds between two looks at the log-likelihood, and the gain per look, absolute and per word, at which a fit ends.
 ROUNDS = 8
 GAIN, GAIN_PER_WORD = 1e-2, 1e-6
@@ -83,24 +85,28 @@ class LanguageModel:
     table: np.ndarray
 
 
-def fit(labelled: DataFrame, text: str = "text", lang: str = "lang") -> LanguageModel:
+def fit(labelled: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> LanguageModel:
     """Learn a model from rows with text and language.
 
     Of each language about ``SAMPLE_PER_LANGUAGE`` whole texts are taken, by a
-    hash of the text, or all where there are fewer; that bound makes the fit's
-    cost independent of the table's size. Tasks count n-grams, Spark adds the
+    hash of the row's key and text, or all where there are fewer; that bound makes the fit's
+    cost independent of the table's size, and copies of a text are drawn one by one. More
+    than ``MOST_LANGUAGES`` languages raise an error. Tasks count n-grams, Spark adds the
     counts; the driver gets a table of fixed size per language. Rows with a
     null text or language teach nothing; without any rows the model has no
     language and every text is ``und``.
     """
-    rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang")).where("text IS NOT NULL AND lang IS NOT NULL")
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    rows = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.col(key).alias("key")).where(
+        "text IS NOT NULL AND lang IS NOT NULL")
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()}
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     languages = tuple(sorted(sizes))
     if not languages:
         return LanguageModel((), np.zeros((len(ORDERS), BUCKETS, 0), np.float32))
     share = F.create_map(*[F.lit(x) for k in languages for x in (k, min(1.0, SAMPLE_PER_LANGUAGE / sizes[k]))])
-    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / float(1 << 30)
-    sample = rows.where(draw < F.element_at(share, F.col("lang")))
+    draw = F.pmod(F.xxhash64("text", "key"), F.lit(1 << 30)) / float(1 << 30)
+    sample = rows.where(draw < F.element_at(share, F.col("lang"))).select("text", "lang")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums = {}
@@ -144,31 +150,38 @@ def _pieces(text: bytes) -> Iterator[bytes]:
     yield text[at:]
 
 
-def _score_words(model: LanguageModel, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def _score_words(model: LanguageModel, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     grams, word, of_word = word_ngrams(raw)
     if not len(of_word) or not model.languages:
-        return np.zeros((len(of_word), len(model.languages)), np.float32), of_word
+        return np.zeros((len(of_word), len(model.languages)), np.float32), of_word, np.zeros(len(of_word), bool)
     points = model.table[0].take(grams[0], axis=0, mode="clip")
     for table, bucket in zip(model.table[1:], grams[1:]):
         points += table.take(bucket, axis=0, mode="clip")
-    scores = np.add.reduceat(points, np.flatnonzero(np.diff(word, prepend=-1)), axis=0) / np.float32(len(ORDERS))
-    scores -= scores.max(axis=1, keepdims=True)
-    return np.maximum(scores, np.float32(-WORD_BOUND)), of_word
+    starts = np.flatnonzero(np.diff(word, prepend=-1))
+    scores = np.add.reduceat(points, starts, axis=0) / np.float32(len(ORDERS))
+    best = scores.max(axis=1, keepdims=True)
+    foreign = best[:, 0] < np.diff(np.append(starts, len(word))) * np.float32(-np.log(BUCKETS))
+    scores -= best
+    return np.maximum(scores, np.float32(-WORD_BOUND)), of_word, foreign
 
 
-def word_likelihoods(model: LanguageModel, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(words, languages) log-likelihoods relative to the best language of the word, and each word's text."""
+def word_likelihoods(model: LanguageModel, raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words, languages) log-likelihoods relative to the best language of the word, each word's text, and whether it is foreign.
+
+    A word is foreign if a background in which all n-grams are equally likely explains it better than every language.
+    """
     parts, owner = [], []
     for i, text in enumerate(raw):
         for piece in _pieces(text):
             parts.append(piece)
             owner.append(i)
-    scores, texts_of = [np.zeros((0, len(model.languages)), np.float32)], [np.zeros(0, np.int64)]
+    scores, texts_of, foreign = [np.zeros((0, len(model.languages)), np.float32)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
     for lo, hi in blocks([len(p) for p in parts], _BLOCK_BYTES):
-        s, t = _score_words(model, parts[lo:hi])
+        s, t, f = _score_words(model, parts[lo:hi])
         scores.append(s)
         texts_of.append(np.array(owner[lo:hi], np.int64)[t])
-    return np.concatenate(scores), np.concatenate(texts_of)
+        foreign.append(f)
+    return np.concatenate(scores), np.concatenate(texts_of), np.concatenate(foreign)
 
 
 class _Mixture:
@@ -259,20 +272,23 @@ def mixtures(scores: np.ndarray, of_word: np.ndarray, n_texts: int) -> np.ndarra
 
 
 def identified(model: LanguageModel, text: Column) -> Column:
-    """Struct (lang, score, mixture) of each whole text; the model, of fixed size, goes to the tasks.
+    """Struct (lang, score, mixture, foreign) of each whole text; the model, of fixed size, goes to the tasks.
 
     ``lang`` is the language of the largest proportion (of equal ones the first
     in name order), ``score`` that proportion, ``mixture`` the proportions of
-    the chosen set. A null text and one without letters are ``und`` with score
+    the chosen set, ``foreign`` the share of words that no language explains better than
+    the background. A null text and one without letters are ``und`` with scores
     0 and an empty mixture.
     """
-    @F.arrow_udf("struct<lang: string, score: double, mixture: map<string, double>>")
+    @F.arrow_udf("struct<lang: string, score: double, mixture: map<string, double>, foreign: double>")
     def run(column: pa.Array) -> pa.Array:
-        shares = [np.zeros((0, len(model.languages)))]
+        shares, odd = [np.zeros((0, len(model.languages)))], [np.zeros(0)]
         sizes = [n or 0 for n in pc.binary_length(column).to_pylist()]
         for lo, hi in blocks(sizes, 4 * _BLOCK_BYTES // max(4, len(model.languages))):
             raw = [t or b"" for t in texts(column.slice(lo, hi - lo))]
-            shares.append(mixtures(*word_likelihoods(model, raw), hi - lo))
+            scores, of_word, foreign = word_likelihoods(model, raw)
+            shares.append(mixtures(scores, of_word, hi - lo))
+            odd.append(np.bincount(of_word, foreign, hi - lo) / np.maximum(np.bincount(of_word, minlength=hi - lo), 1))
         share = np.concatenate(shares)
         known = share.sum(axis=1) > 0
         top = share.argmax(axis=1) if len(model.languages) else np.zeros(len(column), np.int64)
@@ -280,8 +296,8 @@ def identified(model: LanguageModel, text: Column) -> Column:
         score = np.where(known, share.max(axis=1, initial=0.0), 0.0).clip(0.0, 1.0)
         sets = [[(model.languages[i], float(row[i])) for i in np.flatnonzero(row)] for row in share]
         return pa.StructArray.from_arrays(
-            [pa.array(names, pa.string()), pa.array(score), pa.array(sets, pa.map_(pa.string(), pa.float64()))],
-            ["lang", "score", "mixture"])
+            [pa.array(names, pa.string()), pa.array(score), pa.array(sets, pa.map_(pa.string(), pa.float64())), pa.array(np.concatenate(odd))],
+            ["lang", "score", "mixture", "foreign"])
 
     return run.asNondeterministic()(text)  # else a filter on it evaluates it a second time
 
@@ -292,12 +308,15 @@ def teachable(key: Column) -> Column:
 
 
 def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, lang_pred, score, mixture) of every row; repeated rows and null keys give a row each, further columns are dropped."""
+    """(key, lang_pred, score, mixture, foreign) of every row; repeated rows and null keys give a row each, further columns are dropped."""
     rows = docs.select(F.col(key).alias("key"), identified(model, F.col(text)).alias("found"))
-    return rows.select(F.col("key").alias(key), F.col("found.lang").alias("lang_pred"), "found.score", "found.mixture")
+    return rows.select(F.col("key").alias(key), F.col("found.lang").alias("lang_pred"), "found.score", "found.mixture", "found.foreign")
 
 
-def keep_identified(docs: DataFrame, model: LanguageModel, least: float = 0.5, text: str = "text") -> DataFrame:
-    """The rows of ``docs`` in one main language of proportion ``least`` or more, all their columns as they were."""
+def keep_identified(docs: DataFrame, model: LanguageModel, least: float = 0.5, most_foreign: float = 0.5, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` in one main language of proportion ``least`` or more, all their columns as they were.
+
+    Rows of which more than ``most_foreign`` of the words are foreign go: they are in no learned language.
+    """
     rows = docs.select(F.struct(*docs.columns).alias("row"), identified(model, F.col(text)).alias("found"))
-    return rows.where((F.col("found.lang") != UNDETERMINED) & (F.col("found.score") >= least)).select("row.*")
+    return rows.where((F.col("found.lang") != UNDETERMINED) & (F.col("found.score") >= least) & (F.col("found.foreign") <= most_foreign)).select("row.*")
