@@ -172,3 +172,18 @@ def test_members_with_many_records(level):
     blocks[5] = blocks[5][:40] + b"\xff" * 20 + blocks[5][60:]
     lost = {i for i in range(12) if sum(map(len, records[:i])) < 300_000 and sum(map(len, records[:i + 1])) > 250_000}
     assert {n for i, n in enumerate(names) if i not in lost} <= set(names_of(b"".join(blocks)))
+
+
+def test_read_whole_refuses_damage_and_missing_records(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"http://h/{i}", "<p>text</p>" * 30 + str(i)) for i in range(20)], "page_id long, url string, html string")
+    warc.write_archives(pages.coalesce(1), str(tmp_path / "a"))
+    assert warc.read_whole(spark, str(tmp_path / "a"), 20).count() == 20
+    with pytest.raises(ValueError, match="20 records in place of 21"):
+        warc.read_whole(spark, str(tmp_path / "a"), 21)
+    file = next(p for p in (tmp_path / "a").iterdir() if p.name.startswith("part-") and p.stat().st_size)
+    (tmp_path / "b").mkdir()
+    raw = bytearray(file.read_bytes())
+    raw[len(raw) // 2:len(raw) // 2 + 9] = b"\0" * 9
+    (tmp_path / "b" / "part-0.gz").write_bytes(raw)
+    with pytest.raises(ValueError, match="is damaged from byte"):
+        warc.read_whole(spark, str(tmp_path / "b"), 20)

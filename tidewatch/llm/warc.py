@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewatch.llm.batches import texts
+from tidewatch.llm.tables import store
 
 #: Payloads of fewer bytes are always stored in full.
 REVISIT_BYTES = 100
@@ -366,3 +367,14 @@ def read_archives(spark: SparkSession, path: str, with_payload: bool = True) ->
               "payload_bytes long, payload_digest string, refers_to string, reason string") + ", payload binary" * with_payload
     files = spark.read.format("binaryFile").load(path).select("path", "content")
     return files.mapInArrow(run, schema)
+
+
+def read_whole(spark: SparkSession, path: str, records: int) -> DataFrame:
+    """The rows of archives that must be undamaged and hold so many records; else an error names the first gap or the count."""
+    found = store(read_archives(spark, path, with_payload=False), "records").df
+    gap = found.where("record_type IS NULL").orderBy("file", "offset").first()
+    if gap:
+        raise ValueError(f"{gap['file']} is damaged from byte {gap['offset']}: {gap['reason']}")
+    if (n := found.count()) != records:
+        raise ValueError(f"{n} records in place of {records}")
+    return found
