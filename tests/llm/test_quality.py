@@ -36,6 +36,15 @@ def test_bits_policies_and_ablations(spark, sf_dir):
             len(bits), sum(b & bit != 0 for b in bits), sum(b & mask != 0 for b in bits), sum(b & mask == bit for b in bits))
 
 
+def test_rule_that_alone_rejects(spark):
+    rows = spark.range(128).withColumnRenamed("id", "failed")
+    names = {n: quality.bits_of((n,)) for n, _ in quality.RULES}
+    for policy, rules in quality.POLICIES.items():
+        mask = quality.bits_of(rules)
+        for r in rows.select("failed", quality.only_rule(F.col("failed"), policy).alias("only")).collect():
+            assert r.only == next((n for n in rules if r.failed & mask == names[n]), None)
+
+
 def test_clean_labelled_documents_stay(spark, sf_dir):
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where("quality = 1")
     rows = quality.ledger(docs_of(spark, sf_dir)).join(labels, "doc_id")

@@ -130,6 +130,12 @@ def keep_documents(docs: DataFrame, policy: str = DEFAULT_POLICY, text: str = "t
     return rows.select("row", "m.*").where(kept(failure_bits(), policy)).select("row.*")
 
 
+def only_rule(failed: Column, policy: str = DEFAULT_POLICY) -> Column:
+    """The rule that alone makes a policy reject a row, from its stored bits; null where none or several do."""
+    hits = failed.bitwiseAND(F.lit(bits_of(POLICIES[policy])))
+    return F.coalesce(*[F.when(hits == bits_of((rule,)), rule) for rule in POLICIES[policy]])
+
+
 def ablations(stored: DataFrame, policies: Mapping[str, tuple[str, ...]] = POLICIES) -> DataFrame:
     """Per policy and rule: (policy, rule, n_docs, n_failed, n_rejected, n_only): what the rule adds.
 

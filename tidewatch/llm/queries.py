@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewatch.llm import alignment, chat, extraction, langid, packing, pieces, quality, sharding, simhash, syncmers, trie, urls, warc
+from tidewatch.llm.tables import store
 from tidewatch.session import work_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -60,8 +61,9 @@ FROM f
 def op3_salvage_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page, written to archives and read back from them."""
     path = work_dir(spark, "archives")
-    warc.write_archives(table(spark, sf_dir, "pages"), path)
-    found = warc.read_archives(spark, path, with_payload=False).where("record_type IS NOT NULL")
+    pages = table(spark, sf_dir, "pages")
+    warc.write_archives(pages, path)
+    found = warc.read_whole(spark, path, pages.count())
     return found.select(F.col("key").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
                         F.col("refers_to").cast("long").alias("refers_to"))
 
@@ -145,21 +147,33 @@ m AS (SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words,
         coalesce(lines.n, 0) AS n_lines, length(regexp_replace(text, '[^A-Z]', '', 'g')) AS n_upper,
         length(regexp_replace(text, '[^A-Za-z]', '', 'g')) AS n_letters
       FROM d LEFT JOIN covered USING (r) LEFT JOIN lines USING (r)),
-b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT (base_failed OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR 10 * n_symbols > 3 * n_words
-       OR (n_lines >= 4 AND 10 * n_dup_lines > 4 * n_lines) OR (n_letters >= 50 AND 10 * n_upper > 5 * n_letters)) AS kept
-FROM b
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, list_filter([
+    if(n_words < 10, 'too_few_words', ''), if(100 * n_repeat_words > 20 * n_words, 'repeated_windows', ''),
+    if(word_chars < 2 * n_words, 'short_words', ''), if(word_chars > 20 * n_words, 'long_words', ''), if(10 * n_symbols > 3 * n_words, 'symbols', ''),
+    if(n_lines >= 4 AND 10 * n_dup_lines > 4 * n_lines, 'repeated_lines', ''),
+    if(n_letters >= 50 AND 10 * n_upper > 5 * n_letters, 'shouting', '')], lambda r: r <> '') AS why FROM m),
+alone AS (SELECT *, CASE WHEN len(why) = 1 THEN why[1] END AS only_rule FROM b)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, len(why) = 0 AS kept, only_rule,
+  CASE WHEN only_rule IS NULL THEN 0 ELSE count(*) OVER (PARTITION BY only_rule) END AS n_only
+FROM alone
 """
 
 
 @_register("op9_rule_ledger", _QUALITY_SQL)
 def op9_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Measurements and verdicts of the default policy for every document, read from the ledger's bits."""
-    rows = quality.ledger(table(spark, sf_dir, "documents"))
-    return rows.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-                       (~quality.kept(F.col("failed"), "base")).alias("base_failed"),
-                       quality.kept(F.col("failed")).alias("kept"))
+    """Measurements and verdicts of the default policy for every document, and what the rule that alone rejects it costs.
+
+    The ledger is stored once; verdicts and ablations are read from its bits. ``n_only`` is the ablation's figure: how many
+    documents of the corpus ``only_rule`` alone rejects.
+    """
+    stored = store(quality.ledger(table(spark, sf_dir, "documents")), "ledger").df
+    policy = quality.DEFAULT_POLICY
+    costs = quality.ablations(stored, {policy: quality.POLICIES[policy]}).select(F.col("rule").alias("only_rule"), "n_only")
+    rows = stored.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         (~quality.kept(F.col("failed"), "base")).alias("base_failed"),
+                         quality.kept(F.col("failed")).alias("kept"), quality.only_rule(F.col("failed")).alias("only_rule"))
+    # a row per rule, so the table is as small as the policy
+    return rows.join(F.broadcast(costs), "only_rule", "left").withColumn("n_only", F.coalesce("n_only", F.lit(0).cast("long")))
 
 
 URL_RULES = (
