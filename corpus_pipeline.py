@@ -18,8 +18,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with one main language, found by a mixture model learned from the stage's own labelled rows.
 
-    Goes: a text without letters, and one of which no language makes up ``LEAST_SHARE``;
-    a text with a foreign passage or two stays.
+    Goes: a text without letters, one of which no language makes up ``LEAST_SHARE``, and one most of
+    whose words no learned language explains; a text with a foreign passage or two stays.
     Where no row has a language there is nothing to judge by, and all stay.
     """
     model = langid.fit(docs.where(langid.teachable(F.col("doc_id"))))
