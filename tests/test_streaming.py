@@ -3,10 +3,13 @@
 import datetime as dt
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
+from tidewatch.operators import entities as EN
 from tidewatch.sources import readers
 from tidewatch.streaming import pipelines as P
+from tidewatch.streaming.store import BatchStore
 
 
 def land(folder, name, rows):
@@ -30,11 +33,11 @@ def test_ingest_over_batches(spark, tmp_path):
     land(folder, "2.json", [message("a", "ALPHA moved to the north"), message("b", "BRAVO at 310000ZFEB24 again"), message("b", "BRAVO held its course")])
     P.ingest_stream(stream(spark, folder), target, ckpt).awaitTermination()
 
-    events = spark.read.parquet(f"{target}/events")
+    events = P.event_store(spark, target).read("events")
     assert sorted(r.raw_text for r in events.collect()) == ["ALPHA moved to the north", "BRAVO held its course"]
-    edges = spark.read.parquet(f"{target}/event_entities")
+    edges = P.event_store(spark, target).read("event_entities")
     assert sorted(r.name for r in edges.collect()) == ["ALPHA", "BRAVO"]
-    reasons = sorted(r.reject_reason for r in spark.read.parquet(f"{target}/quarantine").collect())
+    reasons = sorted(r.reject_reason for r in P.event_store(spark, target).read("quarantine").collect())
     assert reasons == ["impossible date-time group", "text shorter than the minimum", "text shorter than the minimum"]
 
 
@@ -43,7 +46,7 @@ def test_replayed_batch_is_idempotent(spark, tmp_path):
     batch = spark.createDataFrame(rows, "source_type string, source_id string, raw_text string, received_at timestamp_ntz, metadata map<string,string>")
     for _ in range(2):
         P.persist_batch(batch, 0, str(tmp_path / "t"))
-    assert spark.read.parquet(str(tmp_path / "t" / "events")).count() == 1
+    assert P.event_store(spark, str(tmp_path / "t")).read("events").count() == 1
 
 
 def test_hourly_stats_equal_batch_with_late_events(spark, tmp_path):
@@ -77,9 +80,9 @@ def test_unknown_types_and_labels_are_refused(spark, tmp_path):
     land(tmp_path / "in", "a.json", [odd, label])
     target = str(tmp_path / "t")
     P.ingest_stream(stream(spark, tmp_path / "in"), target, str(tmp_path / "c")).awaitTermination()
-    assert spark.read.parquet(f"{target}/events").count() == 0
+    assert P.event_store(spark, target).read("events").count() == 0
     # both have one source and text, so the second is a repeat of the first
-    assert [r.reject_reason for r in spark.read.parquet(f"{target}/quarantine").collect()] in (
+    assert [r.reject_reason for r in P.event_store(spark, target).read("quarantine").collect()] in (
         ["no adapter for this kind"], ["classification not in the vocabulary"])
 
 
@@ -94,10 +97,69 @@ def test_refused_copy_does_not_hide_a_corrected_one(spark, tmp_path):
                        ("3.json", [wrong, late, message("a", text)])):
         land(folder, name, rows)
         P.ingest_stream(stream(spark, folder), target, ckpt).awaitTermination()
-    events = spark.read.parquet(f"{target}/events").select("source_id", "raw_text", F.col("event_time").cast("string"), "batch_id").collect()
+    events = P.event_store(spark, target).read("events").select("source_id", "raw_text", F.col("event_time").cast("string"), "batch_id").collect()
     assert sorted(map(tuple, events)) == [("a", text, "2024-01-01 00:00:00", 1), ("b", text, "2024-01-01 00:00:00", 1)]
-    refused = spark.read.parquet(f"{target}/quarantine").withColumn("copies", F.lit(1)).select("batch_id", "reject_reason", "copies").union(
-        spark.read.parquet(f"{target}/quarantine_repeats").select("batch_id", "reject_reason", "copies"))
+    refused = P.event_store(spark, target).read("quarantine").withColumn("copies", F.lit(1)).select("batch_id", "reject_reason", "copies").union(
+        P.event_store(spark, target).read("quarantine_repeats").select("batch_id", "reject_reason", "copies"))
     found = refused.groupBy("batch_id", "reject_reason").agg(F.sum("copies")).collect()
     assert sorted(map(tuple, found)) == [(0, "no adapter for this kind", 2), (0, "no usable receive time", 1),
                                          (1, "no adapter for this kind", 1), (2, "no adapter for this kind", 1)]
+
+
+def test_a_batch_is_there_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    """A writer that dies between two tables leaves nothing to be read; the replay then stores the batch once."""
+    kinds = "source_type string, source_id string, raw_text string, received_at timestamp_ntz, metadata map<string,string>"
+    batch = lambda text: spark.createDataFrame([("sigint", "a", text, dt.datetime(2024, 1, 1), {})], kinds)
+    target = str(tmp_path / "t")
+    P.persist_batch(batch("ALPHA moved to the north"), 0, target)
+    add, calls = BatchStore._added, []
+
+    def dying(self, *args):
+        calls.append(args[1])
+        if len(calls) == 3:
+            raise RuntimeError("lost")
+        return add(self, *args)
+
+    monkeypatch.setattr(BatchStore, "_added", dying)
+    with pytest.raises(RuntimeError):
+        P.persist_batch(batch("BRAVO held its course"), 1, target)
+    store = P.event_store(spark, target)
+    assert calls == ["events", "entities", "event_entities"] and store.read("events").count() == 1 and store.manifest()["batch"] == 0
+    monkeypatch.setattr(BatchStore, "_added", add)
+    for _ in range(2):
+        P.persist_batch(batch("BRAVO held its course"), 1, target)
+    assert store.read("events").count() == 2 and store.read("event_entities").count() == 2
+
+
+def test_parts_are_merged_as_they_become_many(spark, tmp_path):
+    """Reading touches a number of folders that grows with the logarithm of the batches; sums stay the same."""
+    store = P.hourly_store(spark, str(tmp_path / "s"))
+    one = lambda n: spark.sql(f"SELECT TIMESTAMP_NTZ '2024-01-01 0{n % 3}:00:00' AS bucket, 's' AS source_id, 'LOW' AS threat_tier, "
+                              f"CAST({n} AS BIGINT) AS event_count, CAST(1 AS BIGINT) AS closed_count")
+    for n in range(20):
+        store.commit(n, {"hourly": one(n)})
+    live = store.manifest()["tables"]["hourly"]["live"]
+    assert sorted(level for _, level in live) == [0] * 4 + [1] * 2
+    got = {r.bucket.hour: (r.event_count, r.closed_count) for r in store.merged("hourly").collect()}
+    assert got == {h: (sum(range(h, 20, 3)), len(range(h, 20, 3))) for h in range(3)}
+    store.commit(7, {"hourly": one(1000)})  # an old batch comes again
+    assert store.merged("hourly").agg(F.sum("event_count")).first()[0] == sum(range(20))
+    assert store.vacuum() == 16 and store.merged("hourly").count() == 3
+
+
+def test_entity_log(spark):
+    """Two batches and a replay give one row per entity, aliases in order, the latest metadata."""
+    names = "name string, entity_type string, seq int, alias string, metadata string"
+    first = spark.createDataFrame([("Al", "P", 1, "A1", None), ("Al", "P", 2, "A2", '{"v":1}'), ("Al", "Q", 1, None, None), (None, "P", 1, "x", None)], names)
+    second = spark.createDataFrame([("Al", "P", 1, "A1", '{"v":2}'), ("Bo", "P", 1, "A1", None)], names)
+    when = lambda d: F.lit(dt.datetime(2024, 1, d)).cast("timestamp_ntz")
+    once = EN.entity_log(first, 0, when(1)).union(EN.entity_log(second, 1, when(2)))
+    rows = {(r.name, r.entity_type): r for r in EN.entities(once).collect()}
+    assert {k: (r.created_at.day, r.metadata, r.n_aliases) for k, r in rows.items()} == {
+        ("Al", "P"): (1, '{"v":2}', 3), ("Al", "Q"): (1, None, 0), ("Bo", "P"): (2, None, 1)}
+    assert len({r.entity_id for r in rows.values()}) == 3
+    of = rows["Al", "P"].entity_id
+    in_order = lambda df: [r.alias for r in df.where(F.col("entity_id") == of).orderBy("batch", "seq").collect()]
+    assert in_order(EN.aliases(once)) == ["A1", "A2", "A1"] and in_order(EN.aliases(once, distinct=True)) == ["A1", "A2"]
+    found = EN.by_alias(once, spark.createDataFrame([("A1",), ("Bo",), ("A1",)], "called string"), "called")
+    assert sorted((r.called, r.name, r.entity_type) for r in found.collect()) == [("A1", "Al", "P"), ("A1", "Bo", "P"), ("Bo", "Bo", "P")]

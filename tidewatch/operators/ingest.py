@@ -80,22 +80,6 @@ def without_stored(batch: DataFrame, stored: DataFrame | None, key: str) -> Data
     return batch.join(seen, key, "left_anti")
 
 
-def upsert_aliases(existing: DataFrame, incoming: DataFrame, *, distinct: bool = False) -> DataFrame:
-    """Entity aliases after an upsert, one row per alias.
-
-    Both inputs are ``(name, entity_type, seq, alias)``; the alias list of an
-    entity is its rows in ``(batch, seq)`` order, so ``old || new`` is a plain
-    union and no task ever holds a whole list. ``distinct`` keeps first copies.
-    """
-    columns = ["name", "entity_type", "batch", "seq", "alias"]
-    merged = existing.withColumn("batch", F.lit(0)).select(*columns).unionByName(
-        incoming.withColumn("batch", F.lit(1)).select(*columns)
-    )
-    if distinct:
-        merged = first_per_key(merged, ["name", "entity_type", "alias"], ["batch", "seq"])
-    return merged
-
-
 def new_edges(existing: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Insert-if-absent: incoming rows whose key is not stored, one per key."""
     return incoming.dropDuplicates(list(keys)).join(existing.select(*keys), list(keys), "left_anti")

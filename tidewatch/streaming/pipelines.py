@@ -9,9 +9,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.functions import text as X
 from tidewatch.functions.vector import hashed_embedding
+from tidewatch.operators.entities import entity_id
 from tidewatch.operators.extract import UNKNOWN_KIND, normalize_signals
 from tidewatch.operators.ingest import first_per_key, validate_raw_events
 from tidewatch.schema import STREAM_SOURCE_TYPES
+from tidewatch.session import materialize
+from tidewatch.streaming.store import BatchStore
 
 DEFAULT_CLASSIFICATION = "SECRET"
 
@@ -41,25 +44,35 @@ def fingerprint_stream(raw: DataFrame) -> DataFrame:
     return marked.dropDuplicates(["fingerprint"])
 
 
+HOURLY = ["bucket", "source_id", "threat_tier"]
+
+
+def _summed(parts: DataFrame) -> DataFrame:
+    return parts.groupBy(*HOURLY).agg(F.sum("event_count").alias("event_count"), F.sum("closed_count").alias("closed_count"))
+
+
+def hourly_store(spark: SparkSession, target: str) -> BatchStore:
+    return BatchStore(spark, target, {"hourly": _summed})
+
+
 def hourly_stats_stream(events: DataFrame, target: str, checkpoint: str, time: str = "occurred_at") -> StreamingQuery:
     """Hourly counts per source and tier, batch by batch; read them with :func:`hourly_stats`.
 
-    Each batch stores its own partial counts as a partition that a replay
-    overwrites. No watermark is needed, so late events count whenever they come,
+    Each batch commits its own partial counts, which the store adds up to larger
+    parts as they become many. No watermark is needed, so late events count whenever they come,
     and the current hour is there after each batch.
     """
     def add(batch: DataFrame, number: int) -> None:
-        batch.groupBy(F.date_trunc("hour", time).alias("bucket"), "source_id", "threat_tier").agg(
-            F.count(F.lit(1)).alias("event_count"), F.count_if(F.col("status") == "CLOSED").alias("closed_count")
-        ).write.mode("overwrite").parquet(f"{target}/batch_id={number}")
+        counted = batch.groupBy(F.date_trunc("hour", time).alias("bucket"), "source_id", "threat_tier").agg(
+            F.count(F.lit(1)).alias("event_count"), F.count_if(F.col("status") == "CLOSED").alias("closed_count"))
+        hourly_store(batch.sparkSession, target).commit(number, {"hourly": counted})
 
     return events.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def hourly_stats(spark: SparkSession, target: str) -> DataFrame:
-    """The sums of all batches' partial counts."""
-    return spark.read.parquet(target).groupBy("bucket", "source_id", "threat_tier").agg(
-        F.sum("event_count").alias("event_count"), F.sum("closed_count").alias("closed_count"))
+    """The counts of all batches: added-up parts and fresh ones as one table."""
+    return hourly_store(spark, target).merged("hourly")
 
 
 def _checked(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -90,14 +103,14 @@ def _quarantine(refused: DataFrame) -> tuple[DataFrame, DataFrame]:
     return firsts.unionByName(refused.where(~whole)), repeats
 
 
-def entity_id() -> Column:
-    """The same id for the same name and type in every batch."""
-    return F.sha2(F.concat_ws("\n", "entity_type", "name"), 256)
+def event_store(spark: SparkSession, target: str) -> BatchStore:
+    """The tables of :func:`persist_batch`: events, entities, event_entities, quarantine and quarantine_repeats."""
+    return BatchStore(spark, target, {"entities": lambda rows: rows.distinct()})
 
 
 def stored_entities(spark: SparkSession, target: str) -> DataFrame:
     """Every entity once, whichever batches it came in."""
-    return spark.read.parquet(f"{target}/entities").select("entity_id", "name", "entity_type").distinct()
+    return event_store(spark, target).merged("entities")
 
 
 def embedded(events: DataFrame) -> DataFrame:
@@ -111,36 +124,31 @@ def persist_batch(raw: DataFrame, batch_id: int, target: str, default_classifica
 
     ``fresh`` holds the ``fingerprint`` of every event that no earlier batch has stored; without it all are.
 
-    The events, entity and edge tables and the quarantine are partitions of the
-    batch number that are overwritten as a whole: replaying a batch after a
-    failure gives the same rows. Malformed rows go to the quarantine and never
+    The five tables become visible together, by one manifest: after a failure between two
+    of them nothing of the batch is there, and a batch that is there is not stored again. Malformed rows go to the quarantine and never
     stop the stream; further copies of a refused source and text are counted per
     reason in ``quarantine_repeats``.
     """
-    spark = raw.sparkSession
+    store = event_store(raw.sparkSession, target)
+    if batch_id <= store.manifest()["batch"]:
+        return
     raw = raw.persist()  # events, rejects and invalid rows all start from it
     accepted, refused = _sorted_out(raw, default_classification)
     if fresh is not None:
         accepted = accepted.join(fresh, "fingerprint", "left_semi")
     unique = first_per_key(accepted, ["fingerprint"], ["event_time", "raw_text"])
 
-    def put(df: DataFrame, table: str) -> DataFrame:
-        path = f"{target}/{table}/batch_id={batch_id}"
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
     # The edges are derived from the stored events, so all tables agree.
     named = unique.withColumn("event_id", F.col("fingerprint")).withColumn("int_type", F.upper("source_type"))
-    events = put(named.join(embed(named), "event_id"), "events")
+    events = materialize(named.join(embed(named), "event_id").withColumn("batch_id", F.lit(batch_id)), "batch-events")
     edges = events.select("event_id", F.explode(X.entity_tokens(F.col("normalized_text"))).alias("name"))
     edges = edges.withColumn("entity_type", F.lit("TOKEN")).select(
         "event_id", entity_id().alias("entity_id"), "name", "entity_type",
         F.lit("MENTIONED").alias("role"), F.lit(1.0).alias("confidence"))
-    put(edges.select("entity_id", "name", "entity_type").distinct(), "entities")
-    put(edges, "event_entities")
     firsts, repeats = _quarantine(refused)
-    put(firsts, "quarantine")
-    put(repeats, "quarantine_repeats")
+    store.commit(batch_id, {
+        "events": events, "entities": edges.select("entity_id", "name", "entity_type").distinct(), "event_entities": edges,
+        "quarantine": firsts.withColumn("batch_id", F.lit(batch_id)), "quarantine_repeats": repeats.withColumn("batch_id", F.lit(batch_id))})
     raw.unpersist()
 
 

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidewatch.functions.scalar import ts
 from tidewatch.functions.text import WS
-from tidewatch.operators import ingest as I
+from tidewatch.operators import entities as E, ingest as I
 from tidewatch.operators.extract import normalize_countries
 from tidewatch.operators.ordering import with_row_number
 from tidewatch.plans.audit import audited
 from tidewatch.session import work_dir
 from tidewatch.schema import COUNTRY_DOC
 from tidewatch.sources import layout, readers
+from tidewatch.streaming.store import BatchStore
 from tidewatch.suite import views as V
 from tidewatch.suite.registry import query
 
@@ -220,28 +222,45 @@ def fingerprint_dedup(spark, d):
     return I.fingerprint_dedup(raw, order=["doc_id"]).select("fingerprint", "doc_id")
 
 
-def _aliases(spark, d):
+def entity_log(spark, d) -> DataFrame:
+    """The log of two batches of parts, small ones before large ones, the first of them stored twice."""
     part = V.load(spark, d, "part").select(
-        F.col("p_brand").alias("name"), F.col("p_type").alias("entity_type"),
-        F.col("p_partkey").alias("seq"), F.col("p_name").alias("alias"), "p_size",
-    )
-    return part.filter("p_size <= 25").drop("p_size"), part.filter("p_size > 25").drop("p_size")
+        F.col("p_brand").alias("name"), F.col("p_type").alias("entity_type"), F.col("p_partkey").alias("seq"), F.col("p_name").alias("alias"),
+        F.when(F.col("p_size") % 10 != 0, F.format_string('{"size":%d}', "p_size")).alias("metadata"), "p_size")
+    store = BatchStore(spark, work_dir(spark, "entities"), {})
+    for number, rows in ((0, part.filter("p_size <= 25")), (0, part.filter("p_size <= 25")), (1, part.filter("p_size > 25"))):
+        store.commit(number, {"log": E.entity_log(rows.drop("p_size"), number, ts(f"2024-01-0{number + 1} 00:00:00"))})
+    return store.read("log")
+
+
+SQL_ENTITY_LOG = """
+SELECT sha256(p_type || chr(10) || p_brand) AS entity_id, p_brand AS name, p_type AS entity_type, (p_size > 25)::INTEGER AS batch,
+  p_partkey AS seq, p_name AS alias, CASE WHEN p_size % 10 <> 0 THEN '{"size":' || p_size || '}' END AS metadata FROM part"""
+
+
+@query("entity_upsert", f"""
+WITH log AS ({SQL_ENTITY_LOG}),
+said AS (SELECT entity_id, metadata, row_number() OVER (PARTITION BY entity_id ORDER BY batch DESC, seq DESC) AS back FROM log WHERE metadata IS NOT NULL),
+names AS (SELECT DISTINCT entity_id, name, entity_type FROM log),
+sizes AS (SELECT entity_id, count(*) AS n_aliases, TIMESTAMP '2024-01-01' + INTERVAL 1 DAY * min(batch) AS created_at FROM log GROUP BY 1)
+SELECT entity_id, name, entity_type, created_at, metadata, n_aliases
+FROM names JOIN sizes USING (entity_id) LEFT JOIN (SELECT entity_id, metadata FROM said WHERE back = 1) USING (entity_id)""")
+def entity_upsert(spark, d):
+    """One row per entity after two batches and a replay."""
+    return E.entities(entity_log(spark, d))
 
 
-@query("entity_upsert", """
-SELECT p_brand AS name, p_type AS entity_type, CAST(p_size > 25 AS INTEGER) AS batch, p_partkey AS seq,
-  p_name AS alias FROM part""")
-def entity_upsert(spark, d):
-    return I.upsert_aliases(*_aliases(spark, d))
+@query("entity_upsert_aliases", f"SELECT entity_id, batch, seq, alias FROM ({SQL_ENTITY_LOG})")
+def entity_upsert_aliases(spark, d):
+    """Every alias of every entity, in the order in which they came."""
+    return E.aliases(entity_log(spark, d))
 
 
-@query("entity_upsert_distinct", """
-SELECT name, entity_type, batch, seq, alias FROM (
-  SELECT p_brand AS name, p_type AS entity_type, CAST(p_size > 25 AS INTEGER) AS batch, p_partkey AS seq,
-    p_name AS alias, row_number() OVER (PARTITION BY p_brand, p_type, p_name ORDER BY p_size > 25, p_partkey) AS rn
-  FROM part) WHERE rn = 1""")
+@query("entity_upsert_distinct", f"""
+SELECT entity_id, batch, seq, alias FROM (
+  SELECT *, row_number() OVER (PARTITION BY entity_id, alias ORDER BY batch, seq) AS copy FROM ({SQL_ENTITY_LOG})) WHERE copy = 1""")
 def entity_upsert_distinct(spark, d):
-    return I.upsert_aliases(*_aliases(spark, d), distinct=True)
+    return E.aliases(entity_log(spark, d), distinct=True)
 
 
 @query("event_entity_link", """

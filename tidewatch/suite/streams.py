@@ -82,7 +82,7 @@ def ingested(spark: SparkSession, d: str) -> str:
 SELECT DISTINCT sha256(source_id || raw_text) AS event_id, source_id, {SQL_TIER} AS threat_tier, classification,
   clean AS normalized_text FROM ({SQL_PARSED}) WHERE NOT (has AND dtg IS NULL)""")
 def stream_ingest(spark, d):
-    return spark.read.parquet(f"{ingested(spark, d)}/events").select(
+    return P.event_store(spark, ingested(spark, d)).read("events").select(
         "event_id", "source_id", "threat_tier", "classification", "normalized_text"
     )
 
@@ -93,7 +93,7 @@ t AS (SELECT event_id, unnest(list_transform(regexp_split_to_array(clean, '\\s+'
 SELECT name, 'TOKEN' AS entity_type, count(DISTINCT event_id) AS events FROM t WHERE length(name) BETWEEN 2 AND 8 GROUP BY 1""")
 def event_persist(spark, d):
     target = ingested(spark, d)
-    edges = spark.read.parquet(f"{target}/event_entities").select("event_id", "entity_id")
+    edges = P.event_store(spark, target).read("event_entities").select("event_id", "entity_id")
     return edges.join(P.stored_entities(spark, target), "entity_id").groupBy("name", "entity_type").agg(F.count(F.lit(1)).alias("events"))
 
 
@@ -105,8 +105,8 @@ def event_persist_columns(spark, d):
     """Every stored event with its type, metadata, vector and, where its text has any, entity edges of a known role."""
     target = ingested(spark, d)
     norm = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x * x)
-    edges = spark.read.parquet(f"{target}/event_entities").where("role = 'MENTIONED' AND confidence = 1.0").select("event_id").distinct()
-    events = spark.read.parquet(f"{target}/events").join(edges.withColumn("edge", F.lit(True)), "event_id", "left")
+    edges = P.event_store(spark, target).read("event_entities").where("role = 'MENTIONED' AND confidence = 1.0").select("event_id").distinct()
+    events = P.event_store(spark, target).read("events").join(edges.withColumn("edge", F.lit(True)), "event_id", "left")
     return events.select(
         "event_id", "int_type", F.element_at("metadata", "received_at").isNotNull().alias("has_metadata"),
         (F.abs(norm - 1.0) < 1e-9).alias("has_unit_vector"), F.coalesce("edge", F.lit(False)).alias("linked"))
