@@ -29,6 +29,7 @@ THRESHOLD = 2
 SEED = 42
 #: Homes of one anchor that are compared one by one; beyond it they are linked over the points between them.
 CROWD = 500
+FINGERPRINTS_PER_TASK = 20_000
 _BLOCK = 1 << 15
 
 #: Perfect codes over consecutive bits from the lowest: (length, generator polynomial, covering radius).
@@ -146,6 +147,9 @@ def links(fingerprints: DataFrame) -> DataFrame:
     both lie within one bit of a common point, so each such point ties its
     members to the least of them.
     """
+    # an explicit number of partitions, since one fingerprint becomes some 150 rows after this shuffle
+    parts = max(1, -(-fingerprints.count() // FINGERPRINTS_PER_TASK))
+    fingerprints = fingerprints.select("f").repartition(parts, "f")
     homes = anchored(fingerprints, 0).select("anchor", F.col("f").alias("h"))
     sizes = homes.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
     crowded = sizes.where(F.col("n") > CROWD).select("anchor", F.lit(None).cast("long").alias("h"))
@@ -189,7 +193,14 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     found = near_duplicates(docs, key, text)
     best = found.groupBy("root").agg(F.min(F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), "f")).alias("best"))
     keepers = best.select(F.col("best.key").alias("k"), F.col("best.f").alias("g"))
-    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).alias("key"), fingerprinted(F.col(text)).alias("f"))
-    held = rows.join(keepers, F.col("key").eqNullSafe(F.col("k")) & (F.col("f") == F.col("g")), "left_semi")
+    repeated = found.groupBy(F.col(key).alias("r")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("r", F.lit(True).alias("many"))
+    marked = keepers.join(repeated, F.col("k").eqNullSafe(F.col("r")), "left").select("k", "many").distinct()
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(key).alias("key"), F.col(text).alias("text"))
+    held = rows.join(marked, F.col("key").eqNullSafe(F.col("k")))
+    alone = held.where("many IS NULL").select("row")
+    # only where rows share a key does the fingerprint say which of them is meant
+    several = held.where("many").select("row", "key", fingerprinted(F.col("text")).alias("f")).join(
+        keepers, F.col("key").eqNullSafe(F.col("k")) & (F.col("f") == F.col("g")), "left_semi")
     one = Window.partitionBy("key", "f").orderBy(F.lit(0))
-    return held.withColumn("n", F.row_number().over(one)).where("n = 1").select("row.*")
+    single = several.withColumn("n", F.row_number().over(one)).where("n = 1").select("row")
+    return alone.union(single).select("row.*")
