@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewatch.functions.text import ASCII_WS, DISTANCE, DTG, FLASH, LATLON, REPORT_LINE, SPEED
 from tidewatch.operators import extract as E
+from tidewatch.session import spread
 from tidewatch.suite import views as V
 from tidewatch.suite.ingest import sql_strip
 from tidewatch.suite.registry import query
@@ -22,7 +23,7 @@ def signal_messages(spark: SparkSession, d: str) -> DataFrame:
         F.lit(" at "), (key % 90).cast("string"), F.lit(".5"), F.when(key % 2 == 0, "N").otherwise("S"), F.lit(", "),
         (key % 180).cast("string"), F.lit(".25"), F.when(key % 3 == 0, "E").otherwise("W"),
     )
-    return V.load(spark, d, "events").select(
+    return spread(V.load(spark, d, "events")).select(
         F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("source_id"),
         F.concat(marker, activity, F.lit(" "), key.cast("string"), F.when(kind == "signup", "").otherwise(position), F.lit(" "), dtg, F.lit("  ")).alias("raw_text"),
         F.col("ts").alias("received_at"),
@@ -147,7 +148,7 @@ SELECT *, list_filter(e, lambda x, i: list_position(e, x) = i)[1:10] AS entities
 
 
 def _enriched(spark, d):
-    return E.enrich_events(V.load(spark, d, "documents").select(
+    return E.enrich_events(spread(V.load(spark, d, "documents")).select(
         "doc_id", F.col("lang").alias("source_type"), F.col("text").alias("raw_content")
     ))
 

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tidewatch.functions.scalar import exact_round, time_bucket, ts
 from tidewatch.plans import forecasting as FC
 from tidewatch.plans.analytics import hourly_threat_stats
 from tidewatch.plans.refresh import refresh_hourly_stats as refresh, refresh_stored_stats as refresh_store
-from tidewatch.session import work_dir
+from tidewatch.session import materialize, work_dir
 from tidewatch.suite import views as V
 from tidewatch.suite.registry import query, rnd
 
@@ -77,23 +77,32 @@ def ridge_fit_check(spark, d):
 
 
 @query("forecast_check", f"""
-SELECT series_id, CAST(step AS INTEGER) AS step, TRUE AS banded, TRUE AS first_is_fit FROM (SELECT DISTINCT series_id FROM ({SQL_TARGETS})), range(1, 13) AS r(step)""")
+SELECT series_id, CAST(step AS INTEGER) AS step, TRUE AS banded, TRUE AS first_is_fit, TRUE AS second_is_fit
+FROM (SELECT DISTINCT series_id FROM ({SQL_TARGETS})), range(1, 13) AS r(step)""")
 def forecast_check(spark, d):
-    """Every modelled series has twelve steps in an even band; step one is the stored weights on the last window."""
-    series = hourly_series(spark, d).cache()
-    models = FC.ridge_fit(series).cache()
-    ahead = FC.forecast(series, 12, models=models)
-    ends = series.groupBy("series_id").agg(F.max("step").alias("step"))
-    next_row = ends.select("series_id", (F.col("step") + 1).alias("step"), F.lit(0.0).alias("value"))
-    rows = FC.window_features(series.unionByName(next_row)).join(next_row.select("series_id", "step"), ["series_id", "step"], "left_semi")
-    z = [(F.col(c) - F.get("x_mean", F.lit(i))) / F.get("x_scale", F.lit(i)) * F.get("weights", F.lit(i)) for i, c in enumerate(FC.FEATURES)]
-    fit = rows.join(models, "series_id").select(
-        "series_id", (F.col("y_mean") + F.col("y_scale") * sum(z, F.lit(0.0))).alias("fit"), "residual_std")
+    """Every modelled series has twelve steps in an even band; step one is the stored weights on the last window, step two on that and step one."""
+    series = materialize(hourly_series(spark, d), "series")
+    models = materialize(FC.ridge_fit(series), "models")
+    ahead = materialize(FC.forecast(series, 12, models=models), "ahead")
+    ends = series.groupBy("series_id").agg(F.max("step").alias("last"))
+
+    def fit_of_next(known: DataFrame, after: int, name: str) -> DataFrame:
+        row = ends.select("series_id", (F.col("last") + after).alias("step"), F.lit(0.0).alias("value"))
+        features = FC.window_features(known.unionByName(row)).join(row.select("series_id", "step"), ["series_id", "step"], "left_semi")
+        z = [(F.col(c) - F.get("x_mean", F.lit(i))) / F.get("x_scale", F.lit(i)) * F.get("weights", F.lit(i)) for i, c in enumerate(FC.FEATURES)]
+        return features.join(models, "series_id").select("series_id", (F.col("y_mean") + F.col("y_scale") * sum(z, F.lit(0.0))).alias(name))
+
+    first = ahead.where("step = 1").join(ends, "series_id").select("series_id", (F.col("last") + 1).alias("step"), F.col("prediction").alias("value"))
+    one = fit_of_next(series, 1, "one")
+    two = fit_of_next(series.select("series_id", "step", "value").unionByName(first), 2, "two")
     band = F.abs(F.col("upper") - F.col("prediction") - 1.96 * F.col("residual_std")) + F.abs(
         F.col("prediction") - F.col("lower") - 1.96 * F.col("residual_std"))
-    return ahead.join(fit, "series_id").select(
-        "series_id", "step", (band <= 1e-3).alias("banded"),
-        ((F.col("step") > 1) | (F.abs(F.col("prediction") - F.col("fit")) <= 1e-3)).alias("first_is_fit"))
+
+    def fits(step: int, name: str) -> Column:
+        return (F.col("step") != step) | (F.abs(F.col("prediction") - F.col(name)) <= 1e-3)
+
+    return ahead.join(one, "series_id").join(two, "series_id").join(models.select("series_id", "residual_std"), "series_id").select(
+        "series_id", "step", (band <= 1e-3).alias("banded"), fits(1, "one").alias("first_is_fit"), fits(2, "two").alias("second_is_fit"))
 
 
 @query("backtest_check", f"SELECT series_id, count(*) AS n, TRUE AS equal FROM ({SQL_TARGETS}) GROUP BY 1")
