@@ -98,7 +98,7 @@ class VectorIndex:
 
     Unit vectors are cut into parts of ``WIDTH`` numbers, and each part is known by the
     nearest of ``CELLS`` trained centres (``books``: parts, cells, numbers). ``codes`` is (item,
-    _code), half a byte a part; ``vectors`` (item, _unit) has the unit vectors themselves, for the few that are looked up.
+    _code), a byte a part; ``vectors`` (item, _unit) has the unit vectors themselves, for the few that are looked up.
     """
 
     codes: DataFrame
@@ -108,12 +108,12 @@ class VectorIndex:
     dimensions: int
 
 
-WIDTH, CELLS = 2, 16
+WIDTH, CELLS = 2, 256
 #: Bound of the vectors that the centres are trained on; all are indexed.
-TRAINING_VECTORS = 20_000
+TRAINING_VECTORS = 5_000
 
 
-def _centres(points: np.ndarray, rounds: int = 12) -> np.ndarray:
+def _centres(points: np.ndarray, rounds: int = 8) -> np.ndarray:
     """k-means of one part, started from points evenly spaced in their order along the first number."""
     order = np.lexsort(points.T[::-1])
     centres = points[order[np.linspace(0, len(points) - 1, CELLS).astype(int)]]
@@ -132,7 +132,7 @@ def _nearest(points: np.ndarray, centres: np.ndarray) -> np.ndarray:
 
 def _padded(m: np.ndarray) -> np.ndarray:
     """Parts of unit vectors, an odd last number filled up with 0: (rows, parts, WIDTH)."""
-    filled = np.pad(_unit(m), ((0, 0), (0, -m.shape[1] % (2 * WIDTH))))
+    filled = np.pad(_unit(m), ((0, 0), (0, -m.shape[1] % WIDTH)))
     return filled.reshape(len(m), filled.shape[1] // WIDTH, WIDTH)
 
 
@@ -156,9 +156,8 @@ def vector_index(vectors: DataFrame, *, item: str, vector: str = "embedding", di
             if len(batch):
                 cut = _padded(np.vstack(batch["_v"]))
                 cells = np.stack([_nearest(cut[:, p], books[p]) for p in range(parts)], axis=1).astype(np.uint8)
-                packed = cells[:, ::2] << 4 | cells[:, 1::2]
                 unit = _unit(np.vstack(batch["_v"]))
-                yield pd.DataFrame({item: batch[item], "_code": [c.tobytes() for c in packed], "_unit": list(unit)})
+                yield pd.DataFrame({item: batch[item], "_code": [c.tobytes() for c in cells], "_unit": list(unit)})
 
     kind = dict(vectors.dtypes)[item]
     stored = materialize(used.mapInPandas(encode, f"{item} {kind}, _code binary, _unit array<double>"), "vector-codes")
@@ -171,8 +170,8 @@ def vector_topk_coded(
 ) -> DataFrame:
     """Approximate top ``k``: ``(query, item, similarity, rank)``; the similarities themselves are exact.
 
-    Blocks of codes meet slices of queries, as in :func:`vector_topk`, at a sixteenth of the vectors'
-    bytes or less. The ``looked_up * k`` best of each query by its cells' centres are compared by their vectors.
+    Blocks of codes meet slices of queries, as in :func:`vector_topk`, at a sixteenth of
+    the bytes of the vectors in double precision. The ``looked_up * k`` best of each query by its cells' centres are compared by their vectors.
     """
     used = usable_vectors(queries, query_vector).filter(F.size(query_vector) == index.dimensions)
     blocks, slices = max(1, -(-index.rows // rows_per_block)), max(1, -(-used.count() // queries_per_slice))
@@ -187,8 +186,7 @@ def vector_topk_coded(
     def cell(v: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(v) and len(q):
-            packed = np.frombuffer(b"".join(v["_code"]), np.uint8).reshape(len(v), -1)
-            codes = np.stack([packed >> 4, packed & 15], axis=2).reshape(len(v), -1)
+            codes = np.frombuffer(b"".join(v["_code"]), np.uint8).reshape(len(v), -1)
             ids = v[item].to_numpy()
             for qid, vector in zip(q[query], q["_q"]):
                 table = (books * _padded(np.asarray(vector, np.float64)[None])[0][:, None]).sum(axis=2)  # of each part's centres
