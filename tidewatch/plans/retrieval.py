@@ -13,7 +13,7 @@ from tidewatch.operators.ingest import first_per_key, without_stored
 from tidewatch.operators.vectors import vector_topk
 from tidewatch.operators.windows import budget_prefix
 from tidewatch.plans.textsearch import TextIndex, keyword_search
-from tidewatch.session import materialize
+from tidewatch.session import dealt_by, materialize
 
 # BM25 parameters, fusion constant, chunk and context sizes.
 K1, B, EPSILON = 1.5, 0.75, 0.25
@@ -73,7 +73,7 @@ def bm25_index(corpus: DataFrame, *, key: str, text: str, epsilon: float = EPSIL
     The length travels with each posting, so scoring needs no join on documents.
     The postings are stored once: every later step reads them, none tokenises again.
     """
-    tokenised = computed_once(corpus.select(key, text), _tokens=X.tokens(F.col(text)))
+    tokenised = computed_once(dealt_by(corpus.select(key, text), key), _tokens=X.tokens(F.col(text)))
     # The length is a column of its own before the explode, or every term row would carry the whole array.
     tokenised = tokenised.select(key, F.size("_tokens").cast("bigint").alias("doc_len"), "_tokens")
     postings = (

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tidewatch.functions import lexemes as L
 from tidewatch.functions.scalar import computed_once, exact_round
-from tidewatch.session import materialize
+from tidewatch.session import dealt_by, materialize
 
 # Fixed value: weight of a plain word in a cover.
 WEIGHT = 0.1
@@ -33,9 +33,9 @@ def text_index(corpus: DataFrame, *, key: str, text: str, stem: L.Stemmer = L.su
 
     A document without terms has no postings; further columns are dropped. Keys must be unique.
     """
-    split = computed_once(corpus.select(key, text), _words=L.words(F.col(text))).select(key, "_words")
+    split = computed_once(dealt_by(corpus.select(key, text), key), _words=L.words(F.col(text))).select(key, "_words")
     places = split.select(key, F.posexplode("_words").alias("_at", "_word")).where(~L.is_stop_word(F.col("_word")))
-    by_word = places.groupBy(key, "_word").agg(F.collect_list(F.col("_at") + 1).alias("_places"))
+    by_word = materialize(places.groupBy(key, "_word").agg(F.collect_list(F.col("_at") + 1).alias("_places")), "word-places")
     vocabulary = by_word.select("_word").distinct().withColumn("term", stem(F.col("_word")))
     postings = by_word.join(vocabulary, "_word").groupBy(key, "term").agg(
         F.sort_array(F.flatten(F.collect_list("_places"))).alias("places"))

@@ -35,11 +35,11 @@ def corpus(spark: SparkSession, d: str) -> DataFrame:
 
 
 def document_index(spark: SparkSession, d: str) -> R.Bm25Index:
-    return stored(spark, d, "bm25 of documents", lambda: R.bm25_index(corpus(spark, d), key="doc_id", text="text"))
+    return stored(spark, d, "bm25 of documents", lambda: R.bm25_index(V.load(spark, d, "documents"), key="doc_id", text="text"))
 
 
 def document_terms(spark: SparkSession, d: str) -> TS.TextIndex:
-    return stored(spark, d, "terms of documents", lambda: TS.text_index(corpus(spark, d), key="doc_id", text="text"))
+    return stored(spark, d, "terms of documents", lambda: TS.text_index(V.load(spark, d, "documents"), key="doc_id", text="text"))
 
 
 def document_vectors(spark: SparkSession, d: str) -> DataFrame:
