@@ -10,6 +10,8 @@ from tidewatch.operators import entities as EN
 from tidewatch.sources import readers
 from tidewatch.streaming import pipelines as P
 from tidewatch.streaming.store import BatchStore
+from tidewatch.suite import REGISTRY
+from tidewatch.suite.streams import table_stream
 
 
 def land(folder, name, rows):
@@ -163,3 +165,16 @@ def test_entity_log(spark):
     assert in_order(EN.aliases(once)) == ["A1", "A2", "A1"] and in_order(EN.aliases(once, distinct=True)) == ["A1", "A2"]
     found = EN.by_alias(once, spark.createDataFrame([("A1",), ("Bo",), ("A1",)], "called string"), "called")
     assert sorted((r.called, r.name, r.entity_type) for r in found.collect()) == [("A1", "Al", "P"), ("A1", "Bo", "P"), ("Bo", "Bo", "P")]
+
+
+def test_table_streams_of_a_file_and_of_a_folder(spark, tmp_path):
+    """A table may be one file or a folder of files; its neighbours are not read."""
+    rows = spark.createDataFrame([(i, "web", f"text {i % 7}") for i in range(20)], "doc_id long, source string, text string")
+    rows.repartition(3).write.parquet(str(tmp_path / "many" / "documents.parquet"))
+    rows.write.parquet(str(tmp_path / "many" / "pages.parquet"))
+    (tmp_path / "one").mkdir()
+    rows.toPandas().to_parquet(tmp_path / "one" / "documents.parquet")
+    for d in ("many", "one"):
+        assert REGISTRY["stream_fingerprint_dedup"].build(spark, str(tmp_path / d)).distinct().count() == 7
+        read = table_stream(spark, str(tmp_path / d), "documents")
+        assert P.drain(read, str(tmp_path / f"{d}-out"), str(tmp_path / f"{d}-ckpt")).count() == 20

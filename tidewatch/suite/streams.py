@@ -13,8 +13,12 @@ from tidewatch.suite.registry import query
 
 
 def table_stream(spark: SparkSession, d: str, table: str) -> DataFrame:
+    """The files of a table as a stream, whether the table is one file or a folder of files.
+
+    The path is a pattern that only the table's own name fits: as a plain path a stream takes folders only.
+    """
     schema = V.load(spark, d, table).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(d)
+    return spark.readStream.schema(schema).parquet(f"{d}/{table}.parque[t]")
 
 
 def landed_messages(spark: SparkSession, raw: DataFrame) -> str:
