@@ -13,6 +13,7 @@ from tidewatch.functions.vector import hashed_embedding
 from tidewatch.operators import extract as E
 from tidewatch.plans import retrieval as R, textsearch as TS
 from tidewatch.sources import layout, readers
+from tidewatch.suite import REGISTRY
 
 SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0       　"
 
@@ -21,6 +22,23 @@ def one(spark, text, column):
     return spark.createDataFrame([(text,)], "t string").select(column.alias("c")).first().c
 
 
+def test_stems_of_words_that_no_rule_changes_are_passed_by(spark, sf_dir):
+    """One look at a word's end says whether any rule can change it; the result is that of all rules."""
+    ends = sorted({e for p, _ in L.SUFFIX_RULES for e in re.findall("[a-z]{1,8}", p)})
+    made = [f"{w}{e}{x}" for w in ("hop", "stat", "re", "b", "ñan", "xx9") for e in ends for x in ("", "s", "ed", "ly", "ingly")]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(F.explode(L.words(F.col("text"))).alias("w"))
+    words = docs.union(spark.createDataFrame([(w,) for w in made], "w string")).distinct()
+    plain = F.col("w")
+    for pattern, rest in L.SUFFIX_RULES:
+        plain = F.regexp_replace(plain, pattern, rest)
+    assert words.where(plain != L.suffix_stem(F.col("w"))).count() == 0
+    assert one(spark, "runs runs ran runs", L.terms(F.col("t"))) == ["run", "ran"]
+
+
+def test_text_match_uses_all_cores_on_one_file(spark, sf_dir):
+    assert REGISTRY["fn_text_match"].build(spark, sf_dir).rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
 def test_words_match_python_split(spark):
     for text in ["", "  ", "a", f"{SPACES}a{SPACES}b  c{SPACES}", "x​y z"]:
         assert one(spark, text, X.words(F.col("t"))) == text.split()

@@ -8,6 +8,7 @@ from tidewatch.functions import lexemes as L
 from tidewatch.functions import text as X
 from tidewatch.functions.scalar import cosine_similarity, exact_round, safe_ratio, seconds_between, time_bucket
 from tidewatch.schema import CLASSIFICATIONS, ordinal
+from tidewatch.session import spread
 from tidewatch.suite import views as V
 from tidewatch.suite.ingest import sql_strip
 from tidewatch.suite.registry import query, rnd
@@ -191,4 +192,4 @@ SELECT doc_id, list_has_all(list_transform(list_filter(regexp_extract_all(lower(
     lambda w: w NOT IN {L.sql_stop_words()}), lambda w: {L.sql_stem('w')}), ['tion', 're']) AS matched FROM documents""")
 def fn_text_match(spark, d):
     """Documents that hold the terms of a question; its stop words and suffixes do not count."""
-    return V.load(spark, d, "documents").select("doc_id", L.matches(F.col("text"), F.lit("What of the tions, re?")).alias("matched"))
+    return spread(V.load(spark, d, "documents").select("doc_id", "text")).select("doc_id", L.matches(F.col("text"), F.lit("What of the tions, re?")).alias("matched"))
