@@ -293,6 +293,24 @@ def test_text_search_shuffles_neither_index_nor_words(spark):
     assert index.texts.count() == 200 and index.vocabulary.count() == 200 * 100 + 10
 
 
+def test_postings_and_texts_meet_stored_questions_and_hits(spark):
+    """Neither the postings nor the texts are shuffled for a few questions, and hits are searched for once."""
+    docs = invented(spark, 200, 100)
+    asked = spark.createDataFrame([(0, "nr3 nr3 nowhere"), (1, "nowhere")], "q bigint, question string")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 50_000)
+    try:
+        index = R.bm25_index(docs, key="id", text="t")
+        found = R.bm25_topk(index, asked, key="id", query="q", text="question", k=7)
+        assert joins_of(found) == ["BroadcastHashJoin"]
+        assert [(r.q, r.id) for r in found.orderBy("q", "rank").collect()] == [(0, 3 + 10 * i) for i in range(7)]
+        hits = R.hybrid_search(index, hashed_embedding(docs, "id", "t"), asked, key="id", query="q", query_text="question", top_k=5, depth=9)
+        assert joins_of(docs.repartition(2).join(hits, "id")) == ["BroadcastHashJoin"]
+        assert hits.groupBy("q").count().orderBy("q").collect() == [(0, 5), (1, 5)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+
+
 def test_fusion_keeps_single_list_hits(spark):
     a = spark.createDataFrame([("q", 1, 1), ("q", 2, 2)], "q string, id int, rank int")
     b = spark.createDataFrame([("q", 2, 1), ("q", 3, 2)], "q string, id int, rank int")

@@ -105,11 +105,11 @@ def bm25_scores(
 ) -> DataFrame:
     """``(query, key, score)`` for documents that share a term with a query.
 
-    The idf joins the short query side; what meets the postings is a list of
-    query terms that Spark broadcasts when it is small, so the postings of one
-    document are scored and partly summed where they are.
+    The idf joins the short query side; what meets the postings is a stored list of
+    query terms, whose size Spark knows and which it broadcasts when it is small, so the postings
+    are not shuffled, and those of one document are scored and partly summed where they are.
     """
-    weighted = query_terms(queries, query=query, text=text).join(index.terms, "term")
+    weighted = materialize(query_terms(queries, query=query, text=text).join(index.terms, "term"), "query-terms")
     mean_length = index.stats.select("mean_len").scalar()
     tf = F.col("tf")
     norm = k1 * (1 - b + b * F.col("doc_len") / mean_length)
@@ -149,7 +149,8 @@ def hybrid_search(
 
     The kind of index says how texts are searched: any shared term, ranked by BM25, or
     all terms, ranked by cover density. ``vectors`` and ``query_vectors`` are ``(key, embedding)``; for queries without
-    vectors the hashed stand-in is computed. ``only`` has the keys that may be hits, of either list.
+    vectors the hashed stand-in is computed. ``only`` has the keys that may be hits, of either list. The
+    hits are stored: what joins them to whole texts, more than once, neither searches again nor shuffles the texts.
     """
     if query_vectors is None:
         query_vectors = hashed_embedding(queries, query, query_text)
@@ -162,7 +163,7 @@ def hybrid_search(
         found = bm25_topk(index, queries, key=key, query=query, text=query_text, k=depth)
     else:
         raise ValueError("BM25 weighs terms over the whole index; build one of the rows that are wanted")
-    return rrf_fuse(near, found, key=key, query=query, k=top_k)
+    return materialize(rrf_fuse(near, found, key=key, query=query, k=top_k), "fused")
 
 
 def _joined(column: str, rank: str, separator: str) -> Column:
