@@ -250,6 +250,21 @@ def test_replace_children_and_new_edges(spark):
     assert I.new_edges(old, old.union(new), ["p", "c"]).count() == 1
 
 
+def test_replacing_children_sorts_no_children_that_stay(spark):
+    old = spark.range(1000).selectExpr("id AS p", "id % 3 AS c", "id AS v")
+    new = spark.range(10, 14).selectExpr("id AS p", "7L AS c", "-id AS v")
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        got = I.replace_children(old, new, new.union(new), "p", ["p", "c"], ["v"])
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
+        rows = {tuple(r) for r in got.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert rows == {(i, i % 3, i) for i in range(1000) if not 10 <= i < 14} | {(i, 7, -i) for i in range(10, 14)}
+
+
 def test_clearance_of_unknown_analyst_and_service(spark):
     events = spark.createDataFrame([(1, "CUI"), (2, "TS_SCI")], "event_id int, classification string")
     staff = spark.createDataFrame([(7, "SECRET")], "analyst_id int, clearance_level string")

@@ -109,8 +109,11 @@ def upsert(existing: DataFrame, incoming: DataFrame, key: str, order: str) -> Da
 
 def replace_children(existing: DataFrame, incoming: DataFrame, touched: DataFrame, parent: str,
                      key: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Drop every child of a touched parent, then add the new set, first row per key."""
-    kept = existing.join(touched.select(parent).distinct(), parent, "left_anti")
+    """Drop every child of a touched parent, then add the new set, first row per key.
+
+    A task holds the touched parents of its share, and sorts none of the children that stay.
+    """
+    kept = existing.join(touched.select(parent).distinct().hint("shuffle_hash"), parent, "left_anti")
     return kept.unionByName(first_per_key(incoming, key, order).select(*existing.columns))
 
 

@@ -327,7 +327,7 @@ def replace_children(spark, d):
     touched = V.load(spark, d, "orders").filter("o_orderstatus = 'P'").select(F.col("o_orderkey").alias("parent"))
     key = [F.col("l_orderkey").alias("parent"), F.col("l_linenumber").alias("code")]
     stored = line.select(*key, F.col("l_partkey").alias("name"))
-    fresh = line.select(*key, F.col("l_suppkey").alias("name")).join(touched, "parent", "left_semi")
+    fresh = line.select(*key, F.col("l_suppkey").alias("name")).join(touched.hint("shuffle_hash"), "parent", "left_semi")
     return I.replace_children(stored, fresh, touched, "parent", ["parent", "code"], ["name"])
 
 
