@@ -1,6 +1,7 @@
 """Text expressions, extraction jobs, readers and retrieval against plain Python."""
 
 import datetime as dt
+import hashlib
 import json
 import math
 import re
@@ -351,3 +352,20 @@ def test_embedding_of_blank_text_is_zero(spark):
     df = hashed_embedding(spark.createDataFrame([(1, "a b a"), (2, " ")], "id int, t string"), "id", "t")
     got = {r.id: r.embedding for r in df.collect()}
     assert sum(x * x for x in got[1]) == pytest.approx(1) and got[2] == [0.0] * 64
+
+
+def test_embedding_counts_where_a_text_is_read(spark):
+    """No word is shuffled and nothing joined; rows of one key share the vector of their texts, rows without key or text get zeros."""
+    rows = [(1, "Ships\u00a0sail a a A"), (1, "sail north"), (2, None), (None, "lost"), (3, "\u3000 x\x1cy \x85 x")]
+    df = hashed_embedding(spark.createDataFrame(rows, "id int, t string"), "id", "t")
+    assert joins_of(df) == [] and "explode(_t" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+    def unit(words):
+        counts = [0] * 64
+        for w in words:
+            counts[int(hashlib.md5(w.encode()).hexdigest()[:4], 16) % 64] += 1
+        return [c / math.sqrt(sum(x * x for x in counts)) if any(counts) else 0.0 for c in counts]
+
+    both = unit(["ships", "sail", "a", "a", "a", "sail", "north"])
+    want = [(1, both), (1, both), (2, unit([])), (None, unit([])), (3, unit(["x", "y", "x"]))]
+    assert sorted(map(repr, ((r.id, r.embedding) for r in df.collect()))) == sorted(map(repr, want))
