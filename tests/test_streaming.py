@@ -2,10 +2,12 @@
 
 import datetime as dt
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from tidewatch.functions.vector import hashed_embedding
 from tidewatch.operators import entities as EN
 from tidewatch.sources import readers
 from tidewatch.streaming import pipelines as P
@@ -178,3 +180,20 @@ def test_table_streams_of_a_file_and_of_a_folder(spark, tmp_path):
         assert REGISTRY["stream_fingerprint_dedup"].build(spark, str(tmp_path / d)).distinct().count() == 7
         read = table_stream(spark, str(tmp_path / d), "documents")
         assert P.drain(read, str(tmp_path / f"{d}-out"), str(tmp_path / f"{d}-ckpt")).count() == 20
+
+
+def test_a_batch_is_parsed_once_and_stored_once(spark, tmp_path):
+    """However many columns and filters read a message it is parsed in one place; events are written once, and
+    a text's own vector is that of a given embedder."""
+    lines = spark.createDataFrame([(json.dumps(message("a", f"ALPHA {i} ALPHA held")),) for i in range(5)] + [("no json",)], "value string")
+    raw = readers.parse_messages(lines).withColumn("received_at", F.try_element_at("metadata", F.lit("received_at")).cast("timestamp_ntz"))
+    used = raw.where("length(raw_text) > 3 AND source_id <> ''")
+    assert used._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
+    there = set(Path(spark.conf.get("spark.checkpoint.dir")).iterdir())
+    P.persist_batch(raw, 0, str(tmp_path / "own"))
+    assert set(Path(spark.conf.get("spark.checkpoint.dir")).iterdir()) == there
+    P.persist_batch(raw, 0, str(tmp_path / "given"), embed=lambda events: hashed_embedding(events, "event_id", "normalized_text"))
+    own, given = (P.event_store(spark, str(tmp_path / n)) for n in ("own", "given"))
+    for table, n in (("events", 5), ("entities", 1), ("event_entities", 5), ("quarantine", 1), ("quarantine_repeats", 0)):
+        rows = [sorted(map(str, s.read(table).select(*sorted(own.read(table).columns)).collect())) for s in (own, given)]
+        assert rows[0] == rows[1] and len(rows[0]) == n

@@ -19,6 +19,24 @@ class Extracted:
     rollup: DataFrame
 
 
+def _label(default_classification: str) -> Column:
+    return F.coalesce(F.try_element_at("metadata", F.lit("classification")), F.lit(default_classification))
+
+
+def _dated(raw: DataFrame, default_classification: str) -> tuple[DataFrame, Column]:
+    """Signals with trimmed text and date-time group, and why one of them is refused, or null."""
+    text = F.col("_text")
+    dated = computed_once(computed_once(raw, _text=X.strip(F.col("raw_text"))), _dtg=X.dtg_match(text))
+    return dated, F.when((F.col("_dtg") != "") & X.dtg_time(F.col("_dtg")).isNull(), "impossible date-time group").when(
+        ~_label(default_classification).isin(*CLASSIFICATIONS), "classification not in the vocabulary")
+
+
+def signal_fingerprints(raw: DataFrame, *, default_classification: str = "SECRET") -> DataFrame:
+    """``fingerprint`` of every signal that :func:`normalize_signals` accepts, found without normalising it."""
+    dated, refused = _dated(raw, default_classification)
+    return dated.filter(refused.isNull()).select(X.fingerprint(F.col("source_id"), F.col("raw_text")).alias("fingerprint"))
+
+
 def normalize_signals(
     raw: DataFrame, *, signed: bool = True, classify_on: str = "clean", default_classification: str = "SECRET",
     keep: Sequence[str] = (),
@@ -28,17 +46,11 @@ def normalize_signals(
     Without a date-time group the receive time stands in; an impossible one, or a label
     outside the vocabulary, is a reject. Columns in ``keep`` are handed through.
     """
-    text = F.col("_text")
-    parsed = computed_once(
-        computed_once(raw, _text=X.strip(F.col("raw_text"))),
-        _dtg=X.dtg_match(text), _position=X.position_match(text), normalized_text=X.strip_flash(text),
-    )
-    time = X.dtg_time(F.col("_dtg"))
-    label = F.coalesce(F.try_element_at("metadata", F.lit("classification")), F.lit(default_classification))
-    refused = F.when((F.col("_dtg") != "") & time.isNull(), "impossible date-time group").when(
-        ~label.isin(*CLASSIFICATIONS), "classification not in the vocabulary")
-    rejected = parsed.filter(refused.isNotNull()).select(*raw.columns, refused.alias("reject_reason"))
-    accepted = parsed.filter(refused.isNull()).select(
+    dated, refused = _dated(raw, default_classification)
+    text, time, label = F.col("_text"), X.dtg_time(F.col("_dtg")), _label(default_classification)
+    rejected = dated.filter(refused.isNotNull()).select(*raw.columns, refused.alias("reject_reason"))
+    parsed = computed_once(dated.filter(refused.isNull()), _position=X.position_match(text), normalized_text=X.strip_flash(text))
+    accepted = parsed.select(
         "source_id",
         F.coalesce(time, F.col("received_at")).alias("event_time"),
         label.alias("classification"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tidewatch.functions.scalar import computed_once
 from tidewatch.schema import COUNTRY_DOC, RAW_MESSAGE
 
 TEXT_SUFFIXES = (".txt", ".md")
@@ -78,8 +79,8 @@ def report_lines(reports: DataFrame, text: str, *keys: str) -> DataFrame:
 
 def parse_messages(payload: DataFrame, column: str = "value") -> DataFrame:
     """JSON messages to raw events; a payload that is no JSON object becomes an all-NULL row."""
-    message = F.from_json(F.col(column).cast("string"), RAW_MESSAGE)
-    return payload.select(message.alias("m"), F.col(column).cast("string").alias("payload")).select(
+    text = payload.select(F.col(column).cast("string").alias("payload"))
+    return computed_once(text, m=F.from_json("payload", RAW_MESSAGE)).select(
         "m.source_type", "m.source_id", "m.raw_text",
         F.coalesce("m.metadata", F.create_map().cast("map<string,string>")).alias("metadata"),
         "payload",

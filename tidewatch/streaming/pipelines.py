@@ -8,12 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window as W, functions
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewatch.functions import text as X
-from tidewatch.functions.vector import hashed_embedding
+from tidewatch.functions.scalar import computed_once
+from tidewatch.functions.vector import text_vector
 from tidewatch.operators.entities import entity_id
-from tidewatch.operators.extract import UNKNOWN_KIND, normalize_signals
+from tidewatch.operators.extract import UNKNOWN_KIND, normalize_signals, signal_fingerprints
 from tidewatch.operators.ingest import first_per_key, validate_raw_events
 from tidewatch.schema import STREAM_SOURCE_TYPES
-from tidewatch.session import materialize
 from tidewatch.streaming.store import BatchStore
 
 DEFAULT_CLASSIFICATION = "SECRET"
@@ -113,16 +113,13 @@ def stored_entities(spark: SparkSession, target: str) -> DataFrame:
     return event_store(spark, target).merged("entities")
 
 
-def embedded(events: DataFrame) -> DataFrame:
-    """``(event_id, embedding)`` of the normalised texts; a model from ``functions.hooks`` can take its place."""
-    return hashed_embedding(events, "event_id", "normalized_text")
-
-
 def persist_batch(raw: DataFrame, batch_id: int, target: str, default_classification: str = DEFAULT_CLASSIFICATION,
-                  embed: Callable[[DataFrame], DataFrame] = embedded, fresh: DataFrame | None = None) -> None:
+                  embed: Callable[[DataFrame], DataFrame] | None = None, fresh: DataFrame | None = None) -> None:
     """Validate, normalise and store one micro-batch; of accepted copies within it the earliest event stays.
 
     ``fresh`` holds the ``fingerprint`` of every event that no earlier batch has stored; without it all are.
+    ``embed`` makes ``(event_id, embedding)`` of the normalised texts, for instance by a model from ``functions.hooks``;
+    without it each text gets its hashed stand-in where it is, and the events meet nothing.
 
     The five tables become visible together, by one manifest: after a failure between two
     of them nothing of the batch is there, and a batch that is there is not stored again. Malformed rows go to the quarantine and never
@@ -132,24 +129,40 @@ def persist_batch(raw: DataFrame, batch_id: int, target: str, default_classifica
     store = event_store(raw.sparkSession, target)
     if batch_id <= store.manifest()["batch"]:
         return
-    raw = raw.persist()  # events, rejects and invalid rows all start from it
+    if fresh is None:  # a stream's batch is kept already
+        raw = raw.persist()
     accepted, refused = _sorted_out(raw, default_classification)
     if fresh is not None:
         accepted = accepted.join(fresh, "fingerprint", "left_semi")
     unique = first_per_key(accepted, ["fingerprint"], ["event_time", "raw_text"])
-
-    # The edges are derived from the stored events, so all tables agree.
     named = unique.withColumn("event_id", F.col("fingerprint")).withColumn("int_type", F.upper("source_type"))
-    events = materialize(named.join(embed(named), "event_id").withColumn("batch_id", F.lit(batch_id)), "batch-events")
-    edges = events.select("event_id", F.explode(X.entity_tokens(F.col("normalized_text"))).alias("name"))
-    edges = edges.withColumn("entity_type", F.lit("TOKEN")).select(
-        "event_id", entity_id().alias("entity_id"), "name", "entity_type",
-        F.lit("MENTIONED").alias("role"), F.lit(1.0).alias("confidence"))
+    if embed is None:
+        named = named.withColumn("embedding", text_vector(F.col("normalized_text")))
+    else:
+        named = named.join(embed(named), "event_id")
+    events = named.select("event_id", *[c for c in named.columns if c != "event_id"]).withColumn("batch_id", F.lit(batch_id))
+
+    # Entities and edges are derived from the stored events, so all tables agree.
+    def names(written: Callable[[str], DataFrame]) -> DataFrame:
+        found = computed_once(written("events").select("event_id", "normalized_text"), _names=X.entity_tokens(F.col("normalized_text")))
+        return found.select("event_id", F.explode("_names").alias("name"), F.lit("TOKEN").alias("entity_type"))
+
+    def entities(written: Callable[[str], DataFrame]) -> DataFrame:
+        distinct = names(written).select("name", "entity_type").distinct()
+        return distinct.select(entity_id().alias("entity_id"), "name", "entity_type")
+
+    def edges(written: Callable[[str], DataFrame]) -> DataFrame:
+        return names(written).select("event_id", entity_id().alias("entity_id"), "name", "entity_type",
+                                     F.lit("MENTIONED").alias("role"), F.lit(1.0).alias("confidence"))
+
+    refused = refused.persist()  # looked at twice, and few where most messages are good
     firsts, repeats = _quarantine(refused)
     store.commit(batch_id, {
-        "events": events, "entities": edges.select("entity_id", "name", "entity_type").distinct(), "event_entities": edges,
+        "events": events, "entities": entities, "event_entities": edges,
         "quarantine": firsts.withColumn("batch_id", F.lit(batch_id)), "quarantine_repeats": repeats.withColumn("batch_id", F.lit(batch_id))})
-    raw.unpersist()
+    refused.unpersist()
+    if fresh is None:
+        raw.unpersist()
 
 
 def ingest_stream(raw: DataFrame, target: str, checkpoint: str, every: str | None = None) -> StreamingQuery:
@@ -157,9 +170,10 @@ def ingest_stream(raw: DataFrame, target: str, checkpoint: str, every: str | Non
 
     Only accepted events are remembered, so a refused message never hides a
     corrected one, and every refused row is stored. The stream's own state tells
-    which fingerprints are new, so no batch reads the store.
+    which fingerprints are new, so no batch reads the store; for that a message is only looked at as far as it can be refused.
     """
-    new = _sorted_out(raw, DEFAULT_CLASSIFICATION)[0].select(F.col("fingerprint").alias("_fresh")).dropDuplicates(["_fresh"])
+    marks = signal_fingerprints(_checked(raw)[0], default_classification=DEFAULT_CLASSIFICATION)
+    new = marks.select(F.col("fingerprint").alias("_fresh")).dropDuplicates(["_fresh"])
     both = raw.withColumn("_fresh", F.lit(None).cast("string")).unionByName(new, allowMissingColumns=True)
 
     def persist(batch: DataFrame, number: int) -> None:

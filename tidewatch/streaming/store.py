@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 FAN = 8
 
 Merge = Callable[[DataFrame], DataFrame]
+Derived = Callable[[Callable[[str], DataFrame]], DataFrame]
 
 
 def _same(rows: DataFrame) -> DataFrame:
@@ -67,16 +68,22 @@ class BatchStore:
         if not fs.rename(draft, self._fs(target)[1]):
             raise RuntimeError(f"{target} is there already: another writer is at work")
 
-    def commit(self, batch: int, tables: Mapping[str, DataFrame]) -> None:
+    def commit(self, batch: int, tables: Mapping[str, DataFrame | Derived]) -> None:
         """Store the rows of a batch in all of the tables; a batch that is in the manifest already is left as it is.
 
-        Tables are written in the given order, and each may be computed from the ones before through :meth:`written`.
+        Tables are written in the given order. One that is computed from those before is given as a function: it
+        gets a function from a table's name to the rows of this batch, read back from what was just written.
         """
         old = self.manifest()
         if batch <= old["batch"]:
             return
         new = {"version": old["version"] + 1, "batch": batch, "tables": dict(old["tables"])}
+
+        def written(name: str) -> DataFrame:
+            return self._read(new["tables"][name], [f"{name}/batch-{batch}"])
+
         for name, rows in tables.items():
+            rows = rows(written) if callable(rows) else rows
             new["tables"][name] = self._added(new["tables"].get(name), name, rows, f"{name}/batch-{batch}", 0)
         self._publish(new)
         self._compact()
