@@ -294,6 +294,30 @@ def test_text_search_shuffles_neither_index_nor_words(spark):
     assert index.texts.count() == 200 and index.vocabulary.count() == 200 * 100 + 10
 
 
+def test_term_statistics_shuffle_no_words(spark):
+    """Terms of several words, long texts, keys that come again or are null; the texts only meet the few keys that come again."""
+    texts = [(0, "The ships sailed; a ship SAILS."), (1, "ships"), (1, "a ship sails, ship"), (1, None), (None, "sailing"), (None, "sail"), (2, None),
+             (3, "the the"), (4, ""), (5, "harbour ships ship " * 100_000), (6, "sailed harbours harbour"), (7, "x1 ship")]
+    docs = spark.createDataFrame(texts, "id bigint, t string").unionByName(invented(spark, 100, 50).withColumn("id", F.col("id") + 100))
+    words = [(r.id, p, w) for r in docs.collect() for p, w in plain_terms(r.t)]
+    stems = spark.createDataFrame([(w,) for w in {w for _, _, w in words}], "w string").select("w", L.suffix_stem(F.col("w")).alias("s"))
+    stem, seen = {r.w: r.s for r in stems.collect()}, {}
+    for key, p, w in words:
+        seen.setdefault(stem[w], []).append((key, p))
+    want = {t: (len({k for k, _ in at}), len(at), sum(p for _, p in at)) for t, at in seen.items()}
+    assert want["sail"] == (4, 6, 15) and want["ship"][0] == 4
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 50_000)
+    try:
+        found = TS.term_statistics(TS.text_index(docs, key="id", text="t"))
+        assert joins_of(found) == ["BroadcastHashJoin"]
+        got = {r.term: (r.documents, r.places, r.place_sum) for r in found.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert got == want
+    assert TS.term_statistics(TS.text_index(docs.limit(0), key="id", text="t")).count() == 0
+
+
 def test_postings_and_texts_meet_stored_questions_and_hits(spark):
     """Neither the postings nor the texts are shuffled for a few questions, and hits are searched for once."""
     docs = invented(spark, 200, 100)

@@ -7,6 +7,7 @@ words and strips suffixes. Positions count every word, stop words too.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import Column, functions as F
 
@@ -51,18 +52,37 @@ SUFFIX_RULES: tuple[tuple[str, str], ...] = (
 )
 
 
-#: How every word ends that a rule changes; the others are passed by with one look instead of one per rule.
-_SOME_SUFFIX = (
-    "(?:s|eed|eedly|ed|edly|ing|ingly|y|ization|izer|ational|ation|ator|tional|fulli|ousli|iveness|iviti|alism|aliti|alli|biliti|bli|nci|li"
-    "|icate|iciti|ical|ful|ment|e)$")
+#: How words end that the rules change, and for how many rules in order this holds; the others are passed by with one look.
+_ENDINGS: tuple[tuple[str, int], ...] = (
+    ("s", 3),
+    ("(?:ed|ing)(?:ly)?", 6),
+    ("y", 1),
+    ("(?:ization|izer|ational|ation|ator|tional|fulness|fulli|ousness|ousli|iveness|iviti|alism|aliti|alli|biliti|bli|nci|li"
+     "|icate|iciti|ical|ness|ful|ment)", 12),
+    ("e", 1),
+)
 
 
 def suffix_stem(word: Column) -> Column:
     """The word without its English suffixes."""
+    stem, done = word, 0
+    for ending, rules in _ENDINGS:
+        stem = F.transform(F.array(stem), partial(_by_rules, ending, SUFFIX_RULES[done:done + rules]))[0]
+        done += rules
+    return F.when(_ends(word, "|".join(ending for ending, _ in _ENDINGS)), stem).otherwise(word)
+
+
+def _by_rules(ending: str, rules: tuple[tuple[str, str], ...], word: Column) -> Column:
+    """``word`` is the variable of a lambda, so what made it is computed once for the look and the rules."""
     stem = word
-    for pattern, rest in SUFFIX_RULES:
+    for pattern, rest in rules:
         stem = F.regexp_replace(stem, pattern, rest)
-    return F.when(word.rlike(_SOME_SUFFIX), stem).otherwise(word)
+    return F.when(_ends(word, ending), stem).otherwise(word)
+
+
+def _ends(word: Column, ending: str) -> Column:
+    """Looked at from the end; a plain pattern would be tried at every letter."""
+    return word.rlike(f"$(?<={ending})")
 
 
 Stemmer = Callable[[Column], Column]
