@@ -82,6 +82,37 @@ def test_links_are_complete(spark, monkeypatch, crowd):
     assert len({found[v] for v in found}) == sum(len(g) > 1 for g in groups.values())
 
 
+def broadcast_rows(df):
+    """Runs ``df``; the numbers of rows that its plan broadcast."""
+    planned = df._jdf.queryExecution()
+    planned.toRdd().count()
+
+    def walk(plan):
+        if plan.nodeName() == "AdaptiveSparkPlan":
+            yield from walk(plan.executedPlan())
+        elif "QueryStage" in plan.nodeName():
+            yield from walk(plan.plan())
+        elif plan.nodeName() == "BroadcastExchange":
+            yield plan.metrics().apply("numOutputRows").value()
+        for i in range(plan.children().size()):
+            yield from walk(plan.children().apply(i))
+
+    return list(walk(planned.executedPlan()))
+
+
+@pytest.mark.parametrize("crowd", [500, 0])
+def test_replicas_and_points_are_never_broadcast(spark, monkeypatch, crowd):
+    """A fingerprint has some 150 replicas and 65 points, which a plan takes for one row; with a crowd of 0 there are points."""
+    values = {int(np.uint64(v).view(np.int64)) for v in near_values(3, 400)}
+    met, store = [], simhash.store
+    monkeypatch.setattr(simhash, "CROWD", crowd)
+    monkeypatch.setattr(simhash, "store", lambda df, purpose: met.append(df) or store(df, purpose))
+    edges = simhash.links(spark.createDataFrame([(v,) for v in values], "f long"))
+    assert len(met) == 1 and edges.count() > 0
+    for df in (*met, edges):
+        assert max(broadcast_rows(df), default=0) <= len(values)
+
+
 def test_documents_against_brute_force(spark, make_docs, sf_dir):
     rows = [(r.doc_id, r.text) for r in docs_of(spark, sf_dir).collect()]
     rows += [(10_000 + i, t.replace(" ", " x ", 1) if i % 2 else t.upper()) for i, (_, t) in enumerate(rows[:60])]

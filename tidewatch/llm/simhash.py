@@ -147,21 +147,23 @@ def links(fingerprints: DataFrame) -> DataFrame:
     both lie within one bit of a common point, so each such point ties its
     members to the least of them.
     """
-    # an explicit number of partitions, since one fingerprint becomes some 150 rows after this shuffle
+    # an explicit number of partitions, since one fingerprint becomes some 150 rows after this shuffle; as Spark's
+    # estimates know nothing of these rows, it would broadcast them, so the join's kind is named
     parts = max(1, -(-fingerprints.count() // FINGERPRINTS_PER_TASK))
     fingerprints = fingerprints.select("f").repartition(parts, "f")
     homes = anchored(fingerprints, 0).select("anchor", F.col("f").alias("h"))
     sizes = homes.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
     crowded = sizes.where(F.col("n") > CROWD).select("anchor", F.lit(None).cast("long").alias("h"))
     targets = homes.join(sizes.where(F.col("n") <= CROWD), "anchor").select("anchor", "h").union(crowded)
-    met = targets.join(anchored(fingerprints, THRESHOLD), "anchor").where(
+    met = targets.join(anchored(fingerprints, THRESHOLD).hint("merge"), "anchor").where(
         f"h IS NULL OR (h < f AND bit_count(h ^ f) <= {THRESHOLD})").select("h", "f")
     met = store(met, "links").df
     flips = F.array(F.lit(0).cast("long"), *[F.lit(np.int64(np.uint64(1 << i).view(np.int64)).item()).cast("long") for i in range(64)])
     points = met.where("h IS NULL").select("f").distinct().select("f", F.explode(flips).alias("flip")).select(
         "f", F.col("f").bitwiseXOR(F.col("flip")).alias("point"))
-    least = points.groupBy("point").agg(F.min("f").alias("b"), F.count(F.lit(1)).alias("n")).where("n > 1").select("point", "b")
-    stars = points.join(least, "point").where("f > b").select(F.col("f").alias("a"), "b").distinct()
+    # a point has 65 members at most, so no join is needed, whose size after the explode Spark would take for that before
+    least = F.min("f").over(Window.partitionBy("point"))
+    stars = points.select("f", least.alias("b")).where("f > b").select(F.col("f").alias("a"), "b").distinct()
     return met.where("h IS NOT NULL").select(F.col("f").alias("a"), F.col("h").alias("b")).union(stars)
 
 
