@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from conftest_llm import docs_of
 from tidewatch.llm import langid, quality, simhash
 from test_packing import check, pieces_of
-from test_simhash import brute_components, brute_fingerprint
+from test_simhash import broadcast_rows, brute_components, brute_fingerprint
 from tokenizers import Tokenizer
 import public_tokenizers
 from tidewatch.llm.packing import TOKENIZER
@@ -48,6 +48,18 @@ def test_stages_one_by_one(spark, sf_dir):
     assert {(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in whole.collect()} == expected
 
 
+def test_near_duplicates_broadcast_no_more_rows_than_documents(spark, make_docs, monkeypatch, sf_dir):
+    """What a plan broadcasts goes through the driver's memory; replicas of fingerprints are many more than documents."""
+    texts = [f"text {i} has {i * 7} words and {i * i} letters, some {i * 31} of them its own" for i in range(300)]
+    stored, store = [], simhash.store
+    monkeypatch.setattr(simhash, "store", lambda df, purpose: stored.append(df) or store(df, purpose))
+    kept = corpus_pipeline.near_duplicates(spark, make_docs([*enumerate(texts), (300, texts[7]), (301, texts[9].upper())]), sf_dir)
+    assert len(stored) == 2
+    for df in (*stored, kept):
+        assert max(broadcast_rows(df), default=0) <= 302
+    assert 0 < kept.count() <= 300
+
+
 def test_clean_documents_stay(spark, sf_dir):
     docs = docs_of(spark, sf_dir)
     kept = corpus_pipeline.language(spark, corpus_pipeline.quality_rules(spark, docs, sf_dir), sf_dir)
